@@ -1,0 +1,4 @@
+"""The queries of the library, by name, and their SQL."""
+
+QUERIES: dict = {}
+SQL: dict = {}
