@@ -1,34 +1,63 @@
-"""A corpus pipeline of the training-data operators; see the README."""
+"""A corpus pipeline of the training-data operators: language, near duplicates, repeated passages, benchmark leaks, tokens."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, queries
-from tessera.llm.common import stored
+from tessera.llm import jaccard, langid, queries, spans, tiling
+from tessera.llm.common import broadcast_if_small, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language: texts that are null or have no letter, and predictions below 0.5."""
+    """Rejects documents without a language: texts that are null or have no letter, and predictions below 0.5.
+
+    The model learns from the labelled rows of docs outside the held-out fold. No labelled row: nothing is predicted, so all go.
+    """
     model = langid.fit(docs.filter(queries.fold("doc_id", 5) != 0), order="doc_id")
     return langid.predict(docs, model).filter((F.col("lang_pred") != "und") & (F.col("score") >= 0.5)).select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each class of near duplicates: that with the smallest doc_id; repeated rows of it once."""
+    classes = jaccard.join(docs.select("doc_id", "text"))
+    keep = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept")).distinct()
+    return docs.join(broadcast_if_small(keep), F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi").select(*COLUMNS).dropDuplicates(["doc_id"])
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes passages that an earlier document (or place) has; a document without a word left goes. n_chars follows."""
+    cut = spans.dedup(docs).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return cut.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"\\S")).select(*COLUMNS)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that leak a benchmark item."""
+    bad = tiling.leaks(docs, queries.table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("bad")).distinct()
+    return docs.join(broadcast_if_small(bad), F.col("doc_id").eqNullSafe(F.col("bad")), "left_anti").select(*COLUMNS)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encodes and decodes what is left."""
+    """Encodes what is left and decodes it: doc_id, n_tokens and the digests of ids and decoded text."""
     return queries.bpe_digests(docs)
 
 
-STAGES = [("language", language), ("tokens", tokens)]
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("benchmark_leaks", benchmark_leaks),
+    ("tokens", tokens),
+]
+#: Neither the language model nor the tokenizer is SQL; tests hold every stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = queries.table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -36,14 +36,13 @@ from tessera.llm.common import batched, to_batch, width
 BLOCK_CHARS = 12_000_000
 #: Punctuation that ends a white-space piece after a Latin letter or a digit is a pre-tokenizer match of its own.
 _TAIL = re.compile(r"(?<=[A-Za-z0-9À-ÖØ-öø-ſ])([.,;:!?]+)(?=[ \n\t\r]|\Z)")
-_WHITE = str.maketrans("\n\t\r", "   ")
 
 
 def words(text: str) -> list[str]:
     """The cuts of a text; empty strings stand for repeated white space and encode to nothing."""
     if text.isascii() and "<|" not in text:
         text = text.lower()
-    return _TAIL.sub(r" \1", text).translate(_WHITE).split(" ")
+    return _TAIL.sub(r" \1", text).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
 @lru_cache(maxsize=2)

@@ -70,3 +70,11 @@ def free_name(df: DataFrame, name: str) -> str:
 def pairs(batch: pa.RecordBatch) -> Iterator[tuple]:
     """The rows of a batch as tuples of Python values."""
     return zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: int = 64, most: int = 16 << 20) -> DataFrame:
+    """df, stored, with a broadcast hint if its rows, counted, take at most so many bytes; else Spark shuffles it."""
+    from pyspark.sql import functions as F
+
+    df = stored(df)
+    return F.broadcast(df) if df.count() * row_bytes <= most else df

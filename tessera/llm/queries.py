@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, langid, topk
+from tessera.llm import bpe, html_diff, jaccard, langid, quality_rules, spans, tiling, topk, url_alias, warc
 
 #: The tokenizer of the contract; any file of the tokenizers library does.
 TOKENIZER = "word_bpe_49k.json"
@@ -70,5 +70,137 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_topk": op2_topk, "op6_langid": op6_langid}
-SQL = {"op2_topk": OP2_SQL}
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_diff.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op4_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_units", "n_removed", "chars_removed")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bundles = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(bundles).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+RULES = [
+    url_alias.rule("allow", "org/"),
+    url_alias.rule("block", "example.org/es/"),
+    url_alias.rule("block", "example.org/en/1"),
+    url_alias.rule("allow", "com/fr/"),
+    url_alias.rule("block", "com/de/"),
+]
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_alias.judge(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _fit_sql(host: str, path: str) -> str:
+    """The name of the longest rule that fits, as a CASE over the rules from the longest on."""
+    longest = sorted(RULES, key=lambda r: (-len(r.name), r.verdict))
+    return "case " + " ".join(f"when ({host} = '{r.host}' or ends_with({host}, '.{r.host}')) and starts_with({path}, '{r.path}') then '{r.name}'" for r in longest) + " end"
+
+
+_VERDICT = "case {} " + " ".join(f"when '{r.name}' then '{r.verdict}'" for r in RULES) + " end"
+_NODE = "case when {0} like '%://%' and regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1) <> '' then translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || case when regexp_extract({0}, '(?s)^.*?://[^/?#]*([^#]*)', 1) like '/%' then '' else '/' end || regexp_extract({0}, '(?s)^.*?://[^/?#]*([^#]*)', 1) end"
+OP7_SQL = rf"""
+with recursive p as (
+  select page_id, url, html,
+    case when url like '%://%' then translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else '' end as host,
+    case when url like '%://%' then regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) else '' end as path
+  from pages
+), t as (
+  select url, replace(unnest([
+    regexp_extract(regexp_extract(html, '(?is)(<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>)', 1), '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1),
+    regexp_extract(regexp_extract(html, '(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>)', 1), '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)]), '&amp;', '&') as target
+  from pages
+), l as (
+  select url, case when regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') then target
+    when target like '//%' then regexp_extract(url, '(?s)^(.*?:)//', 1) || target
+    when target like '/%' then regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || target
+    else rtrim(regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || regexp_replace(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '[^/]*$', ''), '/') || '/' || target end as target
+  from t where target <> ''
+), e as (
+  select distinct {_NODE.format("url")} as a, {_NODE.format("target")} as b from l
+), both_ways as (
+  select a, b from e where a <> b union select b, a from e where a <> b
+), reach(a, b) as (
+  select a, a from both_ways union select r.a, w.b from reach r join both_ways w on r.b = w.a
+), blocked as (
+  select distinct a from reach
+  where {_VERDICT.format(_fit_sql("regexp_extract(b, '(?s)^([^/]*)', 1)", "regexp_extract(b, '(?s)^[^/]*([^?]*)', 1)"))} = 'block'
+), j as (
+  select page_id, host, path, {_fit_sql("host", "path")} as rule, {_NODE.format("url")} as node from p
+)
+select page_id, host, path, rule,
+  coalesce({_VERDICT.format("rule")}, case when node in (select a from blocked) then 'block' else 'allow' end) as verdict
+from j
+"""
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2).filter("quality in (0, 1)")
+    model = quality_rules.fit(training_rows(docs, labels))
+    scored = quality_rules.score(docs, model)
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, bound: int = quality_rules.SAMPLE) -> DataFrame:
+    """doc_id, text, label of at most about bound labelled documents, by hash of doc_id; that many rows are broadcast."""
+    rows = labels.select("doc_id", F.col("quality").alias("label")).dropDuplicates(["doc_id"])
+    total = rows.count()
+    if total > bound:
+        rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(0.95 * bound / total * 1_000_003))
+    return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")
+
+
+def op9_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+_SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+OP10_SQL = f"""
+with recursive t as (
+  select md5(coalesce(text, '')) as id, min(doc_id) as text_id, any_value(coalesce(text, '')) as text from documents group by 1
+), w as (
+  select id, list_filter(string_split_regex(text, '{_SPACE}'), lambda x: x <> '') as w from t
+), s as (
+  select distinct id, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as g
+  from w where len(w) > 0
+), n as (
+  select id, count(*) as n from s group by 1
+), c as (
+  select a.id as a, b.id as b, count(*) as both_have from s a join s b on a.g = b.g and a.id <> b.id group by 1, 2
+), l as (
+  select c.a, c.b from c join n x on x.id = c.a join n y on y.id = c.b where both_have / (x.n + y.n - both_have) >= 0.8
+), reach(a, b) as (
+  select id, id from t union select r.a, l.b from reach r join l on r.b = l.a
+), k as (
+  select r.a as id, min(t.text_id) as class_id from reach r join t on t.id = r.b group by 1
+), m as (
+  select a as id, count(*) as n_links from l group by 1
+)
+select d.doc_id, k.class_id, t.text_id, coalesce(m.n_links, 0)::bigint as n_links
+from documents d join t on t.id = md5(coalesce(d.text, '')) join k on k.id = t.id left join m on m.id = t.id
+"""
+
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op2_topk": op2_topk,
+    "op3_html": op3_html,
+    "op4_spans": op4_spans,
+    "op5_warc": op5_warc,
+    "op6_langid": op6_langid,
+    "op7_urls": op7_urls,
+    "op8_quality": op8_quality,
+    "op9_tiling": op9_tiling,
+    "op10_jaccard": op10_jaccard,
+}
+SQL = {"op2_topk": OP2_SQL, "op7_urls": OP7_SQL, "op10_jaccard": OP10_SQL}
