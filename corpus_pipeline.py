@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes passages that an earlier document (or place) has; a document without a word left goes. n_chars follows."""
     cut = spans.dedup(docs).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return cut.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"\\S")).select(*COLUMNS)
+    return cut.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"\S")).select(*COLUMNS)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tessera.llm.shingles import mixed, word_hashes
 
 MIN_UNITS, MIN_WORDS = 3, 20
-LONG, STEP, LONGEST = 16, 8, 32
+LONG, STEP, LONGEST = 16, 6, 12
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
 _WORD = re.compile(r"\S+")
@@ -55,7 +55,7 @@ def units(text: str) -> list[tuple[int, int, list[str]]]:
                 cuts_at.append(i)
         places = [m.start() for m in _WORD.finditer(text, a, b)]
         starts = [a, *[places[i] for i in cuts_at[1:]], b]
-        out += [(x, y, words[i:j]) for x, y, i, j in zip(starts, starts[1:], cuts_at, [*cuts_at[1:], len(words)], strict=True)]
+        out += [(x, y, words[i:j]) for x, y, i, j in zip(starts[:-1], starts[1:], cuts_at, [*cuts_at[1:], len(words)], strict=True)]
     return out
 
 
@@ -128,7 +128,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     others. Columns named n_units, n_removed or chars_removed are replaced.
     """
     names = [c for c in docs.columns if c.lower() not in ("n_units", "n_removed", "chars_removed")]
-    held = docs.select(F.struct(*names).alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    # Where no key repeats, as in a table of documents, the mark is constant and costs the shuffle nothing.
+    repeats = not docs.groupBy(F.col(key)).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    mark = F.xxhash64(text) if repeats else F.lit(0).cast("long")
+    held = docs.select(F.struct(*names).alias("row"), F.col(key).alias("key"), mark.alias("mark"), F.col(text).alias("text"))
     gone = repeated(held.select("key", "mark", "text")).select(F.col("key").alias("k"), F.col("mark").alias("m"), "gone")
     joined = held.join(gone, F.col("key").eqNullSafe(F.col("k")) & (F.col("mark") == F.col("m")), "left").select("row", "gone")
 
