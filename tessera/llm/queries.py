@@ -75,7 +75,7 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_units", "n_removed", "chars_removed")
+    return spans.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed", "chars_removed")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

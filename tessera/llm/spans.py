@@ -7,8 +7,9 @@ least MIN_UNITS units and MIN_WORDS words; its hash covers its words. Spans of a
 occurrence but the first (smallest document, then place) is repeated, and the units that it covers are removed.
 
 The same passage gives the same spans wherever it stands, whatever stands around it, so a passage is removed but for
-its units that are cut at either end. The first occurrence is found by an aggregate that sums on the map side; the join
-of the occurrences with it is one whose large partitions Spark can split, so one very common passage is no bottleneck.
+its units that are cut at either end. Within a batch of documents, all but the first occurrence of a span are repeated
+whatever other batches hold; they travel by their place, and only the first one travels by its hash. So a very common
+span sends a row a batch to one task, not a row an occurrence, and everything crosses one shuffle, once.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm.common import width
 from tessera.llm.shingles import mixed, word_hashes
 
 MIN_UNITS, MIN_WORDS = 3, 20
@@ -81,9 +83,19 @@ def spans(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, last - first, mixed(out + (before[last] - before[first]).astype(np.uint64))
 
 
+def _order(batch: pa.RecordBatch) -> np.ndarray:
+    """The place of each row among the batch's (key, mark), nulls first; equal ones share it."""
+    at = pc.sort_indices(pa.table({"k": batch.column(0), "m": batch.column(1)}), sort_keys=[("k", "ascending"), ("m", "ascending")], null_placement="at_start").to_numpy()
+    rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+    new = np.array([i > 0 and rows[at[i]] != rows[at[i - 1]] for i in range(len(at))])
+    out = np.empty(len(at), np.int64)
+    out[at] = np.cumsum(new)
+    return out
+
+
 def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keys, texts, firsts, sizes, hashes = [], [], [], [], []
+        keys, firsts, sizes, hashes = [], [], [], []
         for i, text in enumerate(b.column(2)):
             text = text.as_py()
             if text:
@@ -92,42 +104,46 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 firsts.append(f)
                 sizes.append(n)
                 hashes.append(h)
-        if keys:
-            at = pa.array(np.concatenate(keys))
-            place = (np.concatenate(firsts).astype(np.int64) << 32) | np.concatenate(sizes)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(place), pa.array(np.concatenate(hashes).view(np.int64))], ["key", "mark", "place", "hash"])
-
-
-def _kept(text: str | None, gone: np.ndarray) -> tuple[str | None, int, int, int]:
-    """The text without these units, the number of its units, of removed ones, and of removed characters."""
-    if text is None:
-        return None, 0, 0, 0
-    parts = units(text)
-    if not len(gone):
-        return text, len(parts), 0, 0
-    drop = set(gone.tolist())
+        if not keys:
+            continue
+        row, place, span = np.concatenate(keys), (np.concatenate(firsts).astype(np.int64) << 32) | np.concatenate(sizes), np.concatenate(hashes).view(np.int64)
+        rank = _order(b)[row]
+        order = np.lexsort((place, rank, span))
+        row, place, span, rank = row[order], place[order], span[order], rank[order]
+        start = np.concatenate([[True], span[1:] != span[:-1]]) if len(span) else np.empty(0, bool)
+        head = np.maximum.accumulate(np.where(start, np.arange(len(span)), 0))
+        again = (rank != rank[head]) | (place != place[head])
+        route = np.where(again, mixed((row.astype(np.uint64) << np.uint64(40)) ^ place.view(np.uint64) ^ span.view(np.uint64)).view(np.int64), span)
+        at = pa.array(row)
+        yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(place), pa.array(route), pa.array(again)], ["key", "mark", "place", "route", "again"])
+
+
+def _kept(text: str, gone: np.ndarray) -> tuple[str, int, int]:
+    """The text without the units of these places, how many units and characters those are."""
+    parts, drop = units(text), set()
+    for x in set(gone.tolist()):
+        drop.update(range(x >> 32, (x >> 32) + (x & 0xFFFFFFFF)))
     kept = "".join(text[a:b] for i, (a, b, _) in enumerate(parts) if i not in drop)
-    return kept, len(parts), len(drop), len(text) - len(kept)
+    return kept, len(drop), len(text) - len(kept)
 
 
 def repeated(rows: DataFrame) -> DataFrame:
     """key, mark, gone for rows of key, mark (tells rows of one key apart), text: of each document with repeated spans, an
     array of places, each the first unit times 2^32 plus the number of units."""
-    schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), *T._parse_datatype_string("mark long, place long, hash long").fields])
-    found = rows.select("key", "mark", "text").mapInArrow(_span_rows, schema)
-    firsts = found.groupBy("hash").agg(F.min(F.struct("key", "mark", "place")).alias("head"), F.count("*").alias("n")).filter("n > 1").select("hash", "head")
-    again = found.join(firsts, "hash").filter(~F.struct("key", "mark", "place").eqNullSafe(F.col("head")))
-    return again.groupBy("key", "mark").agg(F.collect_list("place").alias("gone"))
+    schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), *T._parse_datatype_string("mark long, place long, route long, again boolean").fields])
+    found = rows.select("key", "mark", "text").mapInArrow(_span_rows, schema).repartition(width(rows), "route")
+    first = F.rank().over(Window.partitionBy("route", "again").orderBy("key", "mark", "place")) == 1
+    return found.withColumn("first", first).filter("again or not first").groupBy("key", "mark").agg(F.collect_list("place").alias("gone"))
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with `text` less what is repeated, and n_units, n_removed (units), chars_removed.
+    """docs with `text` less what is repeated, and n_removed (units), chars_removed.
 
     One row per row of docs. A null text stays null; an empty one stays empty; a text whose units are all repeated becomes
     empty. Rows with one key and one text are one document: all of them keep what it keeps. Null keys come before all
-    others. Columns named n_units, n_removed or chars_removed are replaced.
+    others. Columns named n_removed or chars_removed are replaced.
     """
-    names = [c for c in docs.columns if c.lower() not in ("n_units", "n_removed", "chars_removed")]
+    names = [c for c in docs.columns if c.lower() not in ("n_removed", "chars_removed")]
     # Where no key repeats, as in a table of documents, the mark is constant and costs the shuffle nothing.
     repeats = not docs.groupBy(F.col(key)).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
     mark = F.xxhash64(text) if repeats else F.lit(0).cast("long")
@@ -135,13 +151,12 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     gone = repeated(held.select("key", "mark", "text")).select(F.col("key").alias("k"), F.col("mark").alias("m"), "gone")
     joined = held.join(gone, F.col("key").eqNullSafe(F.col("k")) & (F.col("mark") == F.col("m")), "left").select("row", "gone")
 
-    @F.pandas_udf("kept string, n_units int, n_removed int, chars_removed long")
+    @F.pandas_udf("kept string, n_removed int, chars_removed long")
     def cut(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t, g in zip(texts, gone, strict=True):
-            drop = np.unique(np.concatenate([np.arange(x >> 32, (x >> 32) + (x & 0xFFFFFFFF)) for x in np.unique(g).tolist()])) if g is not None and len(g) else np.empty(0, int)
-            rows.append(_kept(t, drop))
-        return pd.DataFrame(rows, columns=["kept", "n_units", "n_removed", "chars_removed"])
-
-    done = joined.withColumn("cut", cut.asNondeterministic()(F.col(f"row.{text}"), F.col("gone")))
-    return done.select(*[F.col("cut.kept").alias(c) if c == text else F.col(f"row.{c}") for c in names], "cut.n_units", "cut.n_removed", "cut.chars_removed")
+        rows = [_kept(t, g) if g is not None else (None, 0, 0) for t, g in zip(texts, gone, strict=True)]
+        return pd.DataFrame(rows, columns=["kept", "n_removed", "chars_removed"])
+
+    touched = F.col("gone").isNotNull()
+    done = joined.withColumn("cut", cut.asNondeterministic()(F.when(touched, F.col(f"row.{text}")), F.col("gone")))
+    kept = F.when(touched, F.col("cut.kept")).otherwise(F.col(f"row.{text}"))
+    return done.select(*[kept.alias(c) if c == text else F.col(f"row.{c}") for c in names], "cut.n_removed", "cut.chars_removed")
