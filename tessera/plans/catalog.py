@@ -1,4 +1,679 @@
-"""The queries of the library, by name, and their SQL."""
+"""The queries of the library, by name, over the driver's tables, and their DuckDB SQL where SQL can say it.
+
+Texts that a classifier needs but the tables lack are made from columns, by the same rule on both sides.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions import classify, dates, text, url
+from tessera.functions.basic import collapse
+from tessera.operators import dedup, export, fanin, quality, resolve, state
+from tessera.sources import crawl, feeds
 
 QUERIES: dict = {}
-SQL: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a function of (read, spark), where read(name) is a table, under its name."""
+
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark)
+
+        run.__name__, run.__doc__ = f.__name__, f.__doc__
+        QUERIES[f.__name__] = run
+        if sql:
+            SQL[f.__name__] = sql
+        return run
+
+    return add
+
+
+# ---- URLs -------------------------------------------------------------------------------------------------------------
+
+_ENC = "replace(url_encode({0}), '%20', '+')"
+_DEC = "url_decode(replace({0}, '+', ' '))"
+_NORM = rf"""(
+  select lower(r.scheme) || ':' || case when r.auth <> '' then '//' || lower(r.auth) else '' end
+    || case when rtrim(regexp_replace(r.path, ';[^/]*$', ''), '/') = '' then '/' else rtrim(regexp_replace(r.path, ';[^/]*$', ''), '/') end
+    || case when r.q <> '' then '?' || array_to_string(list_transform(list_sort(list_transform(list_filter(string_split(r.q, '&'), lambda x: x <> ''),
+      lambda x, i: {{'k': {_DEC.format("split_part(x, '=', 1)")}, 'i': i, 'v': {_DEC.format("case when contains(x, '=') then regexp_replace(x, '^[^=]*=', '') else '' end")}}})),
+      lambda s: {_ENC.format("s.k")} || '=' || {_ENC.format("s.v")}), '&') else '' end
+  from (select regexp_extract({{0}}, '^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$', ['scheme', 'auth', 'path', 'q']) as r))"""
+_TEXT = r"""trim(regexp_replace(replace(replace(regexp_replace(
+  regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '(?is)<nav[^>]*>.*?</nav>', ' ', 'g'), '(?is)<header[^>]*>.*?</header>', ' ', 'g'), '(?is)<footer[^>]*>.*?</footer>', ' ', 'g'),
+  '<[^>]+>', ' ', 'g'), '&quot;', '"'), '&amp;', '&'), '[\s\x{a0}\x{2000}-\x{200a}]+', ' ', 'g'))"""
+
+
+def _norm(c: str) -> str:
+    return _NORM.replace("{0}", c)
+
+
+@query(f"""with n as (select page_id, url, html, {_norm("url")} as normalized_url from pages),
+r as (select *, row_number() over (partition by sha256(normalized_url) order by page_id) as k from n)
+select page_id, normalized_url, sha256(normalized_url) as url_fingerprint, case when length({_TEXT}) >= 30 then {_TEXT} end as text from r where k = 1""")
+def page_catalog(read, spark):
+    """Pages in canonical form: first of each fingerprint, with readable text."""
+    rows = read("pages").select("page_id", "html", url.normalize_url(F.col("url")).alias("normalized_url")).withColumn("url_fingerprint", F.sha2("normalized_url", 256))
+    return dedup.first_wins(rows, "url_fingerprint", "page_id").select("page_id", "normalized_url", "url_fingerprint", text.html_text_pattern(F.col("html")).alias("text"))
+
+
+@query(f"select page_id, {_norm('url')} as normalized_url from pages")
+def url_normalize(read, spark):
+    return read("pages").select("page_id", url.normalize_url(F.col("url")).alias("normalized_url"))
+
+
+@query(f"select page_id, sha256({_norm('url')}) as fingerprint from pages")
+def url_fingerprint(read, spark):
+    return read("pages").select("page_id", url.url_fingerprint(F.col("url")).alias("fingerprint"))
+
+
+_HOST = "lower(regexp_extract(url, '^[^:]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))"
+
+
+@query(f"select page_id, {_HOST} as host, {_HOST} <> '' and not ({' or '.join(f'''{_HOST} = '{h}' or ends_with({_HOST}, '.{h}')''' for h in url.BLOG_HOSTS)}) as own_domain from pages")
+def url_host_class(read, spark):
+    return read("pages").select("page_id", url.host(F.col("url")).alias("host"), url.own_domain(F.col("url")).alias("own_domain"))
+
+
+_ARXIV = "case o_orderkey % 4 when 0 then 'http://arxiv.org/abs/21' || o_orderkey || '.1v2' when 1 then '21' || o_orderkey || '.5' when 2 then 'https://arxiv.org/abs/' || o_orderkey || 'v13' else '' end"
+
+
+@query(f"with x as (select o_orderkey, {_ARXIV} as u from orders), y as (select o_orderkey, regexp_replace(regexp_replace(u, '^http://', 'https://'), 'v\\d+$', '') as p from x) select o_orderkey, case when p = '' then '' when starts_with(p, 'https://') then p else 'https://arxiv.org/abs/' || p end as paper_url from y")
+def paper_url(read, spark):
+    return read("orders").select("o_orderkey", url.paper_url(F.expr(_ARXIV)).alias("paper_url"))
+
+
+_REPO = "case p_partkey % 5 when 0 then 'code at https://github.com/acme/' || p_partkey || '.git).' when 1 then 'see http://GitHub.com/sponsors/x and https://github.com/a-b/' || replace(p_name, ' ', '_') || ', thanks' when 2 then 'https://github.com/topics/ai only' when 3 then p_name else 'https://github.com/org_' || p_partkey || '/repo.js!' end"
+
+
+@query(f"""with t as (select p_partkey, unnest(regexp_extract_all({_REPO}, '(?i)https?://github\\.com/[a-z0-9_-]+/[a-z0-9._-]+')) as u, generate_subscripts(regexp_extract_all({_REPO}, '(?i)https?://github\\.com/[a-z0-9_-]+/[a-z0-9._-]+'), 1) as i from part),
+n as (select p_partkey, i, regexp_extract(u, '(?i)github\\.com/([^/]+)/', 1) as o, regexp_replace(regexp_replace(regexp_extract(u, '(?i)github\\.com/[^/]+/(.*)$', 1), '[.,;:!)]+$', ''), '\\.git$', '') as r from t),
+g as (select p_partkey, arg_min('https://github.com/' || o || '/' || r, i) as repository from n where r <> '' and lower(o) not in ({", ".join(f"'{w}'" for w in url.NO_REPOSITORY)}) and lower(r) not in ({", ".join(f"'{w}'" for w in url.NO_REPOSITORY)}) group by 1)
+select p.p_partkey, g.repository from part p left join g using (p_partkey)""")
+def repository_in_text(read, spark):
+    return read("part").select("p_partkey", url.repository_in(F.expr(_REPO)).alias("repository"))
+
+
+@query("select conv_id, turn, sha256('p:m:' || coalesce(role, '') || ':' || coalesce(text, '') || ':') as fingerprint from conversations")
+def request_fingerprint(read, spark):
+    return read("conversations").select("conv_id", "turn", url.request_fingerprint(F.lit("p"), F.lit("m"), F.col("role"), F.col("text")).alias("fingerprint"))
+
+
+_SECRET = "'Authorization: Bearer abc.' || event_id || ' and key=K_' || user_id || ' {\"access_token\":  \"t' || event_id || '\", \"private_key\":\"x\"} ' || props"
+
+
+def _redact_sql(c: str) -> str:
+    for pattern, new in url.SECRETS:
+        new = new.replace("'", "''")
+        c = f"regexp_replace({c}, '{pattern}', '{new}', 'g')"
+    return c
+
+
+@query(f"select event_id, {_redact_sql(_SECRET)} as redacted from events")
+def redact_secrets(read, spark):
+    return read("events").select("event_id", url.redact(F.expr(_SECRET)).alias("redacted"))
+
+
+@query(f"select doc_id, md5({_redact_sql('text')}) as redacted from documents")
+def redact_documents(read, spark):
+    return read("documents").select("doc_id", F.md5(url.redact(F.col("text")).cast("binary")).alias("redacted"))
+
+
+_MESSAGES = ["sheets.googleapis.com is off", "the Google Drive API has not been used", "No such file or directory: x", "JSONDecodeError at 1", "invalid_grant", "404 for url", "lacks Permission", "worksheet gone", "SSL broken", "strange"]
+_MESSAGE = "case event_id % 10 " + " ".join(f"when {i} then '{m}'" for i, m in enumerate(_MESSAGES)) + " end"
+
+
+@query(f"select event_id, case {' '.join(f'''when regexp_matches({_MESSAGE}, '(?s){'|'.join(p.replace('.com', chr(92) + '.com') for p in parts)}') then '{n}' ''' for n, parts in url.SINK_ERRORS)} else 'other' end as error_class from events")
+def sink_error(read, spark):
+    return read("events").select("event_id", url.sink_error(F.expr(_MESSAGE)).alias("error_class"))
+
+
+# ---- text -------------------------------------------------------------------------------------------------------------
+
+
+@query(f"select page_id, case when length({_TEXT}) >= 30 then {_TEXT} end as text from pages")
+def html_text_pattern(read, spark):
+    return read("pages").select("page_id", text.html_text_pattern(F.col("html")).alias("text"))
+
+
+@query()
+def html_text(read, spark):
+    """By open elements; tests hold it against the standard library."""
+    return read("pages").select("page_id", text.html_text("html").alias("text"))
+
+
+@query(r"select doc_id, md5(trim(regexp_replace(text, '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'))) as collapsed from documents")
+def whitespace_collapse(read, spark):
+    return read("documents").select("doc_id", F.md5(collapse(F.col("text")).cast("binary")).alias("collapsed"))
+
+
+_STAFF = "case s_suppkey % 4 when 0 then 'We have ' || (s_suppkey * 37) || '+ Employees now' when 1 then '1,500 people work here' when 2 then '1234567 staff' else s_name end"
+
+
+@query(f"select s_suppkey, try_cast(nullif(regexp_extract({_STAFF}, '(?i)(\\d{{1,6}})\\+?\\s*(?:employees|people|team members|staff)', 1), '') as integer) as employees from supplier")
+def employee_count(read, spark):
+    return read("supplier").select("s_suppkey", text.employee_count(F.expr(_STAFF)).alias("employees"))
+
+
+_OFFERS = ["This is 100% FREE to use", "Freemium with a free tier", "Enterprise edition, contact sales", "Paid plan from 5 $/mo", "Released under the MIT License.", ""]
+_OFFER = "case p_partkey % 6 " + " ".join(f"when {i} then '{o}'" for i, o in enumerate(_OFFERS)) + " end"
+
+
+def _any_sql(c: str, words) -> str:
+    return "(" + " or ".join(f"contains({c}, '{w}')" for w in words) + ")"
+
+
+@query(f"select p_partkey, case when {_OFFER} = '' then null {' '.join(f'''when {_any_sql(f'lower({_OFFER})', words)} then '{m}' ''' for m, words, _ in text.PRICING)} end as model, case when {_OFFER} = '' then '{text.NO_TEXT}' {' '.join(f'''when {_any_sql(f'lower({_OFFER})', words)} then '{why}' ''' for _, words, why in text.PRICING)} else '{text.NO_PRICE}' end as reason from part")
+def pricing_model(read, spark):
+    return read("part").select("p_partkey", text.pricing(F.expr(_OFFER)).alias("p")).select("p_partkey", "p.model", "p.reason")
+
+
+@query(f"select doc_id, case {' '.join(f'''when {_any_sql('lower(text)', words)} then '{m}' ''' for m, words, _ in text.PRICING)} end as model from documents")
+def license_vs_pricing(read, spark):
+    return read("documents").select("doc_id", text.pricing(F.col("text"))["model"].alias("model"))
+
+
+_ANSWER = "case turn % 4 when 0 then '```json' || chr(10) || '{\"a\": ' || conv_id || '}' || chr(10) || '```' when 1 then 'so: [{\"a\": ' || turn || '}] done' when 2 then '  {\"a\": {\"b\": 1}} ' else 'none' end"
+
+
+@query(f"""with x as (select conv_id, turn, trim({_ANSWER}) as t from conversations)
+select conv_id, turn, case when contains(t, '```') then trim(regexp_extract(t, '(?is)```(?:json)?\\s*\\n?(.*?)\\n?```', 1)) when regexp_extract(t, '(?s)(\\{{.*\\}}|\\[.*\\])', 1) <> '' then regexp_extract(t, '(?s)(\\{{.*\\}}|\\[.*\\])', 1) else t end as json from x""")
+def json_extract_text(read, spark):
+    return read("conversations").select("conv_id", "turn", text.json_in(F.expr(_ANSWER)).alias("json"))
+
+
+@query(f"""select conv_id, turn, case turn % 4 when 0 then conv_id when 1 then turn end as a from conversations""")
+def json_object(read, spark):
+    """The object of an answer, and a field of it."""
+    return read("conversations").select("conv_id", "turn", F.get_json_object(text.json_object(F.expr(_ANSWER)), "$.a").try_cast("bigint").alias("a"))
+
+
+@query("select doc_id, length(text) as size, length(text) > 2000 as oversized from documents")
+def prompt_oversize(read, spark):
+    return read("documents").select("doc_id", F.length("text").cast("long").alias("size"), text.oversized(F.col("text"), 2000).alias("oversized"))
+
+
+@query()
+def prompt_reduce(read, spark):
+    return read("documents").select("doc_id", F.md5(text.reduce_prompt(F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")), 1500).cast("binary")).alias("reduced"))
+
+
+@query()
+def prompt_chunk(read, spark):
+    chunks = text.chunk_prompt(F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")), 1500)
+    return read("documents").select("doc_id", F.posexplode(chunks).alias("i", "chunk")).select("doc_id", "i", F.md5(F.col("chunk").cast("binary")).alias("chunk"))
+
+
+_NAME = "case c_custkey % 6 when 0 then c_name || ', Inc.' when 1 then upper(c_name) || ' LLC' when 2 then 'https://github.com/' || replace(c_name, '#', '-') || '/x' when 3 then 'www' || c_custkey || '.ai' when 4 then 'Café  ' || c_custkey || ' (GmbH)' else '  The ' || c_name || ' co inc ' end"
+
+
+def _comparable_sql(c: str) -> str:
+    path = f"case when regexp_matches(trim({c}), '^https?://') or contains({c}, 'github.com/') then regexp_extract(trim({c}), '^(?:https?://)?[^/]*/+([^/]*)', 1) else trim({c}) end"
+    domain = f"case when regexp_matches({path}, '(?i)^[a-z0-9-]+\\.(com|ai|io|org|net|co)$') then regexp_extract({path}, '^(.*)\\.[^.]*$', 1) else {path} end"
+    words = f"trim(regexp_replace(regexp_replace(lower(strip_accents({domain})), '[^\\w\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace({words}, '\\b(inc|corp|corporation|ltd|limited|llc|gmbh|pbc|co)$', ''))"
+
+
+@query(f"select c_custkey, {_comparable_sql(_NAME)} as comparable from customer")
+def name_normalize(read, spark):
+    return read("customer").select("c_custkey", text.comparable_name(F.expr(_NAME)).alias("comparable"))
+
+
+@query(f"""with n as (select c_custkey, {_comparable_sql(_NAME)} as n from customer)
+select c_custkey, array_to_string(list_filter([case when length(n) >= 3 then 'pref:' || n[1:3] end, 'tok:' || split_part(n, ' ', 1), 'len:' || len(string_split(n, ' '))], lambda x: x is not null), '|') as keys from n""")
+def blocking_keys(read, spark):
+    return read("customer").select("c_custkey", F.array_join(text.blocking_keys(text.comparable_name(F.expr(_NAME))), "|").alias("keys"))
+
+
+# ---- dates ------------------------------------------------------------------------------------------------------------
+
+_REF = "2024-01-30 00:00:00"
+
+
+@query(f"select event_id, case when ts < timestamp '{_REF}' - interval 24 hour then 'stale' else 'fresh' end as status from events")
+def freshness_status(read, spark):
+    return read("events").select("event_id", dates.freshness(F.col("ts").cast("timestamp"), None, F.lit(_REF).cast("timestamp")).alias("status"))
+
+
+@query(f"select case when ts < timestamp '{_REF}' - interval 24 hour then 'stale' else 'fresh' end as status, count(*) as n from events group by 1")
+def freshness_histogram(read, spark):
+    rows = read("events").select(dates.freshness(F.col("ts").cast("timestamp"), None, F.lit(_REF).cast("timestamp")).alias("status"))
+    return quality.status_counts(rows, "status")
+
+
+@query(f"select event_id, case when ts < timestamp '{_REF}' - interval 24 hour then timestamp '{_REF}' - interval 1 hour else ts end as effective from events")
+def effective_date(read, spark):
+    ts, ref = F.col("ts").cast("timestamp"), F.lit(_REF).cast("timestamp")
+    return read("events").select("event_id", dates.effective_date(ts, dates.freshness(ts, None, ref), ref).cast("timestamp_ntz").alias("effective"))
+
+
+@query("select event_id, case event_id % 6 when 5 then null when 4 then date_trunc('day', ts) else date_trunc('second', ts) end as parsed, case event_id % 6 when 5 then 'invalid_date' else 'read' end as status from events")
+def date_parse_mixed(read, spark):
+    """Seconds, ISO with and without zone, mail dates, days, and nonsense, all read back."""
+    ts = F.col("ts").cast("timestamp")
+    raw = (
+        F.when(F.col("event_id") % 6 == 0, F.unix_seconds(ts).cast("string"))
+        .when(F.col("event_id") % 6 == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(F.col("event_id") % 6 == 2, F.concat(F.lit("Mon, "), F.date_format(ts, "dd MMM yyyy HH:mm:ss"), F.lit(" +0000")))
+        .when(F.col("event_id") % 6 == 3, F.date_format(ts, "d MMM yyyy HH:mm:ss 'GMT'"))
+        .when(F.col("event_id") % 6 == 4, F.date_format(ts, "yyyy-MM-dd"))
+        .otherwise("not a date")
+    )
+    parsed = dates.job_date(F.col("raw"))
+    status = dates.freshness(parsed, F.col("raw"), F.lit("1990-01-01").cast("timestamp"))
+    return read("events").select("event_id", raw.alias("raw")).select("event_id", parsed.cast("timestamp_ntz").alias("parsed"), F.when(status == "fresh", "read").otherwise(status).alias("status"))
+
+
+# ---- classifiers ------------------------------------------------------------------------------------------------------
+
+_TITLES = ["Senior Backend Architect", "Data Scientist, NLP", "SRE / DevOps", "Cybersecurity lead", "QA Lead", "Product Manager", "C++ Developer (Onsite only)", "Remote UI/UX role", "Unknown Specialist", "Qatar Airways clerk, WFH"]
+_TITLE = "case o_orderkey % 10 " + " ".join(f"when {i} then '{t}'" for i, t in enumerate(_TITLES)) + " end || ' ' || o_orderpriority"
+_FLAG = "case o_custkey % 5 when 0 then 'true' when 1 then 'No' when 2 then null when 3 then '' else 'maybe' end"
+_PLACE = "case o_custkey % 7 when 0 then 'Remote - US' when 1 then 'Berlin' when 2 then 'Anywhere' else null end"
+
+
+@query(f"select o_orderkey, case {' '.join(f'''when {_any_sql(f'lower({_TITLE})', words)} then '{n}' ''' for n, words in classify.ROLE_FAMILIES.items())} end as family from orders")
+def role_family(read, spark):
+    return read("orders").select("o_orderkey", classify.role_family(F.expr(_TITLE)).alias("family"))
+
+
+@query(f"""select o_orderkey, case when lower({_FLAG}) in ('true', '1', 'yes') then true when lower({_FLAG}) in ('false', '0', 'no', 'onsite') then false
+when {_any_sql(f"lower(coalesce({_PLACE}, ''))", classify.REMOTE_PLACE)} then true when {_any_sql(f"lower({_TITLE})", classify.ONSITE_TEXT)} then false else {_any_sql(f"lower({_TITLE})", classify.REMOTE_TEXT)} end as is_remote from orders""")
+def remote_flag(read, spark):
+    return read("orders").select("o_orderkey", classify.remote(F.expr(_FLAG), F.expr(_PLACE), F.expr(_TITLE), F.lit("")).alias("is_remote"))
+
+
+_ABOUT = ["A university research lab", "A nonprofit for all", "Foundation for good", "Foundation models at scale", "Curated list of links", "An AI company, Acme Corp.", "Nothing said", "We are building tools"]
+_DESC = "case c_custkey % 8 " + " ".join(f"when {i} then '{a}'" for i, a in enumerate(_ABOUT)) + " end"
+_BLOG = "case c_nationkey % 4 when 0 then 'https://acme' || c_nationkey || '.com' when 1 then 'x.github.io' when 2 then '' else 'cs.some.edu' end"
+
+
+def _word_sql(c: str, words) -> str:
+    return "list_filter([" + ", ".join(f"case when regexp_matches({c}, '\\b{w}\\b') then '{w}' end" for w in sorted(words)) + "], lambda x: x is not null)"
+
+
+@query(f"""with x as (select c_custkey, lower({_DESC}) as d, lower(c_name) as n, {_BLOG} as b from customer),
+y as (select *, {_word_sql("d || ' / ' || n", classify.COMPANY)} as kw, b <> '' and not (ends_with(b, '.github.io') or b = 'github.io') as own from x)
+select c_custkey, case when {_any_sql("d", classify.EDUCATIONAL)} or contains(b, '.edu') then 'EDUCATIONAL' when {_any_sql("d", classify.FOUNDATION)} or (regexp_matches(d, '\\bfoundation\\b') and not regexp_matches(d, '\\bfoundation\\s*models?')) then 'FOUNDATION_NONPROFIT'
+when {_any_sql("d", classify.COMMUNITY)} then 'OPEN_SOURCE_COMMUNITY' when len(kw) > 0 or own then 'STARTUP_COMPANY' else 'UNKNOWN' end as category from y""")
+def startup_category(read, spark):
+    q = classify.startup_category(F.col("c_name"), F.expr(_DESC), F.expr(_BLOG), F.lit(""))
+    return read("customer").select("c_custkey", q["category"].alias("category"))
+
+
+_GOODS = ["a cli tool and sdk", "SaaS platform", "interview questions for you", "just code", "Awesome List of agents", "webui assistant engine system"]
+_GOOD = "case p_partkey % 6 " + " ".join(f"when {i} then '{g}'" for i, g in enumerate(_GOODS)) + " end"
+
+
+@query(f"""with x as (select p_partkey, lower(p_name) || ' ' || lower({_GOOD}) || ' ' as t from part), y as (select *, {_word_sql("t", classify.PRODUCT)} as kw, {_any_sql("t", classify.TUTORIAL)} as tut from x)
+select p_partkey, not tut as is_qualified, case when tut then 'EDUCATIONAL_TUTORIAL' when list_contains(kw, 'saas') then 'SAAS_PRODUCT' when len(kw) > 0 then 'APPLICATION_TOOL' else 'LIBRARY_FRAMEWORK' end as category,
+case when tut then 'Matches educational resource / interview guide pattern' when len(kw) > 0 then 'Contains product/tool indicators: ' || array_to_string(kw[1:3], ', ') else 'General software repository with developer/product utility' end as reason from y""")
+def product_category(read, spark):
+    q = classify.product_category(F.col("p_name"), F.expr(_GOOD))
+    return read("part").select("p_partkey", q["is_qualified"].alias("is_qualified"), q["category"].alias("category"), q["reasons"][0].alias("reason"))
+
+
+_STATUS = "case event_id % 12 when 0 then 200 when 1 then 429 when 2 then 500 when 3 then 502 when 4 then 503 when 5 then 504 when 6 then 404 when 7 then 422 when 8 then 301 when 9 then 418 when 10 then null else 403 end"
+
+
+@query(f"select event_id, {_STATUS} is null or {_STATUS} in (429, 500, 502, 503, 504) as retryable, coalesce({_STATUS} in (400, 401, 403, 404, 405, 406, 410, 422), false) as permanent from events")
+def crawl_retry_class(read, spark):
+    s = F.expr(_STATUS)
+    return read("events").select("event_id", classify.retryable(s).alias("retryable"), classify.permanent(s).alias("permanent"))
+
+
+@query("select event_id, round(least(pow(2.0, event_id % 8), 60.0), 3) as seconds from events")
+def backoff(read, spark):
+    return read("events").select("event_id", classify.backoff(F.col("event_id") % 8).alias("seconds"))
+
+
+# ---- dedup and state --------------------------------------------------------------------------------------------------
+
+
+@query(f"with n as (select page_id, sha256({_norm('url')}) as f from pages) select min(page_id) as page_id, f as fingerprint from n group by f")
+def dedup_url_first(read, spark):
+    rows = read("pages").select("page_id", url.url_fingerprint(F.col("url")).alias("fingerprint"))
+    return dedup.first_wins(rows, "fingerprint", "page_id")
+
+
+@query("select doc_id, lang, source from (select *, row_number() over (partition by md5(text) order by doc_id) as k from documents) where k = 1")
+def dedup_text_first(read, spark):
+    rows = read("documents").select("doc_id", "lang", "source", F.md5(F.col("text").cast("binary")).alias("h"))
+    return dedup.first_wins(rows, "h", "doc_id").drop("h")
+
+
+@query("select doc_id from documents d where doc_id % 3 = 0 and not exists (select 1 from documents s where s.doc_id % 3 <> 0 and md5(s.text) = md5(d.text))")
+def dedup_cross_run(read, spark):
+    rows = read("documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
+    return dedup.new_rows(rows.filter("doc_id % 3 = 0"), rows.filter("doc_id % 3 <> 0"), "h").select("doc_id")
+
+
+@query()
+def dedup_two_keys(read, spark):
+    """Greedy by two keys; tests hold it against the pass in order."""
+    rows = read("orders").select("o_orderkey", F.concat("o_orderpriority", F.lit("/"), F.col("o_custkey") % 97).alias("a"), F.concat("o_orderstatus", F.lit("/"), F.floor(F.col("o_totalprice") / 1000)).alias("b"))
+    return dedup.two_keys(rows, "a", "b", "o_orderkey").select("o_orderkey")
+
+
+@query("with f as (select o_custkey, min(o_orderkey) as k from orders where o_orderkey % 2 = 1 group by 1), s as (select distinct o_custkey from orders where o_orderkey % 10 = 0) select count(*) filter (o_custkey not in (select o_custkey from s)) as inserted, (select count(*) from orders where o_orderkey % 2 = 1) - count(*) filter (o_custkey not in (select o_custkey from s)) as duplicates from f")
+def save_batch_counts(read, spark):
+    """What a batch would insert and what it repeats, as a dry run counts it."""
+    rows = read("orders").select("o_orderkey", F.col("o_custkey").alias("url_fingerprint"))
+    batch, stored = rows.filter("o_orderkey % 2 = 1"), rows.filter("o_orderkey % 10 = 0")
+    new = dedup.batch_to_save(batch, stored, "o_orderkey").agg(F.count("*").alias("inserted"), F.lit(1).alias("k"))
+    return batch.agg(F.count("*").alias("n"), F.lit(1).alias("k")).join(new, "k").select("inserted", (F.col("n") - F.col("inserted")).alias("duplicates"))
+
+
+@query("select page_id, exists (select 1 from pages s where s.page_id % 4 = 0 and s.url = p.url) as is_stored from pages p")
+def exists_probe(read, spark):
+    rows = read("pages").select("page_id", F.col("url").alias("url_fingerprint"))
+    return dedup.exists(rows, rows.filter("page_id % 4 = 0")).select("page_id", "is_stored")
+
+
+@query("select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as k from events) where k = 1")
+def upsert_latest(read, spark):
+    return state.latest(read("events").select("user_id", "ts", "event_id", "event_type"), "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
+
+
+@query("select c_custkey, case when o.o_custkey is null then c_acctbal else o.t end as balance from customer left join (select o_custkey, max(o_totalprice) as t from orders where o_orderkey % 5 = 0 group by 1) o on o_custkey = c_custkey")
+def upsert_rows(read, spark):
+    held = read("customer").select("c_custkey", F.col("c_acctbal").alias("balance"))
+    rows = read("orders").filter("o_orderkey % 5 = 0").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("balance"))
+    rows = rows.join(held.select("c_custkey"), "c_custkey", "left_semi")
+    return state.upserted(held, rows, "c_custkey")
+
+
+@query("select user_id, array_to_string(list_sort(list_distinct(list_append(list(distinct event_type), 'seen'))), ',') as aliases from events group by 1")
+def alias_add_to_set(read, spark):
+    held = read("events").select("user_id").distinct().withColumn("aliases", F.array(F.lit("seen")))
+    new = state.added_to_set(held, read("events"), "user_id", "aliases", "event_type")
+    return new.select("user_id", F.array_join(F.array_sort("aliases"), ",").alias("aliases"))
+
+
+@query("select l_partkey, l_suppkey, count(*) as rows from lineitem group by 1, 2 having count(*) > 1")
+def unique_violations(read, spark):
+    return state.violations(read("lineitem"), ["l_partkey", "l_suppkey"])
+
+
+# ---- fan-in -----------------------------------------------------------------------------------------------------------
+
+
+@query("select doc_id, source from (select *, row_number() over (partition by source order by doc_id) as k from documents) where k > 2 and k <= 7")
+def source_slices(read, spark):
+    return fanin.sliced(read("documents").select("doc_id", "source"), 5, 2, "doc_id", "source")
+
+
+@query("select doc_id, source from (select *, row_number() over (partition by source order by doc_id) as k from documents where source in ('src0', 'src1', 'src2')) where k <= 4 order by source, doc_id limit 10")
+def source_fan_in(read, spark):
+    docs = read("documents").select("doc_id", "source")
+    return fanin.fan_in({s: docs.filter(F.col("source") == s) for s in ("src0", "src1", "src2")}, 10, order="doc_id").select("doc_id", "source")
+
+
+@query("with a as (select * from (values ('src0', 500), ('src1', 5), ('none', 7)) t(source, requested)), f as (select source, count(*) as discovered, count(*) filter (lang <> 'en') as failed from documents group by 1) select source, requested, coalesce(discovered, 0) as discovered, coalesce(failed, 0) as failed from a left join f using (source)")
+def source_metrics(read, spark):
+    rows = read("documents").withColumn("bad", F.col("lang") != "en")
+    return fanin.source_metrics(rows, {"src0": 500, "src1": 5, "none": 7}, "source", "bad")
+
+
+@query("select user_id, event_id, count(*) over (partition by user_id order by ts range between interval 59 seconds preceding and current row) as in_minute, count(*) over (partition by user_id order by ts range between interval 86399 seconds preceding and current row) as in_day from (select user_id, event_id, date_trunc('second', ts) as ts from events)")
+def rate_window(read, spark):
+    from tessera.streaming.ingest import rate_window as over
+
+    rows = read("events").select("user_id", "event_id", F.date_trunc("second", "ts").alias("ts"))
+    minute = over(rows, "user_id", "ts", 60).withColumnRenamed("in_window", "in_minute")
+    return over(minute, "user_id", "ts", 86_400).withColumnRenamed("in_window", "in_day").select("user_id", "event_id", "in_minute", "in_day")
+
+
+# ---- resolution -------------------------------------------------------------------------------------------------------
+
+_RAW = "case c_custkey % 5 when 0 then 'Supplier#' || lpad(c_custkey::string, 9, '0') when 1 then ' Supplier#' || lpad(c_custkey::string, 9, '0') || ', Inc. ' when 2 then 'S-' || c_custkey when 3 then 's ' || c_custkey || ' llc' else c_name end"
+_DIM = "select 'ent_' || s_suppkey as canonical_id, s_name as canonical_name, ['S-' || s_suppkey] as aliases from supplier"
+
+
+def _entities(read) -> DataFrame:
+    return read("supplier").select(F.concat(F.lit("ent_"), "s_suppkey").alias("canonical_id"), F.col("s_name").alias("canonical_name"), F.array(F.concat(F.lit("S-"), "s_suppkey")).alias("aliases"))
+
+
+_EQUI = f"""n as (select distinct trim({_RAW.replace("::string", "::varchar")}) as raw_name from customer), e as ({_DIM}), a as (select canonical_id, canonical_name, unnest(aliases) as alias from e),
+k as (select 1 as stage, canonical_name as key, canonical_id, canonical_name from e union all select 2, alias, canonical_id, canonical_name from a
+  union all select 3, {_comparable_sql("canonical_name")}, canonical_id, canonical_name from e union all select 4, {_comparable_sql("alias")}, canonical_id, canonical_name from a),
+h as (select raw_name, stage, canonical_id, canonical_name, row_number() over (partition by raw_name order by stage, canonical_id) as r
+  from n join k on k.key = case when stage <= 2 then raw_name else {_comparable_sql("raw_name")} end where k.key <> ''),
+m as (select raw_name, canonical_id, ['exact', 'alias', 'normalized', 'alias'][stage] as match_method, [1.0, 0.9, 0.95, 0.9][stage]::double as confidence from h where r = 1)"""
+
+
+@query(f"with {_EQUI} select * from m")
+def resolve_by_equality(read, spark):
+    names = read("customer").select(F.trim(F.expr(_RAW)).alias("raw_name")).distinct().withColumn("norm", text.comparable_name(F.col("raw_name")))
+    return resolve.equi_stages(state.staged(names), resolve.prepared(_entities(read))).drop("canonical_name")
+
+
+@query(f"with {_EQUI} select match_method, count(*) as n from m group by 1")
+def method_histogram(read, spark):
+    names = read("customer").select(F.trim(F.expr(_RAW)).alias("raw_name")).distinct().withColumn("norm", text.comparable_name(F.col("raw_name")))
+    return resolve.method_counts(resolve.equi_stages(state.staged(names), resolve.prepared(_entities(read))))
+
+
+@query(f"with {_EQUI} select c_custkey, m.canonical_id, m.match_method as resolution_match_method from customer left join m on m.raw_name = trim({_RAW.replace('::string', '::varchar')})")
+def attach_canonical(read, spark):
+    rows = read("customer").select("c_custkey", F.expr(_RAW).alias("raw"))
+    names = rows.select(F.trim("raw").alias("raw_name")).distinct().withColumn("norm", text.comparable_name(F.col("raw_name")))
+    found = resolve.equi_stages(state.staged(names), resolve.prepared(_entities(read)))
+    return resolve.attach(rows, found, "raw").select("c_custkey", "canonical_id", "resolution_match_method")
+
+
+@query()
+def resolve_fuzzy(read, spark):
+    """Names of parts, misspelt, against the parts' own names; tests hold it against a plain pass."""
+    parts = read("part").select("p_name").distinct()
+    entities = parts.select(F.concat(F.lit("p_"), F.md5(F.col("p_name").cast("binary"))).alias("canonical_id"), F.col("p_name").alias("canonical_name"), F.array().cast("array<string>").alias("aliases"))
+    names = parts.select(F.concat(F.substring("p_name", 2, 99), F.lit("s")).alias("raw_name"), F.lit(None).cast("string").alias("source_url"))
+    return resolve.resolve(names, entities).drop("source_url")
+
+
+@query()
+def resolve_seeds(read, spark):
+    """The seed entities and twenty spellings of them."""
+    names = "OpenAI|OpenAI, Inc.|OPENAI|open ai|openai.com|https://github.com/openai|Anthropic|Anthropic PBC|anthropic.com|Anthropc|Google DeepMind|DeepMind|Deep Mind Labs|deepmind labs|Microsoft|Microsoft Corp|microsoft.com|Micro soft|Unknown Startup|Acme".split("|")
+    return resolve.resolve(spark.createDataFrame([(n, None) for n in names], "raw_name string, source_url string"), resolve.seeds(spark)).drop("source_url")
+
+
+# ---- quality ----------------------------------------------------------------------------------------------------------
+
+_JOB = "case o_orderkey % 7 when 0 then '' else 'Company ' || o_custkey end as company, case o_orderkey % 5 when 0 then 'never' else o_orderdate::string end as date, case o_orderkey % 6 when 0 then 'yes' when 1 then 'maybe' when 2 then '0' else 'true' end as is_remote"
+_JOB_SQL = _JOB.replace("::string", "::varchar")
+_SPLIT = f"with j as (select o_orderkey, {_JOB_SQL} from orders), v as (select *, (company = '')::int + (date = 'never')::int + (is_remote = 'maybe')::int as e from j)"
+
+
+@query(f"{_SPLIT} select o_orderkey, e as n_errors from v where e > 0")
+def validate_split(read, spark):
+    rows = read("orders").selectExpr("o_orderkey", *_columns(_JOB), "'2024-01-01T00:00:00Z' as collectedAt")
+    return quality.split(rows, "job")[1].select("o_orderkey", F.size("errors").alias("n_errors"))
+
+
+def _columns(sql: str) -> list[str]:
+    import re
+
+    return [x.strip() for x in re.split(r",(?= case)", sql)]
+
+
+@query(f"""{_SPLIT} select 'jobs' as table_name, count(*) as total, count(*) filter (e = 0) as valid, count(*) filter (e > 0) as invalid, count(*) as missing_url, count(*) - count(distinct company) as duplicates from v
+union all select 'pages', count(*), count(*), 0, count(*) filter (coalesce(url, '') = ''), count(*) - count(distinct url) from pages""")
+def quality_report(read, spark):
+    jobs = quality.validate(read("orders").selectExpr("o_orderkey", *_columns(_JOB), "'2024-01-01T00:00:00Z' as collectedAt"), "job")
+    pages = read("pages").withColumn("source_url", F.col("url"))
+    return quality.quality_report({"jobs": jobs, "pages": pages}, {"jobs": "company", "pages": "url"})
+
+
+@query(f"{_SPLIT} select count(*) as total, count(*) filter (e > 0) as invalid, case when count(*) filter (e > 0) > 0 then 'FAIL' else 'PASS' end as status from v")
+def quality_verdict(read, spark):
+    jobs = quality.validate(read("orders").selectExpr("o_orderkey", *_columns(_JOB), "'2024-01-01T00:00:00Z' as collectedAt"), "job")
+    return quality.verdict(quality.quality_report({"jobs": jobs})).select("total", "invalid", "status")
+
+
+@query("select 'orders' as table_name, count(*) as n from orders union all select 'pages', count(*) from pages union all select 'events', count(*) from events")
+def collection_counts(read, spark):
+    return quality.table_counts({t: read(t) for t in ("orders", "pages", "events")})
+
+
+@query("select count(*) as total, count(*) filter (p_size % 3 > 0) as with_url, count(*) filter (p_size % 3 = 1 and p_size > 0) as with_stars, count(*) filter (p_size % 3 < 2) as starred from part")
+def repository_coverage(read, spark):
+    rows = read("part").select(F.expr("case p_size % 3 when 0 then '' else 'https://github.com/a/' || p_partkey end").alias("github_url"), F.expr("case p_size % 3 when 0 then 0 when 1 then p_size end").alias("github_stars"))
+    return quality.repository_coverage(rows)
+
+
+@query("""select count(*) as startups_total, 0::bigint as startups_company, count(*) as startups_uncertain, count(*) filter (s_suppkey % 2 = 0) as startups_employee_count_authoritative,
+(select count(*) from part) as products_total, (select count(*) from part where p_partkey % 3 = 1) as products_explicit_pricing, (select count(*) from part where p_partkey % 3 = 0) as products_license_only_pricing_fixed,
+(select count(*) from part where p_partkey % 4 <> 0) as products_qualified, (select count(*) from part where p_partkey % 4 = 0) as products_educational_unqualified from supplier""")
+def audit(read, spark):
+    s = read("supplier").select(F.col("s_name").alias("entity_name"), F.expr("case s_suppkey % 2 when 0 then 5 end").alias("employee_count"), F.lit("").alias("source_url"))
+    p = read("part").select(F.lit("x").alias("startup_name"), F.expr("case p_partkey % 3 when 0 then 'FREE' when 1 then 'PAID' end").alias("pricing_model"), F.expr("'https://github.com/x/' || case p_partkey % 4 when 0 then 'awesome list' else 'repo' end").alias("source_url"))
+    return quality.audited(s, p)[2]
+
+
+@query("select event_type as provider, count(*) as calls, count(*) filter (value > 50) as succeeded, sum(event_id % 3 + 1)::bigint as attempts from events group by 1")
+def telemetry_by_provider(read, spark):
+    from tessera.providers.chain import by_provider
+
+    calls = read("events").select(F.col("event_type").alias("provider"), (F.col("value") > 50).alias("success"), (F.col("event_id") % 3 + 1).alias("attempts"), F.lit(1.0).alias("seconds"))
+    return by_provider(calls).drop("mean_seconds")
+
+
+# ---- feeds ------------------------------------------------------------------------------------------------------------
+
+
+@query("select o_orderkey as id, 'Co ' || o_custkey as company, 'Backend role ' || o_orderkey as title, 'https://jobs.example/' || o_orderkey as url, date_trunc('second', o_orderdate) as date, o_orderkey % 2 = 0 as is_remote, 'Engineering' as role_family from orders where o_orderkey % 3 <> 0")
+def feed_jobs(read, spark):
+    """Orders as postings of a board's API, one payload a customer, read back; a third lack a title."""
+    item = F.struct(
+        F.concat(F.lit("Co "), "o_custkey").alias("company_name"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("Backend role "), "o_orderkey")).alias("title"),
+        F.concat(F.lit("https://jobs.example/"), "o_orderkey").alias("url"),
+        F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("created_at"),
+        (F.col("o_orderkey") % 2 == 0).alias("remote"),
+        F.lit("<p>Some <b>text</b></p>").alias("description"),
+    )
+    payloads = read("orders").groupBy("o_custkey").agg(F.to_json(F.struct(F.collect_list(item).alias("data"))).alias("payload"))
+    rows = feeds.jobs_generic(payloads)
+    return rows.select(F.regexp_extract("url", r"(\d+)$", 1).cast("long").alias("id"), "company", "title", "url", F.col("date").cast("timestamp_ntz").alias("date"), "is_remote", "role_family")
+
+
+@query("select s_suppkey as id, 'News & more ' || s_suppkey as title, 'https://news.example/' || s_suppkey as url, case when s_suppkey % 2 = 0 then 'A long enough text of number ' || s_suppkey || ' to be kept' end as full_text, timestamp '2026-08-15 12:00:00' as published_date, 'Feed' as source_name from supplier")
+def feed_news(read, spark):
+    """Suppliers as items of an RSS feed, read back."""
+    item = F.concat(
+        F.lit("<item><title> News &amp; more "), "s_suppkey", F.lit("</title><link>https://news.example/"), "s_suppkey",
+        F.lit("</link><pubDate>Wed, 15 Aug 2026 14:00:00 +0200</pubDate><description>&lt;p&gt;"),
+        F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("A long enough text of number "), "s_suppkey", F.lit(" to be kept"))).otherwise("short"), F.lit("&lt;/p&gt;</description></item>"),
+    )
+    payloads = read("supplier").groupBy(F.col("s_suppkey") % 7).agg(F.concat(F.lit("<rss><channel><title>Feed</title><link>https://f.example</link>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("payload"))
+    rows = feeds.news_rss(payloads)
+    return rows.select(F.regexp_extract("url", r"(\d+)$", 1).cast("long").alias("id"), "title", "url", "full_text", F.col("published_date").cast("timestamp_ntz").alias("published_date"), "source_name")
+
+
+@query("select p_partkey as id, 'Paper on ' || p_name as title, 'https://arxiv.org/abs/' || p_partkey as paper_url, 'A B, C ' || p_brand as authors, 'https://github.com/x/' || p_partkey as github_url from part")
+def feed_papers(read, spark):
+    entry = F.concat(
+        F.lit("<entry><id>http://arxiv.org/abs/"), "p_partkey", F.lit("v3</id><title>Paper\n  on "), "p_name", F.lit("</title><published>2024-05-01T00:00:00Z</published><summary>See https://github.com/x/"), "p_partkey",
+        F.lit(".git.</summary><author><name>A\n B</name></author><author><name>C "), "p_brand", F.lit("</name></author></entry>"),
+    )
+    payloads = read("part").groupBy(F.col("p_partkey") % 50).agg(F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>q</title>'), F.array_join(F.collect_list(entry), ""), F.lit("</feed>")).alias("payload"))
+    rows = feeds.papers(payloads)
+    return rows.select(F.regexp_extract("paper_url", r"(\d+)$", 1).cast("long").alias("id"), "title", "paper_url", F.array_join("authors", ", ").alias("authors"), "github_url")
+
+
+@query("select p_partkey as id, p_name as product_name, 'own' || p_size as startup_name, case when p_size % 2 = 0 then 'FREEMIUM' end as pricing_model, 'mit' as license, 'APPLICATION_TOOL' as qualification_category from part")
+def feed_products(read, spark):
+    item = F.struct(F.col("p_name").alias("name"), F.struct(F.concat(F.lit("own"), "p_size").alias("login")).alias("owner"), F.concat(F.lit("https://github.com/own/"), "p_partkey").alias("html_url"), F.when(F.col("p_size") % 2 == 0, "A tool with a free tier").otherwise("A tool").alias("description"), F.struct(F.lit("MIT").alias("key")).alias("license"))
+    payloads = read("part").groupBy(F.col("p_partkey") % 20).agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("payload"))
+    rows = feeds.products(payloads)
+    return rows.select(F.regexp_extract("source_url", r"(\d+)$", 1).cast("long").alias("id"), "product_name", "startup_name", "pricing_model", "license", "qualification_category")
+
+
+@query("select s_suppkey as id, s_name as entity_name, case when s_suppkey % 2 = 0 then 500 end as employee_count, s_suppkey % 2 = 0 as is_qualified from supplier")
+def feed_startups(read, spark):
+    item = F.struct(F.col("s_name").alias("name"), F.concat(F.lit("org"), "s_suppkey").alias("login"), F.when(F.col("s_suppkey") % 2 == 0, "AI company of 500 employees").otherwise("nothing").alias("description"))
+    payloads = read("supplier").groupBy(F.col("s_suppkey") % 5).agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("payload"))
+    return feeds.startups(payloads).select(F.regexp_extract("source_url", r"(\d+)$", 1).cast("long").alias("id"), "entity_name", "employee_count", "is_qualified")
+
+
+@query("select p_partkey, case when p_size % 4 = 0 then null else 'https://g/' || p_partkey end as github_url, case when p_size % 4 = 1 then p_size end as github_stars from part")
+def stars_enrichment(read, spark):
+    parts = read("part").withColumn("github_url", F.concat(F.lit("https://g/"), "p_partkey"))
+    stats = parts.filter("p_size % 4 < 3").select(F.col("github_url").alias("url"), F.expr("case p_size % 4 when 0 then 404 when 1 then 200 else 403 end").alias("status"), F.col("p_size").alias("stars"))
+    return feeds.with_stars(parts.select("p_partkey", "github_url"), stats).select("p_partkey", "github_url", "github_stars")
+
+
+@query(f"with t as (select url, min({_TEXT}) as t from pages group by 1) select p.page_id, case when p.page_id % 2 = 0 then repeat('x', 60) else t.t end as full_text from pages p join t using (url)")
+def full_text_enrichment(read, spark):
+    pages = read("pages").select("page_id", "url", "html")
+    articles = pages.select("page_id", "url", F.when(F.col("page_id") % 2 == 0, F.repeat(F.lit("x"), 60)).otherwise("short").alias("full_text"))
+    first = pages.select("url", "html", text.html_text_pattern(F.col("html")).alias("t")).groupBy("url").agg(F.min_by("html", "t").alias("html"))
+    return feeds.full_text(articles, first).select("page_id", "full_text")
+
+
+def _canned(address: str, headers: dict, timeout: float) -> tuple:
+    n = int("".join(c for c in address.split("?")[0] if c.isdigit()) or 0)
+    return (404, None, None, None) if n % 5 == 0 else (503, None, None, None) if n % 5 == 1 else (200, f"body of {address}", "text/html", None)
+
+
+@query()
+def crawl_pages(read, spark):
+    """A crawl of the page URLs over canned answers: permanent failures once, passing ones three times."""
+    policy = crawl.CrawlPolicy(backoff_base=0.0, jitter=False)
+    urls = read("pages").select(F.col("page_id").alias("ord"), "url")
+    return crawl.fetch(urls, policy, _canned).select("ord", "url", "status_code", "attempts", "success", "error")
+
+
+# ---- export -----------------------------------------------------------------------------------------------------------
+
+
+@query("select 'https://p/' || p_partkey as paper_url, p_name as title, p_brand || ', ' || p_type as authors, '' as published_date, '' as github_url, case when p_size % 2 = 0 then p_size::varchar else '' end as github_stars, '' as abstract, 'arXiv/GitHub' as source_name, 'https://p/' || p_partkey as source_url, '' as collected_at, '' as canonical_entity_id from part where p_size % 5 <> 0")
+def export_research(read, spark):
+    rows = read("part").select(F.when(F.col("p_size") % 5 != 0, F.concat(F.lit("https://p/"), "p_partkey")).alias("paper_url"), F.col("p_name").alias("title"), F.array("p_brand", "p_type").alias("authors"), F.when(F.col("p_size") % 2 == 0, F.col("p_size")).alias("github_stars"))
+    return export.rows(rows, "papers")
+
+
+@query("select s_name as entity_name, 'https://s/' || s_suppkey as website, '' as description, case when s_suppkey % 2 = 0 then '0' else '' end as employee_count, '' as founded_date, '' as location, '' as funding, 'https://s/' || s_suppkey as source_url, 'STARTUP_COMPANY' as category, case s_suppkey % 3 when 0 then 'QUALIFIED' when 1 then 'UNQUALIFIED' else '' end as qualification_status, '' as canonical_entity_id, '' as collected_at from supplier")
+def export_startups(read, spark):
+    rows = read("supplier").select(F.col("s_name").alias("entityName"), F.concat(F.lit("https://s/"), "s_suppkey").alias("source_url"), F.when(F.col("s_suppkey") % 2 == 0, 0).alias("employeeCount"), F.lit("STARTUP_COMPANY").alias("category"), F.expr("case s_suppkey % 3 when 0 then true when 1 then false end").alias("is_qualified"))
+    return export.rows(rows, "startups")
+
+
+@query("select p_name as product_name, p_name as startup_name, '' as website, '' as description, '' as pricing_model, '' as source_url, 'MIT' as license, '' as qualification_category, 'id' || p_partkey as canonical_entity_id, '' as collected_at from part")
+def export_products(read, spark):
+    return export.rows(read("part").select(F.col("p_name").alias("startupName"), F.lit("MIT").alias("license"), F.concat(F.lit("id"), "p_partkey").alias("canonical_startup_id")), "products")
+
+
+@query("select 'T' || page_id as title, url, '' as published_date, 'text  as is ' as full_text, '' as source_name, url as source_url, '' as canonical_entity_id, '' as collected_at from pages where page_id % 4 <> 0")
+def export_news(read, spark):
+    return export.rows(read("pages").select(F.when(F.col("page_id") % 4 != 0, F.concat(F.lit("T"), "page_id")).alias("title"), "url", F.lit("text  as is ").alias("full_text")), "news")
+
+
+@query("select 'C' || o_custkey as company, '2024' as date, case o_orderkey % 3 when 0 then 'True' when 1 then 'False' else '' end as is_remote, '' as role_family, 'u' || o_orderkey as url, '' as source_name, '' as canonical_entity_id, '' as collected_at from orders")
+def export_jobs(read, spark):
+    rows = read("orders").select(F.concat(F.lit("C"), "o_custkey").alias("company"), F.lit("2024").alias("date"), F.expr("case o_orderkey % 3 when 0 then true when 1 then false end").alias("is_remote"), F.concat(F.lit("u"), "o_orderkey").alias("url"))
+    return export.rows(rows, "jobs")
+
+
+@query("select c_name as raw_name, lower(c_name) as normalized_name, c_name as canonical_name, 'id' as canonical_id, 'exact' as match_method, case when c_custkey % 2 = 0 then '0.5' else '' end as confidence, '' as source_url, '' as timestamp from customer")
+def export_mappings(read, spark):
+    rows = read("customer").select(F.col("c_name").alias("raw_name"), F.lower("c_name").alias("normalized_name"), F.col("c_name").alias("canonical_name"), F.lit("id").alias("canonical_id"), F.lit("exact").alias("match_method"), F.when(F.col("c_custkey") % 2 == 0, 0.5).alias("confidence"))
+    return export.rows(rows, "mappings")
+
+
+@query("select 'news' as sheet, count(*) as queried, count(*) filter (page_id % 4 <> 0) as written, count(*) filter (page_id % 4 = 0) as skipped from pages union all select 'jobs', count(*), count(*), 0 from orders")
+def export_telemetry(read, spark):
+    news = read("pages").select(F.when(F.col("page_id") % 4 != 0, F.concat(F.lit("T"), "page_id")).alias("title"), "url")
+    jobs = read("orders").select(F.concat(F.lit("C"), "o_custkey").alias("company"))
+    return export.telemetry({"news": news, "jobs": jobs})
+
+
+@query("select p_partkey, case when regexp_matches(v, '^[=+@-]') then '''' || v else v end as cell from (select p_partkey, case p_partkey % 3 when 0 then '=1+' else '' end || p_name as v from part)")
+def export_safe_cells(read, spark):
+    return export.safe(read("part").select("p_partkey", F.expr("case p_partkey % 3 when 0 then '=1+' else '' end || p_name").alias("cell")))
