@@ -24,7 +24,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps one document of each class of near duplicates: that with the smallest doc_id; repeated rows of it once."""
     classes = jaccard.join(docs.select("doc_id", "text"))
     keep = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    return docs.join(broadcast_if_small(keep), F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi").select(*COLUMNS).dropDuplicates(["doc_id"])
+    left = docs.join(broadcast_if_small(keep), F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi").select(*COLUMNS)
+    # Texts are shuffled by id only where an id does occur more than once.
+    once = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    return left if once else left.dropDuplicates(["doc_id"])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,8 @@ _MARKS = (
 _ROLES = "navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar"
 HIDDEN, FURNITURE, BLOCKS, VOID, MARKS, ROLES = (frozenset(x.split()) for x in (_HIDDEN, _FURNITURE, _BLOCKS, _VOID, _MARKS, _ROLES))
 OWN = frozenset({"article", "main"})
+#: A class such as with-sidebar says what stands beside its element.
+NEGATED = frozenset({"has", "with", "no", "without"})
 #: Elements that another of the same kind, or the end of what holds them, closes.
 _SELF_CLOSED = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 
@@ -53,7 +55,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))|([^\s=/>"']+)""")
-_SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_SPLIT, _CAMEL = re.compile(r"[^a-z0-9]+"), re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 LINE, OPEN = 0, 1  # of a line: its text, whether it is open
 
@@ -66,9 +68,10 @@ def _furniture(name: str, attributes: str, inside: bool) -> bool:
     for key, a, b, c, lone in _ATTRIBUTE.findall(attributes):
         key, value = (key or lone).lower(), a or b or c
         if key in ("class", "id"):
-            words = {w.lower() for part in value.split() for w in _SPLIT.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", part).lower())}
-            if words & MARKS or ("header" in words and not inside):
-                return True
+            for token in value.split():
+                words = set(_SPLIT.split(_CAMEL.sub("-", token).lower()))
+                if not words & NEGATED and (words & MARKS or ("header" in words and not inside)):
+                    return True
         elif key == "role" and value.lower() in ROLES or key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             return True
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):

@@ -31,6 +31,7 @@ def text(page):
         ("<table><tr><td>a</td><td>b</td></tr><tr><td>c</table>", "a b\n\nc"),
         ("<ul><li>a<li>b</ul><pre> x\n\ty </pre>", "a\n\nb\n\nx y"),
         ("<textarea>no</textarea><noscript>no</noscript><p hidden>no</p><p style='display: none'>no</p><p>yes</p>", "yes"),
+        ('<div class="page with-sidebar"><p>yes</p><div class="leftSidebar">no</div></div>', "yes"),
         ("a<p class=share-buttons>no</p></div></span>b", "a\n\nb"),
     ],
 )
