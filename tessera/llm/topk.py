@@ -104,11 +104,12 @@ def _resolve(batches, shared, cutoffs, k: int) -> Iterator[tuple]:
         t = limit[at]
         near = np.zeros(total.shape, bool)
         for p in parts:
-            near |= p.astype(np.float64) * len(parts) >= t[:, None]
+            near |= p >= -(-t // len(parts))[:, None]  # whole numbers: p * m >= t
         near &= (qkeys[:, None] != ckeys[None, :]) & (total >= t[:, None])
         rows, cols = np.nonzero(near)
         for i in np.unique(rows):
-            mine = cols[rows == i] if len(rows) < 4096 else cols[np.searchsorted(rows, i) : np.searchsorted(rows, i, "right")]
+            mine = cols[np.searchsorted(rows, i) : np.searchsorted(rows, i, "right")]
+            mine = mine[np.lexsort((ckeys[mine], -total[i, mine]))[:k]]  # very many may tie
             held = [*best.get(at[i], []), *zip((-total[i, mine]).tolist(), ckeys[mine].tolist(), strict=True)]
             best[at[i]] = sorted(held)[:k]
     for i, x in best.items():
@@ -143,7 +144,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_i
         shared = spark.sparkContext.broadcast(blocks)
         gathered = rows.mapInArrow(batched(lambda b, s=shared: _gather(b, s, k), pa.schema([("q", pa.int32()), ("scores", pa.list_(pa.int64()))])), "q int, scores array<long>")
         kth = gathered.groupBy("q").agg(F.slice(F.sort_array(F.flatten(F.collect_list("scores")), asc=False), 1, k).alias("s")).filter(F.size("s") == k).select("q", F.element_at("s", -1).alias("t")).toArrow()
-        limits = np.full(len(keys), np.iinfo(np.int64).min // 2, np.float64)
+        limits = np.full(len(keys), np.iinfo(np.int64).min // 2)
         limits[np.asarray(kth.column(0))] = np.asarray(kth.column(1))
         cutoffs = spark.sparkContext.broadcast(limits)
         found = rows.mapInArrow(batched(lambda b, s=shared, c=cutoffs: _resolve(b, s, c, k), pa.schema([("q", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])), "q int, vec_id long, score long")
