@@ -129,7 +129,7 @@ def redact_key(text: Column, key: str | None) -> Column:
     return F.replace(text, F.lit(key), F.lit("[REDACTED_API_KEY]")) if key else text
 
 
-#: Class of a sink's error and the parts of its message that give it, in order of precedence.
+# Class of a sink's error and the parts of its message that give it, in order of precedence.
 SINK_ERRORS = [
     ("sheet_api_disabled", ["sheets.googleapis.com", "Google Sheets API.*(?:disabled|has not been used)"]),
     ("drive_api_disabled", ["drive.googleapis.com", "Google Drive API.*(?:disabled|has not been used)"]),

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import LIMIT, reduced
+from tessera.functions.text import EXTRACTIONS, GUARD, LIMIT, reduced
 from tessera.providers.models import AllFailed, Answer, BadAnswer, Call, Provider, ProviderError, Request, Telemetry, TimedOut, TooLarge
 
 
@@ -140,3 +140,18 @@ def extract(df: DataFrame, key: str, prompt: str, make: Callable[[], Chain], sch
 def by_provider(calls: DataFrame) -> DataFrame:
     """Calls, successes, attempts and mean seconds of each provider of a telemetry table."""
     return calls.groupBy("provider").agg(F.count("*").alias("calls"), F.count_if("success").alias("succeeded"), F.sum("attempts").alias("attempts"), F.avg("seconds").alias("mean_seconds"))
+
+
+def entity_chooser(make: Callable[[], Chain]) -> Callable[[str, list[dict]], tuple[str, float] | None]:
+    """A chooser for `resolve`: asks a chain, built once a process, which of a name's candidates it means."""
+    held: list[Chain] = []
+
+    def choose(name: str, candidates: list[dict]) -> tuple[str, float] | None:
+        if not held:
+            held.append(make())
+        prompt = f"Which candidate is this name? Answer null if none or more than one.\n{GUARD}\nKeys: {', '.join(EXTRACTIONS['entity'])}\n\nName: {name}\nCandidates: {json.dumps(candidates)}"
+        got = held[0].structured(Request(prompt, schema="json"))
+        picked = got.get("selected_canonical_id")
+        return (picked, min(1.0, max(0.0, float(got.get("confidence") or 0.0)))) if picked else None
+
+    return choose

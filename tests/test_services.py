@@ -102,6 +102,16 @@ def test_extract(spark):
     assert got == {1: (5, ""), 2: (None, "structured_output"), 3: (None, "invalid_request")}
 
 
+def test_entity_chooser(spark):
+    from tessera.operators import resolve
+
+    dim = spark.createDataFrame([("a", "alpha systems one", []), ("b", "alpha systems two", [])], "canonical_id string, canonical_name string, aliases array<string>")
+    names = spark.createDataFrame([("alpha systems", "u")], "raw_name string, source_url string")
+    ask = lambda reply: resolve.resolve(names, dim, chooser=C.entity_chooser(lambda: C.Chain([http.StubProvider(lambda p: reply)]))).first()
+    assert ask('{"selected_canonical_id": "b", "confidence": 0.8}').canonical_id == "b"
+    assert ask('{"selected_canonical_id": null}').match_method == "unresolved"
+
+
 # ---- ingest -----------------------------------------------------------------------------------------------------------
 
 NOW = dt.datetime(2026, 8, 15, 12)
