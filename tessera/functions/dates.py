@@ -7,42 +7,39 @@ from pyspark.sql import functions as F
 
 from tessera.functions.basic import filled
 
-_ISO = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?)?\s*(?:Z|[+-]\d{2}:?\d{2}(?::?\d{2})?)?$"
+_ISO = r"^\s*\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?)?\s*(?:Z|[+-]\d{2}:?\d{2}(?::?\d{2})?)?\s*$"
+_MAIL = r"^\s*(?:[A-Za-z]{3,9},?\s+)?(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})\s+(\d{1,2}:\d{2})(:\d{2})?(?:\s+([A-Z]{1,4}|[+-]\d{4}))?\s*$"
 _ZONES = {"UT": "+0000", "UTC": "+0000", "GMT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
 FRESH_HOURS = 24.0
 
 
 def iso(c: Column) -> Column:
     """An ISO 8601 date or time; else null."""
-    return F.when(c.rlike(_ISO), F.regexp_replace(c, ",", ".").try_cast("timestamp"))
+    return F.when(c.rlike(_ISO), F.trim(F.replace(c, F.lit(","), F.lit("."))).try_cast("timestamp"))
 
 
 def rfc822(c: Column) -> Column:
-    """A date of a mail header; the name of the weekday is not read; else null."""
-    bare = F.trim(F.regexp_replace(F.regexp_replace(c, r"^\s*[A-Za-z]{3,9},?\s+(?=\d)", ""), r"\s+", " "))
-    zone = F.regexp_extract(bare, r" ([A-Z]{1,4})$", 1)
-    known = F.create_map(*[F.lit(x) for pair in _ZONES.items() for x in pair])
-    offset = F.try_element_at(known, zone)
-    named = F.when(offset.isNotNull(), F.concat(F.regexp_replace(bare, r" [A-Z]{1,4}$", " "), offset)).when(bare.rlike(r":\d{2}$"), F.concat(bare, F.lit(" +0000"))).otherwise(bare)
-    timed = F.regexp_replace(named, r"^(\d{1,2} [A-Za-z]{3}) (\d{4}) (\d{1,2}:\d{2}) ", "$1 $2 $3:00 ")
-    return F.when(timed.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}:\d{2} [+-]\d{4}$"), F.try_to_timestamp(F.initcap(timed), F.lit("d MMM yyyy H:mm:ss Z")))
+    """A date of a mail header; the name of the weekday is not read; without a zone, or with an unknown one, it is UTC."""
+    part = lambda i: F.regexp_extract(c, _MAIL, i)
+    zones = F.create_map(*[F.lit(x) for pair in _ZONES.items() for x in pair])
+    offset = F.coalesce(F.try_element_at(zones, part(6)), F.regexp_extract(c, r"([+-]\d{4})\s*$", 1))
+    text = F.concat(part(1), F.lit(" "), F.initcap(part(2)), F.lit(" "), part(3), F.lit(" "), part(4), F.rpad(part(5), 3, ":00"), F.lit(" "), F.rpad(offset, 5, "+0000"))
+    return F.try_to_timestamp(text, F.lit("d MMM yyyy H:mm:ss Z"))
 
 
 def epoch(c: Column) -> Column:
     """A string of digits (with a fraction, from a number) as seconds since 1970; else null."""
-    return F.when(c.rlike(r"^\d{1,11}(?:\.\d+)?$"), F.expr("timestamp_millis(0)") + F.make_dt_interval(secs=c.try_cast("decimal(18,6)")))
+    return F.when(c.rlike(r"^\s*\d{1,11}(?:\.\d+)?\s*$"), F.timestamp_micros((F.trim(c).try_cast("decimal(18,6)") * 1_000_000).cast("long")))
 
 
 def job_date(c: Column) -> Column:
     """Seconds since 1970, an ISO date, or a mail date; else null."""
-    t = filled(c)
-    return F.coalesce(epoch(t), iso(t), rfc822(t))
+    return F.coalesce(epoch(c), iso(c), rfc822(c))
 
 
 def article_date(c: Column) -> Column:
     """A mail date or an ISO date; else null."""
-    t = filled(c)
-    return F.coalesce(rfc822(t), iso(t))
+    return F.coalesce(rfc822(c), iso(c))
 
 
 def or_now(date: Column, now: Column) -> Column:

@@ -264,9 +264,9 @@ def date_parse_mixed(read, spark):
         .when(F.col("event_id") % 6 == 4, F.date_format(ts, "yyyy-MM-dd"))
         .otherwise("not a date")
     )
-    parsed = dates.job_date(F.col("raw"))
-    status = dates.freshness(parsed, F.col("raw"), F.lit("1990-01-01").cast("timestamp"))
-    return read("events").select("event_id", raw.alias("raw")).select("event_id", parsed.cast("timestamp_ntz").alias("parsed"), F.when(status == "fresh", "read").otherwise(status).alias("status"))
+    parsed = read("events").select("event_id", raw.alias("raw")).withColumn("parsed", dates.job_date(F.col("raw")))
+    status = dates.freshness(F.col("parsed"), F.col("raw"), F.lit("1990-01-01").cast("timestamp"))
+    return parsed.select("event_id", F.col("parsed").cast("timestamp_ntz").alias("parsed"), F.when(status == "fresh", "read").otherwise(status).alias("status"))
 
 
 # ---- classifiers ------------------------------------------------------------------------------------------------------
