@@ -78,14 +78,24 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]
         yield keys, texts
 
 
-def _numbered(texts: list[str]) -> tuple[int, list[str], list[np.ndarray]]:
-    """A block's id, distinct words in order of first use, and each text as numbers into them."""
+def _block_id(known: list[str]) -> int:
+    return int.from_bytes(hashlib.blake2b("\n".join(known).encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _distinct(texts: list[str]) -> list[str]:
+    """A block's distinct words in order of first use."""
+    known: dict[str, None] = {}
+    for t in texts:
+        known.update(dict.fromkeys(words(t)))
+    return list(known)
+
+
+def _numbered(texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
+    """A block's distinct words in order of first use, and each text as numbers into them."""
     table: dict[str, int] = defaultdict()
     table.default_factory = table.__len__
     docs = [np.fromiter(map(table.__getitem__, w), np.uint32, len(w)) for w in map(words, texts)]
-    known = list(table)
-    block = int.from_bytes(hashlib.blake2b("\n".join(known).encode(), digest_size=8).digest(), "little", signed=True)
-    return block, known, docs
+    return list(table), docs
 
 
 def _squeeze(numbers: np.ndarray) -> bytes:
@@ -100,14 +110,14 @@ def _expand(data: bytes) -> np.ndarray:
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for keys, texts in _blocks(batches):
-        block, known, docs = _numbered(texts)
-        yield block, len(known), keys, [len(d) for d in docs], _squeeze(np.concatenate(docs))
+        known, docs = _numbered(texts)
+        yield _block_id(known), len(known), keys, [len(d) for d in docs], _squeeze(np.concatenate(docs))
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[tuple]:
     for _, texts in _blocks(batches):
-        block, known, _ = _numbered(texts)
-        by = defaultdict(list)
+        known = _distinct(texts)
+        block, by = _block_id(known), defaultdict(list)
         for n, w in enumerate(known):
             by[zlib.crc32(w.encode()) % parts].append(n)
         for part, ns in by.items():
@@ -116,13 +126,14 @@ def _word_rows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[tuple]
 
 def _encoded_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple]:
     t, seen = tokenizer(path), {}
+    encode = getattr(t, "encode_batch_fast", t.encode_batch)  # without offsets, which are not used here
     for b in batches:
         for block, ns, held in zip(*(c.to_pylist() for c in b.columns), strict=True):
             ws = zstandard.decompress(held).decode().split("\n")
             new = [w for w in dict.fromkeys(ws) if w not in seen]
             for at in range(0, len(new), 20_000):
                 part = new[at : at + 20_000]
-                seen.update((w, np.array(e.ids, "<u4")) for w, e in zip(part, t.encode_batch(part, add_special_tokens=False), strict=True))
+                seen.update((w, np.array(e.ids, "<u4")) for w, e in zip(part, encode(part, add_special_tokens=False), strict=True))
             ids = [seen[w] for w in ws]
             yield block, ns, _squeeze(np.array([len(x) for x in ids], np.uint32)), _squeeze(np.concatenate(ids) if ids else np.empty(0, np.uint32))
 
