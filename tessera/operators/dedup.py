@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.url import url_fingerprint
@@ -69,6 +69,6 @@ def save_batch(rows: DataFrame, path: str, order: str, name: str | None = None,
     return inserted, total - inserted
 
 
-def exists(df: DataFrame, stored: DataFrame, key: str = "url_fingerprint") -> Column | DataFrame:
+def exists(df: DataFrame, stored: DataFrame, key: str = "url_fingerprint") -> DataFrame:
     """df with `is_stored`: whether its key is in stored, by one join for all rows."""
     return df.join(stored.select(key).distinct().withColumn("is_stored", F.lit(True)), key, "left").fillna(False, ["is_stored"])

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.basic import filled
 
 # Headers of the exported sheets.
 HEADERS = {

@@ -26,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def staged(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder: cuts lineage, survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/staged/{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/tessera/{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -28,7 +28,7 @@ def field(name: str, kind: str = "string") -> Column:
     return F.try_variant_get(F.col("item"), f"$.{name}", kind)
 
 
-def _jobs(rows: DataFrame, company: Column, title: Column, link: Column, date: Column, description: Column, name: str, home: str, remote: Column | None = None, family: Column | None = None) -> DataFrame:
+def _jobs(rows: DataFrame, company: Column, title: Column, link: Column, date: Column, description: Column, name: str, home: str, remote: Column | None = None) -> DataFrame:
     flat = rows.select("ord", company.alias("company"), title.alias("title"), link.alias("url"), date.alias("date_raw"), description.alias("description"), *([remote.alias("flag"), field("location").alias("place")] if remote is not None else []))
     flat = flat.filter(F.col("company").isNotNull() & F.col("title").isNotNull() & F.col("url").isNotNull())
     is_remote = classify.remote(F.col("flag"), F.col("place"), F.col("title"), F.col("description")) if remote is not None else F.lit(True)

@@ -4,7 +4,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera import cli, config
 from tessera.plans import services
