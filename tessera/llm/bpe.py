@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.llm.common import batched, to_batch, width
+from tessera.llm.common import batched, release, text_batches, to_batch, width
 
 #: Characters of text in a block, more only where one document is longer.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 8_000_000
 #: Punctuation that ends a white-space piece after a Latin letter or a digit is a pre-tokenizer match of its own.
 _TAIL = re.compile(r"(?<=[A-Za-z0-9À-ÖØ-öø-ſ])([.,;:!?]+)(?=[ \n\t\r]|\Z)")
 
@@ -57,10 +57,10 @@ def tokenizer(path: str):
 
 
 @lru_cache(maxsize=2)
-def pieces(path: str) -> pa.Array:
+def pieces(path: str) -> list[str]:
     """The id-to-piece table; its length is that of the vocabulary."""
     t = tokenizer(path)
-    return pa.array([t.id_to_token(i) or "" for i in range(t.get_vocab_size(with_added_tokens=True))], pa.large_string())
+    return [t.id_to_token(i) or "" for i in range(t.get_vocab_size(with_added_tokens=True))]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
@@ -143,8 +143,8 @@ def _join_back(path: str, out: pa.Schema):
         joined = lambda c: np.concatenate([_expand(x) for x in right.column(c).to_pylist()] or [np.empty(0, np.uint32)])
         number, size, flat = joined("ns"), joined("lens").astype(np.int64), joined("ids")
         ends = np.cumsum(size)
-        # The id-to-piece join: ids are dense, so the lookup of a hash join is a take by position.
-        names = pieces(path).take(pa.array(flat.astype(np.int64))).to_pylist()
+        # The id-to-piece join: ids are dense, so the lookup of a hash join is one by position.
+        names = list(map(pieces(path).__getitem__, flat.tolist()))
         raw, known = flat.astype("<u4").tobytes(), int(number.max()) + 1 if len(number) else 0
         as_ids, as_text = [None] * known, [""] * known
         for n, a, e in zip(number.tolist(), (ends - size).tolist(), ends.tolist(), strict=True):
@@ -159,7 +159,10 @@ def _join_back(path: str, out: pa.Schema):
                 ws = every[at : at + n].tolist()
                 at += n
                 rows.append((k, b"".join(map(as_ids.__getitem__, ws)), "".join(map(as_text.__getitem__, ws))[1:]))
-        return pa.Table.from_batches([to_batch(rows, out)] if rows else [], schema=out)
+        done = pa.Table.from_batches([to_batch(rows, out)] if rows else [], schema=out)
+        del rows, names, as_ids, as_text
+        release()
+        return done
 
     return run
 
@@ -170,6 +173,7 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     One row per row of docs, repeated keys and null keys included. A null or empty text has no ids and decodes to "".
     Other columns are not read. docs must give the same rows in the same order when read again, as a stored table does.
     """
+    text_batches(docs.sparkSession)
     kind = docs.schema[key].dataType
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     a = pa.schema([("block", pa.int64()), ("n_words", pa.int32()), ("keys", pa.list_(to_arrow_type(kind))), ("counts", pa.list_(pa.int32())), ("numbers", pa.binary())])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -10,6 +12,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows of an Arrow batch between the JVM and Python: texts are long, and both sides hold a batch.
+BATCH_ROWS = 1000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Sets the session to batches of at most BATCH_ROWS rows, unless it has smaller ones."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder below the one that all executors share (spark.checkpoint.dir).
 
@@ -22,7 +35,13 @@ def scratch(spark: SparkSession) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/tessera/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tessera/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the scratch tables of this application; what is not yet computed from them can't be after that."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch(spark)).getParent()
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -51,10 +70,18 @@ def batched(build: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]], schema
                 held, weight = [], 0
         if held:
             yield to_batch(held, schema)
+        release()
 
     return run
 
 
+def release() -> None:
+    """Gives freed memory back to the system: a Python worker that waits for its next task keeps it else."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -72,7 +99,7 @@ def pairs(batch: pa.RecordBatch) -> Iterator[tuple]:
     return zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
-def broadcast_if_small(df: DataFrame, row_bytes: int = 64, most: int = 16 << 20) -> DataFrame:
+def broadcast_if_small(df: DataFrame, row_bytes: int = 128, most: int = 16 << 20) -> DataFrame:
     """df, stored, with a broadcast hint if its rows, counted, take at most so many bytes; else Spark shuffles it."""
     from pyspark.sql import functions as F
 

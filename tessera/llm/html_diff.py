@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.llm.common import batched, stored, width
+from tessera.llm.common import batched, stored, text_batches, width
 
 # Fixed values of HTML: element names by role.
 _HIDDEN = "script style noscript template svg math iframe object canvas audio video map select textarea button datalist"
@@ -39,6 +39,8 @@ _MARKS = (
     "ad ads advert adverts advertisement adsense banner banners sponsor sponsored promo promotion nav navbar navigation menu menus "
     "topbar toolbar breadcrumb breadcrumbs sidebar sidebars footer masthead cookie cookies consent gdpr notice notices notification "
     "alert comment comments disqus respond reply replies newsletter subscribe subscription signup login popup modal overlay share "
+    "commentlist commentform commentbox commentarea adbox adslot adunit adbanner advertising cookiebar cookiebanner sitenav mainnav "
+    "topnav subnav siteheader sitefooter pagefooter mainmenu topmenu "
     "sharing social related recommended recommendations widget widgets pagination pager skip copyright legal disclaimer paywall"
 )
 _ROLES = "navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar"
@@ -252,6 +254,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     loses furniture only. Of two neighbours with equal prefix, the one that shares more open lines is the partner.
     """
     spark = pages.sparkSession
+    text_batches(spark)
     rid = F.md5(F.concat_ws("\x01", F.col(key).cast("string"), F.coalesce(F.col(url), F.lit("")), F.coalesce(F.col(html), F.lit(""))).cast("binary"))
     after = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"(?s)^.*?://(.*)$", 1)
     host = F.lower(F.regexp_extract(after, r"(?s)^([^/?#]*)", 1))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batched, stored, width
+from tessera.llm.common import batched, stored, text_batches, width
 from tessera.llm.components import components
 from tessera.llm.shingles import mixed, runs, word_hashes
 
@@ -163,6 +163,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     as empty) have no links, and their copies are one class as those of any text are. Repeated rows are answered each;
     null keys are never the smallest unless a text has no other.
     """
+    text_batches(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("key"), body.alias("text"), F.unhex(F.md5(body.cast("binary"))).alias("text_id"))
     wide = width(rows)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batched, free_name
+from tessera.llm.common import batched, free_name, text_batches
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
@@ -93,6 +93,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: str
     At most bound rows of each lang are counted, those with the smallest hash of `order` (default: of the text), a sample
     that no one can steer by row order. Rows with a null or empty text, or no letter, add only to the prior. No rows: no languages.
     """
+    text_batches(labelled.sparkSession)
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.xxhash64(F.col(order or text)).alias("h")).filter(F.col("lang").isNotNull())
     totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not totals:
@@ -143,6 +144,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     A null or empty text, or one without a letter, or a model without languages, gives `und` with score 0. Every row
     is answered, repeated ones too; ties go to the first language by name. Columns named lang_pred or score are replaced.
     """
+    text_batches(docs.sparkSession)
     got = free_name(docs, "predicted")
     held = docs.withColumn(got, language(docs.sparkSession, model, F.col(text)))
     return held.withColumns({"lang_pred": F.col(f"{got}.lang_pred"), "score": F.col(f"{got}.score")}).drop(got)

@@ -14,7 +14,7 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 class WordHashes(dict):
     """Hash of each word seen; emptied when it grows past a bound."""
 
-    BOUND = 500_000
+    BOUND = 200_000
 
     def __missing__(self, word: str) -> int:
         h = self[word] = xxhash.xxh3_64_intdigest(word)

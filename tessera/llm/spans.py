@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import width
+from tessera.llm.common import release, text_batches, width
 from tessera.llm.shingles import mixed, word_hashes
 
 MIN_UNITS, MIN_WORDS = 3, 20
@@ -116,6 +116,7 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         route = np.where(again, mixed((row.astype(np.uint64) << np.uint64(40)) ^ place.view(np.uint64) ^ span.view(np.uint64)).view(np.int64), span)
         at = pa.array(row)
         yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(place), pa.array(route), pa.array(again)], ["key", "mark", "place", "route", "again"])
+    release()
 
 
 def _kept(text: str, gone: np.ndarray) -> tuple[str, int, int]:
@@ -143,6 +144,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     empty. Rows with one key and one text are one document: all of them keep what it keeps. Null keys come before all
     others. Columns named n_removed or chars_removed are replaced.
     """
+    text_batches(docs.sparkSession)
     names = [c for c in docs.columns if c.lower() not in ("n_removed", "chars_removed")]
     # Where no key repeats, as in a table of documents, the mark is constant and costs the shuffle nothing.
     repeats = not docs.groupBy(F.col(key)).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()

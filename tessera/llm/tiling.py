@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.llm.common import batched, stored
+from tessera.llm.common import batched, stored, text_batches
 from tessera.llm.shingles import WordHashes, runs
 
 MIN_TILE, COVERAGE = 4, 0.6
@@ -145,6 +145,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     side are answered each; keys may be null. Only pairs that leak are rows, so a clean corpus gives an empty result.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kinds = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("item", items.schema[item_key].dataType), T.StructField("coverage", T.DoubleType()), T.StructField("n_tiles", T.IntegerType())])
     schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in kinds])

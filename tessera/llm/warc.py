@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batched, free_name, stored
+from tessera.llm.common import batched, free_name, stored, text_batches
 
 #: Bytes of records in a frame and of frames in a bundle, more only where one record is larger.
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 4 << 20
@@ -131,6 +131,7 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     occurs more than once with one payload, each of its rows does), rows with a larger or null key revisit that key; if all
     keys of a payload are null, all are responses. Equality is that of the SHA-1 and the length.
     """
+    text_batches(pages.sparkSession)
     d, n, first, of = (free_name(pages, x) for x in ("digest", "bytes", "first", "of"))
     body = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"), F.sha1(body).alias(d), F.octet_length(body).alias(n))

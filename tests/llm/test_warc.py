@@ -38,7 +38,7 @@ def test_round_trip(spark, monkeypatch):
     payloads = {(k, h or "") for k, _, h, _ in ROWS}
     n = 0
     for b in archives.values():
-        for e in b.index:
+        for e in b["index"]:
             head, payload = warc.read_record(bytes(b.archive), e.frame, e.offset)
             assert head["WARC-Record-ID"] == f"<urn:page:{'' if e.key is None else e.key}>" and "Evil" not in head
             assert head["WARC-Type"] == "revisit" or (e.key, payload.decode()) in payloads
