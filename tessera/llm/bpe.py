@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tessera.llm.common import batched, release, text_batches, to_batch, width
 
 #: Characters of text in a block, more only where one document is longer.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 5_000_000
 #: Punctuation that ends a white-space piece after a Latin letter or a digit is a pre-tokenizer match of its own.
 _TAIL = re.compile(r"(?<=[A-Za-z0-9À-ÖØ-öø-ſ])([.,;:!?]+)(?=[ \n\t\r]|\Z)")
 
@@ -63,7 +63,7 @@ def pieces(path: str) -> list[str]:
     return [t.id_to_token(i) or "" for i in range(t.get_vocab_size(with_added_tokens=True))]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+def _blocks(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[tuple[list, list[str]]]:
     keys, texts, size = [], [], 0
     for b in batches:
         for k, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -71,7 +71,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]
             keys.append(k)
             texts.append(t)
             size += len(t)
-            if size >= BLOCK_CHARS:
+            if size >= chars:
                 yield keys, texts
                 keys, texts, size = [], [], 0
     if keys:
@@ -108,14 +108,14 @@ def _expand(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1)
 
 
-def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for keys, texts in _blocks(batches):
+def _block_rows(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[tuple]:
+    for keys, texts in _blocks(batches, chars):
         known, docs = _numbered(texts)
         yield _block_id(known), len(known), keys, [len(d) for d in docs], _squeeze(np.concatenate(docs))
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[tuple]:
-    for _, texts in _blocks(batches):
+def _word_rows(batches: Iterator[pa.RecordBatch], chars: int, parts: int) -> Iterator[tuple]:
+    for _, texts in _blocks(batches, chars):
         known = _distinct(texts)
         block, by = _block_id(known), defaultdict(list)
         for n, w in enumerate(known):
@@ -180,9 +180,9 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     b = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("ns", pa.binary()), ("words", pa.binary())])
     c = pa.schema([("block", pa.int64()), ("ns", pa.binary()), ("lens", pa.binary()), ("ids", pa.binary())])
     out = pa.schema([("key", to_arrow_type(kind)), ("ids", pa.binary()), ("decoded", pa.string())])
-    parts = width(docs)
-    blocks = docs.mapInArrow(batched(_block_rows, a, rows=1), T.StructType([T.StructField("block", T.LongType()), T.StructField("n_words", T.IntegerType()), T.StructField("keys", T.ArrayType(kind)), T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("numbers", T.BinaryType())]))
-    spread = docs.mapInArrow(batched(lambda x: _word_rows(x, parts), b), "block long, part int, ns binary, words binary").repartition(parts, "part")
+    parts, chars = width(docs), BLOCK_CHARS
+    blocks = docs.mapInArrow(batched(lambda x: _block_rows(x, chars), a, rows=1), T.StructType([T.StructField("block", T.LongType()), T.StructField("n_words", T.IntegerType()), T.StructField("keys", T.ArrayType(kind)), T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("numbers", T.BinaryType())]))
+    spread = docs.mapInArrow(batched(lambda x: _word_rows(x, chars, parts), b), "block long, part int, ns binary, words binary").repartition(parts, "part")
     known = spread.select("block", "ns", "words").mapInArrow(batched(lambda x: _encoded_rows(x, path), c), "block long, ns binary, lens binary, ids binary")
     joined = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_join_back(path, out), T.StructType([T.StructField("key", kind), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]))
     return joined.withColumnRenamed("key", key)

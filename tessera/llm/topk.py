@@ -56,8 +56,8 @@ def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64) if most < 1 << 52 else q @ c.T
 
 
-def _each(batches, shared):
-    """(queries' keys, numbers in the block, matrix, candidates' keys, matrix), never over CELLS products at once."""
+def _each(batches, shared, cells: int):
+    """(queries' keys, numbers in the block, matrix, candidates' keys, matrix), never over `cells` products at once."""
     by_length = shared.value
     for b in batches:
         keys = np.asarray(b.column(0))
@@ -65,7 +65,7 @@ def _each(batches, shared):
             if (known := by_length.get(c.shape[1])) is None:
                 continue
             at, qkeys, q = known
-            step = max(1, CELLS // max(1, len(q)))
+            step = max(1, cells // max(1, len(q)))
             for i in range(0, len(rows), step):
                 yield qkeys, at, q, keys[rows[i : i + step]], c[i : i + step]
 
@@ -77,10 +77,10 @@ def _partials(q, c):
     return parts, reduce(np.add, parts)
 
 
-def _gather(batches, shared, k: int) -> Iterator[tuple]:
+def _gather(batches, shared, k: int, cells: int) -> Iterator[tuple]:
     """Phase 1: this partition's k best scores of each query, of candidates that are among the k best of some group."""
     best: dict[int, np.ndarray] = {}
-    for qkeys, at, q, ckeys, c in _each(batches, shared):
+    for qkeys, at, q, ckeys, c in _each(batches, shared, cells):
         parts, total = _partials(q, c)
         own = qkeys[:, None] == ckeys[None, :]
         heads = []
@@ -96,10 +96,10 @@ def _gather(batches, shared, k: int) -> Iterator[tuple]:
         yield int(i), x.tolist()
 
 
-def _resolve(batches, shared, cutoffs, k: int) -> Iterator[tuple]:
+def _resolve(batches, shared, cutoffs, k: int, cells: int) -> Iterator[tuple]:
     """Phases 2 and 3: collects by the uniform threshold, resolves, and keeps this partition's k best of each query."""
     limit, best = cutoffs.value, {}
-    for qkeys, at, q, ckeys, c in _each(batches, shared):
+    for qkeys, at, q, ckeys, c in _each(batches, shared, cells):
         parts, total = _partials(q, c)
         t = limit[at]
         near = np.zeros(total.shape, bool)
@@ -125,7 +125,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_i
     Rows of vectors that repeat a key are candidates each; repeated query keys are asked once. Fewer than k candidates
     give fewer rows. Scores over 2^53 are computed in 64-bit integers.
     """
-    spark = vectors.sparkSession
+    spark, cells = vectors.sparkSession, CELLS
     rows = quantized(vectors, key, vector, scale)
     asked = quantized(queries, key, vector, scale).dropDuplicates(["key"])
     n_blocks = -(-asked.count() // QUERY_BLOCK)
@@ -142,12 +142,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_i
         for at, q in _stack(held.column(1).combine_chunks()):
             blocks[q.shape[1]] = (at, keys[at], q)
         shared = spark.sparkContext.broadcast(blocks)
-        gathered = rows.mapInArrow(batched(lambda b, s=shared: _gather(b, s, k), pa.schema([("q", pa.int32()), ("scores", pa.list_(pa.int64()))])), "q int, scores array<long>")
+        gathered = rows.mapInArrow(batched(lambda b, s=shared: _gather(b, s, k, cells), pa.schema([("q", pa.int32()), ("scores", pa.list_(pa.int64()))])), "q int, scores array<long>")
         kth = gathered.groupBy("q").agg(F.slice(F.sort_array(F.flatten(F.collect_list("scores")), asc=False), 1, k).alias("s")).filter(F.size("s") == k).select("q", F.element_at("s", -1).alias("t")).toArrow()
         limits = np.full(len(keys), np.iinfo(np.int64).min // 2)
         limits[np.asarray(kth.column(0))] = np.asarray(kth.column(1))
         cutoffs = spark.sparkContext.broadcast(limits)
-        found = rows.mapInArrow(batched(lambda b, s=shared, c=cutoffs: _resolve(b, s, c, k), pa.schema([("q", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])), "q int, vec_id long, score long")
+        found = rows.mapInArrow(batched(lambda b, s=shared, c=cutoffs: _resolve(b, s, c, k, cells), pa.schema([("q", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])), "q int, vec_id long, score long")
         names = spark.createDataFrame(pa.table({"q": pa.array(np.arange(len(keys), dtype=np.int32)), "query_id": pa.array(keys)}))
         rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
         ranked = found.withColumn("rank", rank).filter(F.col("rank") <= k)

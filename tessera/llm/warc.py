@@ -95,9 +95,9 @@ def read_record(archive: bytes, frame: int, offset: int) -> tuple[dict[str, str]
     return parse(read_frame(archive, frame), offset)[:2]
 
 
-def _bundles(batches: Iterator[pa.RecordBatch], date: str) -> Iterator[tuple]:
+def _bundles(batches: Iterator[pa.RecordBatch], date: str, frame_bytes: int, bundle_bytes: int) -> Iterator[tuple]:
     packer = zstandard.ZstdCompressor(level=3)
-    raw, archive, sizes, index, payload_seen = bytearray(), bytearray(), [], [], False
+    raw, archive, sizes, index = bytearray(), bytearray(), [], []
 
     def close() -> None:
         packed = packer.compress(bytes(raw))
@@ -111,9 +111,9 @@ def _bundles(batches: Iterator[pa.RecordBatch], date: str) -> Iterator[tuple]:
             one = record(key, url.as_py(), (html.as_py() or "").encode(), (refers.as_py() if refers.is_valid else "") if revisit.as_py() else None, date)
             index.append({"key": key, "frame": len(sizes), "offset": len(raw), "length": len(one)})
             raw.extend(one)
-            if len(raw) >= FRAME_BYTES:
+            if len(raw) >= frame_bytes:
                 close()
-            if len(archive) >= BUNDLE_BYTES:
+            if len(archive) >= bundle_bytes:
                 yield bytes(archive) + seek_table(sizes), index
                 archive.clear()
                 sizes, index = [], []
@@ -142,7 +142,8 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     ready = joined.select("key", "url", "html", F.when(revisit, F.col(first)).alias("refers"), revisit.alias("revisit"))
     entry = pa.struct([("key", pa.int64()), ("frame", pa.int32()), ("offset", pa.int64()), ("length", pa.int64())])
     schema = pa.schema([("archive", pa.binary()), ("index", pa.list_(entry))])
-    made = ready.mapInArrow(batched(lambda b: _bundles(b, date), schema, rows=1), "archive binary, index array<struct<key: long, frame: int, offset: long, length: long>>")
+    frame, bundle = FRAME_BYTES, BUNDLE_BYTES
+    made = ready.mapInArrow(batched(lambda b: _bundles(b, date, frame, bundle), schema, rows=1), "archive binary, index array<struct<key: long, frame: int, offset: long, length: long>>")
     return stored(made.select(F.concat(F.sha1("archive"), F.lit(".warc.zst")).alias("name"), "archive", "index"))
 
 
