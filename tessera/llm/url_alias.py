@@ -96,7 +96,7 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", html: str = "ht
     without `://` has empty host and path, no rule and no alias, so it is allowed. A null html has no edges.
     """
     host, path = parts(F.col(url))
-    best, own = free_name(pages, "best"), free_name(pages, "own_node")
+    best, own, passed = (free_name(pages, x) for x in ("best", "own_node", "passed_on"))
     named = pages.withColumns({"host": host, "path": path}).withColumns({best: fitting(F.col("host"), F.col("path"), rules), own: node(F.col(url))})
     links = pages.select(F.col(url).alias("url"), F.explode(targets(F.col(html))).alias("target")).filter("target <> ''")
     edges = links.select(node(F.col("url")).alias("a"), node(absolute(F.col("target"), F.col("url"))).alias("b")).filter("a <> b").distinct()
@@ -105,8 +105,8 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", html: str = "ht
     h = F.regexp_extract("node", r"(?s)^([^/]*)", 1)
     p = F.regexp_extract("node", r"(?s)^[^/]*([^?]*)", 1)
     blocked = roots.withColumn("fit", fitting(h, p, rules)).groupBy("root").agg(F.bool_or(~F.col("fit.allow")).alias("bad")).filter("bad").select("root")
-    bad = stored(roots.join(blocked, "root", "left_semi").select(F.col("node").alias(own)).distinct().withColumn("passed_on", F.lit(True)))
+    bad = stored(roots.join(blocked, "root", "left_semi").select(F.col("node").alias(own)).distinct().withColumn(passed, F.lit(True)))
     judged = named.join(bad, own, "left")
     by_rule = F.when(F.col(f"{best}.allow"), "allow").otherwise("block")
-    verdict = F.when(F.col(best).isNotNull(), by_rule).when(F.col("passed_on"), "block").otherwise("allow")
-    return judged.withColumns({"rule": F.col(f"{best}.name"), "verdict": verdict}).drop(best, own, "passed_on")
+    verdict = F.when(F.col(best).isNotNull(), by_rule).when(F.col(passed), "block").otherwise("allow")
+    return judged.withColumns({"rule": F.col(f"{best}.name"), "verdict": verdict}).drop(best, own, passed)

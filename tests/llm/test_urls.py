@@ -14,7 +14,7 @@ PAGES = [
 
 
 def run(spark):
-    df = spark.createDataFrame(PAGES, "page_id long, url string, html string, verdict string").repartition(3)
+    df = spark.createDataFrame([(*p, True) for p in PAGES], "page_id long, url string, html string, verdict string, passed_on boolean").repartition(3)
     return [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_alias.judge(df, queries.RULES).collect()]
 
 
