@@ -51,10 +51,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def width(df: DataFrame, least: int = 1) -> int:
-    """Partitions for a shuffle that carries rows of df: as many as its scan has, or the session's number if larger."""
+def width(df: DataFrame) -> int:
+    """Partitions for a shuffle that carries what df reads: as many as a scan of it has, or the session's number if larger.
+
+    Asks the optimised plan for the sizes of its sources; it runs nothing, which asking for an RDD's partitions may.
+    """
     spark = df.sparkSession
-    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), *[-(-n // split) for n in sizes if n < 1 << 60], 1)
 
 
 def batched(build: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]], schema: pa.Schema, rows: int = 4096, size: int = 16 << 20):
