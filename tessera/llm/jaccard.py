@@ -170,7 +170,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     schema = pa.schema([("text_id", pa.binary()), ("size", pa.int32()), ("sig", pa.binary())])
     sketched = rows.select("text", "text_id").mapInArrow(batched(lambda b: _sketches(b, n), schema), "text_id binary, size int, sig binary")
     texts = stored(sketched.groupBy("text_id").agg(F.first("size").alias("size"), F.first("sig").alias("sig")))
-    names = rows.groupBy("text_id").agg(F.min("key").alias("first_key"))
+    names = stored(rows.groupBy("text_id").agg(F.min("key").alias("first_key")))
 
     bands = F.array(*[F.struct(F.xxhash64(F.lit(j), F.substring("sig", 4 * ROWS * j + 1, 4 * ROWS)).alias("band"), F.lit(j).alias("at")) for j in range(BANDS)])
     placed = texts.filter("sig is not null").select("text_id", F.explode(bands).alias("b")).select("b.band", "b.at", "text_id")
@@ -185,10 +185,11 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     grouped = member.join(texts, "text_id").select(*columns).repartition(wide, "band", "x", "y").sortWithinPartitions("band", "x", "y")
     need = stored(grouped.mapInArrow(batched(lambda b: _needed(b, threshold), need_schema), kinds))
 
-    wanted = need.select("text_id").distinct()
-    held = rows.select("text", "text_id").join(wanted, "text_id", "left_semi").select("text", "text_id")
+    # One row stands for all copies of a text, found by its key: a text with very many copies is no large partition.
+    wanted = need.select("text_id").distinct().join(names, "text_id").select(F.col("text_id").alias("wanted_id"), "first_key")
+    held = rows.join(wanted, F.col("key").eqNullSafe(F.col("first_key")) & (F.col("text_id") == F.col("wanted_id")), "left_semi")
     gram_schema = pa.schema([("text_id", pa.binary()), ("grams", pa.binary())])
-    grams = held.dropDuplicates(["text_id"]).mapInArrow(batched(lambda b: _grams(b, n), gram_schema), "text_id binary, grams binary")
+    grams = held.dropDuplicates(["key", "text_id"]).select("text", "text_id").mapInArrow(batched(lambda b: _grams(b, n), gram_schema), "text_id binary, grams binary")
     ready = need.join(grams, "text_id").select(*columns[:-1], "at_band", "grams").repartition(wide, "band", "x", "y").sortWithinPartitions("band", "x", "y")
     link_schema = pa.schema([("text_id", pa.binary()), ("n", pa.int64()), ("root", pa.binary())])
     links = stored(ready.mapInArrow(batched(lambda b: _verified(b, threshold), link_schema), "text_id binary, n long, root binary"))
