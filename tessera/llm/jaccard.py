@@ -23,7 +23,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import batched, stored, text_batches, width
@@ -154,18 +154,26 @@ def _grams(batches, n: int) -> Iterator[tuple]:
             yield text_id, shingles(text.as_py(), n).tobytes()
 
 
+def text_digest(text: Column) -> Column:
+    """What tells texts apart here: the MD5 of a text, null counting as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
-    """key, class_id, text_id, n_links for each row of docs.
+    """key, class_id, text_id, n_links, digest, class_digest for each row of docs.
 
     text_id is the smallest key with the very same text, n_links the number of other texts whose sets of word shingles have
     a Jaccard similarity of threshold or more to it, class_id the smallest key in the component of such links. Words are
     parted by white space; a text of fewer than n words has one shingle, of all of them. Texts without words (null counts
     as empty) have no links, and their copies are one class as those of any text are. Repeated rows are answered each;
     null keys are never the smallest unless a text has no other.
+
+    Keys may be null or stand for several texts, so class_id does not tell classes apart; class_digest does. digest is that
+    of the row's text (see text_digest), class_digest that of the class's text with the smallest key, then digest.
     """
     text_batches(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("key"), body.alias("text"), F.unhex(F.md5(body.cast("binary"))).alias("text_id"))
+    rows = docs.select(F.col(key).alias("key"), body.alias("text"), text_digest(F.col(text)).alias("text_id"))
     wide = width(rows)
     schema = pa.schema([("text_id", pa.binary()), ("size", pa.int32()), ("sig", pa.binary())])
     sketched = rows.select("text", "text_id").mapInArrow(batched(lambda b: _sketches(b, n), schema), "text_id binary, size int, sig binary")
@@ -199,6 +207,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     linked = counts.join(roots.withColumnRenamed("node", "text_id"), "text_id")
     named = names.join(linked, "text_id", "left").select("text_id", "first_key", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "text_id").alias("root"))
     named = stored(named)
-    classes = named.groupBy("root").agg(F.min("first_key").alias("class_id"))
-    info = named.join(classes, "root").select("text_id", "class_id", F.col("first_key"), "n_links")
-    return rows.select("key", "text_id").join(info, "text_id").select(F.col("key").alias(key), "class_id", F.col("first_key").alias("text_id"), "n_links")
+    least = F.min(F.struct(F.col("first_key").isNull(), "first_key", "text_id"))
+    classes = named.groupBy("root").agg(least.alias("least")).select("root", F.col("least.first_key").alias("class_id"), F.col("least.text_id").alias("class_digest"))
+    info = named.join(classes, "root").select("text_id", "class_id", F.col("first_key"), "n_links", "class_digest")
+    return rows.select("key", "text_id").join(info, "text_id").select(F.col("key").alias(key), "class_id", F.col("first_key").alias("text_id"), "n_links", F.col("text_id").alias("digest"), "class_digest")

@@ -190,7 +190,7 @@ def op9_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(table(spark, sf_dir, "documents"))
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "text_id", "n_links")
 
 
 _SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -94,3 +95,18 @@ def test_query_agrees_with_its_sql(spark, sf):
     con.execute(f"create view documents as select * from '{sf}/documents.parquet'")
     got = [(r.doc_id, r.class_id, r.text_id, r.n_links) for r in queries.op10_jaccard(spark, sf).collect()]
     assert sorted(got) == sorted(con.execute(queries.OP10_SQL).fetchall())
+
+
+def test_classes_told_apart_without_keys(spark):
+    """Unrelated texts under null keys, or under one key, share class_id but no class."""
+    a, b, c, d = (" ".join(text(40)) for _ in range(4))
+    near = a + " end"
+    rows = [(None, a), (None, near), (None, b), (7, c), (7, d), (None, d)]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    classes = {}
+    for r in got:
+        classes.setdefault(bytes(r.class_digest), set()).add(bytes(r.digest))
+    digest = {t: hashlib.md5(t.encode()).digest() for _, t in rows}
+    assert sorted(map(sorted, classes.values())) == sorted(map(sorted, [{digest[a], digest[near]}, {digest[b]}, {digest[c]}, {digest[d]}]))
+    assert all(k in v for k, v in classes.items())
