@@ -21,13 +21,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near duplicates: that with the smallest doc_id; repeated rows of it once."""
+    """Keeps one document of each class of near duplicates: that with the smallest doc_id, then text digest.
+
+    Ids may be null or stand for several texts, so a document is its doc_id and text. Rows that repeat both are one: the least
+    in lang, source, n_chars stays.
+    """
     classes = jaccard.join(docs.select("doc_id", "text"))
-    keep = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    left = docs.join(broadcast_if_small(keep), F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi").select(*COLUMNS)
+    first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest"))
+    keep = classes.filter(first).select(F.col("doc_id").alias("kept"), F.col("digest").alias("kept_digest")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("kept")) & (jaccard.text_digest(F.col("text")) == F.col("kept_digest"))
+    left = docs.join(broadcast_if_small(keep), same, "left_semi").select(*COLUMNS)
     # Texts are shuffled by id only where an id does occur more than once.
-    once = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
-    return left if once else left.dropDuplicates(["doc_id"])
+    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return left
+    least = F.min(F.struct("lang", "source", "n_chars", "text")).alias("row")
+    return left.groupBy("doc_id", jaccard.text_digest(F.col("text"))).agg(least).select("doc_id", "row.*").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,3 +69,12 @@ def test_edges(spark, sf):
     empty = docs.limit(0)
     for _, stage in cp.STAGES:
         assert stage(spark, empty, sf).collect() == []
+
+
+def test_near_duplicates_of_null_and_repeated_ids(spark, sf):
+    """Texts, not ids, tell documents apart: unrelated ones of one id all stay, copies of a document go whatever their id."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcde")
+    rows = [(None, a, "x"), (None, b, "x"), (None, b, "x"), (5, c, "y"), (5, c, "x"), (5, d, "x"), (9, e, "x"), (None, e, "x"), (2, e + " end", "x"), (None, d + " end", "x")]
+    docs = spark.createDataFrame([(k, t, "en", s, 3) for k, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = [(r.doc_id, r.text, r.source) for r in cp.near_duplicates(spark, docs, sf).collect()]
+    assert sorted(got, key=repr) == sorted([(None, a, "x"), (None, b, "x"), (5, c, "x"), (5, d, "x"), (2, e + " end", "x")], key=repr)
