@@ -1,13 +1,19 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into units: sentences (after . ! ? before white space, and at line ends), and sentences of more than
-LONG words further after every word whose hash is 0 modulo STEP (and LONGEST words at the latest), so that the same words
-are cut alike wherever their sentence began. From every unit a span runs over the next units until it holds at
-least MIN_UNITS units and MIN_WORDS words; its hash covers its words. Spans of all documents are joined by hash: every
-occurrence but the first (smallest document, then place) is repeated, and the units that it covers are removed.
-
-The same passage gives the same spans wherever it stands, whatever stands around it, so a passage is removed but for
-its units that are cut at either end. Within a batch of documents, all but the first occurrence of a span are repeated
+A text is cut into units by its content alone: of every WINDOW words in a row, the text is cut after the last one that ends
+a sentence (. ! ? before white space, or a line end), or else after that with the smallest hash. So every sentence end
+cuts, no unit is longer than WINDOW words, and whether a word cuts depends only on the WINDOW - 1 words on either side.
+From every unit a span runs over the next units until it holds at least MIN_UNITS units and MIN_WORDS words; its hash
+covers its words. Spans of all documents are joined by hash: every occurrence but the first (smallest document, then place)
+is repeated, and the units that it covers are removed.
+
+The same passage gives the same spans wherever it stands, whatever stands around it, but for its ends. In a passage of n
+words the cuts after words WINDOW to n - WINDOW are the same everywhere (what follows its last word is not). The first of
+them is after word 2 * WINDOW - 1 at the latest, and a span from there ends MIN_WORDS + WINDOW - 1 words later at the latest.
+So any passage of 4 * WINDOW + MIN_WORDS - 2 = 50 words or more has a span, in any place. (MIN_UNITS holds by itself:
+two units have less than MIN_WORDS words.)
+
+Within a batch of documents, all but the first occurrence of a span are repeated
 whatever other batches hold; they travel by their place, and only the first one travels by its hash. So a very common
 span sends a row a batch to one task, not a row an occurrence, and everything crosses one shuffle, once.
 """
@@ -29,49 +35,68 @@ from tessera.llm.common import release, text_batches, width
 from tessera.llm.shingles import mixed, word_hashes
 
 MIN_UNITS, MIN_WORDS = 3, 20
-LONG, STEP, LONGEST = 16, 6, 12
+WINDOW = 8
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
 _WORD = re.compile(r"\S+")
 
 
-def units(text: str) -> list[tuple[int, int, list[str]]]:
-    """(start, end, words) of the units of a text; a unit runs to the start of the next, so together they are the text."""
-    cuts, at = [], 0
+def cuts(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether the text is cut after each word, of the words' hashes and whether they end a sentence."""
+    out = ends.copy()
+    if len(hashes) >= WINDOW:
+        rank = np.where(ends, np.uint64(0), hashes | np.uint64(1))[::-1]
+        windows = np.lib.stride_tricks.sliding_window_view(rank, WINDOW)
+        out[len(hashes) - 1 - np.arange(len(windows)) - windows.argmin(axis=1)] = True
+    return out
+
+
+def _cut(text: str) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
+    """(start, end) of the sentences of a text, the words' hashes, the number of words before each unit and in all."""
+    sentences, at = [], 0
     for m in _SENTENCE.finditer(text):
         if m.end() > at:
-            cuts.append((at, m.end()))
+            sentences.append((at, m.end()))
             at = m.end()
     if at < len(text):
-        cuts.append((at, len(text)))
-    out = []
-    for a, b in cuts:
-        words = text[a:b].split()
-        if len(words) <= LONG:
-            out.append((a, b, words))
-            continue
-        ends = word_hashes().of(words) % np.uint64(STEP) == 0
-        cuts_at = [0]
-        for i in range(1, len(words)):
-            if ends[i - 1] or i - cuts_at[-1] >= LONGEST:
-                cuts_at.append(i)
-        places = [m.start() for m in _WORD.finditer(text, a, b)]
-        starts = [a, *[places[i] for i in cuts_at[1:]], b]
-        out += [(x, y, words[i:j]) for x, y, i, j in zip(starts[:-1], starts[1:], cuts_at, [*cuts_at[1:], len(words)], strict=True)]
-    return out
+        sentences.append((at, len(text)))
+    words, upto = [], []
+    for a, b in sentences:
+        words += text[a:b].split()
+        upto.append(len(words))
+    hashes, ends = word_hashes().of(words), np.zeros(len(words), bool)
+    ends[[n - 1 for n in upto if n]] = True
+    # White space before the first word, up to a line end, is a unit of its own.
+    blank = [0] if upto and not upto[0] else []
+    return sentences, hashes, np.concatenate([[0], blank, np.flatnonzero(cuts(hashes, ends)) + 1]).astype(np.int64)
 
 
-def spans(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first unit, units, hash) of each span of units with these words."""
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    before = np.concatenate([[0], np.cumsum(sizes)])
-    first = np.arange(len(words))
+def units(text: str) -> list[tuple[int, int, list[str]]]:
+    """(start, end, words) of the units of a text; a unit runs to the start of the next, so together they are the text."""
+    sentences, _, before = _cut(text)
+    if not sentences:
+        return []
+    places, words = [], []
+    for m in _WORD.finditer(text):
+        places.append(m.start())
+        words.append(m[0])
+    blank = len(before) > 2 and not before[1]
+    starts = [0, *[places[i] for i in before[1 + blank : -1].tolist()], len(text)]
+    if blank:
+        starts.insert(1, sentences[0][1])
+    return [(a, b, words[i:j]) for a, b, i, j in zip(starts[:-1], starts[1:], before[:-1].tolist(), before[1:].tolist(), strict=True)]
+
+
+def spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first unit, units, hash) of each span of a text."""
+    _, hashes, before = _cut(text)
+    sizes = np.diff(before)
+    first = np.arange(len(sizes))
     last = np.maximum(np.searchsorted(before, before[:-1] + MIN_WORDS), first + MIN_UNITS)  # end of the span, exclusive
-    first, last = first[last <= len(words)], last[last <= len(words)]
+    first, last = first[last <= len(sizes)], last[last <= len(sizes)]
     # A unit without words starts no span of its own: the next one does.
     keep = sizes[first] > 0 if len(first) else np.empty(0, bool)
     first, last = first[keep], last[keep]
-    hashes = word_hashes().of([w for x in words for w in x])
     # Two polynomials over the words give a hash of a span by difference of prefixes, without a pass over each span.
     out = np.zeros(len(first), np.uint64)
     for prime in (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)):
@@ -99,7 +124,7 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, text in enumerate(b.column(2)):
             text = text.as_py()
             if text:
-                f, n, h = spans([u[2] for u in units(text)])
+                f, n, h = spans(text)
                 keys.append(np.full(len(f), i))
                 firsts.append(f)
                 sizes.append(n)

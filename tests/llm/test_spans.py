@@ -93,3 +93,32 @@ def test_query_removes_repeats(spark, sf):
     assert len(rows) == docs.count() and all(len(r.text) + r.chars_removed == r.n for r in rows)
     again = spans.dedup(got.select("doc_id", "text"))
     assert again.agg(F.sum("chars_removed")).first()[0] < 0.05 * sum(r.chars_removed for r in rows) + 1
+
+
+def clauses(sizes):
+    return " ".join(sentence(n) for n in sizes)
+
+
+def test_no_shared_run_of_50_words_is_left(spark):
+    """Passages of 50 words or more, set mid-sentence into other texts, against a search for equal runs of 50 words."""
+    rng = random.Random(8)
+    vocab = [f"v{i}" for i in range(4000)]
+
+    def words(n):
+        return [rng.choice(vocab) + rng.choice(["", "", "", "", "", "", "", "", "."]) for _ in range(n)]
+
+    # Sentences of at most 16 words: their first and last stand inside sentences of the host.
+    passages = [[*words(13), "end.", *clauses([16, 16]).split(), *sentence(14)[:-1].split()]]
+    passages += [["of"] * 60, [rng.choice(vocab) for _ in range(50)]] + [words(rng.randint(50, 90)) for _ in range(120)]
+    rows = []
+    for i in range(3):
+        for j, p in enumerate(passages):
+            parts = (" ".join(x) for x in (words(rng.randint(1, 60)), p, words(rng.randint(1, 60))))
+            rows.append((1000 * i + j, rng.choice([" ", " ", "\n"]).join(parts)))
+    runs = {}
+    for k, t, _ in run(spark, rows):
+        w = t.split()
+        for at in range(len(w) - 49):
+            runs.setdefault(tuple(w[at : at + 50]), set()).add(k)
+    assert not [ks for ks in runs.values() if len(ks) > 1]
+    assert {k for ks in runs.values() for k in ks} >= set(range(len(passages)))
