@@ -6,7 +6,8 @@
 2. Pages of a host are sorted by URL path (a range partition of small rows: hashes of lines, no text). A page's partner is
    the neighbour whose path has the longer common prefix; the lines of both are aligned by longest common subsequence.
 3. Open lines that the partner shares are template and are deleted. Lines inside article or main stay even if the partner
-   shares them, as two pages may carry the same article.
+   shares them, as two pages may carry the same article. Copies of a page that has no such element are no partners either:
+   exact ones are compared as one page, and a page loses nothing to a neighbour that has COPY of its characters.
 """
 
 from __future__ import annotations
@@ -58,6 +59,8 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))|([^\s=/>"']+)""")
 _SPLIT, _CAMEL = re.compile(r"[^a-z0-9]+"), re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
+#: Share of a page's characters from which on a neighbour that has them is a copy and says nothing of the template.
+COPY = 0.9
 LINE, OPEN = 0, 1  # of a line: its text, whether it is open
 
 
@@ -190,7 +193,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for rid, host, path, page in zip(*b.columns, strict=True):
             found = lines(page.as_py())
             if any(x[OPEN] for x in found):
-                yield rid.as_py(), host.as_py(), path.as_py(), [xxhash.xxh64_intdigest(x[LINE].encode()) - (1 << 63) for x in found], [x[OPEN] for x in found]
+                yield rid.as_py(), host.as_py(), path.as_py(), [xxhash.xxh64_intdigest(x[LINE].encode()) - (1 << 63) for x in found], [x[OPEN] for x in found], [len(x[LINE]) for x in found]
 
 
 def _prefix(a: str, b: str) -> int:
@@ -203,8 +206,9 @@ def _compared(a: tuple, b: tuple) -> Iterator[tuple]:
     if a[1] != b[1]:
         return
     near, (i, j) = _prefix(a[2], b[2]), shared(a[3], b[3])
-    yield a[0], near, [x for x in i if a[4][x]], None, None, None, None, None
-    yield b[0], near, [x for x in j if b[4][x]], None, None, None, None, None
+    for row, at in ((a, i), (b, j)):
+        if not all(row[4]) or sum(row[5][x] for x in at) < COPY * sum(row[5]):
+            yield row[0], near, [x for x in at if row[4][x]], None, None, None, None, None, None
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -219,20 +223,20 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
                 yield from _compared(last, row)
             first, last = first or row, row
     for row in [first] * (first is not None) + [last] * (last is not first):
-        yield row[0], None, None, part, row[1], row[2], row[3], row[4]
+        yield row[0], None, None, part, *row[1:6]
 
 
 def template_lines(rows: DataFrame) -> DataFrame:
-    """rid, gone (positions of lines to delete) for rows of rid, host, path, hashes, open."""
+    """rid, gone (positions of lines to delete) for rows of rid, host, path, hashes, open, sizes."""
     spark = rows.sparkSession
     n = width(rows)
-    kinds = "rid string, near int, gone array<int>, part int, host string, path string, hashes array<long>, open array<boolean>"
-    schema = pa.schema([("rid", pa.string()), ("near", pa.int32()), ("gone", pa.list_(pa.int32())), ("part", pa.int32()), ("host", pa.string()), ("path", pa.string()), ("hashes", pa.list_(pa.int64())), ("open", pa.list_(pa.bool_()))])
+    kinds = "rid string, near int, gone array<int>, part int, host string, path string, hashes array<long>, open array<boolean>, sizes array<int>"
+    schema = pa.schema([("rid", pa.string()), ("near", pa.int32()), ("gone", pa.list_(pa.int32())), ("part", pa.int32()), ("host", pa.string()), ("path", pa.string()), ("hashes", pa.list_(pa.int64())), ("open", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32()))])
     done = stored(rows.repartitionByRange(n, "host", "path", "rid").sortWithinPartitions("host", "path", "rid").mapInArrow(batched(_neighbours, schema), kinds))
     # At most two rows a partition: the last row of one and the first of the next are neighbours too.
-    edges = [tuple(r) for r in done.filter("part is not null").select("rid", "host", "path", "hashes", "open", "part").collect()]
-    edges.sort(key=lambda r: (r[5], r[1].encode(), r[2].encode(), r[0]))
-    more = [x[:3] for a, b in zip(edges, edges[1:], strict=False) if a[5] != b[5] for x in _compared(a[:5], b[:5])]
+    edges = [tuple(r) for r in done.filter("part is not null").select("rid", "host", "path", "hashes", "open", "sizes", "part").collect()]
+    edges.sort(key=lambda r: (r[6], r[1].encode(), r[2].encode(), r[0]))
+    more = [x[:3] for a, b in zip(edges, edges[1:], strict=False) if a[6] != b[6] for x in _compared(a[:6], b[:6])]
     pairs = done.filter("part is null").select("rid", "near", "gone").unionByName(spark.createDataFrame(more, "rid string, near int, gone array<int>"))
     nearest = pairs.groupBy("rid").agg(F.max_by("gone", F.struct("near", F.size("gone"))).alias("gone"))
     return nearest.filter(F.size("gone") > 0)
@@ -250,7 +254,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
     One row per row of pages, repeated ones included; other columns are not read. A null or empty html, or one without text
     outside furniture, gives "". A page without neighbours on its host, or with a null url (its host and path are empty),
-    loses furniture only. Of two neighbours with equal prefix, the one that shares more open lines is the partner.
+    loses furniture only, and so does one between near copies of itself. Of two neighbours with equal prefix, the one that shares more open lines is the partner.
     """
     spark = pages.sparkSession
     text_batches(spark)
@@ -259,10 +263,15 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     host = F.lower(F.regexp_extract(after, r"(?s)^([^/?#]*)", 1))
     path = F.regexp_extract(after, r"(?s)^[^/?#]*([^?#]*)", 1)
     rows = pages.select(rid.alias("rid"), F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
-    hashed_schema = pa.schema([("rid", pa.string()), ("host", pa.string()), ("path", pa.string()), ("hashes", pa.list_(pa.int64())), ("open", pa.list_(pa.bool_()))])
-    hashed = pages.select(rid.alias("rid"), host.alias("host"), path.alias("path"), F.col(html).alias("html")).mapInArrow(batched(_hashed, hashed_schema), "rid string, host string, path string, hashes array<long>, open array<boolean>")
+    hashed_schema = pa.schema([("rid", pa.string()), ("host", pa.string()), ("path", pa.string()), ("hashes", pa.list_(pa.int64())), ("open", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32()))])
+    hashed = pages.select(rid.alias("rid"), host.alias("host"), path.alias("path"), F.col(html).alias("html")).mapInArrow(batched(_hashed, hashed_schema), "rid string, host string, path string, hashes array<long>, open array<boolean>, sizes array<int>")
     hashed = stored(hashed.filter("host <> ''").dropDuplicates(["rid"]))
-    gone = stored(template_lines(hashed))
+    # Pages of one host with the same lines, none in article or main, are one: that with the smallest path.
+    whole = F.md5(F.concat_ws(",", "host", F.col("hashes").cast("array<string>")).cast("binary"))
+    hashed = hashed.withColumn("content", F.when(F.forall("open", lambda x: x), whole).otherwise(F.col("rid")))
+    once = hashed.groupBy("content").agg(F.min(F.struct("path", "host", "hashes", "open", "sizes")).alias("page"))
+    gone = template_lines(once.select(F.col("content").alias("rid"), "page.host", "page.path", "page.hashes", "page.open", "page.sizes"))
+    gone = stored(hashed.select("rid", "content").join(gone.withColumnRenamed("rid", "content"), "content").select("rid", "gone"))
     small = gone.agg(F.count("*").alias("n"), F.sum(F.size("gone")).alias("s")).first()
     if small["n"] * 80 + 4 * (small["s"] or 0) <= 16 << 20:
         gone = F.broadcast(gone)

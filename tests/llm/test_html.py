@@ -72,6 +72,19 @@ def test_shared_article_stays(spark):
     assert [r.text for r in out] == ["same text"] * 4
 
 
+def test_copies_keep_their_lines(spark):
+    """Pages without article that are copies under neighbouring URLs lose what they share with other pages only."""
+    page = "<div>Shop of things</div><div>{}</div><div>{}</div>"
+    long = "A long tale of the sea and of those who went down to it in ships, told to the end."
+    rows = [(i, f"http://a.example/p?v={i}", page.format("One and the same", "text of some length")) for i in range(4)]
+    rows += [(4, "http://a.example/q", page.format("Something else", "and its own text")), (5, "http://b.example/x", page.format("Mirror", "me"))]
+    rows += [(6, "http://b.example/y", page.format("Mirror", "me")), (7, "http://c.example/1", page.format(long, "Read 1")), (8, "http://c.example/2", page.format(long, "Read 2"))]
+    out = {r.page_id: r.text for r in html_diff.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    want = dict.fromkeys(range(4), "One and the same\n\ntext of some length") | {4: "Something else\n\nand its own text"}
+    want |= dict.fromkeys((5, 6), "Shop of things\n\nMirror\n\nme") | {6 + i: f"Shop of things\n\n{long}\n\nRead {i}" for i in (1, 2)}
+    assert out == want
+
+
 def test_empty(spark):
     assert html_diff.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
