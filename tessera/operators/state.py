@@ -3,32 +3,92 @@ the table beside the old one and then moves a pointer, so a reader sees one vers
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
+import threading
 import time
 import uuid
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_SCOPES = threading.local()
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it; a local one only where it names none."""
+    """The folder that driver and executors share, as the session names it (spark.checkpoint.dir).
+
+    Where it names none, a new local folder is set, but only in local mode, as in tests: on a cluster that is an error, as
+    executors would write where nobody else reads.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         made = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = made.get() if made.isDefined() else None
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
-def staged(df: DataFrame) -> DataFrame:
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder; the innermost open scope, if there is one, deletes what is there when it ends."""
+    path = f"{shared_folder(spark)}/tessera/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    if open_ := getattr(_SCOPES, "open", None):
+        open_[-1].append(path)
+    return path
+
+
+def staged(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """df as a table in the shared folder: cuts lineage, survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/tessera/{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    path = scratch(df.sparkSession)
+    df.write.option("compression", compression).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def deleted(spark: SparkSession, paths: list[str]) -> None:
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unstaged(df: DataFrame) -> None:
+    """Deletes the table of a frame that `staged` gave, once nothing is computed from it any more."""
+    if path := getattr(df, "_staged_at", None):
+        deleted(df.sparkSession, [path])
+
+
+class Scope:
+    """What is staged inside is deleted at the end, but for what `keep` returns: that is staged outside."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        mine = _SCOPES.open.pop()
+        try:
+            return staged(df)
+        finally:
+            _SCOPES.open.append(mine)
+
+
+@contextlib.contextmanager
+def scoped(spark: SparkSession) -> Iterator[Scope]:
+    """A scope of staged tables: results of an iteration or an operator outlive it, its intermediate tables do not."""
+    if not hasattr(_SCOPES, "open"):
+        _SCOPES.open = []
+    _SCOPES.open.append([])
+    try:
+        yield Scope(spark)
+    finally:
+        deleted(spark, _SCOPES.open.pop())
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
