@@ -4,53 +4,30 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.operators.state import scoped, scratch, staged as stored, unstaged  # noqa: F401 - shared with the operators
+
 
 #: Rows of an Arrow batch between the JVM and Python: texts are long, and both sides hold a batch.
 BATCH_ROWS = 1000
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Sets the session to batches of at most BATCH_ROWS rows, unless it has smaller ones."""
+    """Sets the session to batches of at most BATCH_ROWS rows, unless it has smaller ones.
+
+    Spark reads the setting when a plan runs, which is after an operator has returned its frame, so it stays set: an
+    operator that runs its Python stages at once could set it back, one that returns a lazy frame can't. Batches are bounded
+    in bytes too, by Spark's own spark.sql.execution.arrow.maxBytesPerBatch.
+    """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
         spark.conf.set(name, BATCH_ROWS)
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the one that all executors share (spark.checkpoint.dir).
-
-    Only where the session names none, as in tests, a local one is set.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        made = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = made.get() if made.isDefined() else None
-    if not base:
-        base = tempfile.mkdtemp(prefix="tessera-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/tessera/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-
-
-def clear(spark: SparkSession) -> None:
-    """Deletes the scratch tables of this application; what is not yet computed from them can't be after that."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch(spark)).getParent()
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder: cuts lineage and is safe against lost executors."""
-    path = scratch(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def width(df: DataFrame) -> int:
     """Partitions for a shuffle that carries what df reads: as many as a scan of it has, or the session's number if larger.
 

@@ -1,189 +1,255 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into units by its content alone: of every WINDOW words in a row, the text is cut after the last one that ends
-a sentence (. ! ? before white space, or a line end), or else after that with the smallest hash. So every sentence end
-cuts, no unit is longer than WINDOW words, and whether a word cuts depends only on the WINDOW - 1 words on either side.
-From every unit a span runs over the next units until it holds at least MIN_UNITS units and MIN_WORDS words; its hash
-covers its words. Spans of all documents are joined by hash: every occurrence but the first (smallest document, then place)
-is repeated, and the units that it covers are removed.
-
-The same passage gives the same spans wherever it stands, whatever stands around it, but for its ends. In a passage of n
-words the cuts after words WINDOW to n - WINDOW are the same everywhere (what follows its last word is not). The first of
-them is after word 2 * WINDOW - 1 at the latest, and a span from there ends MIN_WORDS + WINDOW - 1 words later at the latest.
-So any passage of 4 * WINDOW + MIN_WORDS - 2 = 50 words or more has a span, in any place. (MIN_UNITS holds by itself:
-two units have less than MIN_WORDS words.)
-
-Within a batch of documents, all but the first occurrence of a span are repeated
-whatever other batches hold; they travel by their place, and only the first one travels by its hash. So a very common
-span sends a row a batch to one task, not a row an occurrence, and everything crosses one shuffle, once.
+A sentence ends at . ! ? (and what closes after it) before white space, at a line end, and at the end of the text. From every
+sentence a span runs over the next ones until it holds SENTENCES sentences and LEAST_WORDS words; its hash covers its words.
+Spans of all documents are joined by hash: every occurrence but the first (smallest document, then place) is repeated, and
+the sentences that it covers are removed.
+
+That finds passages of whole sentences. A passage that begins or ends inside sentences, or has long ones, may hold too few
+whole ones, so a second path (`runs=True`, the default) hashes runs of RUN words too. A run starts where the hash of four
+words is the least of WINDOW in a row, a choice that depends on these words alone, so two texts choose alike in what they
+share: any passage of WINDOW + RUN - 1 = 48 words has a run, wherever it stands and whatever stands around it, and the runs
+that start in a longer one cover it without gaps but for 23 words at either end at most.
+
+Places are numbers of words, so both paths go through one join, and one row a span crosses one shuffle, once. Within a
+batch of documents, all but the first occurrence of a span are repeated whatever other batches hold; they travel by their
+place, and only the first one travels by its hash. So a very common span sends a row a batch to one task, not a row an
+occurrence. Hashes have 64 bits: of n spans about n * n / 2 ** 65 pairs are taken for equal that are not.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import release, text_batches, width
-from tessera.llm.shingles import mixed, word_hashes
-
-MIN_UNITS, MIN_WORDS = 3, 20
-WINDOW = 8
-
-_SENTENCE = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
-_WORD = re.compile(r"\S+")
-
-
-def cuts(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Whether the text is cut after each word, of the words' hashes and whether they end a sentence."""
-    out = ends.copy()
-    if len(hashes) >= WINDOW:
-        rank = np.where(ends, np.uint64(0), hashes | np.uint64(1))[::-1]
-        windows = np.lib.stride_tricks.sliding_window_view(rank, WINDOW)
-        out[len(hashes) - 1 - np.arange(len(windows)) - windows.argmin(axis=1)] = True
+from tessera.llm.common import free_name, release, text_batches, width
+from tessera.llm.shingles import WordHashes, mixed, runs as word_runs
+
+SENTENCES, LEAST_WORDS = 3, 20
+RUN, WINDOW, GRAM = 25, 24, 4
+#: Characters of text that are handled at once, more only where one document is longer.
+GROUP_CHARS = 1_000_000
+
+#: White space as str.split() has it, for Java's patterns.
+_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LINE, _END = "\x01", np.uint64(1)
+_CLOSERS = "\"')]}»”’"
+
+
+class _Words(WordHashes):
+    """Hash of each word; its lowest bit says whether the word ends a sentence."""
+
+    def __missing__(self, word: str) -> int:
+        ends = word.rstrip(_CLOSERS)[-1:] in (".", "!", "?")
+        h = self[word] = xxhash.xxh3_64_intdigest(word) & ~1 | ends
+        return h
+
+
+@lru_cache(maxsize=1)
+def _words() -> _Words:
+    return _Words()
+
+
+def _cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts one after the other: each word's hash, the number of its text, and whether a sentence ends with it."""
+    held, sizes = [], []
+    for t in texts:
+        # A line end is a word of its own for now; a text that has that very word is cut line by line.
+        parts = t.replace("\n", f" {_LINE} ").split() if _LINE not in t else [w for line in t.split("\n") for w in (*(_LINE + w if w == _LINE else w for w in line.split()), _LINE)]
+        held += parts
+        sizes.append(len(parts))
+    known = _words()
+    line = np.uint64(known[_LINE])
+    hashes, owner = known.of(held), np.repeat(np.arange(len(texts)), sizes)
+    real = hashes != line
+    ends = (hashes & _END).astype(bool)
+    # The last real word before a line end, and of each text.
+    at = np.maximum.accumulate(np.where(real, np.arange(len(hashes)), -1))
+    marks = at[~real]
+    ends[marks[(marks >= 0) & (owner[marks] == owner[~real])]] = True
+    hashes, owner, ends = hashes[real], owner[real], ends[real]
+    if len(ends):
+        ends[np.concatenate([owner[1:] != owner[:-1], [True]])] = True
+    return hashes, owner, ends
+
+
+class _Powers:
+    """Powers of a number modulo 2^64 and of its inverse, as many as were asked for."""
+
+    def __init__(self, prime: int) -> None:
+        self.prime, self.inverse = np.uint64(prime), np.uint64(pow(prime, -1, 1 << 64))
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            self.up, self.down = (np.concatenate([[np.uint64(1)], np.cumprod(np.full(n - 1, x, np.uint64))]) for x in (self.prime, self.inverse))
+        return self.up[:n], self.down[:n]
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[_Powers, _Powers]:
+    return _Powers(0x9E3779B97F4A7C15), _Powers(0xC2B2AE3D27D4EB4F)
+
+
+def _hash(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A number for the words from each first up to each last (exclusive): differences of prefixes of two polynomials."""
+    out = (last - first).astype(np.uint64)
+    for p in _powers():
+        up, down = p.of(len(hashes) + 1)
+        total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes ^ p.prime) * up[:-1])])
+        out = mixed(out ^ ((total[last] - total[first]) * down[first]))
     return out
 
 
-def _cut(text: str) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
-    """(start, end) of the sentences of a text, the words' hashes, the number of words before each unit and in all."""
-    sentences, at = [], 0
-    for m in _SENTENCE.finditer(text):
-        if m.end() > at:
-            sentences.append((at, m.end()))
-            at = m.end()
-    if at < len(text):
-        sentences.append((at, len(text)))
-    words, upto = [], []
-    for a, b in sentences:
-        words += text[a:b].split()
-        upto.append(len(words))
-    hashes, ends = word_hashes().of(words), np.zeros(len(words), bool)
-    ends[[n - 1 for n in upto if n]] = True
-    # White space before the first word, up to a line end, is a unit of its own.
-    blank = [0] if upto and not upto[0] else []
-    return sentences, hashes, np.concatenate([[0], blank, np.flatnonzero(cuts(hashes, ends)) + 1]).astype(np.int64)
-
-
-def units(text: str) -> list[tuple[int, int, list[str]]]:
-    """(start, end, words) of the units of a text; a unit runs to the start of the next, so together they are the text."""
-    sentences, _, before = _cut(text)
-    if not sentences:
-        return []
-    places, words = [], []
-    for m in _WORD.finditer(text):
-        places.append(m.start())
-        words.append(m[0])
-    blank = len(before) > 2 and not before[1]
-    starts = [0, *[places[i] for i in before[1 + blank : -1].tolist()], len(text)]
-    if blank:
-        starts.insert(1, sentences[0][1])
-    return [(a, b, words[i:j]) for a, b, i, j in zip(starts[:-1], starts[1:], before[:-1].tolist(), before[1:].tolist(), strict=True)]
-
-
-def spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first unit, units, hash) of each span of a text."""
-    _, hashes, before = _cut(text)
-    sizes = np.diff(before)
-    first = np.arange(len(sizes))
-    last = np.maximum(np.searchsorted(before, before[:-1] + MIN_WORDS), first + MIN_UNITS)  # end of the span, exclusive
-    first, last = first[last <= len(sizes)], last[last <= len(sizes)]
-    # A unit without words starts no span of its own: the next one does.
-    keep = sizes[first] > 0 if len(first) else np.empty(0, bool)
-    first, last = first[keep], last[keep]
-    # Two polynomials over the words give a hash of a span by difference of prefixes, without a pass over each span.
-    out = np.zeros(len(first), np.uint64)
-    for prime in (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)):
-        power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(len(hashes), prime, np.uint64))])
-        total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes ^ prime) * power[:-1])])
-        inverse = pow(int(prime), -1, 1 << 64)
-        down = np.concatenate([[np.uint64(1)], np.cumprod(np.full(len(hashes), inverse, np.uint64))])
-        out = mixed(out ^ ((total[before[last]] - total[before[first]]) * down[before[first]]))
-    return first, last - first, mixed(out + (before[last] - before[first]).astype(np.uint64))
-
-
-def _order(batch: pa.RecordBatch) -> np.ndarray:
-    """The place of each row among the batch's (key, mark), nulls first; equal ones share it."""
-    at = pc.sort_indices(pa.table({"k": batch.column(0), "m": batch.column(1)}), sort_keys=[("k", "ascending"), ("m", "ascending")], null_placement="at_start").to_numpy()
-    rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+def sentence_spans(owner: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word after the last) of the span from every sentence that has one."""
+    cuts = np.concatenate([[0], np.flatnonzero(ends) + 1])
+    i = np.arange(len(cuts) - 1)
+    j = np.maximum(np.searchsorted(cuts, cuts[:-1] + LEAST_WORDS), i + SENTENCES)
+    i, j = i[j < len(cuts)], j[j < len(cuts)]
+    first, last = cuts[i], cuts[j]
+    one = owner[first] == owner[last - 1] if len(first) else np.empty(0, bool)
+    return first[one], last[one]
+
+
+def run_spans(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word after the last) of every run that is chosen."""
+    grams = word_runs(hashes, GRAM)
+    if len(grams) < WINDOW:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(axis=1) + np.arange(len(grams) - WINDOW + 1)
+    inside = owner[: len(least)] == owner[WINDOW + GRAM - 2 :]
+    first = np.unique(least[inside])
+    first = first[first + RUN <= len(owner)]
+    first = first[owner[first] == owner[first + RUN - 1]]
+    return first, first + RUN
+
+
+def spans(texts: list[str], runs: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the text, first word in it, words, hash) of each span of each text."""
+    hashes, owner, ends = _cut(texts)
+    if not len(hashes):
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
+    first, last = sentence_spans(owner, ends)
+    if runs:
+        first, last = (np.concatenate(x) for x in zip((first, last), run_spans(hashes, owner), strict=True))
+    # A run may be a span of sentences too: once is enough.
+    _, once = np.unique((first << 32) | (last - first), return_index=True)
+    first, last = first[once], last[once]
+    begin = np.searchsorted(owner, np.arange(len(texts)))
+    of = owner[first]
+    return of, first - begin[of], last - first, _hash(hashes, first, last)
+
+
+def _order(keys: pa.Array, marks: pa.Array) -> np.ndarray:
+    """The place of each row among (key, mark), nulls first; equal ones share it."""
+    at = pc.sort_indices(pa.table({"k": keys, "m": marks}), sort_keys=[("k", "ascending"), ("m", "ascending")], null_placement="at_start").to_numpy()
+    rows = list(zip(keys.to_pylist(), marks.to_pylist(), strict=True))
     new = np.array([i > 0 and rows[at[i]] != rows[at[i - 1]] for i in range(len(at))])
     out = np.empty(len(at), np.int64)
     out[at] = np.cumsum(new)
     return out
 
 
-def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        keys, firsts, sizes, hashes = [], [], [], []
-        for i, text in enumerate(b.column(2)):
-            text = text.as_py()
-            if text:
-                f, n, h = spans(text)
-                keys.append(np.full(len(f), i))
-                firsts.append(f)
-                sizes.append(n)
-                hashes.append(h)
-        if not keys:
-            continue
-        row, place, span = np.concatenate(keys), (np.concatenate(firsts).astype(np.int64) << 32) | np.concatenate(sizes), np.concatenate(hashes).view(np.int64)
-        rank = _order(b)[row]
-        order = np.lexsort((place, rank, span))
-        row, place, span, rank = row[order], place[order], span[order], rank[order]
-        start = np.concatenate([[True], span[1:] != span[:-1]]) if len(span) else np.empty(0, bool)
-        head = np.maximum.accumulate(np.where(start, np.arange(len(span)), 0))
-        again = (rank != rank[head]) | (place != place[head])
-        route = np.where(again, mixed((row.astype(np.uint64) << np.uint64(40)) ^ place.view(np.uint64) ^ span.view(np.uint64)).view(np.int64), span)
-        at = pa.array(row)
-        yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(place), pa.array(route), pa.array(again)], ["key", "mark", "place", "route", "again"])
+def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most GROUP_CHARS characters, or of one row."""
+    sizes = np.asarray(pc.fill_null(pc.utf8_length(batch.column(2)), 0))
+    start = held = 0
+    for i, n in enumerate(sizes.tolist()):
+        if held and held + n > GROUP_CHARS:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def _span_rows(batches: Iterator[pa.RecordBatch], runs: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for b in _groups(batch):
+            row, first, size, span = spans([t or "" for t in b.column(2).to_pylist()], runs)
+            if not len(row):
+                continue
+            place, span = (first << 32) | size, span.view(np.int64)
+            rank = _order(b.column(0), b.column(1))[row]
+            order = np.lexsort((place, rank, span))
+            row, place, span, rank = row[order], place[order], span[order], rank[order]
+            start = np.concatenate([[True], span[1:] != span[:-1]])
+            head = np.maximum.accumulate(np.where(start, np.arange(len(span)), 0))
+            again = (rank != rank[head]) | (place != place[head])
+            route = np.where(again, mixed((row.astype(np.uint64) << np.uint64(40)) ^ place.view(np.uint64) ^ span.view(np.uint64)).view(np.int64), span)
+            at = pa.array(row)
+            for i in range(0, len(row), 10_000):
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(at[i : i + 10_000]), b.column(1).take(at[i : i + 10_000]), *(pa.array(x[i : i + 10_000]) for x in (place, route, again))],
+                    ["key", "mark", "place", "route", "again"],
+                )
     release()
 
 
-def _kept(text: str, gone: np.ndarray) -> tuple[str, int, int]:
-    """The text without the units of these places, how many units and characters those are."""
-    parts, drop = units(text), set()
-    for x in set(gone.tolist()):
-        drop.update(range(x >> 32, (x >> 32) + (x & 0xFFFFFFFF)))
-    kept = "".join(text[a:b] for i, (a, b, _) in enumerate(parts) if i not in drop)
-    return kept, len(drop), len(text) - len(kept)
-
-
-def repeated(rows: DataFrame) -> DataFrame:
+def repeated(rows: DataFrame, runs: bool = True) -> DataFrame:
     """key, mark, gone for rows of key, mark (tells rows of one key apart), text: of each document with repeated spans, an
-    array of places, each the first unit times 2^32 plus the number of units."""
+    array of places, each the number of words before it times 2^32 plus its words."""
     schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), *T._parse_datatype_string("mark long, place long, route long, again boolean").fields])
-    found = rows.select("key", "mark", "text").mapInArrow(_span_rows, schema).repartition(width(rows), "route")
+    found = rows.select("key", "mark", "text").mapInArrow(lambda b: _span_rows(b, runs), schema).repartition(width(rows), "route")
     first = F.rank().over(Window.partitionBy("route", "again").orderBy("key", "mark", "place")) == 1
     return found.withColumn("first", first).filter("again or not first").groupBy("key", "mark").agg(F.collect_list("place").alias("gone"))
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with `text` less what is repeated, and n_removed (units), chars_removed.
+def merged(places: Column) -> Column:
+    """Places as sorted ranges that do not touch: array of struct<a, b>, from word a up to word b."""
+    ranges = F.transform(F.array_sort(places), lambda p: F.struct(F.shiftright(p, 32).cast("int").alias("a"), (F.shiftright(p, 32) + p.bitwiseAND(F.lit(0xFFFFFFFF))).cast("int").alias("b")))
+    none = F.array().cast("array<struct<a:int,b:int>>")
+    start = F.struct(none.alias("done"), F.lit(None).cast("struct<a:int,b:int>").alias("now"))
+
+    def step(acc: Column, r: Column) -> Column:
+        joins = acc["now"].isNotNull() & (r["a"] <= acc["now"]["b"])
+        grown = F.struct(acc["now"]["a"].alias("a"), F.greatest(acc["now"]["b"], r["b"]).alias("b"))
+        done = F.when(joins | acc["now"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["now"])))
+        return F.struct(done.alias("done"), F.when(joins, grown).otherwise(r).alias("now"))
+
+    return F.aggregate(ranges, start, step, lambda acc: F.concat(acc["done"], F.filter(F.array(acc["now"]), lambda x: x.isNotNull())))
+
+
+def without(text: Column, ranges: Column) -> Column:
+    """A text less the words of these ranges and the white space after each; a line end at the end of a range stays."""
+    lead = F.regexp_extract(text, f"^{_SPACE}*", 0)
+    words = F.split(F.substring(text, F.length(lead) + 1, F.length(text)), f"(?<={_SPACE})(?!{_SPACE})")
+    n = F.size(ranges)
+    before = F.transform(ranges, lambda r, i: F.struct(F.when(i == 0, 0).otherwise(F.get(ranges, i - 1)["b"]).alias("a"), r["a"].alias("b"), r["b"].alias("to")))
+    kept = F.transform(before, lambda r: F.concat(F.array_join(F.slice(words, r["a"] + 1, r["b"] - r["a"]), ""), F.when(F.get(words, r["to"] - 1).contains("\n"), F.lit("\n")).otherwise(F.lit(""))))
+    end = F.get(ranges, n - 1)["b"]
+    whole = F.concat(lead, F.array_join(kept, ""), F.array_join(F.slice(words, end + 1, F.greatest(F.size(words) - end, F.lit(0))), ""))
+    return F.when(whole.rlike(f"^{_SPACE}*$"), F.lit("")).otherwise(whole)
+
+
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: bool = True) -> DataFrame:
+    """docs with `text` less what is repeated, and n_removed (words), chars_removed.
 
-    One row per row of docs. A null text stays null; an empty one stays empty; a text whose units are all repeated becomes
-    empty. Rows with one key and one text are one document: all of them keep what it keeps. Null keys come before all
-    others. Columns named n_removed or chars_removed are replaced.
+    One row per row of docs. A null text stays null; an empty one stays empty; a text without a word left becomes empty.
+    A span that overlaps its own first occurrence (a word said over and over) is repeated too, so little of such a text
+    stays. Rows with one key and one text are one document: all of them keep what it keeps. Null keys come before all
+    others. Columns named n_removed or chars_removed are replaced. runs=False leaves the second path out.
     """
     text_batches(docs.sparkSession)
     names = [c for c in docs.columns if c.lower() not in ("n_removed", "chars_removed")]
     # Where no key repeats, as in a table of documents, the mark is constant and costs the shuffle nothing.
     repeats = not docs.groupBy(F.col(key)).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
     mark = F.xxhash64(text) if repeats else F.lit(0).cast("long")
-    held = docs.select(F.struct(*names).alias("row"), F.col(key).alias("key"), mark.alias("mark"), F.col(text).alias("text"))
-    gone = repeated(held.select("key", "mark", "text")).select(F.col("key").alias("k"), F.col("mark").alias("m"), "gone")
-    joined = held.join(gone, F.col("key").eqNullSafe(F.col("k")) & (F.col("mark") == F.col("m")), "left").select("row", "gone")
-
-    @F.pandas_udf("kept string, n_removed int, chars_removed long")
-    def cut(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
-        rows = [_kept(t, g) if g is not None else (None, 0, 0) for t, g in zip(texts, gone, strict=True)]
-        return pd.DataFrame(rows, columns=["kept", "n_removed", "chars_removed"])
-
-    touched = F.col("gone").isNotNull()
-    done = joined.withColumn("cut", cut.asNondeterministic()(F.when(touched, F.col(f"row.{text}")), F.col("gone")))
-    kept = F.when(touched, F.col("cut.kept")).otherwise(F.col(f"row.{text}"))
-    return done.select(*[kept.alias(c) if c == text else F.col(f"row.{c}") for c in names], "cut.n_removed", "cut.chars_removed")
+    k, m, g = (free_name(docs, x) for x in ("span_key", "span_mark", "span_gone"))
+    gone = repeated(docs.select(F.col(key).alias("key"), mark.alias("mark"), F.col(text).alias("text")), runs)
+    gone = gone.select(F.col("key").alias(k), F.col("mark").alias(m), merged(F.col("gone")).alias(g))
+    joined = docs.select(*names).join(gone, F.col(key).eqNullSafe(F.col(k)) & (mark == F.col(m)), "left")
+    kept = F.when(F.col(g).isNotNull(), without(F.col(text), F.col(g))).otherwise(F.col(text))
+    words = F.aggregate(F.coalesce(g, F.array().cast("array<struct<a:int,b:int>>")), F.lit(0), lambda n, r: n + r["b"] - r["a"])
+    cut = joined.select(*[F.col(c).alias(c) for c in names if c != text], F.length(text).alias(m), kept.alias(text), words.alias("n_removed"))
+    removed = F.coalesce(F.col(m) - F.length(text), F.lit(0)).cast("long")
+    return cut.withColumn("chars_removed", removed).select(*names, "n_removed", "chars_removed")
