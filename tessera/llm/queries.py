@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import bpe, html_diff, jaccard, langid, quality_rules, spans, tiling, topk, url_alias, warc
 
-#: The tokenizer of the contract; any file of the tokenizers library does.
+#: The tokenizer of the contract. Others of the tokenizers library give right results too, but a text is one word then.
 TOKENIZER = "word_bpe_49k.json"
 
 
