@@ -11,7 +11,6 @@ on shared seeds, and is tiled with it only if the seeds that they share could co
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,58 +24,89 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.llm.common import batched, stored, text_batches
-from tessera.llm.shingles import WordHashes, runs
+from tessera.llm.shingles import WordHashes, mixed, runs
 
 MIN_TILE, COVERAGE = 4, 0.6
 #: Word runs of benchmark items in a broadcast block, at most (or one item, if it alone has more).
 SEED_BLOCK = 1_000_000
 
 _WORD = re.compile(r"\w+")
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: A number in place of a word that is in no item.
+_STRANGER = np.uint64(0)
 
 
 def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def tiles(a: list[int], b: list[int], least: int = MIN_TILE) -> list[tuple[int, int, int]]:
-    """Greedy string tiling of two sequences: (place in a, place in b, length), longest first, then by place in a and b.
+class _Rolling:
+    """Hashes of all runs of one length of a sequence (Karp-Rabin: differences of prefix sums), and which members are used."""
 
-    Candidate matches come from equal hashes of runs of `least` members (Karp-Rabin), are checked member by member and
-    joined along diagonals; a match that a longer tile has covered in part goes back with what is left of it.
+    def __init__(self, members: np.ndarray) -> None:
+        self.used = np.zeros(len(members), bool)
+        self.up = np.concatenate([[np.uint64(1)], np.cumprod(np.full(len(members), _BASE, np.uint64))])
+        self.down = np.concatenate([[np.uint64(1)], np.cumprod(np.full(len(members), _INVERSE, np.uint64))])
+        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(members) * self.up[:-1])])
+
+    def free(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(start, hash) of the runs of n members none of which is used."""
+        taken = np.concatenate([[0], np.cumsum(self.used)])
+        at = np.flatnonzero(taken[n:] == taken[: len(taken) - n])
+        return at, (self.sums[at + n] - self.sums[at]) * self.down[at]
+
+
+def tiles(a, b, least: int = MIN_TILE) -> list[tuple[int, int, int]]:
+    """Greedy string tiling of two sequences of numbers: (place in a, place in b, length), longest first, then by place in a
+    and b.
+
+    Again and again the longest run of unused members that both have is sought, by bisection over its length: a longer
+    common run has all shorter ones in it. Runs are met by their hashes, of all places at once; a match is compared member
+    by member before its members are marked as used. So a length costs time in proportion to the two sequences, however
+    often members repeat.
     """
-    where: dict[tuple, list[int]] = {}
-    for i in range(len(a) - least + 1):
-        where.setdefault(tuple(a[i : i + least]), []).append(i)
-    open_, heap = {}, []
-    for j in range(len(b) - least + 1):
-        now = {}
-        for i in where.get(tuple(b[j : j + least]), ()):
-            start, length = open_.pop(i - 1, (i, least - 1))
-            now[i] = (start, length + 1)
-        heap += [(-n, s, j - 1 + least - n) for s, n in open_.values()]
-        open_ = now
-    heap += [(-n, s, len(b) - n) for s, n in open_.values()]
-    heapq.heapify(heap)
-    used_a, used_b, out = bytearray(len(a)), bytearray(len(b)), []
-    while heap:
-        n, i, j = heapq.heappop(heap)
-        n = -n
-        if not any(used_a[i : i + n]) and not any(used_b[j : j + n]):
-            out.append((i, j, n))
-            used_a[i : i + n] = used_b[j : j + n] = b"\x01" * n
-            continue
-        start = None
-        for k in range(n + 1):
-            free = k < n and not used_a[i + k] and not used_b[j + k]
-            if free and start is None:
-                start = k
-            elif not free and start is not None:
-                if k - start >= least:
-                    heapq.heappush(heap, (start - k, i + start, j + start))
-                start = None
+    a, b = (np.asarray(x).astype(np.uint64) for x in (a, b))
+    out, left, right = [], _Rolling(a), _Rolling(b)
+    most = min(len(a), len(b))
+
+    def common(n: int) -> bool:
+        return bool(np.isin(left.free(n)[1], right.free(n)[1]).any())
+
+    while most >= least and common(least):
+        low, high = least, most + 1
+        while high - low > 1:
+            mid = (low + high) // 2
+            low, high = (mid, high) if common(mid) else (low, mid)
+        starts, hashes = left.free(low)
+        places, found = right.free(low)
+        order = np.argsort(found, kind="stable")
+        found, places = found[order], places[order]
+        for i, h in zip(starts.tolist(), hashes, strict=True):
+            if left.used[i : i + low].any():
+                continue
+            for j in places[np.searchsorted(found, h, "left") : np.searchsorted(found, h, "right")].tolist():
+                if not right.used[j : j + low].any() and np.array_equal(a[i : i + low], b[j : j + low]):
+                    left.used[i : i + low] = right.used[j : j + low] = True
+                    out.append((i, j, low))
+                    break
+        most = low - 1
     return out
 
 
+def covered(target: np.ndarray, own: np.ndarray, size: int) -> list[tuple[int, int, int]]:
+    """`tiles` of an item and a document (places in the document are those of its members that the item has in runs)."""
+    hit = np.isin(runs(own, size), runs(target, size))
+    near = np.zeros(len(own) + 1, np.int64)
+    np.add.at(near, np.flatnonzero(hit), 1)
+    np.add.at(near, np.flatnonzero(hit) + size, -1)
+    near = np.cumsum(near[:-1]) > 0
+    # Runs lie within the stretches of the document that matching runs cover; one stranger parts these.
+    at = np.flatnonzero(near)
+    cuts = np.flatnonzero(np.diff(at) > 1) + 1
+    return tiles(target, np.insert(own[at], cuts, _STRANGER), size)
+
+
 @dataclass
 class Block:
     """Items with their words' hashes, and their seeds in order: hash, item (position), place in the item."""
@@ -131,10 +161,10 @@ def _leaks(key, own: np.ndarray, size: int, block: Block, coverage: float) -> It
         most = int(np.minimum(np.diff(places, append=places[-1] + size), size).sum())  # words that shared seeds could cover
         if most < coverage * len(target):
             continue
-        made = tiles(target.tolist(), own.tolist(), size)
-        covered = sum(n for _, _, n in made)
-        if covered >= coverage * len(target):
-            yield key, block.ids[i], covered / len(target), len(made)
+        made = covered(target, own, size)
+        words_in = sum(n for _, _, n in made)
+        if words_in >= coverage * len(target):
+            yield key, block.ids[i], words_in / len(target), len(made)
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", least: int = MIN_TILE, coverage: float = COVERAGE) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -36,9 +37,29 @@ def test_tiles(seed):
     r = random.Random(seed)
     a = [r.randint(0, 3) for _ in range(30)]
     b = [r.randint(0, 3) for _ in range(50)] + a[5:17] + a[:4]
-    got, want = tiling.tiles(a, b, 3), tiled(a, b, 3)
-    assert sorted(n for *_, n in got) == sorted(n for *_, n in want)
-    assert all(a[i : i + n] == b[j : j + n] for i, j, n in got)
+    assert tiling.tiles(a, b, 3) == tiled(a, b, 3)
+    known = tiling.WordHashes()
+    x, y = (known.of([f"w{m}" for m in s]) for s in (a, b))
+    assert [(i, n) for i, _, n in tiling.covered(x, y, 3)] == [(i, n) for i, _, n in tiled(a, b, 3)]
+
+
+def test_very_long_and_repetitive_texts():
+    """Time grows with the text, not with the number of matching pairs of places."""
+    known = tiling.WordHashes()
+    item = known.of(["of"] * 60)
+    began = time.perf_counter()
+    assert [n for *_, n in tiling.covered(item, known.of(["of"] * 200_000), 4)] == [60]
+    mixed = known.of((["of"] * 7 + ["x"]) * 20_000)
+    assert sum(n for *_, n in tiling.covered(item, mixed, 4)) == 60
+    assert time.perf_counter() - began < 5
+
+
+def test_very_long_text(spark):
+    item = text(30)
+    long = " ".join(text(1000) for _ in range(200))
+    words = item.split()
+    moved = " ".join([*words[15:], long, *words[:15]])
+    assert leaks(spark, [(1, long), (2, f"{long} {item} {long}"), (3, moved)], [(7, item)]) == [(2, 7, 1.0), (3, 7, 1.0)]
 
 
 def leaks(spark, docs, items, **more):
