@@ -19,27 +19,30 @@ occurrence. Hashes have 64 bits: of n spans about n * n / 2 ** 65 pairs are take
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import free_name, release, text_batches, width
+from tessera.llm.common import free_name, release, stored, text_batches, width
 from tessera.llm.shingles import WordHashes, mixed, runs as word_runs
 
 SENTENCES, LEAST_WORDS = 3, 20
 RUN, WINDOW, GRAM = 25, 24, 4
 #: Characters of text that are handled at once, more only where one document is longer.
 GROUP_CHARS = 1_000_000
+#: Bytes of places that are broadcast at most; more are shuffled.
+BROADCAST = 2 << 20
 
-#: White space as str.split() has it, for Java's patterns.
-_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_WORD = re.compile(r"\S+")
 _LINE, _END = "\x01", np.uint64(1)
 _CLOSERS = "\"')]}»”’"
 
@@ -204,31 +207,26 @@ def repeated(rows: DataFrame, runs: bool = True) -> DataFrame:
     return found.withColumn("first", first).filter("again or not first").groupBy("key", "mark").agg(F.collect_list("place").alias("gone"))
 
 
-def merged(places: Column) -> Column:
-    """Places as sorted ranges that do not touch: array of struct<a, b>, from word a up to word b."""
-    ranges = F.transform(F.array_sort(places), lambda p: F.struct(F.shiftright(p, 32).cast("int").alias("a"), (F.shiftright(p, 32) + p.bitwiseAND(F.lit(0xFFFFFFFF))).cast("int").alias("b")))
-    none = F.array().cast("array<struct<a:int,b:int>>")
-    start = F.struct(none.alias("done"), F.lit(None).cast("struct<a:int,b:int>").alias("now"))
-
-    def step(acc: Column, r: Column) -> Column:
-        joins = acc["now"].isNotNull() & (r["a"] <= acc["now"]["b"])
-        grown = F.struct(acc["now"]["a"].alias("a"), F.greatest(acc["now"]["b"], r["b"]).alias("b"))
-        done = F.when(joins | acc["now"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["now"])))
-        return F.struct(done.alias("done"), F.when(joins, grown).otherwise(r).alias("now"))
-
-    return F.aggregate(ranges, start, step, lambda acc: F.concat(acc["done"], F.filter(F.array(acc["now"]), lambda x: x.isNotNull())))
-
-
-def without(text: Column, ranges: Column) -> Column:
-    """A text less the words of these ranges and the white space after each; a line end at the end of a range stays."""
-    lead = F.regexp_extract(text, f"^{_SPACE}*", 0)
-    words = F.split(F.substring(text, F.length(lead) + 1, F.length(text)), f"(?<={_SPACE})(?!{_SPACE})")
-    n = F.size(ranges)
-    before = F.transform(ranges, lambda r, i: F.struct(F.when(i == 0, 0).otherwise(F.get(ranges, i - 1)["b"]).alias("a"), r["a"].alias("b"), r["b"].alias("to")))
-    kept = F.transform(before, lambda r: F.concat(F.array_join(F.slice(words, r["a"] + 1, r["b"] - r["a"]), ""), F.when(F.get(words, r["to"] - 1).contains("\n"), F.lit("\n")).otherwise(F.lit(""))))
-    end = F.get(ranges, n - 1)["b"]
-    whole = F.concat(lead, F.array_join(kept, ""), F.array_join(F.slice(words, end + 1, F.greatest(F.size(words) - end, F.lit(0))), ""))
-    return F.when(whole.rlike(f"^{_SPACE}*$"), F.lit("")).otherwise(whole)
+def without(text: str, places: list[int]) -> tuple[str, int]:
+    """A text less the words at these places and the white space after each, and how many words those are. A line that ended
+    with removed words ends all the same; a text without a word left is empty."""
+    at = [m.span() for m in _WORD.finditer(text)]
+    ranges: list[list[int]] = []
+    for p in sorted(set(places)):
+        a, b = p >> 32, (p >> 32) + (p & 0xFFFFFFFF)
+        if ranges and a <= ranges[-1][1]:
+            ranges[-1][1] = max(ranges[-1][1], b)
+        else:
+            ranges.append([a, b])
+    out, done = [], 0
+    for a, b in ranges:
+        start, stop = at[a][0], at[b][0] if b < len(at) else len(text)
+        out.append(text[done:start])
+        if "\n" in text[at[b - 1][1] : stop] and not out[-1].rstrip(" \t").endswith("\n"):
+            out.append("\n")
+        done = stop
+    kept = "".join(out) + text[done:]
+    return kept if kept.strip() else "", sum(b - a for a, b in ranges)
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: bool = True) -> DataFrame:
@@ -244,12 +242,20 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: bool =
     # Where no key repeats, as in a table of documents, the mark is constant and costs the shuffle nothing.
     repeats = not docs.groupBy(F.col(key)).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
     mark = F.xxhash64(text) if repeats else F.lit(0).cast("long")
-    k, m, g = (free_name(docs, x) for x in ("span_key", "span_mark", "span_gone"))
+    k, m, g, c = (free_name(docs, x) for x in ("span_key", "span_mark", "span_gone", "span_cut"))
     gone = repeated(docs.select(F.col(key).alias("key"), mark.alias("mark"), F.col(text).alias("text")), runs)
-    gone = gone.select(F.col("key").alias(k), F.col("mark").alias(m), merged(F.col("gone")).alias(g))
-    joined = docs.select(*names).join(gone, F.col(key).eqNullSafe(F.col(k)) & (mark == F.col(m)), "left")
-    kept = F.when(F.col(g).isNotNull(), without(F.col(text), F.col(g))).otherwise(F.col(text))
-    words = F.aggregate(F.coalesce(g, F.array().cast("array<struct<a:int,b:int>>")), F.lit(0), lambda n, r: n + r["b"] - r["a"])
-    cut = joined.select(*[F.col(c).alias(c) for c in names if c != text], F.length(text).alias(m), kept.alias(text), words.alias("n_removed"))
-    removed = F.coalesce(F.col(m) - F.length(text), F.lit(0)).cast("long")
-    return cut.withColumn("chars_removed", removed).select(*names, "n_removed", "chars_removed")
+    gone = stored(gone.select(F.col("key").alias(k), F.col("mark").alias(m), F.col("gone").alias(g)))
+    if (gone.agg(F.sum(F.size(g) * 8 + 64)).first()[0] or 0) <= BROADCAST:
+        gone = F.broadcast(gone)
+
+    @F.pandas_udf("kept string, n int")
+    def cut(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([without(t, p.tolist()) for t, p in zip(texts, places, strict=True)], columns=["kept", "n"])
+
+    # Only documents with repeated spans reach Python, with nothing of the others queued beside them.
+    held, same = docs.select(*names), F.col(key).eqNullSafe(F.col(k)) & (mark == F.col(m))
+    touched = held.join(gone, same).withColumn(c, cut.asNondeterministic()(F.col(text), F.col(g)))
+    removed = (F.length(text) - F.length(f"{c}.kept")).cast("long")
+    done = touched.select(*[F.col(f"{c}.kept").alias(x) if x == text else F.col(x) for x in names], F.col(f"{c}.n").alias("n_removed"), removed.alias("chars_removed"))
+    rest = held.join(gone, same, "left_anti").withColumns({"n_removed": F.lit(0), "chars_removed": F.lit(0).cast("long")})
+    return done.unionByName(rest)
