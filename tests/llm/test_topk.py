@@ -1,5 +1,8 @@
 import random
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import queries, topk
@@ -44,6 +47,36 @@ def test_large_values_stay_exact(spark):
         assert s == sum(a * b for a, b in zip(exact[q], exact[c], strict=True))
 
 
+def test_too_large_values(spark):
+    df = spark.createDataFrame([(i, [2.0**40 + i]) for i in range(9)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk.search(df, df, k=2).collect()
+
+
+@pytest.mark.parametrize("decay", [0.0, 0.12])
+def test_the_threshold_saves_products(decay):
+    """Phases 2 and 3 multiply less than all pairs in full; with weight in few coordinates all three do."""
+    rng = np.random.default_rng(1)
+    vectors = (rng.standard_normal((3000, 64)) * np.exp(-decay * np.arange(64)) * 256).astype(np.int64)
+    batch = [pa.RecordBatch.from_arrays([pa.array(np.arange(3000)), pa.array(list(vectors))], ["key", "v"])]
+    at = np.arange(60)
+    shared = SimpleNamespace(value={64: topk.Asked.of(at, at * 50, vectors[::50])})
+    one, two = [0], [0]
+    heads = dict(topk._gather(batch, shared, 5, 20_000, one))
+    first = [heads[i] for i in range(60)]
+    # The heads are of chunks of candidates, as of partitions: their fifth score is no more than the true one.
+    cutoffs = SimpleNamespace(value=np.array([x[4] for x in first]))
+    got = sorted(topk._resolve(batch, shared, cutoffs, 5, 20_000, two))
+    scores = vectors[::50] @ vectors.T
+    scores[at, at * 50] = -(1 << 62)
+    want = sorted((i, int(j), int(scores[i, j])) for i in range(60) for j in np.lexsort((np.arange(3000), -scores[i]))[:5])
+    assert got == want
+    full = 60 * 3000 * 64
+    assert one[0] < 0.3 * full and two[0] < full
+    if decay:
+        assert one[0] + two[0] < 0.75 * full, (one[0] / full, two[0] / full)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.search(df, df).collect() == []
