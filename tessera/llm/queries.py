@@ -71,7 +71,7 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_diff.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+    return html_diff.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 #: The pages of these tables have one article each, of h1 and p: a plain reading of that element gives the same text.

@@ -32,15 +32,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import free_name, release, stored, text_batches, width
+from tessera.llm.common import free_name, release, text_batches, width
 from tessera.llm.shingles import WordHashes, mixed, runs as word_runs
 
 SENTENCES, LEAST_WORDS = 3, 20
 RUN, WINDOW, GRAM = 25, 24, 4
 #: Characters of text that are handled at once, more only where one document is longer.
 GROUP_CHARS = 1_000_000
-#: Bytes of places that are broadcast at most; more are shuffled.
-BROADCAST = 2 << 20
 
 _WORD = re.compile(r"\S+")
 _LINE, _END = "\x01", np.uint64(1)
@@ -244,16 +242,15 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: bool =
     mark = F.xxhash64(text) if repeats else F.lit(0).cast("long")
     k, m, g, c = (free_name(docs, x) for x in ("span_key", "span_mark", "span_gone", "span_cut"))
     gone = repeated(docs.select(F.col(key).alias("key"), mark.alias("mark"), F.col(text).alias("text")), runs)
-    gone = stored(gone.select(F.col("key").alias(k), F.col("mark").alias(m), F.col("gone").alias(g)))
-    if (gone.agg(F.sum(F.size(g) * 8 + 64)).first()[0] or 0) <= BROADCAST:
-        gone = F.broadcast(gone)
+    gone = gone.select(F.col("key").alias(k), F.col("mark").alias(m), F.col("gone").alias(g))
 
     @F.pandas_udf("kept string, n int")
     def cut(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([without(t, p.tolist()) for t, p in zip(texts, places, strict=True)], columns=["kept", "n"])
 
-    # Only documents with repeated spans reach Python, with nothing of the others queued beside them.
-    held, same = docs.select(*names), F.col(key).eqNullSafe(F.col(k)) & (mark == F.col(m))
+    # Only documents with repeated spans reach Python, with nothing of the others queued beside them. Both joins name the
+    # same columns, so that Spark shuffles either side once for both.
+    held, same = docs.select(*names), F.col(key).eqNullSafe(F.col(k)) & (mark == F.col(m)) & (F.size(g) > 0)
     touched = held.join(gone, same).withColumn(c, cut.asNondeterministic()(F.col(text), F.col(g)))
     removed = (F.length(text) - F.length(f"{c}.kept")).cast("long")
     done = touched.select(*[F.col(f"{c}.kept").alias(x) if x == text else F.col(x) for x in names], F.col(f"{c}.n").alias("n_removed"), removed.alias("chars_removed"))

@@ -67,10 +67,8 @@ def run(spark, rows, **more):
 
 
 @pytest.mark.parametrize("runs", [False, True])
-@pytest.mark.parametrize("broadcast", [0, 1 << 20])
 @pytest.mark.parametrize("group", [300, 10**6])
-def test_against_brute_force(spark, monkeypatch, runs, broadcast, group):
-    monkeypatch.setattr(spans, "BROADCAST", broadcast)
+def test_against_brute_force(spark, monkeypatch, runs, group):
     monkeypatch.setattr(spans, "GROUP_CHARS", group)
     rng = random.Random(2)
     passages = [prose(7) for _ in range(4)] + [sentence(60), "Yes. No. Why? 'Well.' Said who! " * 3]
@@ -126,6 +124,15 @@ def test_clean(spark):
     assert {(k, t) for k, t, *_ in got} == set(rows) and all(n == 0 for *_, n, _ in got)
 
 
+def test_one_pass_over_the_texts(spark, sf):
+    """Spans are sought once: both joins of the plan read the same shuffles."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    done = spans.dedup(docs)
+    done.collect()
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan[: plan.find("== Initial Plan ==")].count("MapInArrow ") == 1, plan
+
+
 def test_empty_table(spark):
     assert spans.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
