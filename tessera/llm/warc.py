@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batched, free_name, stored, text_batches
+from tessera.llm.common import batched, stored, text_batches
 
 #: Bytes of records in a frame and of frames in a bundle, more only where one record is larger.
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 4 << 20
@@ -36,21 +36,26 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _uri(key) -> str:
-    return f"<urn:page:{'' if key is None else key}>"
+def _uri(url: str) -> str:
+    return "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
 
 
-def record(key, url: str | None, payload: bytes, refers_to, date: str = DATE) -> bytes:
-    """One WARC record; refers_to, if not None, makes it a revisit, which carries no payload."""
-    head = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", _uri(key)), ("WARC-Date", date)]
+def record(key, number: int, url: str | None, payload: bytes, refers_to=None, refers_to_url: str | None = None, date: str = DATE) -> bytes:
+    """One WARC record. Its id is the key and a number that no other row has, as keys may be null or repeat.
+
+    refers_to, if not None, makes it a revisit, which carries no payload: it names the response by its key (in a field of
+    this format's own) and by its target URI and date, as a record id that is not unique could not.
+    """
+    own = "" if key is None else key
+    head = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", f"<urn:page:{own}:{number}>"), ("WARC-Date", date)]
     if url is not None:
-        head.append(("WARC-Target-URI", "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url)))
+        head.append(("WARC-Target-URI", _uri(url)))
     head.append(("WARC-Payload-Digest", f"sha1:{digest(payload)}"))
     block = _HTTP % len(payload)
     if refers_to is None:
         block += payload
     else:
-        head += [("WARC-Refers-To", _uri(refers_to)), ("WARC-Profile", _PROFILE)]
+        head += [("X-Refers-To-Page", str(refers_to)), *([("WARC-Refers-To-Target-URI", _uri(refers_to_url))] if refers_to_url is not None else []), ("WARC-Refers-To-Date", date), ("WARC-Profile", _PROFILE)]
     head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     return "".join(["WARC/1.1\r\n", *[f"{k}: {v}\r\n" for k, v in head], "\r\n"]).encode() + block + b"\r\n\r\n"
 
@@ -96,7 +101,9 @@ def read_record(archive: bytes, frame: int, offset: int) -> tuple[dict[str, str]
 
 
 def _bundles(batches: Iterator[pa.RecordBatch], date: str, frame_bytes: int, bundle_bytes: int) -> Iterator[tuple]:
-    packer = zstandard.ZstdCompressor(level=3)
+    from pyspark import TaskContext
+
+    packer, number = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId() << 40
     raw, archive, sizes, index = bytearray(), bytearray(), [], []
 
     def close() -> None:
@@ -106,9 +113,9 @@ def _bundles(batches: Iterator[pa.RecordBatch], date: str, frame_bytes: int, bun
         raw.clear()
 
     for b in batches:
-        for key, url, html, refers, revisit in zip(*(b.column(i) for i in range(5)), strict=True):
-            key = key.as_py()
-            one = record(key, url.as_py(), (html.as_py() or "").encode(), (refers.as_py() if refers.is_valid else "") if revisit.as_py() else None, date)
+        for key, url, html, refers, at, revisit in zip(*(b.column(i) for i in range(6)), strict=True):
+            key, number = key.as_py(), number + 1
+            one = record(key, number, url.as_py(), (html.as_py() or "").encode(), refers.as_py() if revisit.as_py() else None, at.as_py(), date)
             index.append({"key": key, "frame": len(sizes), "offset": len(raw), "length": len(one)})
             raw.extend(one)
             if len(raw) >= frame_bytes:
@@ -132,14 +139,14 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     keys of a payload are null, all are responses. Equality is that of the SHA-1 and the length.
     """
     text_batches(pages.sparkSession)
-    d, n, first, of = (free_name(pages, x) for x in ("digest", "bytes", "first", "of"))
+    d, n, first, of = "digest", "bytes", "first", "of"
     body = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"), F.sha1(body).alias(d), F.octet_length(body).alias(n))
-    firsts = rows.filter(F.col(n) >= least).groupBy(d, n).agg(F.min("key").alias(first), F.count("*").alias(of)).filter((F.col(of) > 1) & F.col(first).isNotNull()).drop(of)
+    firsts = rows.filter(F.col(n) >= least).groupBy(d, n).agg(F.min(F.when(F.col("key").isNotNull(), F.struct("key", "url"))).alias(first), F.count("*").alias(of)).filter((F.col(of) > 1) & F.col(first).isNotNull()).drop(of)
     firsts = stored(firsts)
     joined = rows.join(firsts, [d, n], "left")
-    revisit = F.col(first).isNotNull() & ~F.col("key").eqNullSafe(F.col(first))
-    ready = joined.select("key", "url", "html", F.when(revisit, F.col(first)).alias("refers"), revisit.alias("revisit"))
+    revisit = F.col(first).isNotNull() & ~F.col("key").eqNullSafe(F.col(f"{first}.key"))
+    ready = joined.select("key", "url", "html", F.when(revisit, F.col(f"{first}.key")).alias("refers"), F.when(revisit, F.col(f"{first}.url")).alias("at"), revisit.alias("revisit"))
     entry = pa.struct([("key", pa.int64()), ("frame", pa.int32()), ("offset", pa.int64()), ("length", pa.int64())])
     schema = pa.schema([("archive", pa.binary()), ("index", pa.list_(entry))])
     frame, bundle = FRAME_BYTES, BUNDLE_BYTES
@@ -149,7 +156,7 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     opener = zstandard.ZstdDecompressor()
-    number = lambda x: int(x) if (x := x[len("<urn:page:") : -1]) else None
+    number = lambda x: int(x) if (x := x[len("<urn:page:") : x.rindex(":")]) else None
     for b in batches:
         for name, archive in zip(b.column(0).to_pylist(), b.column(1), strict=True):
             archive = archive.as_py()
@@ -161,7 +168,7 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
                     kind, said = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:")
                     if kind == "response" and digest(payload) != said:
                         raise ValueError(f"{name}, frame {frame}, offset {offset}: the payload has another digest")
-                    refers = number(head["WARC-Refers-To"]) if "WARC-Refers-To" in head else None
+                    refers = int(head["X-Refers-To-Page"]) if "X-Refers-To-Page" in head else None
                     yield number(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), kind, said, len(payload) if kind == "response" else None, refers, name, frame, offset
 
 

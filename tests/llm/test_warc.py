@@ -36,17 +36,22 @@ def test_round_trip(spark, monkeypatch):
         assert sorted(((r.key, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=repr) == expected(ROWS, least)
     archives = {r.name: r for r in bundles.collect()}
     payloads = {(k, h or "") for k, _, h, _ in ROWS}
-    n = 0
+    n, ids, found = 0, set(), {}
     for b in archives.values():
         for e in b["index"]:
             head, payload = warc.read_record(bytes(b.archive), e.frame, e.offset)
-            assert head["WARC-Record-ID"] == f"<urn:page:{'' if e.key is None else e.key}>" and "Evil" not in head
+            assert head["WARC-Record-ID"].startswith(f"<urn:page:{'' if e.key is None else e.key}:") and "Evil" not in head
+            ids.add(head["WARC-Record-ID"])
+            found.setdefault((head.get("WARC-Target-URI"), head["WARC-Payload-Digest"]), set()).add(head["WARC-Type"])
+            if head["WARC-Type"] == "revisit" and "WARC-Refers-To-Target-URI" in head:
+                assert head["WARC-Refers-To-Target-URI"] in ("http://a/2", "http://c")
             assert head["WARC-Type"] == "revisit" or (e.key, payload.decode()) in payloads
             n += 1
         # A plain reader that knows nothing of the seek table gets all records.
         whole = b"".join(warc.read_frame(bytes(b.archive), i) for i in range(len(warc.frames(bytes(b.archive)))))
         assert zstandard.ZstdDecompressor().stream_reader(bytes(b.archive), read_across_frames=True).read() == whole
-    assert n == len(ROWS)
+    assert n == len(ROWS) == len(ids), "every record has an id of its own, also rows that repeat a key or have none"
+    assert any("response" in kinds for (uri, _), kinds in found.items() if uri == "http://a/2")
 
 
 def test_export(spark, tmp_path):
