@@ -26,7 +26,8 @@ _SYMBOLS = "#$%&*@^~=+<>|{}[]\\/_`"
 
 
 def statistics(text: Column) -> dict[str, Column]:
-    """Name and expression of each statistic; of a null or empty text all are 0."""
+    """Name and expression of each statistic. A null text counts as empty. Of an empty one the numbers a line or word have
+    are 1 (words_a_line, distinct_words, distinct_lines: it has one line with one empty word), all others are 0."""
     t = F.coalesce(text, F.lit(""))
     n = F.length(t).cast("double")
     flat = F.translate(t, "\n\t\r", "   ")
@@ -146,12 +147,13 @@ def fit_rules(x: np.ndarray, y: np.ndarray, names: list[str], seed: int = 7, pen
     return Model(bias, [(Rule(tuple((names[f], b, c) for f, b, c in p)), float(v)) for (p, _), v in zip(merged, w, strict=True) if abs(v) > 1e-6])
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "label", order: str = "doc_id", bound: int = SAMPLE) -> Model:
-    """A model of rows with a text and a label of 0 or 1 (others are left out), at most bound of them: those with the
-    smallest hash of `order`. No such rows: a score of 0.5 for all."""
+def fit(labelled: DataFrame, text: str = "text", label: str = "label", order: str = "doc_id", bound: int = SAMPLE, total: int | None = None) -> Model:
+    """A model of rows with a text and a label of 0 or 1 (others are left out), at most about bound of them: those with the
+    smallest hash of `order`. total: how many such rows there are, if the caller knows that they are at most bound; else they
+    are counted first. No such rows: a score of 0.5 for all."""
     rows = labelled.filter(F.col(label).isin(0, 1))
     taken = rows.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.xxhash64(order).alias("h"))
-    total = taken.select("h").count()
+    total = taken.select("h").count() if total is None else total
     if total > bound:
         taken = taken.filter(F.pmod("h", F.lit(1_000_003)) < int(0.95 * bound / total * 1_000_003))
     stats = statistics(F.col("text"))

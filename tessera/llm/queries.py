@@ -132,26 +132,53 @@ def _fit_sql(host: str, path: str) -> str:
 
 
 _VERDICT = "case {} " + " ".join(f"when '{r.name}' then '{r.verdict}'" for r in RULES) + " end"
-_NODE = "case when {0} like '%://%' and regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1) <> '' then translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || case when regexp_extract({0}, '(?s)^.*?://[^/?#]*([^#]*)', 1) like '/%' then '' else '/' end || regexp_extract({0}, '(?s)^.*?://[^/?#]*([^#]*)', 1) end"
+_HOST = "regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1)"
+_PATH = "regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+_LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_DOTLESS = "case when contains({0}, '/.') then list_reduce(list_prepend('', string_split({0}[2:], '/')), lambda a, x: case x when '.' then a when '..' then regexp_replace(a, '/[^/]*$', '') else a || '/' || x end) || case when string_split({0}, '/')[-1] in ('.', '..') then '/' else '' end else {0} end"
+
+
+def _node_sql(url: str) -> str:
+    path = _PATH.format(url)
+    return f"case when {url} like '%://%' and {_HOST.format(url)} <> '' then {_LOWERED.format(_HOST.format(url))} || case when {path} = '' then '/' else {_DOTLESS.format(path)} end || regexp_extract({url}, '(?s)^.*?://[^?#]*(\\?[^#]*)', 1) end"
+
+
+def _attribute_sql(tag: str, name: str) -> str:
+    pattern = rf"""(?is)^<\w+(?:\s+[^\s=>"''/]+(?:\s*=\s*(?:"[^"]*"|''[^'']*''|[^"''\s>][^\s>]*))?|\s|/)*?\s{name}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^"''\s>][^\s>]*))"""
+    return "(" + " || ".join(f"coalesce(regexp_extract({tag}, '{pattern}', {i}), '')" for i in (1, 2, 3)) + ")"
+
+
+_TAGS = r"""regexp_extract_all(bare, '(?is)<{0}\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>')"""
 OP7_SQL = rf"""
 with recursive p as (
   select page_id, url, html,
-    case when url like '%://%' then translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else '' end as host,
-    case when url like '%://%' then regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) else '' end as path
+    case when url like '%://%' then {_LOWERED.format(_HOST.format("url"))} else '' end as host,
+    case when url like '%://%' then {_PATH.format("url")} else '' end as path
   from pages
-), t as (
-  select url, replace(unnest([
-    regexp_extract(regexp_extract(html, '(?is)(<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>)', 1), '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>)', 1), '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)]), '&amp;', '&') as target
+), bared as (
+  select url, regexp_replace(regexp_replace(regexp_replace(html, '(?is)<!--.*?(?:-->|\z)', '', 'g'), '(?is)<script\b[^>]*>.*?(?:</script\b|\z)', '', 'g'), '(?is)<style\b[^>]*>.*?(?:</style\b|\z)', '', 'g') as bare
   from pages
+), tags as (
+  select url, list_filter({_TAGS.format("link")}, lambda x: list_contains(string_split_regex(lower({_attribute_sql("x", "rel")}), '\s+'), 'canonical'))[1] as link,
+    list_filter({_TAGS.format("meta")}, lambda x: lower(trim({_attribute_sql("x", "http-equiv")})) = 'refresh')[1] as meta
+  from bared
+), t as (
+  select url, trim(replace(unnest([{_attribute_sql("link", "href")}, regexp_extract({_attribute_sql("meta", "content")}, '(?is)^[\s\d.]*[;,\s]\s*url\s*=\s*["'']?\s*([^"'']*)', 1)]), '&amp;', '&')) as target
+  from tags
+), parts as (
+  select url, target, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) as root, {_PATH.format("url")} as path, regexp_extract(target, '(?s)^([^?#]*)', 1) as own
+  from t where target <> ''
 ), l as (
   select url, case when regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') then target
     when target like '//%' then regexp_extract(url, '(?s)^(.*?:)//', 1) || target
-    when target like '/%' then regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || target
-    else rtrim(regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || regexp_replace(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '[^/]*$', ''), '/') || '/' || target end as target
-  from t where target <> ''
+    when regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') then null
+    when own like '/%' then root || target
+    when own <> '' then root || case when path = '' then '/' else regexp_replace(path, '[^/]*$', '') end || target
+    when target like '?%' then root || path || target
+    else root || path || regexp_extract(url, '(?s)^.*?://[^?#]*(\?[^#]*)', 1) || target end as target
+  from parts
 ), e as (
-  select distinct {_NODE.format("url")} as a, {_NODE.format("target")} as b from l
+  select distinct {_node_sql("url")} as a, {_node_sql("target")} as b from l
 ), both_ways as (
   select a, b from e where a <> b union select b, a from e where a <> b
 ), reach(a, b) as (
@@ -160,7 +187,7 @@ with recursive p as (
   select distinct a from reach
   where {_VERDICT.format(_fit_sql("regexp_extract(b, '(?s)^([^/]*)', 1)", "regexp_extract(b, '(?s)^[^/]*([^?]*)', 1)"))} = 'block'
 ), j as (
-  select page_id, host, path, {_fit_sql("host", "path")} as rule, {_NODE.format("url")} as node from p
+  select page_id, host, path, {_fit_sql("host", "path")} as rule, {_node_sql("url")} as node from p
 )
 select page_id, host, path, rule,
   coalesce({_VERDICT.format("rule")}, case when node in (select a from blocked) then 'block' else 'allow' end) as verdict
@@ -171,18 +198,20 @@ from j
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2).filter("quality in (0, 1)")
-    model = quality_rules.fit(training_rows(docs, labels))
+    rows, total = training_rows(docs, labels)
+    model = quality_rules.fit(rows, total=total)
     scored = quality_rules.score(docs, model)
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, bound: int = quality_rules.SAMPLE) -> DataFrame:
-    """doc_id, text, label of at most about bound labelled documents, by hash of doc_id; that many rows are broadcast."""
+def training_rows(docs: DataFrame, labels: DataFrame, bound: int = quality_rules.SAMPLE) -> tuple[DataFrame, int]:
+    """(doc_id, text, label of labelled documents, by hash of doc_id; the number of labels, at most about bound, that are
+    broadcast for it)."""
     rows = labels.groupBy("doc_id").agg(F.min("quality").alias("label"))
     total = rows.count()
     if total > bound:
         rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(0.95 * bound / total * 1_000_003))
-    return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")
+    return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id"), min(total, bound)
 
 
 def op9_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,9 @@
+import random
+from urllib.parse import urljoin
+
 import duckdb
+import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import queries, url_alias
 
@@ -10,6 +15,10 @@ PAGES = [
     (11, "no scheme", None, "x"), (12, "http://", "", "x"), (13, "http://notorg/", "", "x"), (14, "http://org", "", "x"), (15, "http://org?x", "", "x"),
     (16, "ftp://b.com/x/y.html", '<link rel="canonical" href="z.html">', "x"), (17, "http://b.com/x/z.html", '<meta http-equiv=refresh content="5;URL=http://b.com/de/">', "x"),
     (7, "http://third.net/b?x=1", None, "x"), (None, "http://other.net/a#frag", None, "x"), (18, "http://evil/://org/es", None, "x"), (19, "http://b.com", '<link rel="canonical" href="q">', "x"),
+    (20, "http://r.net/a/b/c?id=1", "<link title='a>b' rel='nofollow canonical' href='../../de/x?k=a b'>", "x"), (21, "http://s.net/?id=1", '<!-- <link rel=canonical href="http://a.com/de/x"> -->', "x"),
+    (22, "http://t.net/x?id=1", '<link rel="canonical" href="?id=2">', "x"), (23, "http://t.net/x?id=2", "<meta content='0;url=http://a.com/de/' http-equiv=refresh>", "x"),
+    (24, "http://u.net/1", '<script>"<link rel=canonical href=http://a.com/de/x>"</script><link rel=canonical href="mailto:x">', "x"),
+    (25, "http://a.com/x/../de/y", None, "x"), (26, "http://r.net/de/x?k=a b", "<link rel=canonical href='http://a.com/./de/x'>", "x"),
 ]
 
 
@@ -31,6 +40,33 @@ def test_cases(spark):
     assert got[13][2:] == got[14][2:] == got[15][2:] == (None, "allow")
     assert got[16][3] == got[17][3] == "block"
     assert got[18] == ("evil", "/://org/es", None, "allow")
+    assert got[20][3] == got[26][3] == got[22][3] == got[23][3] == "block"
+    assert got[21][3] == got[24][3] == "allow"
+    assert got[25] == ("a.com", "/x/../de/y", None, "allow"), "rules read the path as it stands"
+
+
+def test_targets_resolve_as_in_the_library(spark):
+    rng = random.Random(1)
+    bases = ["", "/", "/a", "/a/b/c", "/a/b/", "/a/../b", "?q", "/x?y=1#z"]
+    asked = ["", "/", "//o.net", "//o.net/a/b", "https://p.org/x/", "?id=2", "#f", "../", "..", "../../../g", "./g", "g/.", "g/..", "g;x=1/../y", "/./g", "/../g", "g.", ".g", "g..", "..g", "mailto:x@y", "a/b?c/../d", "/a//b/../c", "g#s/../x"]
+    rows = [(i, f"http://h.example{rng.choice(bases)}", rng.choice(asked)) for i in range(600)]
+    got = spark.createDataFrame(rows, "i int, b string, t string").select("b", "t", url_alias.absolute(F.col("t"), F.col("b")).alias("u")).collect()
+    for r in got:
+        assert r.u == (None if r.t in ("", "mailto:x@y") else urljoin(r.b, r.t)), r
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ('<link rel="nofollow canonical" href="/a b.html">', ["/a b.html", ""]), ("<LINK HREF='x?a=1&amp;b=2' REL=Canonical>", ["x?a=1&b=2", ""]),
+        ("<!-- <link rel=canonical href=/no> --><link rel=canonical href=/yes>", ["/yes", ""]), ('<script>var x="<link rel=canonical href=/no>"</script>', ["", ""]),
+        ('<link rel="canonical-x" href="/no">', ["", ""]), ('<link data-rel="canonical" href="/no">', ["", ""]), ('<link title="a>b" rel=canonical href=" /y ">', ["/y", ""]),
+        ("<meta http-equiv=refresh content=\"5;URL='http://b.com/de/'\">", ["", "http://b.com/de/"]), ("<meta content=3 http-equiv=refresh>", ["", ""]), (None, ["", ""]), ("", ["", ""]),
+        ('<link rel="canonical" data-href="/no" href="/yes">', ["/yes", ""]), ('<meta name=refresh content="0;url=/no">', ["", ""]), ("x" * 2_000_000 + "<link rel=canonical href=/far>", ["/far", ""]),
+    ],
+)
+def test_link_targets(spark, html, want):
+    assert spark.createDataFrame([(html,)], "h string").select(url_alias.targets(F.col("h")).alias("t")).first().t == want
 
 
 def test_sql_says_the_same(spark):
