@@ -3,7 +3,8 @@ import random
 
 import pytest
 
-from tessera.llm import components, jaccard, queries
+from tessera.llm import jaccard, queries
+from tessera.operators import components
 
 RNG = random.Random(3)
 VOCAB = [f"t{i}" for i in range(500)]
