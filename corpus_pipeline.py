@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import jaccard, langid, queries, spans, tiling
-from tessera.llm.common import broadcast_if_small, stored
+from tessera.llm.common import broadcast_if_small, scoped, unstaged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -67,8 +67,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each written and read again."""
+    """The stages over documents, each written and read again; what a stage staged, and its input, is deleted after it."""
     docs = queries.table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        with scoped(spark) as scope:
+            done = scope.keep(stage(spark, docs, sf_dir))
+        unstaged(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
