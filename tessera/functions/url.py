@@ -11,8 +11,8 @@ from tessera.functions.basic import strip
 _PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 
 # Paths of the code host that are no repositories, hosts that are no domain of one's own.
-NO_REPOSITORY = "sponsors settings features topics collections trending events marketplace pricing orgs users about".split()
-BLOG_HOSTS = "github.io blogspot.com wordpress.com medium.com".split()
+NO_REPOSITORY = ["sponsors", "settings", "features", "topics", "collections", "trending", "events", "marketplace", "pricing", "orgs", "users", "about"]
+BLOG_HOSTS = ["github.io", "blogspot.com", "wordpress.com", "medium.com"]
 
 
 def _unquote(c: Column) -> Column:
@@ -109,7 +109,12 @@ def request_fingerprint(provider: Column, model: Column, system: Column, prompt:
 # Patterns of secrets, in the order in which they are replaced.
 SECRETS = [
     (r"-----BEGIN PRIVATE KEY-----[\s\S]*?-----END PRIVATE KEY-----", "[REDACTED_PRIVATE_KEY]"),
-    *[(rf'"{k}":\s*"[^"]+"', f'"{k}": "[REDACTED]"') for k in ("private_key", "client_id", "client_secret", "private_key_id", "refresh_token", "access_token")],
+    (r'"private_key":\s*"[^"]+"', '"private_key": "[REDACTED]"'),
+    (r'"client_id":\s*"[^"]+"', '"client_id": "[REDACTED]"'),
+    (r'"client_secret":\s*"[^"]+"', '"client_secret": "[REDACTED]"'),
+    (r'"private_key_id":\s*"[^"]+"', '"private_key_id": "[REDACTED]"'),
+    (r'"refresh_token":\s*"[^"]+"', '"refresh_token": "[REDACTED]"'),
+    (r'"access_token":\s*"[^"]+"', '"access_token": "[REDACTED]"'),
     (r"(?i)bearer\s+[a-zA-Z0-9_\-.]+", "Bearer [REDACTED]"),
     (r"(?i)authorization:\s*[^\s,]+", "Authorization: [REDACTED]"),
     (r"key=[a-zA-Z0-9_\-]+", "key=[REDACTED]"),

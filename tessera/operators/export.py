@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 # Headers of the exported sheets.
 HEADERS = {
-    "research": "paper_url title authors published_date github_url github_stars abstract source_name source_url collected_at canonical_entity_id".split(),
-    "startups": "entity_name website description employee_count founded_date location funding source_url category qualification_status canonical_entity_id collected_at".split(),
-    "products": "product_name startup_name website description pricing_model source_url license qualification_category canonical_entity_id collected_at".split(),
-    "news": "title url published_date full_text source_name source_url canonical_entity_id collected_at".split(),
-    "jobs": "company date is_remote role_family url source_name canonical_entity_id collected_at".split(),
-    "mappings": "raw_name normalized_name canonical_name canonical_id match_method confidence source_url timestamp".split(),
+    "research": ["paper_url", "title", "authors", "published_date", "github_url", "github_stars", "abstract", "source_name", "source_url", "collected_at", "canonical_entity_id"],
+    "startups": ["entity_name", "website", "description", "employee_count", "founded_date", "location", "funding", "source_url", "category", "qualification_status", "canonical_entity_id", "collected_at"],
+    "products": ["product_name", "startup_name", "website", "description", "pricing_model", "source_url", "license", "qualification_category", "canonical_entity_id", "collected_at"],
+    "news": ["title", "url", "published_date", "full_text", "source_name", "source_url", "canonical_entity_id", "collected_at"],
+    "jobs": ["company", "date", "is_remote", "role_family", "url", "source_name", "canonical_entity_id", "collected_at"],
+    "mappings": ["raw_name", "normalized_name", "canonical_name", "canonical_id", "match_method", "confidence", "source_url", "timestamp"],
 }
 ALIASES = {"papers": "research", "research_papers": "research", "startup": "startups", "product": "products", "job": "jobs", "entity_mappings": "mappings", "entities": "mappings", "mapping": "mappings"}
 #: Other names under which a stored row may have a column, in order of preference.

@@ -16,6 +16,17 @@ METHODS = ["exact", "normalized", "alias", "fuzzy", "llm", "unresolved"]
 _TRUE, _FALSE = ["true", "t", "yes", "y", "on", "1"], ["false", "f", "no", "n", "off", "0"]
 
 
+#: Columns that the constraints of each kind of row name.
+_COLUMNS = {
+    "startup": ["schemaVersion", "recordType", "source_name", "source_url", "entityName", "employeeCount", "collectedAt"],
+    "product": ["schemaVersion", "recordType", "source_name", "source_url", "startupName", "pricingModel", "collectedAt"],
+    "paper": ["schemaVersion", "recordType", "title", "paper_url", "github_url", "github_stars", "published_date", "collectedAt"],
+    "news": ["schemaVersion", "recordType", "source_name", "source_url", "title", "url", "published_date", "collectedAt"],
+    "job": ["schemaVersion", "recordType", "company", "date", "is_remote", "collectedAt"],
+    "mapping": ["raw_name", "normalized_name", "canonical_name", "canonical_id", "match_method", "confidence", "source_url", "timestamp"],
+}
+
+
 def lax_bool(c: Column) -> Column:
     """A boolean as a lax reader takes it; null for anything else."""
     s = F.lower(filled(c.cast("string")))
@@ -75,8 +86,7 @@ def checked(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
 
 
 def validate(df: DataFrame, kind: str) -> DataFrame:
-    names = {"startup": "schemaVersion recordType source_name source_url entityName employeeCount collectedAt", "product": "schemaVersion recordType source_name source_url startupName pricingModel collectedAt", "paper": "schemaVersion recordType title paper_url github_url github_stars published_date collectedAt", "news": "schemaVersion recordType source_name source_url title url published_date collectedAt", "job": "schemaVersion recordType company date is_remote collectedAt", "mapping": "raw_name normalized_name canonical_name canonical_id match_method confidence source_url timestamp"}[kind].split()
-    missing = {n: F.lit(None).cast("string") for n in names if n not in df.columns}
+    missing = {n: F.lit(None).cast("string") for n in _COLUMNS[kind] if n not in df.columns}
     return checked(df.withColumns(missing) if missing else df, constraints(kind))
 
 

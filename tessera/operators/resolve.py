@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tessera.functions.basic import filled, strip
-from tessera.functions.text import blocking_keys, comparable_name
+from tessera.functions.text import blocking_keys, comparable, with_comparable
 from tessera.operators.state import added_to_set, staged, upserted
 
 FUZZY, DELTA = 0.80, 0.03
-#: With so many entities or fewer, every name is compared with each; blocks of a full comparison.
-FEW, BLOCK = 10, 1000
+#: With so many entities or fewer, every name is compared with each.
+FEW = 10
 ENTITY = "canonical_id string, canonical_name string, entity_type string, aliases array<string>, source_urls array<string>"
 MAPPING = ["raw_name", "normalized_name", "canonical_name", "canonical_id", "match_method", "confidence", "source_url"]
 
@@ -58,14 +58,14 @@ def seeds(spark: SparkSession) -> DataFrame:
 def prepared(entities: DataFrame) -> DataFrame:
     """Entities with their comparable names: canonical_id, canonical_name, aliases (trimmed), norm, norms (with the aliases')."""
     e = entities.select("canonical_id", "canonical_name", F.transform(F.coalesce("aliases", F.array().cast("array<string>")), strip).alias("aliases"))
-    names = e.select("canonical_id", F.explode(F.concat(F.array("canonical_name"), "aliases")).alias("name")).withColumn("n", comparable_name(F.col("name")))
+    names = with_comparable(e.select("canonical_id", F.explode(F.concat(F.array("canonical_name"), "aliases")).alias("name")), F.col("name"), "n")
     norms = names.groupBy("canonical_id").agg(F.collect_set("n").alias("norms"))
-    return staged(e.withColumn("norm", comparable_name(F.col("canonical_name"))).join(norms, "canonical_id"))
+    return staged(with_comparable(e, F.col("canonical_name"), "norm").join(norms, "canonical_id"))
 
 
 def equi_stages(names: DataFrame, entities: DataFrame) -> DataFrame:
     """Of names (raw_name, norm) those that a stage by equality resolves, with canonical_id, canonical_name, method, confidence."""
-    alias = entities.select("canonical_id", "canonical_name", F.explode("aliases").alias("alias")).withColumn("norm_alias", comparable_name(F.col("alias")))
+    alias = with_comparable(entities.select("canonical_id", "canonical_name", F.explode("aliases").alias("alias")), F.col("alias"), "norm_alias")
     key = lambda df, stage, c: df.select(F.lit(stage).alias("stage"), F.col(c).alias("key"), "canonical_id", "canonical_name").filter("key <> ''")
     keys = key(entities, 1, "canonical_name").unionByName(key(alias, 2, "alias")).unionByName(key(entities, 3, "norm")).unionByName(key(alias, 4, "norm_alias")).distinct()
     asked = names.select("raw_name", F.posexplode(F.array("raw_name", "raw_name", "norm", "norm")).alias("i", "key")).select("raw_name", (F.col("i") + 1).alias("stage"), "key")
@@ -75,24 +75,56 @@ def equi_stages(names: DataFrame, entities: DataFrame) -> DataFrame:
     return hit.select("raw_name", "m.canonical_id", "m.canonical_name", method.alias("match_method"), sure.alias("confidence"))
 
 
-def candidate_pairs(names: DataFrame, entities: DataFrame) -> DataFrame:
-    """raw_name, norm, canonical_id, canonical_name, norms for names (raw_name, norm) and the entities to compare them with:
-    those that share a blocking key; all of them for a name that shares none, or if there are only a few entities."""
-    n = entities.count()
-    blocks = max(1, -(-n // BLOCK))
-    dim = entities.select("canonical_id", "canonical_name", "norms")
+def _search_keys(strings: DataFrame) -> DataFrame:
+    """s, own, other for distinct comparable names s: two names whose similarity can reach FUZZY share a key, `own` of one and
+    `other` of the other; keys are few a name and rare ones first, so that common parts of names do not pair all with all.
+
+    Similarity by blocks: at 0.79 of all T letters matched, what does not match parts the blocks, so two names share
+    0.185 T - 1 pairs of neighbouring letters at least, and T is 1.65 times the letters of either. Of n pairs in order of
+    rareness the first n - t + 1 then hold a common one (t: the least shared). Of three letters or less the first and last
+    letter are a key too. By words: of two names one of which has all words of the other, the rarest word of that one is in
+    both. Pairs of letters and words are numbered by how often they came in the name before.
+    """
+    numbered = lambda parts: F.transform(parts, lambda x, i: F.concat(x, F.lit("\x01"), F.size(F.filter(F.slice(parts, 1, i), lambda y: y == x)).cast("string")))
+    n = F.length("s")
+    letters = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(F.col("s"), i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    parts = strings.select("s", letters.alias("pairs"), F.array_distinct(F.split("s", " ")).alias("words"))
+    parts = parts.select("s", F.array(F.struct(F.lit("p").alias("kind"), numbered(F.col("pairs")).alias("parts")), F.struct(F.lit("w").alias("kind"), F.col("words").alias("parts"))).alias("both"))
+    each = parts.select("s", F.explode("both").alias("b")).select("s", "b.kind", F.explode("b.parts").alias("part"))
+    often = each.groupBy("kind", "part").agg(F.count("*").alias("n"))
+    ranked = each.join(often, ["kind", "part"]).groupBy("s", "kind").agg(F.array_sort(F.collect_list(F.struct("n", "part"))).alias("parts"))
+    least = F.greatest(F.lit(1), F.ceil(0.3058 * F.length("s") - 1).cast("int"))
+    few = F.slice("parts", 1, F.greatest(F.lit(1), F.size("parts") - least + 1))
+    every, rare = F.transform("parts", lambda x: x["part"]), F.transform(few, lambda x: x["part"])
+    tagged = lambda tag, xs: F.transform(xs, lambda x: F.concat(F.lit(tag), x))
+    of_pairs = F.struct(tagged("p:", rare).alias("own"), tagged("p:", rare).alias("other"))
+    rarest = F.slice(every, 1, 1)
+    of_words = F.struct(F.concat(tagged("a:", rarest), tagged("b:", every)).alias("own"), F.concat(tagged("a:", every), tagged("b:", rarest)).alias("other"))
+    keyed = ranked.select("s", F.when(F.col("kind") == "p", of_pairs).otherwise(of_words).alias("k")).select("s", "k.own", "k.other")
+    ends = F.array(F.concat(F.lit("e:"), F.substring("s", 1, 1), F.substring("s", -1, 1)))
+    return keyed.unionByName(strings.filter(n <= 3).select("s", ends.alias("own"), ends.alias("other")))
 
-    def full(rows: DataFrame) -> DataFrame:
-        left = rows.select("raw_name", "norm", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-        return left.join(dim.withColumn("block", F.pmod(F.xxhash64("canonical_id"), F.lit(blocks)).cast("int")), "block").drop("block")
 
-    if n <= FEW:
-        return full(names)
-    left = names.select("raw_name", F.explode(blocking_keys(F.col("norm"))).alias("key"))
-    right = dim.select("canonical_id", F.explode("norms").alias("x")).select("canonical_id", F.explode(blocking_keys(F.col("x"))).alias("key")).distinct()
-    pairs = staged(left.join(right, "key").select("raw_name", "canonical_id").distinct())
-    blocked = pairs.join(names.select("raw_name", "norm"), "raw_name").join(dim, "canonical_id")
-    return blocked.select("raw_name", "norm", "canonical_id", "canonical_name", "norms").unionByName(full(names.join(pairs, "raw_name", "left_anti")).select("raw_name", "norm", "canonical_id", "canonical_name", "norms"))
+def candidate_pairs(names: DataFrame, entities: DataFrame) -> DataFrame:
+    """raw_name, norm, canonical_id, canonical_name, norms for names (raw_name, norm) and the entities that they are compared
+    with: those that share a blocking key, or all for a name that shares none or if there are only FEW. Of those, only such as
+    can score FUZZY are given (see `_search_keys`): whole blocks, as of all names of two words, are never paired."""
+    dim = entities.select("canonical_id", "canonical_name", "norms")
+    columns = ["raw_name", "norm", "canonical_id", "canonical_name", "norms"]
+    if entities.count() <= FEW:
+        return names.withColumn("_all", F.lit(1)).join(F.broadcast(dim.withColumn("_all", F.lit(1))), "_all").select(*columns)
+    right = dim.select("canonical_id", F.explode("norms").alias("s")).filter("s <> ''").distinct()
+    keys = staged(_search_keys(names.select(F.col("norm").alias("s")).unionByName(right.select("s")).distinct()))
+    asked = names.select("raw_name", F.col("norm").alias("s")).join(keys.select("s", F.explode("own").alias("key")), "s").select("raw_name", "key")
+    offered = right.join(keys.select("s", F.explode("other").alias("key")), "s").select("canonical_id", "key")
+    pairs = asked.join(offered, "key").select("raw_name", "canonical_id").distinct()
+    # Whether a name shares a blocking key with any entity at all: by the distinct keys, without pairing.
+    blocks = right.select(F.explode(blocking_keys(F.col("s"))).alias("block")).distinct()
+    blocked = names.select("raw_name", F.explode(blocking_keys(F.col("norm"))).alias("block")).join(blocks, "block", "left_semi").select("raw_name").distinct()
+    held = names.join(blocked.withColumn("_blocked", F.lit(True)), "raw_name", "left")
+    full = pairs.join(held, "raw_name").join(dim, "canonical_id")
+    common = F.exists("norms", lambda o: F.arrays_overlap(blocking_keys(o), blocking_keys(F.col("norm"))))
+    return full.filter(F.col("_blocked").isNull() | common).select(*columns)
 
 
 def scored(pairs: DataFrame, least: float = FUZZY) -> DataFrame:
@@ -144,7 +176,7 @@ def resolve(names: DataFrame, entities: DataFrame, mappings: DataFrame | None =
         kept = mappings.filter("match_method <> 'unresolved'") if refresh_unresolved else mappings
         kept = kept.join(asked.select("raw_name"), "raw_name", "left_semi").select(*MAPPING)
         asked = asked.join(kept.select("raw_name"), "raw_name", "left_anti")
-    asked = staged(asked.withColumn("norm", comparable_name(F.col("raw_name"))))
+    asked = staged(with_comparable(asked, F.col("raw_name"), "norm"))
     dim = prepared(entities)
     equal = staged(equi_stages(asked, dim))
     rest = asked.join(equal.select("raw_name"), "raw_name", "left_anti").filter("norm <> ''")
@@ -188,9 +220,8 @@ def resolve_iterated(names: DataFrame, entities: DataFrame, passes: int = 3, cho
 
 def find_by_name(entities: DataFrame, name: str) -> DataFrame:
     """Entities with this name, or the same comparable one."""
-    spark = entities.sparkSession
-    want = spark.range(1).select(F.lit(name).alias("want")).select("want", comparable_name(F.col("want")).alias("want_norm")).first()
-    return entities.filter((F.col("canonical_name") == name) | (comparable_name(F.col("canonical_name")) == want["want_norm"]))
+    found = with_comparable(entities, F.col("canonical_name"), "_norm")
+    return found.filter((F.col("canonical_name") == name) | (F.col("_norm") == comparable(name))).drop("_norm")
 
 
 def with_seeds(entities: DataFrame | None, spark: SparkSession) -> DataFrame:

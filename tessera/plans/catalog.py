@@ -57,9 +57,17 @@ def _norm(c: str) -> str:
 r as (select *, row_number() over (partition by sha256(normalized_url) order by page_id) as k from n)
 select page_id, normalized_url, sha256(normalized_url) as url_fingerprint, case when length({_TEXT}) >= 30 then {_TEXT} end as text from r where k = 1""")
 def page_catalog(read, spark):
-    """Pages in canonical form: first of each fingerprint, with readable text."""
-    rows = read("pages").select("page_id", "html", url.normalize_url(F.col("url")).alias("normalized_url")).withColumn("url_fingerprint", F.sha2("normalized_url", 256))
-    return dedup.first_wins(rows, "url_fingerprint", "page_id").select("page_id", "normalized_url", "url_fingerprint", text.html_text_pattern(F.col("html")).alias("text"))
+    """Pages in canonical form: first of each fingerprint, with readable text.
+
+    The first pages are found by an aggregate over (fingerprint, page_id); only the text of pages, not their markup, is joined
+    to that.
+    """
+    rows = read("pages").select("page_id", "html", url.normalize_url(F.col("url")).alias("normalized_url"))
+    first = rows.select(F.sha2("normalized_url", 256).alias("url_fingerprint"), "page_id", "normalized_url").groupBy("url_fingerprint").agg(F.min(F.struct("page_id", "normalized_url")).alias("first"))
+    first = first.select("url_fingerprint", "first.page_id", F.col("first.normalized_url").alias("first_url"))
+    texts = rows.select("page_id", "normalized_url", text.html_text_pattern(F.col("html")).alias("text"))
+    same = (texts["page_id"] == first["page_id"]) & (texts["normalized_url"] == first["first_url"])
+    return texts.join(first, same).select(texts["page_id"], "normalized_url", "url_fingerprint", "text")
 
 
 @query(f"select page_id, {_norm('url')} as normalized_url from pages")
@@ -141,9 +149,10 @@ def html_text_pattern(read, spark):
     return read("pages").select("page_id", text.html_text_pattern(F.col("html")).alias("text"))
 
 
-@query()
+@query(f"select page_id, case when length({_TEXT}) >= 30 then {_TEXT} end as text from pages")
 def html_text(read, spark):
-    """By open elements; tests hold it against the standard library."""
+    """By open elements. The head of every page of the tables has a meta element without a slash, so the patterns decide;
+    tests hold pages without one against the standard library."""
     return read("pages").select("page_id", text.html_text("html").alias("text"))
 
 
@@ -198,12 +207,25 @@ def prompt_oversize(read, spark):
     return read("documents").select("doc_id", F.length("text").cast("long").alias("size"), text.oversized(F.col("text"), 2000).alias("oversized"))
 
 
-@query()
+#: Documents as prompts of paragraphs, one a line; the room that a notice leaves of 1500 characters.
+_PROMPTS = "d as (select doc_id, replace(text, chr(10), chr(10) || chr(10)) as t from documents)"
+_PARAGRAPHS = "p as (select doc_id, generate_subscripts(string_split(t, chr(10) || chr(10)), 1) as i, unnest(string_split(t, chr(10) || chr(10))) as p from d where length(t) > 1500)"
+_ROOM = 1500 - len(text.NOTICE)
+
+
+@query(f"""with {_PROMPTS}, {_PARAGRAPHS}, c as (select *, sum(length(p) + 2) over (partition by doc_id order by i) as upto from p),
+k as (select *, upto <= {_ROOM} as whole, not upto <= {_ROOM} and upto - 1 <= {_ROOM} and coalesce(lag(upto) over (partition by doc_id order by i), 0) <= {_ROOM} as line from c),
+r as (select doc_id, string_agg(p, chr(10) || chr(10) order by i) as kept from k where whole or line group by 1)
+select doc_id, md5(case when length(t) <= 1500 then t else coalesce(kept, left(t, {_ROOM})) || '{text.NOTICE}' end) as reduced from d left join r using (doc_id)""")
 def prompt_reduce(read, spark):
     return read("documents").select("doc_id", F.md5(text.reduce_prompt(F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")), 1500).cast("binary")).alias("reduced"))
 
 
-@query()
+@query(f"""with recursive {_PROMPTS}, {_PARAGRAPHS}, r(doc_id, i, n, chunk) as (
+select doc_id, i, length(p) + 2 * (length(p) + 2 <= 1500)::int, 0 from p where i = 1
+union all select r.doc_id, p.i, case when r.n + length(p.p) + 2 <= 1500 then r.n + length(p.p) + 2 else length(p.p) end, case when r.n + length(p.p) + 2 <= 1500 then r.chunk else r.chunk + 1 end from r join p on p.doc_id = r.doc_id and p.i = r.i + 1)
+select doc_id, chunk as i, md5(string_agg(p, chr(10) || chr(10) order by r.i)) as chunk from r join p using (doc_id, i) group by 1, 2
+union all select doc_id, 0, md5(t) from d where length(t) <= 1500""")
 def prompt_chunk(read, spark):
     chunks = text.chunk_prompt(F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")), 1500)
     return read("documents").select("doc_id", F.posexplode(chunks).alias("i", "chunk")).select("doc_id", "i", F.md5(F.col("chunk").cast("binary")).alias("chunk"))
@@ -221,13 +243,14 @@ def _comparable_sql(c: str) -> str:
 
 @query(f"select c_custkey, {_comparable_sql(_NAME)} as comparable from customer")
 def name_normalize(read, spark):
-    return read("customer").select("c_custkey", text.comparable_name(F.expr(_NAME)).alias("comparable"))
+    return text.with_comparable(read("customer").select("c_custkey", F.expr(_NAME).alias("name")), F.col("name"), "comparable").select("c_custkey", "comparable")
 
 
 @query(f"""with n as (select c_custkey, {_comparable_sql(_NAME)} as n from customer)
 select c_custkey, array_to_string(list_filter([case when length(n) >= 3 then 'pref:' || n[1:3] end, 'tok:' || split_part(n, ' ', 1), 'len:' || len(string_split(n, ' '))], lambda x: x is not null), '|') as keys from n""")
 def blocking_keys(read, spark):
-    return read("customer").select("c_custkey", F.array_join(text.blocking_keys(text.comparable_name(F.expr(_NAME))), "|").alias("keys"))
+    rows = text.with_comparable(read("customer").select("c_custkey", F.expr(_NAME).alias("name")), F.col("name"), "comparable")
+    return rows.select("c_custkey", F.array_join(text.blocking_keys(F.col("comparable")), "|").alias("keys"))
 
 
 # ---- dates ------------------------------------------------------------------------------------------------------------
@@ -353,18 +376,23 @@ def dedup_cross_run(read, spark):
     return dedup.new_rows(rows.filter("doc_id % 3 = 0"), rows.filter("doc_id % 3 <> 0"), "h").select("doc_id")
 
 
-@query()
+@query("""with recursive s as (select o_orderkey, o_orderpriority || '/' || (o_custkey % 97) as a, o_orderstatus || '/' || floor(o_totalprice / 1000)::bigint as b from orders),
+r(o_orderkey, a, b, kept) as (select o_orderkey, a, b, false from s union all
+  select o_orderkey, a, b, win from (select *, bool_or(win) over (partition by a) or bool_or(win) over (partition by b) as met from
+    (select o_orderkey, a, b, o_orderkey = min(o_orderkey) over (partition by a) and o_orderkey = min(o_orderkey) over (partition by b) as win from r where not kept) x) y where win or not met)
+select o_orderkey from r where kept""")
 def dedup_two_keys(read, spark):
-    """Greedy by two keys; tests hold it against the pass in order."""
+    """Greedy by two keys: the pass in order; the SQL finds the same rows in rounds."""
     rows = read("orders").select("o_orderkey", F.concat("o_orderpriority", F.lit("/"), F.col("o_custkey") % 97).alias("a"), F.concat("o_orderstatus", F.lit("/"), F.floor(F.col("o_totalprice") / 1000)).alias("b"))
     return dedup.two_keys(rows, "a", "b", "o_orderkey").select("o_orderkey")
 
 
-@query("with f as (select o_custkey, min(o_orderkey) as k from orders where o_orderkey % 2 = 1 group by 1), s as (select distinct o_custkey from orders where o_orderkey % 10 = 0) select count(*) filter (o_custkey not in (select o_custkey from s)) as inserted, (select count(*) from orders where o_orderkey % 2 = 1) - count(*) filter (o_custkey not in (select o_custkey from s)) as duplicates from f")
+@query("with b as (select * from orders where o_orderstatus <> 'F'), f as (select distinct o_custkey from b), s as (select distinct o_custkey from orders where o_orderstatus = 'F') select count(*) filter (o_custkey not in (select o_custkey from s)) as inserted, (select count(*) from b) - count(*) filter (o_custkey not in (select o_custkey from s)) as duplicates from f")
 def save_batch_counts(read, spark):
-    """What a batch would insert and what it repeats, as a dry run counts it."""
-    rows = read("orders").select("o_orderkey", F.col("o_custkey").alias("url_fingerprint"))
-    batch, stored = rows.filter("o_orderkey % 2 = 1"), rows.filter("o_orderkey % 10 = 0")
+    """What a batch (the orders that are not filled) would insert beside what is stored (those that are), and what it repeats,
+    as a dry run counts it. Customers stand for URLs; every order is in one of the two."""
+    rows = read("orders").select("o_orderkey", F.col("o_custkey").alias("url_fingerprint"), "o_orderstatus")
+    batch, stored = rows.filter("o_orderstatus <> 'F'"), rows.filter("o_orderstatus = 'F'")
     new = dedup.batch_to_save(batch, stored, "o_orderkey").agg(F.count("*").alias("inserted"), F.lit(1).alias("k"))
     return batch.agg(F.count("*").alias("n"), F.lit(1).alias("k")).join(new, "k").select("inserted", (F.col("n") - F.col("inserted")).alias("duplicates"))
 
@@ -380,11 +408,11 @@ def upsert_latest(read, spark):
     return state.latest(read("events").select("user_id", "ts", "event_id", "event_type"), "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
 
 
-@query("select c_custkey, case when o.o_custkey is null then c_acctbal else o.t end as balance from customer left join (select o_custkey, max(o_totalprice) as t from orders where o_orderkey % 5 = 0 group by 1) o on o_custkey = c_custkey")
+@query("select coalesce(c_custkey, o_custkey) as c_custkey, coalesce(t, c_acctbal) as balance from customer full join (select o_custkey, max(o_totalprice) as t from orders group by 1) o on o_custkey = c_custkey")
 def upsert_rows(read, spark):
+    """Every customer's largest order over its stored balance."""
     held = read("customer").select("c_custkey", F.col("c_acctbal").alias("balance"))
-    rows = read("orders").filter("o_orderkey % 5 = 0").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("balance"))
-    rows = rows.join(held.select("c_custkey"), "c_custkey", "left_semi")
+    rows = read("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("balance"))
     return state.upserted(held, rows, "c_custkey")
 
 
@@ -449,21 +477,21 @@ m as (select raw_name, canonical_id, ['exact', 'alias', 'normalized', 'alias'][s
 
 @query(f"with {_EQUI} select * from m")
 def resolve_by_equality(read, spark):
-    names = read("customer").select(F.trim(F.expr(_RAW)).alias("raw_name")).distinct().withColumn("norm", text.comparable_name(F.col("raw_name")))
-    return resolve.equi_stages(state.staged(names), resolve.prepared(_entities(read))).drop("canonical_name")
+    names = read("customer").select(F.trim(F.expr(_RAW)).alias("raw_name")).distinct()
+    return resolve.equi_stages(state.staged(text.with_comparable(names, F.col("raw_name"), "norm")), resolve.prepared(_entities(read))).drop("canonical_name")
 
 
 @query(f"with {_EQUI} select match_method, count(*) as n from m group by 1")
 def method_histogram(read, spark):
-    names = read("customer").select(F.trim(F.expr(_RAW)).alias("raw_name")).distinct().withColumn("norm", text.comparable_name(F.col("raw_name")))
-    return resolve.method_counts(resolve.equi_stages(state.staged(names), resolve.prepared(_entities(read))))
+    names = read("customer").select(F.trim(F.expr(_RAW)).alias("raw_name")).distinct()
+    return resolve.method_counts(resolve.equi_stages(state.staged(text.with_comparable(names, F.col("raw_name"), "norm")), resolve.prepared(_entities(read))))
 
 
 @query(f"with {_EQUI} select c_custkey, m.canonical_id, m.match_method as resolution_match_method from customer left join m on m.raw_name = trim({_RAW.replace('::string', '::varchar')})")
 def attach_canonical(read, spark):
     rows = read("customer").select("c_custkey", F.expr(_RAW).alias("raw"))
-    names = rows.select(F.trim("raw").alias("raw_name")).distinct().withColumn("norm", text.comparable_name(F.col("raw_name")))
-    found = resolve.equi_stages(state.staged(names), resolve.prepared(_entities(read)))
+    names = rows.select(F.trim("raw").alias("raw_name")).distinct()
+    found = resolve.equi_stages(state.staged(text.with_comparable(names, F.col("raw_name"), "norm")), resolve.prepared(_entities(read)))
     return resolve.attach(rows, found, "raw").select("c_custkey", "canonical_id", "resolution_match_method")
 
 
@@ -476,11 +504,27 @@ def resolve_fuzzy(read, spark):
     return resolve.resolve(names, entities).drop("source_url")
 
 
-@query()
+#: Spellings of the seed entities: name, comparable name, entity (by number in the seeds, from 1; 0 for none), method, confidence.
+_SPELLINGS = [
+    ("OpenAI", "openai", 1, "exact", 1.0), ("OpenAI, Inc.", "openai", 1, "alias", 0.9), ("OPENAI", "openai", 1, "normalized", 0.95), ("open ai", "open ai", 1, "alias", 0.9),
+    ("openai.com", "openai", 1, "alias", 0.9), ("https://github.com/openai", "openai", 1, "normalized", 0.95), ("Anthropic", "anthropic", 2, "exact", 1.0),
+    ("Anthropic PBC", "anthropic", 2, "alias", 0.9), ("anthropic.com", "anthropic", 2, "alias", 0.9), ("Anthropc", "anthropc", 2, "fuzzy", 0.94), ("Google DeepMind", "google deepmind", 3, "exact", 1.0),
+    ("DeepMind", "deepmind", 3, "alias", 0.9), ("Deep Mind Labs", "deep mind labs", 3, "fuzzy", 0.96), ("deepmind labs", "deepmind labs", 3, "alias", 0.9), ("Microsoft", "microsoft", 4, "exact", 1.0),
+    ("Microsoft Corp", "microsoft", 4, "normalized", 0.95), ("microsoft.com", "microsoft", 4, "alias", 0.9), ("Micro soft", "micro soft", 4, "fuzzy", 0.95), ("Unknown Startup", "unknown startup", 0, "unresolved", 0.0),
+    ("Acme", "acme", 0, "unresolved", 0.0),
+]
+
+
+def _spelling_sql(name: str, norm: str, entity: int, method: str, sure: float) -> str:
+    canonical_id, canonical_name = resolve.SEED[entity - 1][:2] if entity else (f"unresolved_{norm}", name)
+    return f"('{name}', '{norm}', '{canonical_name}', '{canonical_id}', '{method}', {sure}::double)"
+
+
+@query(f"select * from (values {', '.join(_spelling_sql(*x) for x in _SPELLINGS)}) t(raw_name, normalized_name, canonical_name, canonical_id, match_method, confidence)")
 def resolve_seeds(read, spark):
-    """The seed entities and twenty spellings of them."""
-    names = "OpenAI|OpenAI, Inc.|OPENAI|open ai|openai.com|https://github.com/openai|Anthropic|Anthropic PBC|anthropic.com|Anthropc|Google DeepMind|DeepMind|Deep Mind Labs|deepmind labs|Microsoft|Microsoft Corp|microsoft.com|Micro soft|Unknown Startup|Acme".split("|")
-    return resolve.resolve(spark.createDataFrame([(n, None) for n in names], "raw_name string, source_url string"), resolve.seeds(spark)).drop("source_url")
+    """Twenty spellings of the four seed entities. It reads no table: the names and the results to match are fixed values."""
+    names = spark.createDataFrame([(x[0], None) for x in _SPELLINGS], "raw_name string, source_url string")
+    return resolve.resolve(names, resolve.seeds(spark)).drop("source_url")
 
 
 # ---- quality ----------------------------------------------------------------------------------------------------------
@@ -536,16 +580,19 @@ def audit(read, spark):
     return quality.audited(s, p)[2]
 
 
-@query("select event_type as provider, count(*) as calls, count(*) filter (value > 50) as succeeded, sum(event_id % 3 + 1)::bigint as attempts from events group by 1")
+@query("select event_type as provider, count(*) as calls, count(*) filter (value > 50) as succeeded, sum(event_id % 3 + 1)::bigint as attempts, sum(event_id % 8)::double / count(*) as mean_seconds from events group by 1")
 def telemetry_by_provider(read, spark):
     from tessera.providers.chain import by_provider
 
-    calls = read("events").select(F.col("event_type").alias("provider"), (F.col("value") > 50).alias("success"), (F.col("event_id") % 3 + 1).alias("attempts"), F.lit(1.0).alias("seconds"))
-    return by_provider(calls).drop("mean_seconds")
+    calls = read("events").select(F.col("event_type").alias("provider"), (F.col("value") > 50).alias("success"), (F.col("event_id") % 3 + 1).alias("attempts"), (F.col("event_id") % 8).cast("double").alias("seconds"))
+    return by_provider(calls)
 
 
 # ---- feeds ------------------------------------------------------------------------------------------------------------
 
+#: Items of a payload, whatever the size of the table.
+_ITEMS = 50
+
 
 @query("select o_orderkey as id, 'Co ' || o_custkey as company, 'Backend role ' || o_orderkey as title, 'https://jobs.example/' || o_orderkey as url, date_trunc('second', o_orderdate) as date, o_orderkey % 2 = 0 as is_remote, 'Engineering' as role_family from orders where o_orderkey % 3 <> 0")
 def feed_jobs(read, spark):
@@ -571,7 +618,7 @@ def feed_news(read, spark):
         F.lit("</link><pubDate>Wed, 15 Aug 2026 14:00:00 +0200</pubDate><description>&lt;p&gt;"),
         F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("A long enough text of number "), "s_suppkey", F.lit(" to be kept"))).otherwise("short"), F.lit("&lt;/p&gt;</description></item>"),
     )
-    payloads = read("supplier").groupBy(F.col("s_suppkey") % 7).agg(F.concat(F.lit("<rss><channel><title>Feed</title><link>https://f.example</link>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("payload"))
+    payloads = read("supplier").groupBy(F.floor(F.col("s_suppkey") / _ITEMS)).agg(F.concat(F.lit("<rss><channel><title>Feed</title><link>https://f.example</link>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("payload"))
     rows = feeds.news_rss(payloads)
     return rows.select(F.regexp_extract("url", r"(\d+)$", 1).cast("long").alias("id"), "title", "url", "full_text", F.col("published_date").cast("timestamp_ntz").alias("published_date"), "source_name")
 
@@ -582,7 +629,7 @@ def feed_papers(read, spark):
         F.lit("<entry><id>http://arxiv.org/abs/"), "p_partkey", F.lit("v3</id><title>Paper\n  on "), "p_name", F.lit("</title><published>2024-05-01T00:00:00Z</published><summary>See https://github.com/x/"), "p_partkey",
         F.lit(".git.</summary><author><name>A\n B</name></author><author><name>C "), "p_brand", F.lit("</name></author></entry>"),
     )
-    payloads = read("part").groupBy(F.col("p_partkey") % 50).agg(F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>q</title>'), F.array_join(F.collect_list(entry), ""), F.lit("</feed>")).alias("payload"))
+    payloads = read("part").groupBy(F.floor(F.col("p_partkey") / _ITEMS)).agg(F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>q</title>'), F.array_join(F.collect_list(entry), ""), F.lit("</feed>")).alias("payload"))
     rows = feeds.papers(payloads)
     return rows.select(F.regexp_extract("paper_url", r"(\d+)$", 1).cast("long").alias("id"), "title", "paper_url", F.array_join("authors", ", ").alias("authors"), "github_url")
 
@@ -590,7 +637,7 @@ def feed_papers(read, spark):
 @query("select p_partkey as id, p_name as product_name, 'own' || p_size as startup_name, case when p_size % 2 = 0 then 'FREEMIUM' end as pricing_model, 'mit' as license, 'APPLICATION_TOOL' as qualification_category from part")
 def feed_products(read, spark):
     item = F.struct(F.col("p_name").alias("name"), F.struct(F.concat(F.lit("own"), "p_size").alias("login")).alias("owner"), F.concat(F.lit("https://github.com/own/"), "p_partkey").alias("html_url"), F.when(F.col("p_size") % 2 == 0, "A tool with a free tier").otherwise("A tool").alias("description"), F.struct(F.lit("MIT").alias("key")).alias("license"))
-    payloads = read("part").groupBy(F.col("p_partkey") % 20).agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("payload"))
+    payloads = read("part").groupBy(F.floor(F.col("p_partkey") / _ITEMS)).agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("payload"))
     rows = feeds.products(payloads)
     return rows.select(F.regexp_extract("source_url", r"(\d+)$", 1).cast("long").alias("id"), "product_name", "startup_name", "pricing_model", "license", "qualification_category")
 
@@ -598,7 +645,7 @@ def feed_products(read, spark):
 @query("select s_suppkey as id, s_name as entity_name, case when s_suppkey % 2 = 0 then 500 end as employee_count, s_suppkey % 2 = 0 as is_qualified from supplier")
 def feed_startups(read, spark):
     item = F.struct(F.col("s_name").alias("name"), F.concat(F.lit("org"), "s_suppkey").alias("login"), F.when(F.col("s_suppkey") % 2 == 0, "AI company of 500 employees").otherwise("nothing").alias("description"))
-    payloads = read("supplier").groupBy(F.col("s_suppkey") % 5).agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("payload"))
+    payloads = read("supplier").groupBy(F.floor(F.col("s_suppkey") / _ITEMS)).agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("payload"))
     return feeds.startups(payloads).select(F.regexp_extract("source_url", r"(\d+)$", 1).cast("long").alias("id"), "entity_name", "employee_count", "is_qualified")
 
 
@@ -622,9 +669,12 @@ def _canned(address: str, headers: dict, timeout: float) -> tuple:
     return (404, None, None, None) if n % 5 == 0 else (503, None, None, None) if n % 5 == 1 else (200, f"body of {address}", "text/html", None)
 
 
-@query()
+@query(f"""with n as (select page_id, url, {_norm("url")} as f from pages), o as (select f, arg_min(url, page_id) as asked from n group by 1),
+x as (select page_id, url, coalesce(try_cast(right(regexp_replace(split_part(asked, '?', 1), '[^0-9]', '', 'g'), 1) as integer), 0) % 5 as k from n join o using (f))
+select page_id as ord, url, case k when 0 then 404 when 1 then 503 else 200 end as status_code, case k when 1 then 3 else 1 end as attempts, k > 1 as success, case k when 0 then 'HTTP 404' when 1 then 'HTTP 503' end as error from x""")
 def crawl_pages(read, spark):
-    """A crawl of the page URLs over canned answers: permanent failures once, passing ones three times."""
+    """A crawl of the page URLs over canned answers, which go by the last digit: permanent failures once, passing ones three
+    times. URLs of one fingerprint are fetched once, by the first of them."""
     policy = crawl.CrawlPolicy(backoff_base=0.0, jitter=False)
     urls = read("pages").select(F.col("page_id").alias("ord"), "url")
     return crawl.fetch(urls, policy, _canned).select("ord", "url", "status_code", "attempts", "success", "error")

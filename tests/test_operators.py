@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import dedup, export, fanin, quality, resolve, state
+from tessera.operators.components import components
 from tessera.sources import crawl
 
 
@@ -34,6 +35,57 @@ def test_two_keys_of_the_survey(spark):
     assert dedup.two_keys(df.limit(0), "a", "b", "o").collect() == []
 
 
+@pytest.mark.parametrize("one_task", [5, 10**6])
+def test_two_keys_of_a_long_chain(spark, monkeypatch, one_task):
+    """a0b0, a0b1, a1b1, a1b2 ...: every second row stays, though rounds alone would take one for every two rows."""
+    monkeypatch.setattr(dedup, "ONE_TASK", one_task)
+    monkeypatch.setattr(dedup, "ROUNDS", 2)
+    n = 40 if one_task == 5 else 10_000
+    rows = [(i, i // 2, (i + 1) // 2) for i in range(n)] + [(n + 1, None, None), (n + 2, None, 0), (n + 3, n, None)]
+    df = spark.createDataFrame(rows, "o long, a long, b long").repartition(3)
+    assert sorted(x.o for x in dedup.two_keys(df, "a", "b", "o").collect()) == [*range(0, n, 2), n + 1, n + 3]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_two_keys_by_components(spark, monkeypatch, seed):
+    monkeypatch.setattr(dedup, "ONE_TASK", 12)
+    monkeypatch.setattr(dedup, "ROUNDS", 1)
+    r = random.Random(seed)
+    rows = [((0, f"p{i:03}"), f"a{r.randint(0, 60)}", f"b{r.randint(0, 60)}") for i in range(120)]
+    kept, seen = [], set()
+    for o, a, b in rows:
+        if not {a, b} & seen:
+            kept.append(o)
+            seen |= {a, b}
+    df = spark.createDataFrame(rows, "o struct<s: int, p: string>, a string, b string").repartition(3)
+    assert sorted(tuple(x.o) for x in dedup.two_keys(df, "a", "b", "o").collect()) == kept
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(0, 30)] + [(100, 101), (101, 100), (102, 102), (None, 1), (103, 30)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys([*range(31), 103], 0), 100: 100, 101: 100}
+
+
+def test_scratch_is_deleted(spark):
+    import os
+
+    def paths(df):
+        return [p for p in df.inputFiles() if os.path.exists(p.removeprefix("file://"))]
+
+    with state.scoped(spark) as scope:
+        inner = state.staged(spark.range(3))
+        kept = scope.keep(inner.filter("id > 0"))
+        assert paths(inner) and paths(kept)
+    assert not os.path.exists(inner._staged_at.removeprefix("file:")) and kept.count() == 2
+    state.unstaged(kept)
+    assert not os.path.exists(kept._staged_at.removeprefix("file:"))
+    with pytest.raises(ZeroDivisionError), state.scoped(spark):
+        gone = state.staged(spark.range(3))
+        1 / 0
+    assert not os.path.exists(gone._staged_at.removeprefix("file:"))
+
+
 def test_save_batch(spark, tmp_path):
     path = str(tmp_path / "t")
     df = dedup.with_fingerprint(spark.createDataFrame([(1, "https://a.com/x/"), (2, "HTTPS://A.com/x"), (3, "https://b.com")], "o long, u string"), "u")
@@ -108,6 +160,59 @@ def test_resolve(spark, extra):
     assert got == {k: (a, b, round(c, 4)) for k, (a, b, c) in want.items()}
 
 
+def blocked_match(raw, entities):
+    """The similarity stage over the entities that share a blocking key, or all if none does, pair by pair."""
+    from tessera.functions.text import comparable
+
+    def keys(n):
+        words = n.split(" ")
+        return {f"tok:{words[0]}", f"len:{len(words)}", *([f"pref:{n[:3]}"] if len(n) >= 3 else [])} if n else set()
+
+    norm = comparable(raw)
+    near = [e for e in entities if any(keys(norm) & keys(comparable(x)) for x in [e[1], *e[2]])]
+    return plain_match(raw, near or entities)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_resolve_against_all_pairs(spark, seed):
+    """Random misspelt names: what the search keys leave out could not score enough."""
+    r = random.Random(seed)
+    syllables = ["ka", "ro", "mi", "ten", "lab", "ai", "so", "ft", "a", "zu", "net", "co"]
+    word = lambda: "".join(r.choice(syllables) for _ in range(r.randint(1, 3)))
+    ents = sorted({f"e{i:03}": (f"e{i:03}", " ".join(word() for _ in range(r.randint(1, 3))), [word()] * (r.random() < 0.2)) for i in range(60)}.values())
+
+    def spoilt(n):
+        n = list(n)
+        for _ in range(r.randint(0, 3)):
+            k, at = r.random(), r.randrange(len(n) + 1)
+            if k < 0.4 and n:
+                n.pop(min(at, len(n) - 1))
+            elif k < 0.7:
+                n.insert(at, r.choice("abeiors "))
+            else:
+                n = list(" ".join(r.sample("".join(n).split(), len("".join(n).split()))))
+        return "".join(n).strip() or "x"
+
+    names = sorted({spoilt(r.choice(ents)[1]) for _ in range(250)} | {"ab", "abc", "ac", "a b c d e", "kaka zu ai net"})
+    df = spark.createDataFrame([(n, "u") for n in names], "raw_name string, source_url string")
+    dim = spark.createDataFrame(ents, "canonical_id string, canonical_name string, aliases array<string>")
+    got = {x.raw_name: (x.canonical_id, x.match_method, round(x.confidence, 4)) for x in resolve.resolve(df, dim).collect()}
+    want = {n: blocked_match(n, ents) for n in {" ".join(n.split("\t")).strip() for n in names}}
+    bad = {n: (got[n], want[n]) for n in want if got[n] != (want[n][0], want[n][1], round(want[n][2], 4)) and want[n][1] not in ("exact", "alias", "normalized")}
+    assert not bad and sum(w[1] == "fuzzy" for w in want.values()) > 20
+
+
+def test_plain_names_stay_in_columns(spark):
+    from tessera.functions.text import with_comparable
+
+    df = spark.createDataFrame([("Acme, Inc.",), ("ﬁne ½",), (None,), ("Café",)], "v string")
+    done = with_comparable(df, F.col("v"), "n")
+    assert sorted((r.v, r.n) for r in done.collect() if r.v) == [("Acme, Inc.", "acme"), ("Café", "cafe"), ("ﬁne ½", "fine 1 2")]
+    plan = with_comparable(df, F.col("v"), "n")._jdf.queryExecution().optimizedPlan().toString()
+    left, right = plan.split("+- ")[0], plan
+    assert right.count("ArrowEvalPython") == 1 and "Union" in left
+
+
 def test_resolve_keeps_and_refreshes(spark):
     dim = resolve.seeds(spark)
     names = spark.createDataFrame([("Acme", "u"), ("OpenAI", "u")], "raw_name string, source_url string")
