@@ -24,10 +24,19 @@ def parser() -> argparse.ArgumentParser:
         sub.add_parser(name)
     for v in VERTICALS:
         c = sub.add_parser(v)
-        c.add_argument("--batch-size", type=int, default=50, help="files a batch")
+        _taken(c)
+        c.add_argument("--offset", type=int, default=0, help="rows of each source to pass over, where nothing is resumed")
         c.add_argument("--sources", default=None)
         c.add_argument("--dry-run", action="store_true")
+    c = sub.add_parser("fetch", help="fetches and lands payloads")
+    c.add_argument("vertical", choices=VERTICALS)
+    c.add_argument("--limit", type=int, default=50, help="rows, shared by the sources")
+    c.add_argument("--offset", type=int, default=0)
+    c.add_argument("--sources", default=None)
+    c.add_argument("--workers", type=int, default=None, help="requests under way at a time")
+    c.add_argument("--resume", action=argparse.BooleanOptionalAction, default=True)
     c = sub.add_parser("pipeline")
+    _taken(c)
     c.add_argument("--source", choices=VERTICALS)
     for v in VERTICALS:
         c.add_argument(f"--skip-{v}", action="store_true")
@@ -42,9 +51,18 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--records", type=int, default=100)
     c = sub.add_parser("crawl-test")
     c.add_argument("url", nargs="+")
+    c.add_argument("--concurrency", type=int, default=None, help="requests under way at a time")
     return p
 
 
+def _taken(c: argparse.ArgumentParser) -> None:
+    """Options of what a run takes."""
+    c.add_argument("--limit", type=int, default=None, help="rows, shared by the sources; without it all that has landed")
+    c.add_argument("--batch-size", type=int, default=50, help="files a batch, without a limit")
+    c.add_argument("--batch-rows", type=int, default=10_000, help="rows a batch, with a limit")
+    c.add_argument("--resume", action=argparse.BooleanOptionalAction, default=True, help="go on where the last run stopped")
+
+
 def run(args: argparse.Namespace, env: dict[str, str], spark=None) -> tuple[int, object]:
     """(exit code, what to print)."""
     try:
@@ -75,12 +93,15 @@ def run(args: argparse.Namespace, env: dict[str, str], spark=None) -> tuple[int,
         return (DONE if got["status"] == "PASS" else INVALID), got
     if cmd in VERTICALS:
         try:
-            c = services.ingest(spark, settings.landed_folder, cmd, folder, args.batch_size, args.sources, dry_run=args.dry_run)
+            c = services.ingest(spark, settings.landed_folder, cmd, folder, args.batch_size, args.sources, dry_run=args.dry_run, limit=args.limit, offset=args.offset, resume=args.resume, batch_rows=args.batch_rows)
         except Exception as e:  # noqa: BLE001
             return SERVICE, {"error": str(e)[:300]}
-        return DONE, vars(c)
+        return DONE, {**vars(c), "requested": args.limit, "a_second": c.a_second}
+    if cmd == "fetch":
+        got = services.fetch(spark, settings, args.vertical, args.limit, args.sources, args.resume, args.offset, args.workers)
+        return (DONE if any(x.status != "failed" for x in got) else SERVICE), [vars(x) for x in got]
     if cmd == "pipeline":
-        got = services.pipeline(spark, settings, {v for v in VERTICALS if getattr(args, f"skip_{v}")}, args.source)
+        got = services.pipeline(spark, settings, {v for v in VERTICALS if getattr(args, f"skip_{v}")}, args.source, limit=args.limit, batch_files=args.batch_size, batch_rows=args.batch_rows, resume=args.resume)
         return (SERVICE if any(isinstance(x, dict) and x.get("status") == "failed" for x in got.values()) else DONE), got
     if cmd == "status":
         held = Checkpoints(spark, f"{folder}/checkpoints").all()
@@ -99,7 +120,7 @@ def run(args: argparse.Namespace, env: dict[str, str], spark=None) -> tuple[int,
         return DONE, services.benchmark(spark, folder, args.records)
     from tessera.sources.crawl import CrawlPolicy, fetch
 
-    policy = CrawlPolicy(settings.crawler_concurrency, timeout=settings.crawler_timeout, retries=settings.crawler_max_retries, headers={"User-Agent": settings.crawler_user_agent}, token=settings.github_token)
+    policy = CrawlPolicy(args.concurrency or settings.crawler_concurrency, timeout=settings.crawler_timeout, retries=settings.crawler_max_retries, headers={"User-Agent": settings.crawler_user_agent}, token=settings.github_token)
     rows = fetch(spark.createDataFrame(list(enumerate(args.url)), "ord long, url string"), policy).drop("content").orderBy("ord").collect()
     return (DONE if all(r.success for r in rows) else SERVICE), [r.asDict() for r in rows]
 

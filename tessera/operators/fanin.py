@@ -16,15 +16,21 @@ def sliced(df: DataFrame, limit: int, offset: int = 0, order: str = "ord", by: s
     return df.withColumn("_n", n).filter((F.col("_n") > offset) & (F.col("_n") <= offset + limit)).drop("_n")
 
 
+def from_place(df: DataFrame, offset: int, order: str = "ord") -> DataFrame:
+    """All rows after the first `offset` in order."""
+    return df.orderBy(order).offset(offset) if offset else df
+
+
 def share(limit: int, sources: int, least: int = 1) -> int:
     """Rows that each source may give: its part of the limit, rounded up."""
     return max(least, -(-limit // max(1, sources)))
 
 
-def fan_in(sources: dict[str, DataFrame], limit: int, offset: int = 0, least: int = 1, order: str = "ord") -> DataFrame:
+def fan_in(sources: dict[str, DataFrame], limit: int, offset: int | dict[str, int] = 0, least: int = 1, order: str = "ord") -> DataFrame:
     """The union of sources (by key, in this order) with source_key, each from its own offset and by its share, then the limit."""
     k = share(limit, len(sources), least)
-    parts = [sliced(df, k, offset, order).withColumns({"source_key": F.lit(name), "_source": F.lit(i)}) for i, (name, df) in enumerate(sources.items())]
+    at = lambda name: offset.get(name, 0) if isinstance(offset, dict) else offset
+    parts = [sliced(df, k, at(name), order).withColumns({"source_key": F.lit(name), "_source": F.lit(i)}) for i, (name, df) in enumerate(sources.items())]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).orderBy("_source", order).limit(limit).drop("_source")
 
 

@@ -175,7 +175,7 @@ def violations(df: DataFrame, keys: str | list[str]) -> DataFrame:
     return df.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("rows")).filter("rows > 1")
 
 
-CHECKPOINT = "vertical string, source string, cursor string, segment int, page int, processed long, inserted long, duplicates long, invalid long, failed long, last_item string, status string, updated_at timestamp"
+CHECKPOINT = "vertical string, source string, cursor string, segment int, page int, processed long, valid long, inserted long, duplicates long, invalid long, failed long, last_item string, status string, updated_at timestamp"
 
 
 class Checkpoints:
@@ -185,7 +185,7 @@ class Checkpoints:
         self.spark, self.table = spark, VersionedTable(spark, path)
 
     def save(self, vertical: str, source: str, **more) -> None:
-        row = {"vertical": vertical, "source": source, "status": "running", **{k: 0 for k in ("processed", "inserted", "duplicates", "invalid", "failed")}, **more}
+        row = {"vertical": vertical, "source": source, "status": "running", **{k: 0 for k in ("processed", "valid", "inserted", "duplicates", "invalid", "failed")}, **more}
         names = [c.split()[0] for c in CHECKPOINT.split(", ")]
         df = self.spark.createDataFrame([tuple(row.get(n) for n in names)], CHECKPOINT).withColumn("updated_at", F.coalesce("updated_at", F.current_timestamp()))
         self.table.upsert(df, ["vertical", "source"])

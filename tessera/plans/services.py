@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import resource
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from tessera.config import Settings
 from tessera.operators import export as X
 from tessera.operators import quality, resolve
-from tessera.operators.state import VersionedTable, read_or_none
+from tessera.operators.state import Checkpoints, VersionedTable, deleted, read_or_none
 from tessera.providers.chain import Chain, chained
 from tessera.providers.http import HttpProvider, Limiter, configured_key
+from tessera.sources.crawl import CrawlPolicy
+from tessera.sources.fetching import Landed, land
 from tessera.streaming.ingest import VERTICALS, Counts, ingest
 
 ORDER = ["research", "startups", "products", "news", "jobs"]
@@ -99,10 +102,22 @@ def health(spark: SparkSession, settings: Settings) -> dict[str, str]:
 
 
 def benchmark(spark: SparkSession, folder: str, records: int = 100) -> dict[str, float]:
-    """Writes synthetic rows and reads them back: rows a second and milliseconds a row."""
+    """Writes synthetic rows, reads them back and deletes them: rows a second, milliseconds a row, and by how many MB the
+    driver's Python and its JVM's heap grew."""
     path = f"{folder.rstrip('/')}/benchmark"
-    began = time.monotonic()
-    spark.range(records).select("id", F.concat(F.lit("record "), "id").alias("text"), F.sha2(F.col("id").cast("string"), 256).alias("hash")).write.mode("overwrite").parquet(path)
-    n = spark.read.parquet(path).count()
+    runtime = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    memory = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024 + (runtime.totalMemory() - runtime.freeMemory()) / 2**20
+    before, began = memory(), time.monotonic()
+    try:
+        spark.range(records).select("id", F.concat(F.lit("record "), "id").alias("text"), F.sha2(F.col("id").cast("string"), 256).alias("hash")).write.mode("overwrite").parquet(path)
+        n = spark.read.parquet(path).count()
+    finally:
+        deleted(spark, [path])
     s = max(time.monotonic() - began, 1e-6)
-    return {"records": n, "seconds": s, "records_a_second": n / s, "ms_a_record": 1000 * s / max(1, n)}
+    return {"records": n, "failed": records - n, "seconds": s, "records_a_second": n / s, "ms_a_record": 1000 * s / max(1, n), "memory_mb": memory() - before}
+
+
+def fetch(spark: SparkSession, settings: Settings, vertical: str, limit: int = 50, sources: str | None = None, resume: bool = True, offset: int = 0, workers: int | None = None, transport=None) -> list[Landed]:
+    """Fetches and lands payloads of a vertical's sources, from where the last run of each stopped."""
+    policy = CrawlPolicy(workers or settings.crawler_concurrency, timeout=settings.crawler_timeout, retries=settings.crawler_max_retries, backoff_base=settings.crawler_backoff_base, backoff_most=settings.crawler_backoff_max, headers={"User-Agent": settings.crawler_user_agent}, token=settings.github_token)
+    return land(spark, vertical, settings.landed_folder, limit, sources, Checkpoints(spark, f"{settings.data_folder}/checkpoints"), policy, transport, resume, offset)

@@ -116,12 +116,16 @@ def parsed(text: str) -> dict:
 def extract(df: DataFrame, key: str, prompt: str, make: Callable[[], Chain], schema: str, concurrency: int = 5) -> DataFrame:
     """key, answer (struct by schema), error, attempts and seconds of a structured extraction of each row.
 
-    `make` builds the chain on the executor; at most `concurrency` tasks call it side by side. A failure is a row.
+    `make` builds the chain on the executor; at most `concurrency` tasks call it side by side. They share the limits a minute
+    and a day of its providers: each task has its part of them, for the length of the job. A failure is a row.
     """
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         chain = make()
+        for p in chain.providers:
+            if getattr(p, "limiter", None) is not None:
+                p.limiter = p.limiter.part(concurrency)
         for b in batches:
             out = []
             for k, p in zip(b[key], b[prompt], strict=True):

@@ -20,7 +20,21 @@ def items(payloads: DataFrame, path: str | None, payload: str = "payload") -> Da
     """ord and item (a VARIANT) of each member of the array at a path of a JSON payload (null: the payload itself)."""
     doc = F.try_parse_json(F.col(payload))
     found = F.try_variant_get(doc, f"$.{path}" if path else "$", "array<variant>")
-    return payloads.select(F.posexplode(found).alias("ord", "item"))
+    return _ordered(payloads, F.posexplode(found).alias("ord", "item")).select("ord", "item")
+
+
+def _ordered(payloads: DataFrame, *columns) -> DataFrame:
+    """Columns with `ord` as the place in a payload; of payloads with a path, the path and the place in it."""
+    if "path" not in payloads.columns:
+        return payloads.select(*columns)
+    return payloads.select(F.col("path").alias("_path"), *columns).withColumn("ord", F.struct(F.col("_path").alias("path"), F.col("ord").alias("at"))).drop("_path")
+
+
+def unreadable(payload: Column) -> Column:
+    """Whether a payload is neither JSON nor well-formed XML."""
+    xml = F.from_xml(payload, F.lit("_corrupt_record string, any string"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    blank = F.coalesce(F.trim(payload), F.lit("")) == ""
+    return blank | F.when(F.ltrim(payload).startswith("<"), xml["_corrupt_record"].isNotNull()).otherwise(F.try_parse_json(payload).isNull())
 
 
 def field(name: str, kind: str = "string") -> Column:
@@ -65,18 +79,36 @@ def jobs_himalayas(payloads: DataFrame) -> DataFrame:
     return _jobs(items(payloads, "jobs"), pick("companyName"), pick("title"), link, pick("pubDate"), pick("excerpt", "description", "title"), "Himalayas", "https://himalayas.app/jobs/api")
 
 
-_ITEM = "array<struct<title: string, link: string, pubDate: string, description: string, `content:encoded`: string>>"
-_ENTRY = "array<struct<id: string, title: string, link: array<struct<_rel: string, _href: string>>, published: string, updated: string, summary: string, content: string, author: array<struct<name: string>>>>"
+_ITEM = "array<struct<title: array<string>, link: array<string>, pubDate: array<string>, description: array<string>, encoded: array<string>>>"
+_ENTRY = "array<struct<id: array<string>, title: array<string>, link: array<struct<_rel: string, _href: string>>, published: array<string>, updated: array<string>, summary: array<string>, content: array<string>, author: array<struct<name: string>>>>"
+
+
+def _local(payload: Column) -> Column:
+    """XML whose elements go by their local names: any prefix of a feed's namespace, and any `...:encoded` child, is read."""
+    return F.regexp_replace(payload, r"(</?)[A-Za-z_][\w.\-]*:([A-Za-z_])", "$1$2")
+
+
+def _first(c: Column) -> Column:
+    """The text of the first of the elements of one name."""
+    return F.get(c, F.lit(0))
 
 
 def _rss(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    doc = F.from_xml(F.col(payload), F.lit(f"channel struct<title: string, link: string, item: {_ITEM}>"))
-    return payloads.select(doc.alias("d")).select("d.channel.title", "d.channel.link", F.posexplode("d.channel.item").alias("ord", "i")).select(F.col("title").alias("feed_title"), F.col("link").alias("feed_link"), "ord", "i.*")
+    """feed_title, feed_link, ord, and the items' title, link, pubDate, description, encoded."""
+    doc = F.from_xml(_local(F.col(payload)), F.lit(f"channel struct<title: array<string>, link: array<string>, item: {_ITEM}>"))
+    rows = payloads.withColumn("d", doc)
+    flat = _ordered(rows, F.col("d.channel.title").alias("feed_title"), F.col("d.channel.link").alias("feed_link"), F.posexplode("d.channel.item").alias("ord", "i"))
+    # The channel's own link is the one with a text: links of other namespaces have attributes only.
+    home = F.get(F.filter("feed_link", lambda x: filled(x).isNotNull()), F.lit(0))
+    return flat.select(_first(F.col("feed_title")).alias("feed_title"), home.alias("feed_link"), "ord", *[_first(F.col(f"i.{n}")).alias(n) for n in ("title", "pubDate", "description", "encoded")], F.get(F.filter("i.link", lambda x: filled(x).isNotNull()), F.lit(0)).alias("link"))
 
 
 def _atom(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    doc = F.from_xml(F.col(payload), F.lit(f"title string, entry {_ENTRY}"))
-    return payloads.select(doc.alias("d")).select(F.col("d.title").alias("feed_title"), F.posexplode("d.entry").alias("ord", "e")).select("feed_title", "ord", "e.*")
+    """feed_title, ord, and the entries' id, title, published, updated, summary, content, link, author."""
+    doc = F.from_xml(_local(F.col(payload)), F.lit(f"title array<string>, entry {_ENTRY}"))
+    rows = payloads.withColumn("d", doc)
+    flat = _ordered(rows, F.col("d.title").alias("feed_title"), F.posexplode("d.entry").alias("ord", "e"))
+    return flat.select(_first(F.col("feed_title")).alias("feed_title"), "ord", *[_first(F.col(f"e.{n}")).alias(n) for n in ("id", "title", "published", "updated", "summary", "content")], "e.link", "e.author")
 
 
 def jobs_wwr(payloads: DataFrame) -> DataFrame:
@@ -96,8 +128,8 @@ def _news(rows: DataFrame, name: Column, home: Column) -> DataFrame:
 
 
 def news_rss(payloads: DataFrame, name: str | None = None, home: str | None = None) -> DataFrame:
-    """Articles of an RSS 2.0 feed; the text is that of content:encoded, else of the description."""
-    rows = _rss(payloads).select("ord", filled(F.col("title")).alias("title"), filled(F.col("link")).alias("url"), filled(F.col("pubDate")).alias("date_raw"), text.html_text(F.coalesce("`content:encoded`", "description")).alias("full_text"), "feed_title", "feed_link")
+    """Articles of an RSS 2.0 feed; the text is that of content:encoded (or another `encoded` child), else of the description."""
+    rows = _rss(payloads).select("ord", filled(F.col("title")).alias("title"), filled(F.col("link")).alias("url"), filled(F.col("pubDate")).alias("date_raw"), text.html_text(F.coalesce("encoded", "description")).alias("full_text"), "feed_title", "feed_link")
     return _news(rows, F.lit(name) if name else F.coalesce(filled(F.col("feed_title")), F.lit("RSS Feed")), F.lit(home) if home else F.coalesce(filled(F.col("feed_link")), F.lit("https://techcrunch.com/")))
 
 

@@ -20,9 +20,9 @@ def payload_stream(spark: SparkSession, path: str, files_a_batch: int = 50) -> D
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
 
 
-def source_key(path):
-    """The source of a payload: the name of the folder its file is in."""
-    return F.element_at(F.split(path, "/"), -2)
+def source_key(path, vertical: str | None = None):
+    """The source of a payload: the folder below that of the vertical, or without one the folder that the file is in."""
+    return F.regexp_extract(path, f"^.*/{vertical}/([^/]+)/", 1) if vertical else F.element_at(F.split(path, "/"), -2)
 
 
 def paper_query(query: str = "cat:cs.AI", start: int = 0, most: int = 50) -> str:

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import dates
 from tessera.functions.url import canonical_http, url_fingerprint
-from tessera.operators import dedup, quality
-from tessera.operators.state import Checkpoints, read_or_none, staged
-from tessera.sources.feeds import PARSERS, enabled
-from tessera.sources.landed import payload_stream, source_key
+from tessera.operators import dedup, fanin, quality
+from tessera.operators.state import Checkpoints, deleted, read_or_none, scoped, staged
+from tessera.sources.feeds import PARSERS, enabled, unreadable
+from tessera.sources.landed import payload_stream, payloads, source_key
 
 #: By vertical: the URL that tells rows apart, the date that is checked for freshness, a second key, the kind of constraints.
 VERTICALS = {
@@ -26,27 +28,48 @@ VERTICALS = {
 }
 
 
+#: Fewest rows that a source may give of a limited run, by vertical.
+LEAST = {"news": 5}
+
+
 @dataclass
 class Counts:
+    """What a run (with those that it goes on from) found: rows discovered and processed, of these the valid, inserted,
+    duplicate and invalid ones; failed: payloads that could not be read."""
+
     discovered: int = 0
     processed: int = 0
+    valid: int = 0
     inserted: int = 0
     duplicates: int = 0
     invalid: int = 0
+    failed: int = 0
     seconds: float = 0.0
+    last_item: str = ""
 
     @property
     def a_second(self) -> float:
         return self.processed / max(self.seconds, 0.001)
 
+    def add(self, c: Counts) -> None:
+        for k in COUNTED:
+            setattr(self, k, getattr(self, k) + getattr(c, k))
+        self.last_item = c.last_item or self.last_item
+
+
+COUNTED = ["discovered", "processed", "valid", "inserted", "duplicates", "invalid", "failed"]
+
+
+def by_source(payloads: DataFrame, vertical: str, sources: str | None = None) -> dict[str, DataFrame]:
+    """The rows of a batch of payloads (path, payload) by source, each by its parser; ord is the path and the place in it."""
+    key = source_key(F.col("path"), vertical)
+    return {name: parser(payloads.filter(key == name)) for name, parser in enabled(vertical, sources).items()}
+
 
 def parsed(payloads: DataFrame, vertical: str, sources: str | None = None) -> DataFrame:
-    """Rows of a batch of payloads (path, payload), each by the parser of its source, with source_key and an order over all."""
-    out = None
-    for i, (key, parser) in enumerate(enabled(vertical, sources).items()):
-        rows = parser(payloads.filter(source_key(F.col("path")) == key)).withColumns({"source_key": F.lit(key), "_source": F.lit(i)})
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    return out.withColumn("_order", F.struct("_source", "ord", F.monotonically_increasing_id())).drop("_source")
+    """The rows of all sources with source_key and an order over all: by source, then path and place."""
+    parts = [rows.withColumns({"source_key": F.lit(name), "_order": F.struct(F.lit(i).alias("source"), "ord")}) for i, (name, rows) in enumerate(by_source(payloads, vertical, sources).items())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def typed(rows: DataFrame, vertical: str, now) -> DataFrame:
@@ -65,69 +88,168 @@ def typed(rows: DataFrame, vertical: str, now) -> DataFrame:
     return out.withColumns({k: F.col(v) for k, v in names.items()}) if names else out
 
 
-def save(batch: DataFrame, vertical: str, folder: str, sources: str | None, now, dry_run: bool = False) -> Counts:
-    """One batch: parse, type, check, dedup against the batch and the table, append rows and quarantine."""
+def save(rows: DataFrame, vertical: str, folder: str, now, dry_run: bool = False, failed: int = 0) -> Counts:
+    """One batch of parsed rows: type, check, dedup against the batch and the table, append rows and quarantine."""
     _, _, name, kind = VERTICALS[vertical]
-    rows = staged(typed(parsed(batch, vertical, sources), vertical, now))
-    good, bad = quality.split(rows, kind)
-    held = read_or_none(rows.sparkSession, f"{folder}/{vertical}")
-    keyed = staged(good.withColumn("_rank", F.monotonically_increasing_id())) if name else good
-    new = staged(dedup.batch_to_save(keyed, held, "_rank" if name else "_order", name).drop("_rank", "_order"))
-    seen = rows.count()
-    invalid, inserted = bad.count(), new.count()
-    if not dry_run:
-        if inserted:
-            new.write.mode("append").parquet(f"{folder}/{vertical}")
-        if invalid:
-            bad.drop("_order").write.mode("append").parquet(f"{folder}/quarantine/{vertical}")
-    return Counts(seen, seen, inserted, seen - invalid - inserted, invalid)
-
-
-def ingest(spark: SparkSession, landed: str, vertical: str, folder: str, batch_files: int = 50, sources: str | None = None, now=None, dry_run: bool = False, on_batch: Callable[[Counts], None] | None = None) -> Counts:
-    """Takes what has landed since the last run, batch by batch, and stops when nothing is left.
-
-    The stream's own checkpoint says which files are done: an interrupted run goes on with the batch that it did not finish
-    (whose rows, if they were written, are then duplicates), a second run over the same files inserts nothing. A dry run
-    reads all files once, writes neither rows nor progress. now: the time of collection, by default that of the run.
+    title = next(c for c in ("title", "entity_name", "product_name") if c in rows.columns)
+    with scoped(rows.sparkSession):
+        rows = staged(typed(rows, vertical, now))
+        good, bad = quality.split(rows, kind)
+        held = read_or_none(rows.sparkSession, f"{folder}/{vertical}")
+        new = staged(dedup.batch_to_save(good, held, "_order", name).drop("_order"))
+        seen = rows.agg(F.count("*").alias("n"), F.max_by(title, "_order").alias("last")).first()
+        invalid, inserted = bad.count(), new.count()
+        if not dry_run:
+            if inserted:
+                new.write.mode("append").parquet(f"{folder}/{vertical}")
+            if invalid:
+                bad.drop("_order").write.mode("append").parquet(f"{folder}/quarantine/{vertical}")
+    return Counts(seen["n"], seen["n"], seen["n"] - invalid, inserted, seen["n"] - invalid - inserted, invalid, failed, 0.0, seen["last"] or "")
+
+
+def save_payloads(batch: DataFrame, vertical: str, folder: str, sources: str | None, now, dry_run: bool = False) -> Counts:
+    """One batch of payloads. Those of the enabled sources that cannot be read count as failed."""
+    known = batch.filter(source_key(F.col("path"), vertical).isin(list(enabled(vertical, sources))))
+    failed = known.agg(F.count_if(unreadable(F.col("payload"))).alias("n")).first()["n"]
+    return save(parsed(batch, vertical, sources), vertical, folder, now, dry_run, failed)
+
+
+def _resumed(marks: Checkpoints, vertical: str, source: str, resume: bool) -> tuple[Counts, Row | None]:
+    """The counters to go on with, and the checkpoint of an interrupted run, if there is one and it is to be resumed."""
+    if not resume:
+        marks.reset(vertical, source)
+    row = marks.resume(vertical, source) if resume else None
+    return (Counts(row["processed"], *(row[k] for k in ("processed", "valid", "inserted", "duplicates", "invalid", "failed"))) if row else Counts()), row
+
+
+def _mark(marks: Checkpoints, vertical: str, source: str, status: str, c: Counts, **more) -> None:
+    marks.save(vertical, source, status=status, last_item=c.last_item, **{k: getattr(c, k) for k in ("processed", "valid", "inserted", "duplicates", "invalid", "failed")}, **more)
+
+
+def ingest(
+    spark: SparkSession,
+    landed: str,
+    vertical: str,
+    folder: str,
+    batch_files: int = 50,
+    sources: str | None = None,
+    now=None,
+    dry_run: bool = False,
+    on_batch: Callable[[Counts], None] | None = None,
+    limit: int | None = None,
+    offset: int = 0,
+    resume: bool = True,
+    batch_rows: int = 10_000,
+) -> Counts:
+    """Takes what has landed into the table of a vertical, batch by batch.
+
+    Without a limit: all that has landed since the last run, as a stream. Its own checkpoint says which files are done: an
+    interrupted run goes on with the batch that it did not finish (whose rows, if they were written, are then duplicates), a
+    second run over the same files inserts nothing. resume=False starts over from the first file.
+
+    With a limit (or an offset): at most so many rows of what has landed, an equal share of each source, batch_rows at a
+    time. How far each source is read is kept with the counters after every batch, so an interrupted run, or one that found
+    less than its limit, goes on there; a completed one, or resume=False, starts from the offset of each source.
+
+    A dry run reads what is there once, writes neither rows nor progress. now: the time of collection, by default that of the run.
     """
-    import time
-
     if vertical not in PARSERS:
         raise ValueError(f"unknown vertical {vertical!r}")
-    began, total, at = time.monotonic(), Counts(), F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    where = f"{landed}/{vertical}"
+    began, at = time.monotonic(), F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    where, marks, source = f"{landed}/{vertical}", Checkpoints(spark, f"{folder}/checkpoints"), sources or "all"
 
-    def add(c: Counts) -> None:
-        for k in ("discovered", "processed", "inserted", "duplicates", "invalid"):
-            setattr(total, k, getattr(total, k) + getattr(c, k))
+    if limit is not None or offset:
+        total = _limited(spark, where, vertical, folder, sources, at, dry_run, on_batch, limit, offset, resume, batch_rows, marks)
+    elif dry_run:
+        total = save_payloads(payloads(spark, where), vertical, folder, sources, at, True)
         if on_batch:
-            on_batch(c)
-
-    if dry_run:
-        from tessera.sources.landed import payloads
-
-        add(save(payloads(spark, where), vertical, folder, sources, at, True))
+            on_batch(total)
     else:
-        marks = Checkpoints(spark, f"{folder}/checkpoints")
-        marks.save(vertical, sources or "all", status="running")
-        query = payload_stream(spark, where, batch_files).writeStream.foreachBatch(lambda df, _: add(save(df, vertical, folder, sources, at))).option("checkpointLocation", f"{folder}/progress/{vertical}").trigger(availableNow=True).start()
+        progress = f"{folder}/progress/{vertical}"
+        if not resume:
+            deleted(spark, [progress])
+        stream = payload_stream(spark, where, batch_files)
+        total, row = _resumed(marks, vertical, source, resume)
+        done = int(row["cursor"]) if row and (row["cursor"] or "").lstrip("-").isdigit() else -1
+
+        def take(df: DataFrame, batch: int) -> None:
+            nonlocal done
+            c = save_payloads(df, vertical, folder, sources, at)
+            if batch > done:  # a batch that is taken again was counted before
+                total.add(c)
+                done = batch
+            _mark(marks, vertical, source, "running", total, cursor=str(done))
+            if on_batch:
+                on_batch(c)
+
+        _mark(marks, vertical, source, "running", total, cursor=str(done))
+        query = stream.writeStream.foreachBatch(take).option("checkpointLocation", progress).trigger(availableNow=True).start()
         try:
             query.awaitTermination()
         except BaseException:
             query.stop()
-            marks.save(vertical, sources or "all", status="interrupted", processed=total.processed, inserted=total.inserted, duplicates=total.duplicates, invalid=total.invalid)
+            _mark(marks, vertical, source, "interrupted", total, cursor=str(done))
             raise
-        marks.save(vertical, sources or "all", status="completed", processed=total.processed, inserted=total.inserted, duplicates=total.duplicates, invalid=total.invalid)
+        _mark(marks, vertical, source, "completed", total, cursor=str(done))
     total.seconds = time.monotonic() - began
     return total
 
 
+def _limited(spark, where, vertical, folder, sources, at, dry_run, on_batch, limit, offset, resume, batch_rows, marks) -> Counts:
+    names = list(enabled(vertical, sources))
+    total, row = (Counts(), None) if dry_run else _resumed(marks, vertical, sources or "all", resume)
+    held = {n: None if dry_run or row is None else marks.get(vertical, n) for n in names}
+    start = {n: int(c["cursor"]) if c is not None else offset for n, c in held.items()}
+    wanted = (1 << 31) - 1 if limit is None else limit - total.processed
+    if wanted <= 0:
+        return total
+    with scoped(spark):
+        landed = payloads(spark, where)
+        known = landed.filter(source_key(F.col("path"), vertical).isin(names))
+        found = by_source(landed, vertical, sources)
+        if limit is None:
+            rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [fanin.from_place(df, start[n]).withColumns({"source_key": F.lit(n)}) for n, df in found.items()])
+        else:
+            rows = fanin.fan_in(found, wanted, start, LEAST.get(vertical, 1))
+        number = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)])
+        rows = staged(rows.withColumn("_order", F.struct(number[F.col("source_key")].alias("source"), "ord")))
+        ranks = staged(rows.select("_order", "source_key", (F.row_number().over(Window.orderBy("_order")) - 1).alias("_rank")))  # narrow, and bounded by the limit
+        n = ranks.count()
+        failed = known.agg(F.count_if(unreadable(F.col("payload"))).alias("n")).first()["n"] if row is None else 0
+        status = lambda: "completed" if limit is not None and total.processed >= limit else "running"
+        try:
+            for first in range(0, n, batch_rows):
+                mine = ranks.filter((F.col("_rank") >= first) & (F.col("_rank") < first + batch_rows))
+                c = save(rows.join(mine.select("_order"), "_order", "left_semi"), vertical, folder, at, dry_run, failed if first == 0 else 0)
+                total.add(c)
+                if not dry_run:
+                    for r in mine.groupBy("source_key").agg(F.count("*").alias("n"), F.max("_order").alias("last")).collect():
+                        start[r["source_key"]] += r["n"]
+                    for name in names:
+                        marks.save(vertical, name, cursor=str(start[name]), status=status())
+                    _mark(marks, vertical, sources or "all", status(), total, cursor=str(total.processed))
+                if on_batch:
+                    on_batch(c)
+        except BaseException:
+            if not dry_run:
+                _mark(marks, vertical, sources or "all", "interrupted", total, cursor=str(total.processed))
+            raise
+        if not n and not dry_run:
+            _mark(marks, vertical, sources or "all", status(), total, cursor=str(total.processed))
+    return total
+
+
 def rate_window(requests: DataFrame, by: str, at: str, seconds: int = 60) -> DataFrame:
-    """requests with `in_window`: those of the same key in the seconds up to each (its own time included)."""
-    from pyspark.sql import Window
+    """requests with `in_window`: those of the same key in the seconds up to each (its own time included).
 
-    w = Window.partitionBy(by).orderBy(F.unix_micros(F.col(at).cast("timestamp"))).rangeBetween(-seconds * 1_000_000 + 1, 0)
-    return requests.withColumn("in_window", F.count("*").over(w))
+    A row's window lies in its own stretch of so many seconds and the one before, so a row takes part in its own and in the
+    next one, and windows are parted by key and stretch: a key with very many requests is spread over its time.
+    """
+    micros = F.unix_micros(F.col(at).cast("timestamp"))
+    stretch = F.floor(micros / (seconds * 1_000_000))
+    both = requests.withColumns({"_at": micros, "_own": F.explode(F.array(F.lit(True), F.lit(False)))}).withColumn("_part", stretch + F.when(F.col("_own"), 0).otherwise(1))
+    w = Window.partitionBy(by, "_part").orderBy("_at").rangeBetween(-seconds * 1_000_000 + 1, 0)
+    return both.withColumn("in_window", F.count("*").over(w)).filter("_own").drop("_at", "_own", "_part")
 
 
 def rate_stream(requests: DataFrame, by: str, at: str, limit: int, seconds: int = 60, late: str = "10 minutes") -> DataFrame:

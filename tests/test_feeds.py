@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.sources import feeds, landed
 
@@ -73,6 +74,24 @@ def test_news(spark):
     assert got[0]["url"] == "https://d" and got[0]["full_text"].startswith("words words")
 
 
+def test_feeds_of_any_namespace(spark):
+    atom = """<atom:feed xmlns:atom="http://www.w3.org/2005/Atom"><atom:title>At</atom:title><atom:entry><atom:id>http://arxiv.org/abs/1.2v3</atom:id><atom:title>E</atom:title>
+      <atom:link href="https://alt"/><atom:published>2026-08-15T00:00:00Z</atom:published><atom:summary>A summary of the entry that is long enough to keep.</atom:summary></atom:entry></atom:feed>"""
+    got = rows(feeds.news_atom(payload(spark, atom)))
+    assert [(r["title"], r["url"], r["full_text"]) for r in got] == [("E", "https://alt", "A summary of the entry that is long enough to keep.")]
+    assert rows(feeds.papers(payload(spark, atom)))[0]["paper_url"] == "https://arxiv.org/abs/1.2"
+    rss = """<rss xmlns:a="http://www.w3.org/2005/Atom" xmlns:m="x"><channel><title>Feed</title><a:link href="https://self" rel="self"/><link>https://f</link>
+      <item><title>A</title><m:title>not this</m:title><a:link href="https://no"/><link>https://n/1</link><e:encoded xmlns:e="y"><![CDATA[<p>Any child whose name ends so is the text of it.</p>]]></e:encoded></item></channel></rss>"""
+    got = rows(feeds.news_rss(payload(spark, rss)))
+    assert [(r["title"], r["url"], r["full_text"], r["source_url"]) for r in got] == [("A", "https://n/1", "Any child whose name ends so is the text of it.", "https://f")]
+
+
+def test_unreadable(spark):
+    bodies = ["{}", "[1]", "<rss><channel></channel></rss>", "<rss><channel>", "not json", "", None, '{"a"']
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, payload string")
+    assert [r.u for r in df.select("i", feeds.unreadable(F.col("payload")).alias("u")).orderBy("i").collect()] == [False, False, False, True, True, True, True, True]
+
+
 PAPERS = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://arxiv.org/abs/2103.14030v1</id><published>2021-03-25T17:59:31Z</published><title>Swin
   Transformer</title><summary>Code at https://github.com/microsoft/Swin-Transformer.git.</summary><author><name>Ze Liu</name></author><author><name>Yutong Lin</name></author></entry>
   <entry><id></id><title>no id</title></entry></feed>"""

@@ -329,6 +329,7 @@ def test_crawl(spark):
     df = spark.createDataFrame(list(enumerate(urls)), "ord long, url string")
     got = {r.ord: r for r in crawl.fetch(df, policy, answers).collect()}
     assert {i: (r.status_code, r.attempts, r.success) for i, r in got.items()} == {0: (200, 1, True), 1: (404, 1, False), 2: (503, 3, False), 3: (None, 3, False), 4: (418, 1, False), 5: (200, 1, True), 6: (429, 3, False)}
+    assert {i: r.error_class for i, r in got.items()} == {0: None, 1: "http", 2: "http", 3: "connection", 4: "http", 5: None, 6: "rate_limit"}
     assert got[3].error == "OSError: no route" and got[0].fingerprint == got[5].fingerprint
     cache = state.staged(crawl.fetch(df, policy, answers))
     again = crawl.fetch(df, policy, lambda *a: (500, None, None, None), cache)
@@ -336,6 +337,27 @@ def test_crawl(spark):
     assert tuple(crawl.summary(cache).first()) == (7, 2, 5, 10)
 
 
+def test_error_classes():
+    import urllib.error
+
+    kinds = [TimeoutError("x"), urllib.error.URLError(TimeoutError("timed out")), urllib.error.URLError("refused"), ConnectionResetError("x"), ValueError("x")]
+    assert [crawl.error_class(None, e) for e in kinds] == ["timeout", "timeout", "connection", "connection", "other"]
+    assert [crawl.error_class(s) for s in (200, 301, 404, 429, 500, None)] == [None, None, "http", "rate_limit", "http", None]
+
+
+def test_hosts_do_not_wait_for_one_another(spark):
+    import time
+
+    def slow(url, headers, timeout):
+        time.sleep(0.3)
+        return 200, "x", None, None
+
+    urls = spark.createDataFrame([(i, f"http://h{i}/") for i in range(12)], "ord long, url string")
+    began = time.perf_counter()
+    assert crawl.fetch(urls, crawl.CrawlPolicy(concurrency=12), slow).filter("success").count() == 12
+    assert time.perf_counter() - began < 12 * 0.3 + 2
+
+
 def test_policy():
     waits = []
     crawl.fetch_one("http://h/429", crawl.CrawlPolicy(jitter=False), lambda *a: (429, None, None, 9.0), waits.append)
