@@ -6,7 +6,9 @@ import argparse
 import json
 import subprocess
 import sys
+import time
 
+from tessera import logs
 from tessera.config import read
 from tessera.operators.state import Checkpoints
 from tessera.plans import services
@@ -132,7 +134,10 @@ def main(argv: list[str] | None = None) -> int:
         args = parser().parse_args(argv)
     except SystemExit as e:
         return ARGUMENTS if e.code else DONE
+    logs.set_up(os.environ.get("LOG_LEVEL", "INFO"))
+    began = time.monotonic()
     code, out = run(args, dict(os.environ))
+    logs.event("cli", "command done", command=args.command, code=code, seconds=round(time.monotonic() - began, 3))
     print(json.dumps(out, default=str, indent=None if args.json else 2))
     return code
 

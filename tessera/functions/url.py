@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -129,6 +131,13 @@ def redact(text: Column) -> Column:
     return out
 
 
+def without_secrets(text: str) -> str:
+    """`redact` of one text, as of an error's message."""
+    for pattern, new in SECRETS:
+        text = re.sub(pattern, new, text)
+    return text
+
+
 def redact_key(text: Column, key: str | None) -> Column:
     """A text without one known key."""
     return F.replace(text, F.lit(key), F.lit("[REDACTED_API_KEY]")) if key else text

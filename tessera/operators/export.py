@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.url import without_secrets
 
 # Headers of the exported sheets.
 HEADERS = {
@@ -92,6 +95,36 @@ def telemetry(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def column_letter(n: int) -> str:
+    """The letters of a sheet's column, counted from 1: A to Z, AA, AB ..."""
+    out = ""
+    while n > 0:
+        n, at = divmod(n - 1, 26)
+        out = chr(65 + at) + out
+    return out
+
+
+def layout(headers: list[str], n: int) -> dict:
+    """How a sheet of n rows under these headers is shown: header bold and frozen, a filter over all, texts wrapped."""
+    last = column_letter(len(headers))
+    return {"frozen_rows": 1, "bold": f"A1:{last}1", "filter": f"A1:{last}{n + 1}", "wrap": f"A1:{last}{n + 1}", "autosize": [column_letter(i) for i in range(1, len(headers) + 1)]}
+
+
+def over_quota(e: Exception) -> bool:
+    """Whether a sink refused a write for now: another try may pass."""
+    return any(x in str(e).lower() for x in ("429", "quota", "rate limit"))
+
+
+def put(call: Callable, sleep: Callable[[float], None] = time.sleep):
+    """A sink's write, tried at most five times while it is over its quota; other errors come without the secrets they quote."""
+    from tessera.retry import retrying
+
+    try:
+        return retrying(5, 1.0, 16.0, 0.5, over_quota, sleep)(call)()
+    except Exception as e:
+        raise RuntimeError(without_secrets(str(e))) from None
+
+
 @dataclass
 class SheetResult:
     sheet: str
@@ -103,7 +136,7 @@ class SheetResult:
 
 
 def export(tables: dict[str, DataFrame], folder: str | None, only: str | None = None, dry_run: bool = False) -> list[SheetResult]:
-    """Overwrites one CSV folder a sheet (with header); without a folder nothing is configured, on a dry run nothing is written."""
+    """Overwrites one CSV folder a sheet (with header), and how it is shown (layouts/<sheet>); without a folder nothing is configured, on a dry run nothing is written."""
     wanted = vertical(only) if only else None
     out = []
     for name, df in tables.items():
@@ -115,7 +148,10 @@ def export(tables: dict[str, DataFrame], folder: str | None, only: str | None =
             out.append(SheetResult(kind, 0, 0, 0, 0.0, "not_configured"))
             continue
         if not dry_run:
-            flat.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder.rstrip('/')}/{kind}")
+            put(lambda flat=flat, kind=kind: flat.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder.rstrip('/')}/{kind}"))
         queried, valid = df.count(), flat.count()
+        if not dry_run:
+            shown = df.sparkSession.createDataFrame([(json.dumps(layout(flat.columns, valid)),)], "layout string")
+            put(lambda shown=shown, kind=kind: shown.coalesce(1).write.mode("overwrite").text(f"{folder.rstrip('/')}/layouts/{kind}"))
         out.append(SheetResult(kind, queried, 0 if dry_run else valid, queried - valid, time.monotonic() - began, "dry_run" if dry_run else "written"))
     return out

@@ -305,6 +305,61 @@ def test_export(spark, tmp_path):
     assert tuple(export.telemetry({"jobs": jobs}).first()) == ("jobs", 3, 2, 1)
 
 
+def test_layout_and_quota(spark, tmp_path):
+    import json
+
+    assert [export.column_letter(n) for n in (1, 26, 27, 52, 53, 702, 703)] == ["A", "Z", "AA", "AZ", "BA", "ZZ", "AAA"]
+    jobs = spark.createDataFrame([("C", "u"), (None, "u")], "company string, url string")
+    export.export({"jobs": jobs}, str(tmp_path))
+    shown = json.loads(spark.read.text(str(tmp_path / "layouts" / "jobs")).first().value)
+    assert (shown["frozen_rows"], shown["bold"], shown["filter"]) == (1, "A1:H1", "A1:H2") and len(shown["autosize"]) == 8
+    waits, tries = [], []
+
+    def busy():
+        tries.append(1)
+        if len(tries) < 4:
+            raise OSError("HTTP 429: quota exceeded")
+        return "done"
+
+    assert export.put(busy, waits.append) == "done" and [int(w) for w in waits] == [1, 2, 4]
+    tries.clear()
+    with pytest.raises(RuntimeError, match=r"Bearer \[REDACTED\]"):
+        export.put(lambda: tries.append(1) or (_ for _ in ()).throw(OSError("denied: bearer abc.def")), waits.append)
+    assert len(tries) == 1
+    with pytest.raises(RuntimeError, match="429"):
+        export.put(lambda: tries.append(1) or (_ for _ in ()).throw(OSError("429")), lambda s: None)
+    assert len(tries) == 6
+
+
+def test_retrying_and_logs():
+    import io
+    import json
+
+    from tessera import logs
+    from tessera.retry import retrying
+
+    waits, calls = [], []
+
+    @retrying(4, 1.0, 3.0, sleep=waits.append, when=lambda e: isinstance(e, OSError))
+    def call(kind):
+        calls.append(kind)
+        raise kind("x")
+
+    with pytest.raises(OSError):
+        call(OSError)
+    with pytest.raises(KeyError):
+        call(KeyError)
+    assert waits == [1.0, 2.0, 3.0] and len(calls) == 5
+    out = io.StringIO()
+    logs.set_up("warning", out)
+    logs.event("x", "quiet")
+    logs.event("x", "loud", 30, n=3)
+    assert [(r["event"], r["level"], r["logger"], r["n"]) for r in map(json.loads, out.getvalue().splitlines())] == [("loud", "warning", "tessera.x", 3)]
+    logs.set_up("nonsense", out)
+    logs.event("x", "heard")
+    assert "heard" in out.getvalue()
+
+
 # ---- fan-in and crawl -------------------------------------------------------------------------------------------------
 
 
