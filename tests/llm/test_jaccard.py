@@ -111,3 +111,13 @@ def test_classes_told_apart_without_keys(spark):
     digest = {t: hashlib.md5(t.encode()).digest() for _, t in rows}
     assert sorted(map(sorted, classes.values())) == sorted(map(sorted, [{digest[a], digest[near]}, {digest[b]}, {digest[c]}, {digest[d]}]))
     assert all(k in v for k, v in classes.items())
+
+
+def test_very_long_texts(spark):
+    """Texts of a hundred thousand words are compared whole: one word in a hundred changed, or every third."""
+    words = text(100_000)
+    near, far = list(words), list(words)
+    near[::100], far[::3] = ["other"] * 1000, ["other"] * len(far[::3])
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far)), (4, "x" * 1_000_000), (5, "x " * 300_000), (6, "x " * 300_001)]
+    got = sorted(repr((r.doc_id, r.class_id, r.text_id, r.n_links)) for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute(rows) and repr((2, 1, 2, 1)) in got
