@@ -40,7 +40,7 @@ def test_two_keys_of_a_long_chain(spark, monkeypatch, one_task):
     """a0b0, a0b1, a1b1, a1b2 ...: every second row stays, though rounds alone would take one for every two rows."""
     monkeypatch.setattr(dedup, "ONE_TASK", one_task)
     monkeypatch.setattr(dedup, "ROUNDS", 2)
-    n = 40 if one_task == 5 else 10_000
+    n = 14 if one_task == 5 else 10_000
     rows = [(i, i // 2, (i + 1) // 2) for i in range(n)] + [(n + 1, None, None), (n + 2, None, 0), (n + 3, n, None)]
     df = spark.createDataFrame(rows, "o long, a long, b long").repartition(3)
     assert sorted(x.o for x in dedup.two_keys(df, "a", "b", "o").collect()) == [*range(0, n, 2), n + 1, n + 3]
