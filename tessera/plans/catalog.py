@@ -57,17 +57,15 @@ def _norm(c: str) -> str:
 r as (select *, row_number() over (partition by sha256(normalized_url) order by page_id) as k from n)
 select page_id, normalized_url, sha256(normalized_url) as url_fingerprint, case when length({_TEXT}) >= 30 then {_TEXT} end as text from r where k = 1""")
 def page_catalog(read, spark):
-    """Pages in canonical form: first of each fingerprint, with readable text.
+    """Pages (by page_id) in canonical form: first of each fingerprint, with readable text.
 
     The first pages are found by an aggregate over (fingerprint, page_id); only the text of pages, not their markup, is joined
     to that.
     """
-    rows = read("pages").select("page_id", "html", url.normalize_url(F.col("url")).alias("normalized_url"))
-    first = rows.select(F.sha2("normalized_url", 256).alias("url_fingerprint"), "page_id", "normalized_url").groupBy("url_fingerprint").agg(F.min(F.struct("page_id", "normalized_url")).alias("first"))
-    first = first.select("url_fingerprint", "first.page_id", F.col("first.normalized_url").alias("first_url"))
-    texts = rows.select("page_id", "normalized_url", text.html_text_pattern(F.col("html")).alias("text"))
-    same = (texts["page_id"] == first["page_id"]) & (texts["normalized_url"] == first["first_url"])
-    return texts.join(first, same).select(texts["page_id"], "normalized_url", "url_fingerprint", "text")
+    rows = read("pages").select("page_id", url.normalize_url(F.col("url")).alias("normalized_url"))
+    first = rows.groupBy(F.sha2("normalized_url", 256).alias("url_fingerprint")).agg(F.min(F.struct("page_id", "normalized_url")).alias("first"))
+    texts = read("pages").select("page_id", text.html_text_pattern(F.col("html")).alias("text"))
+    return first.select("first.page_id", "first.normalized_url", "url_fingerprint").join(texts, "page_id").select("page_id", "normalized_url", "url_fingerprint", "text")
 
 
 @query(f"select page_id, {_norm('url')} as normalized_url from pages")
