@@ -28,8 +28,13 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
+#: Partitions of a shuffle, at most: files of a shuffle grow with their square. 100 TB are 2.5 GB a partition then, which sorts and spills.
+MOST_PARTITIONS = 40_000
+
+
 def width(df: DataFrame) -> int:
-    """Partitions for a shuffle that carries what df reads: as many as a scan of it has, or the session's number if larger.
+    """Partitions for a shuffle that carries what df reads: as many as a scan of it has, up to MOST_PARTITIONS, or the
+    session's number if that is larger.
 
     Asks the optimised plan for the sizes of its sources; it runs nothing, which asking for an RDD's partitions may.
     """
@@ -37,7 +42,8 @@ def width(df: DataFrame) -> int:
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), *[-(-n // split) for n in sizes if n < 1 << 60], 1)
+    scans = max([-(-n // split) for n in sizes if n < 1 << 60], default=1)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(scans, MOST_PARTITIONS), 1)
 
 
 def batched(build: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]], schema: pa.Schema, rows: int = 4096, size: int = 16 << 20):

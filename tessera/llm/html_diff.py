@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.llm.common import batched, scoped, stored, text_batches
+from tessera.llm.common import MOST_PARTITIONS, batched, scoped, stored, text_batches
 
 # Fixed values of HTML: element names by role.
 HIDDEN = frozenset({"script", "style", "noscript", "template", "svg", "iframe", "select", "textarea", "datalist", "title"})
@@ -349,7 +349,7 @@ def template_lines(rows: DataFrame) -> DataFrame:
     schema = pa.schema([("content", pa.binary()), ("near", pa.int32()), ("gone", pa.list_(pa.bool_())), ("partner", pa.binary())])
     wide = pa.schema([*schema, ("part", pa.int32()), ("last", pa.int32()), ("host", pa.string()), ("path", pa.string()), *((k, pa.list_(t)) for k, t in lists.items())])
     rows = stored(rows)
-    done = rows.repartitionByRange(max(1, -(-rows.count() // PART_ROWS)), "host", "path", "content").sortWithinPartitions("host", "path", "content").mapInArrow(batched(_neighbours, wide), found + ", part int, last int, " + _ROW.split(", ", 1)[1])
+    done = rows.repartitionByRange(max(1, min(-(-rows.count() // PART_ROWS), MOST_PARTITIONS)), "host", "path", "content").sortWithinPartitions("host", "path", "content").mapInArrow(batched(_neighbours, wide), found + ", part int, last int, " + _ROW.split(", ", 1)[1])
     done = stored(done)
     # Neighbours across partitions: only the numbers of the partitions that have rows come to the driver.
     parts = sorted(r["part"] for r in done.filter("last = 1").select("part").collect())
