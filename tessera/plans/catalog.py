@@ -33,6 +33,9 @@ def query(sql: str | None = None):
     return add
 
 
+#: Items of a payload, whatever the size of the table.
+_ITEMS = 50
+
 # ---- URLs -------------------------------------------------------------------------------------------------------------
 
 _ENC = "replace(url_encode({0}), '%20', '+')"
@@ -588,10 +591,6 @@ def telemetry_by_provider(read, spark):
 
 # ---- feeds ------------------------------------------------------------------------------------------------------------
 
-#: Items of a payload, whatever the size of the table.
-_ITEMS = 50
-
-
 @query("select o_orderkey as id, 'Co ' || o_custkey as company, 'Backend role ' || o_orderkey as title, 'https://jobs.example/' || o_orderkey as url, date_trunc('second', o_orderdate) as date, o_orderkey % 2 = 0 as is_remote, 'Engineering' as role_family from orders where o_orderkey % 3 <> 0")
 def feed_jobs(read, spark):
     """Orders as postings of a board's API, one payload a customer, read back; a third lack a title."""
@@ -662,20 +661,23 @@ def full_text_enrichment(read, spark):
     return feeds.full_text(articles, first).select("page_id", "full_text")
 
 
+_NORM_URL = _norm("url")
+
+
 def _canned(address: str, headers: dict, timeout: float) -> tuple:
     n = int("".join(c for c in address.split("?")[0] if c.isdigit()) or 0)
-    return (404, None, None, None) if n % 5 == 0 else (503, None, None, None) if n % 5 == 1 else (200, f"body of {address}", "text/html", None)
+    return ((404, None, None, None), (503, None, None, None), (429, None, None, 0.0))[n % 5] if n % 5 < 3 else (200, f"body of {address}", "text/html", None)
 
 
 @query(f"""with n as (select page_id, url, {_norm("url")} as f from pages), o as (select f, arg_min(url, page_id) as asked from n group by 1),
 x as (select page_id, url, coalesce(try_cast(right(regexp_replace(split_part(asked, '?', 1), '[^0-9]', '', 'g'), 1) as integer), 0) % 5 as k from n join o using (f))
-select page_id as ord, url, case k when 0 then 404 when 1 then 503 else 200 end as status_code, case k when 1 then 3 else 1 end as attempts, k > 1 as success, case k when 0 then 'HTTP 404' when 1 then 'HTTP 503' end as error from x""")
+select page_id as ord, url, [404, 503, 429, 200, 200][k + 1] as status_code, case when k in (1, 2) then 3 else 1 end as attempts, k > 2 as success, case when k <= 2 then 'HTTP ' || [404, 503, 429][k + 1] end as error, case when k <= 1 then 'http' when k = 2 then 'rate_limit' end as error_class from x""")
 def crawl_pages(read, spark):
     """A crawl of the page URLs over canned answers, which go by the last digit: permanent failures once, passing ones three
     times. URLs of one fingerprint are fetched once, by the first of them."""
     policy = crawl.CrawlPolicy(backoff_base=0.0, jitter=False)
     urls = read("pages").select(F.col("page_id").alias("ord"), "url")
-    return crawl.fetch(urls, policy, _canned).select("ord", "url", "status_code", "attempts", "success", "error")
+    return crawl.fetch(urls, policy, _canned).select("ord", "url", "status_code", "attempts", "success", "error", "error_class")
 
 
 # ---- export -----------------------------------------------------------------------------------------------------------

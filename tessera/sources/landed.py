@@ -40,3 +40,20 @@ def repository_segment(segment: int, page: int, returned: int, segments: int = 2
     if returned >= size and page < most:
         return segment, page + 1, False
     return (segment + 1) % segments, 1, segment + 1 >= segments
+
+
+def organisation_position(offset, queries: int = 10, pages: int = 10, size: int = 50):
+    """`organisation_segment` of a column of offsets: struct<segment, page, skip>."""
+    return F.struct((F.floor(offset / (pages * size)) % queries).alias("segment"), (F.floor(offset % (pages * size) / size) + 1).alias("page"), (offset % size).alias("skip"))
+
+
+def repository_position(segment, page, returned, segments: int = 20, size: int = 50, most: int = 10):
+    """`repository_segment` of columns: struct<segment, page, exhausted>."""
+    stays = (returned >= size) & (page < most)
+    return F.struct(F.when(stays, segment).otherwise((segment + 1) % segments).alias("segment"), F.when(stays, page + 1).otherwise(1).alias("page"), (~stays & (segment + 1 >= segments)).alias("exhausted"))
+
+
+def paper_queries(start, query: str = "cat:cs.AI", most: int = 50):
+    """`paper_query` of a column of first rows."""
+    head, tail = paper_query(query, 0, most).split("start=0")
+    return F.concat(F.lit(f"{head}start="), start.cast("string"), F.lit(tail))
