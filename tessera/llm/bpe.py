@@ -75,19 +75,24 @@ def words(text: str) -> list[str]:
     return text.lower().split()
 
 
-def parted(known: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(distinct words, the number of each piece's word, that of its punctuation or _NONE) of white-space pieces."""
-    table: dict[str, int] = defaultdict()
-    table.default_factory = table.__len__
-    first, second = np.empty(len(known), np.uint32), np.full(len(known), _NONE, np.uint32)
-    for i, w in enumerate(known):
-        stem = w.rstrip(_TAIL)
-        if len(stem) < len(w) and stem and stem[-1].isascii() and stem[-1].isalnum():
-            first[i] = table[stem]
-            second[i] = table[w[len(stem) :]]
-        else:
-            first[i] = table[w]
-    return list(table), first, second
+def parted(known: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Of distinct white-space pieces (words, the number of each piece's word, that of its punctuation or _NONE, which words
+    are needed): the words are the pieces, in their order, and after them the parts that are no pieces themselves."""
+    out, n = list(known), len(known)
+    first, second, needed = np.arange(n, dtype=np.uint32), np.full(n, _NONE, np.uint32), np.ones(n, bool)
+    cut = [(i, stem) for i, stem in ((i, w.rstrip(_TAIL)) for i, w in enumerate(known) if w[-1] in _TAIL) if stem and stem[-1].isascii() and stem[-1].isalnum()]
+    if cut:
+        table = dict(zip(known, range(n), strict=True))
+        for i, stem in cut:
+            w = known[i]
+            for part, to in ((stem, first), (w[len(stem) :], second)):
+                at = table.get(part)
+                if at is None:
+                    at = table[part] = len(out)
+                    out.append(part)
+                to[i] = at
+            needed[i] = False
+    return out, first, second, np.concatenate([needed, np.ones(len(out) - n, bool)])
 
 
 @lru_cache(maxsize=2)
@@ -146,6 +151,12 @@ def _check(known: list[str]) -> int:
     return int.from_bytes(hashlib.blake2b("\n".join(known).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _parts(known: list[str], cut: Callable) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """`parted`, if this tokenizer's words may be; else every piece is a word."""
+    n = len(known)
+    return parted(known) if cut is words else (known, np.arange(n, dtype=np.uint32), np.full(n, _NONE, np.uint32), np.ones(n, bool))
+
+
 def _squeeze(numbers: np.ndarray) -> bytes:
     """32-bit numbers by byte plane, compressed."""
     return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
@@ -161,27 +172,36 @@ def _block_rows(batches: Iterator[pa.RecordBatch], cut: Callable, chars: int, mo
         table: dict[str, int] = defaultdict()
         table.default_factory = table.__len__
         docs = [np.fromiter(map(table.__getitem__, w), np.uint32, len(w)) for w in map(cut, texts)]
-        known = list(table)
-        distinct, first, second = parted(known) if cut is words else (known, np.arange(len(known), dtype=np.uint32), np.full(len(known), _NONE, np.uint32))
-        yield block, _check(distinct), len(distinct), keys, [len(d) for d in docs], _squeeze(np.concatenate(docs)), _squeeze(first), _squeeze(second)
+        known, first, second, needed = _parts(list(table), cut)
+        yield block, _check(known), int(needed.sum()), keys, [len(d) for d in docs], _squeeze(np.concatenate(docs)), _squeeze(first), _squeeze(second)
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch], cut: Callable, chars: int, most: int, parts: int) -> Iterator[tuple]:
     for block, _, texts in _blocks(batches, chars, most):
-        known: dict[str, None] = {}
+        pieces: dict[str, None] = {}
         for t in texts:
-            known.update(dict.fromkeys(cut(t)))
-        distinct = parted(list(known))[0] if cut is words else list(known)
-        check, by = _check(distinct), defaultdict(list)
-        for n, w in enumerate(distinct):
-            by[zlib.crc32(w.encode("utf-8", "surrogatepass")) % parts].append(n)
-        for part, ns in by.items():
-            held = zstandard.compress(b"".join(len(x).to_bytes(4, "little") + x for x in (distinct[n].encode("utf-8", "surrogatepass") for n in ns)), 1)
-            yield block, check, part, _squeeze(np.array(ns, np.uint32)), held
+            pieces.update(dict.fromkeys(cut(t)))
+        known, _, _, needed = _parts(list(pieces), cut)
+        check = _check(known)
+        raw = [w.encode("utf-8", "surrogatepass") for w in known]
+        part = np.fromiter(map(zlib.crc32, raw), np.uint32, len(raw)) % np.uint32(parts)
+        numbers = np.flatnonzero(needed)
+        numbers = numbers[np.argsort(part[numbers], kind="stable")]
+        cuts = np.flatnonzero(np.diff(part[numbers])) + 1
+        for ns in np.split(numbers, cuts) if len(numbers) else []:
+            yield block, check, int(part[ns[0]]), _squeeze(ns), zstandard.compress(_joined_words([raw[n] for n in ns.tolist()], cut), 1)
+
+
+def _joined_words(raw: list[bytes], cut: Callable) -> bytes:
+    """Words as bytes: a line each, or, as whole texts may have lines, each after its length."""
+    return b"\n" + b"\n".join(raw) if cut is words else b"#" + b"".join(len(x).to_bytes(4, "little") + x for x in raw)
 
 
 def _listed(held: bytes) -> list[str]:
-    data, at, out = zstandard.decompress(held), 0, []
+    data = zstandard.decompress(held)
+    if data[:1] == b"\n":
+        return data[1:].decode("utf-8", "surrogatepass").split("\n")
+    at, out = 1, []
     while at < len(data):
         n = int.from_bytes(data[at : at + 4], "little")
         out.append(data[at + 4 : at + 4 + n].decode("utf-8", "surrogatepass"))
@@ -258,8 +278,8 @@ def _join_back(path: str, out: pa.Schema):
         _, check, n_words, keys, counts, numbers, first, second = (c[0].as_py() for c in left.columns)
         joined = lambda c: np.concatenate([_expand(x) for x in right.column(c).to_pylist()] or [np.empty(0, np.uint32)])
         number, size, flat = joined("ns").astype(np.int64), joined("lens").astype(np.int64), joined("ids")
-        order = np.argsort(number)
-        if len(number) != n_words or set(right.column("check").to_pylist()) - {check} or not np.array_equal(number[order], np.arange(n_words)):
+        order = np.argsort(number, kind="stable")
+        if len(number) != n_words or set(right.column("check").to_pylist()) - {check}:
             raise ValueError("the documents changed between two reads of one query; write them to a table first")
         flat, size = _gathered(flat, (np.cumsum(size) - size)[order], size[order]), size[order]
         ends = np.cumsum(size)
@@ -268,17 +288,22 @@ def _join_back(path: str, out: pa.Schema):
         # The id-to-piece join: ids are dense, so the lookup of a hash join is one by position.
         texts = _joined(_lists(ends, table.take(pa.array(flat.astype(np.int64))))) if table is not None else None
         every, first, second = _expand(numbers), _expand(first), _expand(second)
+        more = second != _NONE
+        second = np.where(more, second, 0)
+        place = np.zeros(int(max(number.max(initial=0), first.max(initial=0), second.max(initial=0))) + 1, np.int64)
+        place[number[order]] = np.arange(n_words)
+        first, second = place[first], np.where(more, place[second], -1)
         sizes, done, at, word = np.array(counts, np.int64), [], 0, 0
         while at < len(keys):
             upto = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), JOINED_WORDS, "right")))
             n = int(sizes[at:upto].sum())
             piece = every[word : word + n]
-            more = second[piece] != _NONE
+            more = second[piece] >= 0
             places = np.cumsum(1 + more)
             by_word = np.repeat(first[piece], 1 + more)
             by_word[places[more] - 1] = second[piece][more]
             doc_ends = np.concatenate([[0], places])[np.cumsum(sizes[at:upto])]
-            take = pa.array(by_word.astype(np.int64))
+            take = pa.array(by_word)
             own = _joined(_lists(doc_ends, ids.take(take)))
             if texts is not None:
                 decoded = pc.utf8_slice_codeunits(_joined(_lists(doc_ends, texts.take(take))), 1).cast(pa.string())

@@ -66,9 +66,12 @@ def test_empty_table(spark):
 
 def by_words(text):
     t = bpe.tokenizer(queries.tokenizer_path())
-    known = bpe.words(text)
-    distinct, first, second = bpe.parted(known)
-    parts = [distinct[i] for a, b in zip(first, second, strict=True) for i in (a, b) if i != bpe._NONE]
+    pieces = bpe.words(text)
+    known = list(dict.fromkeys(pieces))
+    distinct, first, second, needed = bpe.parted(known)
+    numbers = [i for p in pieces for i in (first[known.index(p)], second[known.index(p)]) if i != bpe._NONE]
+    assert len(set(distinct)) == len(distinct) == len(needed) and all(needed[i] for i in numbers)
+    parts = [distinct[i] for i in numbers]
     return [i for w in parts for i in t.encode(w, add_special_tokens=False).ids]
 
 
