@@ -30,11 +30,12 @@ def statistics(text: Column) -> dict[str, Column]:
     are 1 (words_a_line, distinct_words, distinct_lines: it has one line with one empty word), all others are 0."""
     t = F.coalesce(text, F.lit(""))
     n = F.length(t).cast("double")
-    flat = F.translate(t, "\n\t\r", "   ")
-    words = F.split(flat, " ")
+    words = F.split(t, "[ \n\t\r]")
     lines = F.split(t, "\n")
-    share = lambda chars: (F.length(t) - F.length(F.translate(t, chars, ""))) / F.greatest(n, F.lit(1.0))
-    n_words, n_lines = F.size(words).cast("double"), F.size(lines).cast("double")
+    # What is left of a text without the runs of other characters: a pass by one pattern, far quicker than translate's lookups.
+    others = lambda chars: "[^" + "".join(c if c.isalnum() or c.isspace() else f"\\{c}" for c in chars) + "]+"
+    share = lambda chars: F.length(F.regexp_replace(t, others(chars), "")) / F.greatest(n, F.lit(1.0))
+    n_words, n_lines = (F.length(F.regexp_replace(t, others(c), "")) + 1.0 for c in (" \n\t\r", "\n"))
     upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
     return {
         "log_chars": F.log1p(n),
