@@ -255,4 +255,4 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: bool =
     removed = (F.length(text) - F.length(f"{c}.kept")).cast("long")
     done = touched.select(*[F.col(f"{c}.kept").alias(x) if x == text else F.col(x) for x in names], F.col(f"{c}.n").alias("n_removed"), removed.alias("chars_removed"))
     rest = held.join(gone, same, "left_anti").withColumns({"n_removed": F.lit(0), "chars_removed": F.lit(0).cast("long")})
-    return done.unionByName(rest)
+    return done.unionByName(rest).coalesce(width(docs))
