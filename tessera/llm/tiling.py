@@ -109,7 +109,8 @@ def covered(target: np.ndarray, own: np.ndarray, size: int) -> list[tuple[int, i
 
 @dataclass
 class Block:
-    """Items with their words' hashes, and their seeds in order: hash, item (position), place in the item."""
+    """Items with their words' hashes, and their seeds in order: hash, item (position), place in the item; a table by the low
+    bits of hashes says which may be a seed, so that most runs of a document are passed over by one lookup."""
 
     ids: list
     items: list[np.ndarray]
@@ -117,6 +118,12 @@ class Block:
     item: np.ndarray
     place: np.ndarray
 
+    def __post_init__(self) -> None:
+        bits = min(24, max(10, int(len(self.seeds) * 16).bit_length()))  # 16 MB at most
+        self.mask = np.uint64((1 << bits) - 1)
+        self.may = np.zeros(1 << bits, bool)
+        self.may[self.seeds & self.mask] = True
+
 
 def _seeds_of(hashes: np.ndarray, least: int) -> np.ndarray:
     """Seeds of an item; one shorter than a tile is one seed, of all its words."""
@@ -146,7 +153,8 @@ def _found(batches: Iterator[pa.RecordBatch], shared, least: int, coverage: floa
 
 
 def _leaks(key, own: np.ndarray, size: int, block: Block, coverage: float) -> Iterator[tuple]:
-    grams = np.unique(runs(own, size))
+    grams = runs(own, size)
+    grams = np.unique(grams[block.may[grams & block.mask]])
     lo, hi = np.searchsorted(block.seeds, grams, "left"), np.searchsorted(block.seeds, grams, "right")
     hit = hi > lo
     if not hit.any():
