@@ -39,13 +39,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tessera.llm.common import batched, release, text_batches, width
 
 #: Characters (more only where one document is longer) and rows of a block.
-BLOCK_CHARS, BLOCK_ROWS = 8_000_000, 100_000
+BLOCK_CHARS, BLOCK_ROWS = 4_000_000, 100_000
 #: Partitions that words are dealt to at most: a block gives a row for each, so more would cut the rows too small.
 WORD_PARTS = 4096
 #: Words whose ids a task keeps at a time; words that come later than that are encoded again.
 KEPT_WORDS = 1_000_000
 #: Words of documents that are joined to their ids at once.
-JOINED_WORDS = 1_000_000
+JOINED_WORDS = 400_000
 
 # The parts of a tokenizer file for which the cuts hold.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
