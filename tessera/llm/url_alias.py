@@ -142,7 +142,8 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", html: str = "ht
     best, own, passed = (free_name(pages, x) for x in ("best", "own_node", "passed_on"))
     named = pages.withColumns({"host": host, "path": path}).withColumns({best: fitting(F.col("host"), F.col("path"), rules), own: node(F.col(url))})
     links = pages.select(F.col(url).alias("url"), F.explode(targets(F.col(html))).alias("target")).filter("target <> ''")
-    edges = links.select(node(F.col("url")).alias("a"), node(absolute(F.col("target"), F.col("url"))).alias("b")).filter("a <> b").distinct()
+    # Step by step: as one expression it is more code than the JVM takes for a method.
+    edges = links.withColumn("to", absolute(F.col("target"), F.col("url"))).withColumn("a", node(F.col("url"))).withColumn("b", node(F.col("to"))).select("a", "b").filter("a <> b").distinct()
     edges = stored(edges)
     roots = components(edges)
     h = F.regexp_extract("node", r"(?s)^([^/]*)", 1)
