@@ -58,14 +58,14 @@ def seeds(spark: SparkSession) -> DataFrame:
 def prepared(entities: DataFrame) -> DataFrame:
     """Entities with their comparable names: canonical_id, canonical_name, aliases (trimmed), norm, norms (with the aliases')."""
     e = entities.select("canonical_id", "canonical_name", F.transform(F.coalesce("aliases", F.array().cast("array<string>")), strip).alias("aliases"))
-    names = with_comparable(e.select("canonical_id", F.explode(F.concat(F.array("canonical_name"), "aliases")).alias("name")), F.col("name"), "n")
+    names = with_comparable(staged(e.select("canonical_id", F.explode(F.concat(F.array("canonical_name"), "aliases")).alias("name"))), F.col("name"), "n")
     norms = names.groupBy("canonical_id").agg(F.collect_set("n").alias("norms"))
     return staged(with_comparable(e, F.col("canonical_name"), "norm").join(norms, "canonical_id"))
 
 
 def equi_stages(names: DataFrame, entities: DataFrame) -> DataFrame:
     """Of names (raw_name, norm) those that a stage by equality resolves, with canonical_id, canonical_name, method, confidence."""
-    alias = with_comparable(entities.select("canonical_id", "canonical_name", F.explode("aliases").alias("alias")), F.col("alias"), "norm_alias")
+    alias = with_comparable(staged(entities.select("canonical_id", "canonical_name", F.explode("aliases").alias("alias"))), F.col("alias"), "norm_alias")
     key = lambda df, stage, c: df.select(F.lit(stage).alias("stage"), F.col(c).alias("key"), "canonical_id", "canonical_name").filter("key <> ''")
     keys = key(entities, 1, "canonical_name").unionByName(key(alias, 2, "alias")).unionByName(key(entities, 3, "norm")).unionByName(key(alias, 4, "norm_alias")).distinct()
     asked = names.select("raw_name", F.posexplode(F.array("raw_name", "raw_name", "norm", "norm")).alias("i", "key")).select("raw_name", (F.col("i") + 1).alias("stage"), "key")
