@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, html_diff, jaccard, langid, quality_rules, spans, tiling, topk, url_alias, warc
+from tessera.llm import bpe, html_diff, interactions, jaccard, langid, quality_rules, spans, tiling, topk, url_alias, warc
 
 #: The tokenizer of the contract. Others of the tokenizers library give right results too, but a text is one word then.
 TOKENIZER = "word_bpe_49k.json"
@@ -249,6 +249,48 @@ select d.doc_id, k.class_id, t.text_id, coalesce(m.n_links, 0)::bigint as n_link
 from documents d join t on t.id = md5(coalesce(d.text, '')) join k on k.id = t.id left join m on m.id = t.id
 """
 
+
+
+def op12_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+with t as (
+  select doc_id, coalesce(text, '') as text, coalesce(lang, '') as part from documents
+), w as (
+  select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w, min(doc_id) over (partition by text) as least from t
+), f as (
+  select doc_id, part, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w), 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text),
+    regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > least, false)] as fails
+  from w
+), l as (
+  select doc_id, max(quality = 1) as good, max(toxic = 1) as toxic from labels where doc_id is not null group by 1
+), m as (
+  select part, fails, count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic
+  from f left join l using (doc_id) group by 1, 2
+), letters as (
+  select unnest(range(1, 6)) as i
+), o as (
+  select [a.i, b.i, c.i, d.i, e.i] as o from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), s as (
+  select part, o, step, o[step] as own, fails, n, good, toxic, len(list_filter(o[1:step - 1], lambda i: fails[i])) > 0 as before
+  from m, o, (select unnest(range(1, 6)) as step)
+), r as (
+  select part, o, step, own,
+    sum(n) filter (where not before and not fails[own]) as kept, sum(n) filter (where not before and fails[own]) as removed,
+    sum(n) filter (where before and fails[own]) as redundant, sum(n) filter (where fails[own] and len(list_filter(fails, lambda x: x)) = 1) as alone,
+    sum(good) filter (where not before and fails[own]) as good_lost, sum(toxic) filter (where not before and fails[own]) as toxic_lost
+  from s group by 1, 2, 3, 4
+)
+select part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') as filter_order, step::integer as step,
+  coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+  coalesce(alone, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+  coalesce(sum(removed) over (partition by part, own), 0)::bigint as shapley
+from r
+"""
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
@@ -260,5 +302,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_tiling": op9_tiling,
     "op10_jaccard": op10_jaccard,
+    "op12_interactions": op12_interactions,
 }
-SQL = {"op2_topk": OP2_SQL, "op3_html": OP3_SQL, "op5_warc": OP5_SQL, "op7_urls": OP7_SQL, "op10_jaccard": OP10_SQL}
+SQL = {"op2_topk": OP2_SQL, "op3_html": OP3_SQL, "op5_warc": OP5_SQL, "op7_urls": OP7_SQL, "op10_jaccard": OP10_SQL, "op12_interactions": OP12_SQL}
