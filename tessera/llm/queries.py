@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, html_diff, interactions, jaccard, langid, quality_rules, spans, tiling, topk, url_alias, warc
+from tessera.llm import bpe, html_diff, interactions, jaccard, langid, licenses, quality_rules, spans, tiling, topk, url_alias, warc
 
 #: The tokenizer of the contract. Others of the tokenizers library give right results too, but a text is one word then.
 TOKENIZER = "word_bpe_49k.json"
@@ -291,6 +291,65 @@ select part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)),
 from r
 """
 
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("license_places", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["start"].cast("long"))
+    labels = lambda places: F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("license_places")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("license_places", lambda p: p["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def _places_sql(t: licenses.Template) -> str:
+    """Starts (from 1) of a key in the words w."""
+    key = t.key.split()
+    tests = " and ".join(f"w[i + {j}] = '{x}'" if j else f"w[i] = '{x}'" for j, x in enumerate(key))
+    return f"list_filter(range(1, len(w) + 1), lambda i: {tests})"
+
+
+def _score_sql(t: licenses.Template, places: str) -> str:
+    own = sorted(set(t.words))
+    if own == sorted(set(t.key.split())):
+        return f"case when len({places}) > 0 then 1.0::double else 0.0::double end"
+    listed, size = "[" + ", ".join(f"'{x}'" for x in own) + "]", len(t.words)
+    weigh = lambda words: f"list_sum(list_transform({words}, lambda x: weights[x]))"
+    near = f"w[greatest(i - {t.at + licenses.SLACK}, 1):i - {t.at} + {size + licenses.SLACK} - 1]"
+    return f"coalesce(list_max(list_transform({places}, lambda i: coalesce({weigh(f'list_intersect({listed}, {near})')}, 0)::double / {weigh(listed)}::double)), 0)"
+
+
+_ALL = list(enumerate(licenses.TEMPLATES))
+OP13_SQL = rf"""
+with d as (
+  select row_number() over () as row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), v as (
+  select unnest([{", ".join(f"'{x}'" for x in sorted({x for t in licenses.TEMPLATES for x in t.words}))}]) as word
+), n as (
+  select v.word, count(x.row) as n from v left join (select distinct row, unnest(w) as word from d) x using (word) group by 1
+), i as (
+  select map(list(word), list(1 + round(1000 * log2(((select count(*) from d) + 1) / (n + 1)))::bigint)) as weights from n
+), p as (
+  select doc_id, w, weights, {", ".join(f"{_places_sql(t)} as p{k}" for k, t in _ALL)} from d, i
+), l as (
+  select doc_id, len(w) as n_words, {" || ".join(f"p{k}" for k, t in _ALL if t.base)} as base,
+    {" || ".join(f"case when len(p{k}) > 0 then ['{t.label}'] else [] end" for k, t in _ALL if t.base)} as base_labels,
+    {" || ".join(f"case when len(p{k}) > 0 then ['{t.label}'] else [] end" for k, t in _ALL)} as labels,
+    greatest({", ".join(_score_sql(t, f"p{k}") for k, t in _ALL)}) as score
+  from p
+)
+select doc_id, n_words::bigint as n_words, len(base)::bigint as n_base, list_min(base)::bigint - 1 as first_word, list_max(base)::bigint - 1 as last_word,
+  array_to_string(list_sort(list_distinct(base_labels)), ',') as base_labels, array_to_string(list_sort(list_distinct(labels)), ',') as labels, score::double as score
+from l
+"""
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
@@ -303,5 +362,6 @@ QUERIES = {
     "op9_tiling": op9_tiling,
     "op10_jaccard": op10_jaccard,
     "op12_interactions": op12_interactions,
+    "op13_licenses": op13_licenses,
 }
-SQL = {"op2_topk": OP2_SQL, "op3_html": OP3_SQL, "op5_warc": OP5_SQL, "op7_urls": OP7_SQL, "op10_jaccard": OP10_SQL, "op12_interactions": OP12_SQL}
+SQL = {"op2_topk": OP2_SQL, "op3_html": OP3_SQL, "op5_warc": OP5_SQL, "op7_urls": OP7_SQL, "op10_jaccard": OP10_SQL, "op12_interactions": OP12_SQL, "op13_licenses": OP13_SQL}
