@@ -169,12 +169,16 @@ def audit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     what its filter removes summed over all orders.
 
     labels has doc_id, quality, toxic: a document is good or toxic if any of its rows says 1. A null part is ''; other nulls
-    as in `masks`. A table without rows gives none. Columns of docs beyond the three are not read.
+    as in `masks`. A table without rows gives none. Columns of docs beyond the three are not read. Documents are counted again
+    afterwards, as an audit is to account for all: other rows than at first (a table that changes meanwhile) raise an error.
     """
     spark = docs.sparkSession
     letters = "".join(FILTERS if filters is None else filters) + duplicate
     with scoped(spark) as scope:
         rows = scope.keep(masks(docs, key, text, part, filters, **how))
+    told, there = rows.agg(F.sum("n").alias("n")).first()["n"] or 0, docs.count()
+    if told != there:
+        raise RuntimeError(f"{told} of {there} documents have a mask: the table changed while it was read")
     says = lambda c: F.max(F.when(F.col(c) == 1, 1).otherwise(0))
     told = labels.filter("doc_id is not null").groupBy(F.col("doc_id").alias("key")).agg(says("quality").alias("good"), says("toxic").alias("toxic"))
     none = F.lit(0).cast("long")

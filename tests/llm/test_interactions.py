@@ -4,9 +4,10 @@ import random
 import re
 from itertools import permutations
 
+import duckdb
 import pytest
 
-from tessera.llm import interactions
+from tessera.llm import interactions, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string"
@@ -93,3 +94,15 @@ def test_empty_tables(spark):
     assert interactions.audit(spark.createDataFrame([], SCHEMA), labels).collect() == []
     one = interactions.audit(spark.createDataFrame([(1, None, None)], SCHEMA), labels).collect()
     assert len(one) == 600 and {r["part"] for r in one} == {""} and {r["kept"] for r in one if r["step"] == 5} == {0}
+
+
+def test_query_is_its_sql(spark, tmp_path):
+    rows = [(d, t, lang, "s", 0) for d, t, lang in _rows(11)]
+    spark.createDataFrame(rows, SCHEMA + ", source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(_labels(5), "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op12_interactions(spark, str(tmp_path))
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(f"select {', '.join(got.columns)} from ({queries.OP12_SQL})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
