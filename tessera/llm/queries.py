@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, html_diff, interactions, jaccard, langid, licenses, quality_rules, spans, tiling, topk, url_alias, warc
+from tessera.llm import bpe, divergence, html_diff, interactions, jaccard, langid, licenses, quality_rules, spans, tiling, topk, url_alias, warc
 
 #: The tokenizer of the contract. Others of the tokenizers library give right results too, but a text is one word then.
 TOKENIZER = "word_bpe_49k.json"
@@ -251,6 +251,44 @@ from documents d join t on t.id = md5(coalesce(d.text, '')) join k on k.id = t.i
 
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+with d as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), g as (
+  select distinct lang, source from d
+), t as (
+  select lang, source, term, count(*) as n, count(distinct row) as docs from (select lang, source, row, unnest(w) as term from d) group by 1, 2, 3
+), k as (
+  select lang, term, sum(n) as n from t group by 1, 2 having sum(docs) >= 3
+), v as (
+  select lang, count(*)::hugeint as v, sum(n)::hugeint as n from k group by 1
+), s as (
+  select g.lang, g.source, k.term, coalesce(t.n, 0)::hugeint as c, k.n::hugeint as lang_c
+  from g join k using (lang) left join t using (lang, source, term)
+), p as (
+  select s.*, 1 + 1000000000 * (c + 1) // (sum(c) over (partition by s.lang, source) + v.v) as p, 1 + 1000000000 * (lang_c + 1) // (v.n + v.v) as q
+  from s join v using (lang)
+), pair as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3
+), r as (
+  select x.lang, x.source, 'pair' as part, y.source as item, coalesce(value, 0)::bigint as value
+  from g x join g y on x.lang = y.lang and x.source <> y.source left join pair on pair.lang = x.lang and pair.source = x.source and pair.item = y.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q) // q)::bigint from p where c > 0 and p > q
+), o as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item)::integer as rank from r
+)
+select * from o where part = 'pair' or rank <= 200
+"""
+
+
 def op12_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -361,7 +399,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_tiling": op9_tiling,
     "op10_jaccard": op10_jaccard,
+    "op11_divergence": op11_divergence,
     "op12_interactions": op12_interactions,
     "op13_licenses": op13_licenses,
 }
-SQL = {"op2_topk": OP2_SQL, "op3_html": OP3_SQL, "op5_warc": OP5_SQL, "op7_urls": OP7_SQL, "op10_jaccard": OP10_SQL, "op12_interactions": OP12_SQL, "op13_licenses": OP13_SQL}
+SQL = {"op2_topk": OP2_SQL, "op3_html": OP3_SQL, "op5_warc": OP5_SQL, "op7_urls": OP7_SQL, "op10_jaccard": OP10_SQL, "op11_divergence": OP11_SQL, "op12_interactions": OP12_SQL, "op13_licenses": OP13_SQL}
