@@ -16,6 +16,11 @@ from tessera.operators.state import scoped, scratch, staged as stored, unstaged
 BATCH_ROWS = 1000
 
 
+def hash_bound(share: float) -> int:
+    """The 64-bit number up to which a share (0 to 1) of all signed 64-bit hashes lies: no positive share is empty."""
+    return max(-(1 << 63), min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63) - 1))
+
+
 def text_batches(spark: SparkSession) -> None:
     """Sets the session to batches of at most BATCH_ROWS rows, unless it has smaller ones.
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batched, free_name, text_batches
+from tessera.llm.common import batched, free_name, hash_bound, text_batches
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
@@ -118,7 +118,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             got = counts(text.as_py() or "")
             sums[lang] = sums[lang] + got if lang in sums else got
     for lang, x in sums.items():
-        yield lang, x.tolist()
+        held = np.flatnonzero(x)
+        yield lang, held.tolist(), x[held].tolist()
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: str | None = None, bound: int = SAMPLE_PER_LANG) -> Model:
@@ -136,11 +137,11 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: str
     if not totals:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     # A hash below the share that gives about 0.9 of the bound: no sort and no shuffle of texts; lang by lang.
-    share = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, 0.9 * bound / n))])
-    taken = rows.filter(F.pmod("h", F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003).select("text", "lang")
-    schema = pa.schema([("lang", pa.string()), ("counts", pa.list_(pa.int64()))])
-    parts = taken.mapInArrow(batched(_counts, schema, rows=1), "lang string, counts array<long>")
-    summed = parts.select("lang", F.posexplode("counts").alias("i", "n")).filter("n > 0").groupBy("lang", "i").agg(F.sum("n").alias("n")).toArrow()
+    last = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, hash_bound(0.9 * bound / n))])
+    taken = rows.filter(F.col("h") <= last[F.col("lang")]).select("text", "lang")
+    schema = pa.schema([("lang", pa.string()), ("i", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))])
+    parts = taken.mapInArrow(batched(_counts, schema, rows=1), "lang string, i array<int>, n array<long>")
+    summed = parts.select("lang", F.explode(F.arrays_zip("i", "n")).alias("x")).select("lang", "x.i", "x.n").groupBy("lang", "i").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(totals)
     table = np.zeros((BUCKETS, len(langs)))
     at = {x: i for i, x in enumerate(langs)}

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import free_name
+from tessera.llm.common import free_name, hash_bound
 
 #: The bound of the training sample, in labelled rows.
 SAMPLE = 12_000
@@ -156,7 +156,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", order: st
     taken = rows.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.xxhash64(order).alias("h"))
     total = taken.select("h").count() if total is None else total
     if total > bound:
-        taken = taken.filter(F.pmod("h", F.lit(1_000_003)) < int(0.95 * bound / total * 1_000_003))
+        taken = taken.filter(F.col("h") <= hash_bound(0.95 * bound / total))
     stats = statistics(F.col("text"))
     held = taken.select(*[v.alias(k) for k, v in stats.items()], "label", "h").orderBy("h").toArrow()  # at most about bound rows of numbers
     y = held.column("label").to_numpy().astype(int)

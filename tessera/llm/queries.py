@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, divergence, html_diff, interactions, jaccard, langid, licenses, quality_rules, spans, tiling, topk, url_alias, warc
+from tessera.llm.common import hash_bound
 
 #: The tokenizer of the contract. Others of the tokenizers library give right results too, but a text is one word then.
 TOKENIZER = "word_bpe_49k.json"
@@ -210,7 +211,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, bound: int = quality_rules
     rows = labels.groupBy("doc_id").agg(F.min("quality").alias("label"))
     total = rows.count()
     if total > bound:
-        rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(0.95 * bound / total * 1_000_003))
+        rows = rows.filter(F.xxhash64("doc_id") <= hash_bound(0.95 * bound / total))
     return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id"), min(total, bound)
 
 

@@ -106,3 +106,13 @@ def test_edges(spark):
     one = quality_rules.fit(spark.createDataFrame([(i, "a", 1) for i in range(100)], "doc_id long, text string, label int"))
     assert one.rules == [] and one.bias > 0
     assert quality_rules.score(spark.createDataFrame([], "doc_id long, text string"), model).collect() == []
+
+
+def test_samples_of_very_many_rows_are_not_empty():
+    """The share of hashes that is taken is as exact as hashes are: at 10^12 labels a bound of 12,000 still keeps some."""
+    from tessera.llm.common import hash_bound
+
+    for total in (10**5, 10**9, 10**10, 12 * 10**9, 10**12, 10**15):
+        share = (hash_bound(0.95 * 12_000 / total) + (1 << 63) + 1) / (1 << 64)
+        assert 0 < share * total <= 12_000 and abs(share * total / 11_400 - 1) < 1e-3
+    assert hash_bound(1.0) == hash_bound(7.0) == (1 << 63) - 1 and hash_bound(0) == -(1 << 63)

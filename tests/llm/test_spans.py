@@ -2,6 +2,7 @@ import random
 import re
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,3 +176,11 @@ def test_no_shared_run_of_48_words_is_left(spark):
             left.setdefault(tuple(w[at : at + 48]), set()).add(k)
     assert not [ks for ks in left.values() if len(ks) > 1]
     assert {k for ks in left.values() for k in ks} >= set(range(1, len(passages)))
+
+
+def test_a_common_span_is_sent_once_a_partition():
+    """Of many batches that hold one passage, only the first sends it by its hash, unless a later one has a smaller key."""
+    passage = " ".join(f"word{i}" for i in range(60)) + "."
+    batches = [pa.RecordBatch.from_pydict({"key": pa.array([k], pa.int64()), "mark": pa.array([0], pa.int64()), "text": [passage]}) for k in (5, 6, 7, 3, 4, None, 8)]
+    out = [(b.column(0)[i].as_py(), b.column(4)[i].as_py()) for b in spans._span_rows(iter(batches), True) for i in range(b.num_rows)]
+    assert {k for k, again in out if not again} == {5, 3, None} and {k for k, again in out if again} == {6, 7, 4, 8}
