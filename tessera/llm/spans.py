@@ -13,8 +13,9 @@ that start in a longer one cover it without gaps but for 23 words at either end
 
 Places are numbers of words, so both paths go through one join, and one row a span crosses one shuffle, once. Within a
 batch of documents, all but the first occurrence of a span are repeated whatever other batches hold; they travel by their
-place, and only the first one travels by its hash. So a very common span sends a row a batch to one task, not a row an
-occurrence. Hashes have 64 bits: of n spans about n * n / 2 ** 65 pairs are taken for equal that are not.
+place, and only the first one travels by its hash. What a partition's earlier batches had is remembered in a table of
+SEEN spans (a later span takes the slot of an older one), so a very common span sends about a row a partition to one task,
+not a row an occurrence. Hashes have 64 bits: of n spans about n * n / 2 ** 65 pairs are taken for equal that are not.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ SENTENCES, LEAST_WORDS = 3, 20
 RUN, WINDOW, GRAM = 25, 24, 4
 #: Characters of text that are handled at once, more only where one document is longer.
 GROUP_CHARS = 1_000_000
+#: Spans that a partition remembers, a power of two.
+SEEN = 1 << 17
 
 _WORD = re.compile(r"\S+")
 _LINE, _END = "\x01", np.uint64(1)
@@ -173,7 +176,30 @@ def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+class _Seen:
+    """The first occurrences that a partition has sent, by a slot for each hash: what is forgotten is only sent again."""
+
+    def __init__(self) -> None:
+        self.span, self.place, self.mark = (np.zeros(SEEN, np.int64) for _ in range(3))
+        self.key, self.used = np.full(SEEN, None, object), np.zeros(SEEN, bool)
+
+    def later(self, span: np.ndarray, row: np.ndarray, place: np.ndarray, keys: list, marks: list) -> np.ndarray:
+        """Which occurrences of spans come after one that was sent; the others are remembered."""
+        slot, out = span & (SEEN - 1), np.zeros(len(span), bool)
+        key, mark = np.array([*keys, None], object)[:-1], np.array(marks, np.int64)
+        known = self.used[slot] & (self.span[slot] == span)
+        told = lambda k, m, p: ((k is not None, k), m, p)  # noqa: E731 - nulls first
+        for i in np.flatnonzero(known).tolist():
+            s, r = slot[i], row[i]
+            out[i] = told(self.key[s], self.mark[s], self.place[s]) < told(key[r], mark[r], place[i])
+        new = ~out
+        s, r = slot[new], row[new]
+        self.span[s], self.place[s], self.mark[s], self.key[s], self.used[s] = span[new], place[new], mark[r], key[r], True
+        return out
+
+
 def _span_rows(batches: Iterator[pa.RecordBatch], runs: bool) -> Iterator[pa.RecordBatch]:
+    seen = _Seen()
     for batch in batches:
         for b in _groups(batch):
             row, first, size, span = spans([t or "" for t in b.column(2).to_pylist()], runs)
@@ -186,6 +212,8 @@ def _span_rows(batches: Iterator[pa.RecordBatch], runs: bool) -> Iterator[pa.Rec
             start = np.concatenate([[True], span[1:] != span[:-1]])
             head = np.maximum.accumulate(np.where(start, np.arange(len(span)), 0))
             again = (rank != rank[head]) | (place != place[head])
+            heads = np.flatnonzero(~again)
+            again[heads] = seen.later(span[heads], row[heads], place[heads], b.column(0).to_pylist(), b.column(1).to_pylist())
             route = np.where(again, mixed((row.astype(np.uint64) << np.uint64(40)) ^ place.view(np.uint64) ^ span.view(np.uint64)).view(np.int64), span)
             at = pa.array(row)
             for i in range(0, len(row), 10_000):
