@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import broadcast_if_small, pairs, release, scoped, stored, text_batches, width
 
 LEAST_DOCS, TOP_TERMS = 3, 200
-HEAVY, TILE, BLOCK = 16, 64, 2048
+HEAVY, TILE, BLOCK = 16, 64, 512
 #: Different terms that a partition holds before it lets them go; bytes of a text that are cut into words at once, about.
 MOST_TERMS, PIECE = 300_000, 4 << 20
 
