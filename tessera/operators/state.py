@@ -53,6 +53,12 @@ def staged(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return out
 
 
+def broadcast_if_small(df: DataFrame, row_bytes: int = 128, most: int = 16 << 20) -> DataFrame:
+    """df, staged, with a broadcast hint if its rows, counted, take at most so many bytes; else Spark shuffles it."""
+    df = staged(df)
+    return F.broadcast(df) if df.count() * row_bytes <= most else df
+
+
 def deleted(spark: SparkSession, paths: list[str]) -> None:
     for p in paths:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import dates
 from tessera.functions.url import canonical_http, url_fingerprint
 from tessera.operators import dedup, fanin, quality
-from tessera.operators.state import Checkpoints, deleted, read_or_none, scoped, staged
+from tessera.operators.key_index import KeyIndex
+from tessera.operators.sink import BatchSink
+from tessera.operators.state import Checkpoints, deleted, scoped, staged
 from tessera.sources.feeds import PARSERS, enabled, unreadable
 from tessera.sources.landed import payload_stream, payloads, source_key
 
@@ -88,30 +91,83 @@ def typed(rows: DataFrame, vertical: str, now) -> DataFrame:
     return out.withColumns({k: F.col(v) for k, v in names.items()}) if names else out
 
 
-def save(rows: DataFrame, vertical: str, folder: str, now, dry_run: bool = False, failed: int = 0) -> Counts:
-    """One batch of parsed rows: type, check, dedup against the batch and the table, append rows and quarantine."""
-    _, _, name, kind = VERTICALS[vertical]
+def key_columns(vertical: str) -> dict[str, list[str]]:
+    """What tells rows of a vertical apart from stored ones, by kind of key: any of them is enough."""
+    link, _, name, _ = VERTICALS[vertical]
+    return {"url": [link], "fingerprint": ["url_fingerprint"]} | ({"name": [name]} if name else {})
+
+
+class Target:
+    """Where batches of a vertical go: its table, its quarantine and the index of its keys, all through one sink."""
+
+    def __init__(self, spark: SparkSession, folder: str, vertical: str) -> None:
+        self.vertical, self.bad, self.name = vertical, f"quarantine/{vertical}", f"index/{vertical}"
+        self.sink = BatchSink(spark, folder, vertical, [vertical, self.bad, *KeyIndex.tables(self.name)])
+        self.index, self.keys = KeyIndex(self.sink, self.name), key_columns(vertical)
+
+    def new_rows(self, rows: DataFrame) -> DataFrame:
+        """rows that the table lacks: those first that have any key of theirs first in the batch, less what is stored."""
+        _, _, name, _ = VERTICALS[self.vertical]
+        return self.index.new_rows(dedup.batch_to_save(rows, None, "_order", name), self.keys, "_order")
+
+
+def _observed(o: Observation) -> dict:
+    """The metrics of an observation; of a plan that was found to be empty there may be none."""
+    return {k: v for k, v in (o.get or {}).items() if v is not None}
+
+
+def save(rows: DataFrame, target: Target, now, token: str | None, failed: int = 0) -> Counts:
+    """One batch of parsed rows: type, check, dedup against the batch and the table, add rows, quarantine and keys.
+
+    Rows are counted by what writes them. A token that is committed writes nothing and gives the counts of its first time;
+    without a token nothing is written, and the counts are those that writing would give.
+    """
+    vertical, sink = target.vertical, target.sink
+    if token and (before := sink.begin(token)) is not None:
+        return Counts(**before)
+    _, _, _, kind = VERTICALS[vertical]
     title = next(c for c in ("title", "entity_name", "product_name") if c in rows.columns)
     with scoped(rows.sparkSession):
-        rows = staged(typed(rows, vertical, now))
-        good, bad = quality.split(rows, kind)
-        held = read_or_none(rows.sparkSession, f"{folder}/{vertical}")
-        new = staged(dedup.batch_to_save(good, held, "_order", name).drop("_order"))
-        seen = rows.agg(F.count("*").alias("n"), F.max_by(title, "_order").alias("last")).first()
-        invalid, inserted = bad.count(), new.count()
-        if not dry_run:
+        seen, kept = Observation(), Observation()
+        checked = quality.validate(typed(rows, vertical, now), kind)
+        bad = F.size("errors") > 0
+        rows = staged(checked.observe(seen, F.count(F.lit(1)).alias("n"), F.max_by(title, "_order").alias("last"), F.count_if(bad).alias("invalid")))
+        found = _observed(seen)
+        n, invalid = found.get("n", 0), found.get("invalid", 0)
+        new = target.new_rows(rows.filter(~bad).drop("errors")).drop("_order")
+        if token is None:
+            inserted = new.count()
+        else:
+            sink.write(vertical, token, new.observe(kept, F.count(F.lit(1)).alias("n")))
+            inserted = _observed(kept).get("n", 0)
             if inserted:
-                new.write.mode("append").parquet(f"{folder}/{vertical}")
+                target.index.add(token, sink.read(vertical, token), target.keys)
+            else:
+                sink.drop(vertical, token)
             if invalid:
-                bad.drop("_order").write.mode("append").parquet(f"{folder}/quarantine/{vertical}")
-    return Counts(seen["n"], seen["n"], seen["n"] - invalid, inserted, seen["n"] - invalid - inserted, invalid, failed, 0.0, seen["last"] or "")
+                sink.write(target.bad, token, rows.filter(bad).drop("_order"))
+    counts = Counts(n, n, n - invalid, inserted, n - invalid - inserted, invalid, failed, 0.0, found.get("last", ""))
+    if token:
+        sink.commit(token, vars(counts))
+    return counts
 
 
-def save_payloads(batch: DataFrame, vertical: str, folder: str, sources: str | None, now, dry_run: bool = False) -> Counts:
+def save_payloads(batch: DataFrame, target: Target, sources: str | None, now, token: str | None = None) -> Counts:
     """One batch of payloads. Those of the enabled sources that cannot be read count as failed."""
-    known = batch.filter(source_key(F.col("path"), vertical).isin(list(enabled(vertical, sources))))
+    if token and (before := target.sink.begin(token)) is not None:
+        return Counts(**before)
+    known = batch.filter(source_key(F.col("path"), target.vertical).isin(list(enabled(target.vertical, sources))))
     failed = known.agg(F.count_if(unreadable(F.col("payload"))).alias("n")).first()["n"]
-    return save(parsed(batch, vertical, sources), vertical, folder, now, dry_run, failed)
+    return save(parsed(batch, target.vertical, sources), target, now, token, failed)
+
+
+def _run_id(marks: Checkpoints, vertical: str, source: str, fresh: bool) -> str:
+    """The id under which a run commits its batches: a new one for a fresh run, that of the run that is gone on with else."""
+    row = None if fresh else marks.get(vertical, f"run:{source}")
+    run = row["cursor"] if row is not None else uuid.uuid4().hex
+    if row is None:
+        marks.save(vertical, f"run:{source}", cursor=run)
+    return run
 
 
 def _resumed(marks: Checkpoints, vertical: str, source: str, resume: bool) -> tuple[Counts, Row | None]:
@@ -144,8 +200,9 @@ def ingest(
     """Takes what has landed into the table of a vertical, batch by batch.
 
     Without a limit: all that has landed since the last run, as a stream. Its own checkpoint says which files are done: an
-    interrupted run goes on with the batch that it did not finish (whose rows, if they were written, are then duplicates), a
-    second run over the same files inserts nothing. resume=False starts over from the first file.
+    interrupted run goes on with the batch that it did not finish, a second run over the same files inserts nothing.
+    resume=False starts over from the first file. A batch is committed under the id of its run and its number: taken again, it
+    changes neither table nor quarantine, and what a run that died has left without a commit is deleted first.
 
     With a limit (or an offset): at most so many rows of what has landed, an equal share of each source, batch_rows at a
     time. How far each source is read is kept with the counters after every batch, so an interrupted run, or one that found
@@ -157,11 +214,14 @@ def ingest(
         raise ValueError(f"unknown vertical {vertical!r}")
     began, at = time.monotonic(), F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     where, marks, source = f"{landed}/{vertical}", Checkpoints(spark, f"{folder}/checkpoints"), sources or "all"
+    target = Target(spark, folder, vertical)
+    if not dry_run:
+        target.sink.recover()
 
     if limit is not None or offset:
-        total = _limited(spark, where, vertical, folder, sources, at, dry_run, on_batch, limit, offset, resume, batch_rows, marks)
+        total = _limited(spark, where, target, sources, at, dry_run, on_batch, limit, offset, resume, batch_rows, marks)
     elif dry_run:
-        total = save_payloads(payloads(spark, where), vertical, folder, sources, at, True)
+        total = save_payloads(payloads(spark, where), target, sources, at)
         if on_batch:
             on_batch(total)
     else:
@@ -170,11 +230,12 @@ def ingest(
             deleted(spark, [progress])
         stream = payload_stream(spark, where, batch_files)
         total, row = _resumed(marks, vertical, source, resume)
+        run = _run_id(marks, vertical, source, row is None)
         done = int(row["cursor"]) if row and (row["cursor"] or "").lstrip("-").isdigit() else -1
 
         def take(df: DataFrame, batch: int) -> None:
             nonlocal done
-            c = save_payloads(df, vertical, folder, sources, at)
+            c = save_payloads(df, target, sources, at, target.sink.token(run, batch))
             if batch > done:  # a batch that is taken again was counted before
                 total.add(c)
                 done = batch
@@ -195,9 +256,11 @@ def ingest(
     return total
 
 
-def _limited(spark, where, vertical, folder, sources, at, dry_run, on_batch, limit, offset, resume, batch_rows, marks) -> Counts:
+def _limited(spark, where, target, sources, at, dry_run, on_batch, limit, offset, resume, batch_rows, marks) -> Counts:
+    vertical, name_of = target.vertical, sources or "all"
     names = list(enabled(vertical, sources))
-    total, row = (Counts(), None) if dry_run else _resumed(marks, vertical, sources or "all", resume)
+    total, row = (Counts(), None) if dry_run else _resumed(marks, vertical, name_of, resume)
+    run = None if dry_run else _run_id(marks, vertical, name_of, row is None)
     held = {n: None if dry_run or row is None else marks.get(vertical, n) for n in names}
     start = {n: int(c["cursor"]) if c is not None else offset for n, c in held.items()}
     wanted = (1 << 31) - 1 if limit is None else limit - total.processed
@@ -213,29 +276,31 @@ def _limited(spark, where, vertical, folder, sources, at, dry_run, on_batch, lim
             rows = fanin.fan_in(found, wanted, start, LEAST.get(vertical, 1))
         number = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)])
         rows = staged(rows.withColumn("_order", F.struct(number[F.col("source_key")].alias("source"), "ord")))
-        ranks = staged(rows.select("_order", "source_key", (F.row_number().over(Window.orderBy("_order")) - 1).alias("_rank")))  # narrow, and bounded by the limit
+        ranks = staged(fanin.numbered(rows.select("_order", "source_key"), "_order", "_rank"))
         n = ranks.count()
         failed = known.agg(F.count_if(unreadable(F.col("payload"))).alias("n")).first()["n"] if row is None else 0
         status = lambda: "completed" if limit is not None and total.processed >= limit else "running"
         try:
             for first in range(0, n, batch_rows):
                 mine = ranks.filter((F.col("_rank") >= first) & (F.col("_rank") < first + batch_rows))
-                c = save(rows.join(mine.select("_order"), "_order", "left_semi"), vertical, folder, at, dry_run, failed if first == 0 else 0)
+                # A batch is known by how many rows of the run came before it.
+                token = None if dry_run else target.sink.token(run, total.processed)
+                c = save(rows.join(mine.select("_order"), "_order", "left_semi"), target, at, token, failed if first == 0 else 0)
                 total.add(c)
                 if not dry_run:
                     for r in mine.groupBy("source_key").agg(F.count("*").alias("n"), F.max("_order").alias("last")).collect():
                         start[r["source_key"]] += r["n"]
                     for name in names:
                         marks.save(vertical, name, cursor=str(start[name]), status=status())
-                    _mark(marks, vertical, sources or "all", status(), total, cursor=str(total.processed))
+                    _mark(marks, vertical, name_of, status(), total, cursor=str(total.processed))
                 if on_batch:
                     on_batch(c)
         except BaseException:
             if not dry_run:
-                _mark(marks, vertical, sources or "all", "interrupted", total, cursor=str(total.processed))
+                _mark(marks, vertical, name_of, "interrupted", total, cursor=str(total.processed))
             raise
         if not n and not dry_run:
-            _mark(marks, vertical, sources or "all", status(), total, cursor=str(total.processed))
+            _mark(marks, vertical, name_of, status(), total, cursor=str(total.processed))
     return total
 
 
