@@ -2,7 +2,8 @@
 
 exact name (1.0), alias (0.90), comparable name (0.95), comparable alias (0.90): equi joins. Then, for what is left, the
 similarity of names that share a blocking key, 0.80 or more; two best ones closer than 0.03 are ambiguous and go to a
-chooser, if there is one. Names are resolved against the snapshot, whatever their order; their aliases are added afterwards.
+chooser, if there is one. `resolve` takes names against the snapshot, whatever their order; their aliases are added afterwards.
+`resolve_in_order` gives what taking them one by one does, where every name that is resolved is an alias for those after it.
 """
 
 from __future__ import annotations
@@ -11,12 +12,13 @@ from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tessera.functions.basic import filled, strip
 from tessera.functions.text import blocking_keys, comparable, with_comparable
+from tessera.operators.fanin import numbered
 from tessera.operators.state import added_to_set, staged, upserted
 
 FUZZY, DELTA = 0.80, 0.03
@@ -63,13 +65,20 @@ def prepared(entities: DataFrame) -> DataFrame:
     return staged(with_comparable(e, F.col("canonical_name"), "norm").join(norms, "canonical_id"))
 
 
-def equi_stages(names: DataFrame, entities: DataFrame) -> DataFrame:
-    """Of names (raw_name, norm) those that a stage by equality resolves, with canonical_id, canonical_name, method, confidence."""
+def equi_stages(names: DataFrame, entities: DataFrame, learned: DataFrame | None = None) -> DataFrame:
+    """Of names (raw_name, norm) those that a stage by equality resolves, with canonical_id, canonical_name, method, confidence.
+
+    learned (s, canonical_id, canonical_name, at) are comparable aliases that count for names with a larger `at`.
+    """
     alias = with_comparable(staged(entities.select("canonical_id", "canonical_name", F.explode("aliases").alias("alias"))), F.col("alias"), "norm_alias")
     key = lambda df, stage, c: df.select(F.lit(stage).alias("stage"), F.col(c).alias("key"), "canonical_id", "canonical_name").filter("key <> ''")
     keys = key(entities, 1, "canonical_name").unionByName(key(alias, 2, "alias")).unionByName(key(entities, 3, "norm")).unionByName(key(alias, 4, "norm_alias")).distinct()
-    asked = names.select("raw_name", F.posexplode(F.array("raw_name", "raw_name", "norm", "norm")).alias("i", "key")).select("raw_name", (F.col("i") + 1).alias("stage"), "key")
-    hit = asked.join(keys, ["stage", "key"]).groupBy("raw_name").agg(F.min(F.struct("stage", "canonical_id", "canonical_name")).alias("m"))
+    at = [c for c in names.columns if c == "at"]
+    asked = names.select("raw_name", *at, F.posexplode(F.array("raw_name", "raw_name", "norm", "norm")).alias("i", "key")).select("raw_name", *at, (F.col("i") + 1).alias("stage"), "key")
+    if learned is not None:
+        keys = keys.withColumn("since", F.lit(-1).cast("long")).unionByName(learned.select(F.lit(4).alias("stage"), F.col("s").alias("key"), "canonical_id", "canonical_name", F.col("at").alias("since")))
+    met = asked.join(keys, ["stage", "key"])
+    hit = (met if learned is None else met.filter("since < at")).groupBy("raw_name").agg(F.min(F.struct("stage", "canonical_id", "canonical_name")).alias("m"))
     method = F.element_at(F.array(*[F.lit(x) for x in ("exact", "alias", "normalized", "alias")]), F.col("m.stage"))
     sure = F.element_at(F.array(*[F.lit(x) for x in (1.0, 0.90, 0.95, 0.90)]), F.col("m.stage"))
     return hit.select("raw_name", "m.canonical_id", "m.canonical_name", method.alias("match_method"), sure.alias("confidence"))
@@ -105,33 +114,68 @@ def _search_keys(strings: DataFrame) -> DataFrame:
     return keyed.unionByName(strings.filter(n <= 3).select("s", ends.alias("own"), ends.alias("other")))
 
 
-def candidate_pairs(names: DataFrame, entities: DataFrame) -> DataFrame:
+def _dated(entities: DataFrame) -> DataFrame:
+    """canonical_id, canonical_name, dated: the comparable names of entities with the place from which they count (-1: always)."""
+    own = F.transform("norms", lambda x: F.struct(x.alias("s"), F.lit(-1).cast("long").alias("at")))
+    return entities.select("canonical_id", "canonical_name", (F.concat(own, "learned") if "learned" in entities.columns else own).alias("dated"))
+
+
+def search_keys(norms: DataFrame, entities: DataFrame) -> DataFrame:
+    """The keys of `_search_keys` for comparable names (norm) and those of entities."""
+    right = _dated(entities).select(F.explode("dated.s").alias("s")).filter("s <> ''")
+    return staged(_search_keys(norms.select(F.col("norm").alias("s")).unionByName(right).distinct()))
+
+
+def candidate_pairs(names: DataFrame, entities: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """raw_name, norm, canonical_id, canonical_name, norms for names (raw_name, norm) and the entities that they are compared
     with: those that share a blocking key, or all for a name that shares none or if there are only FEW. Of those, only such as
-    can score FUZZY are given (see `_search_keys`): whole blocks, as of all names of two words, are never paired."""
-    dim = entities.select("canonical_id", "canonical_name", "norms")
+    can score FUZZY are given (see `_search_keys`): whole blocks, as of all names of two words, are never paired.
+
+    Where names have a place `at`, of the names that entities have learned only those of smaller places count for them. keys:
+    search keys of all these names, if they are there already.
+    """
+    at = F.col("at") if "at" in names.columns else F.lit((1 << 62)).cast("long")
+    names, dim = names.select("raw_name", "norm", at.alias("at")), _dated(entities)
     columns = ["raw_name", "norm", "canonical_id", "canonical_name", "norms"]
+    before = F.transform(F.filter("dated", lambda x: x["at"] < F.col("at")), lambda x: x["s"]).alias("norms")
     if entities.count() <= FEW:
-        return names.withColumn("_all", F.lit(1)).join(F.broadcast(dim.withColumn("_all", F.lit(1))), "_all").select(*columns)
-    right = dim.select("canonical_id", F.explode("norms").alias("s")).filter("s <> ''").distinct()
-    keys = staged(_search_keys(names.select(F.col("norm").alias("s")).unionByName(right.select("s")).distinct()))
-    asked = names.select("raw_name", F.col("norm").alias("s")).join(keys.select("s", F.explode("own").alias("key")), "s").select("raw_name", "key")
-    offered = right.join(keys.select("s", F.explode("other").alias("key")), "s").select("canonical_id", "key")
-    pairs = asked.join(offered, "key").select("raw_name", "canonical_id").distinct()
-    # Whether a name shares a blocking key with any entity at all: by the distinct keys, without pairing.
-    blocks = right.select(F.explode(blocking_keys(F.col("s"))).alias("block")).distinct()
-    blocked = names.select("raw_name", F.explode(blocking_keys(F.col("norm"))).alias("block")).join(blocks, "block", "left_semi").select("raw_name").distinct()
-    held = names.join(blocked.withColumn("_blocked", F.lit(True)), "raw_name", "left")
-    full = pairs.join(held, "raw_name").join(dim, "canonical_id")
+        every = names.withColumn("_all", F.lit(1)).join(F.broadcast(dim.withColumn("_all", F.lit(1))), "_all")
+        return every.select("raw_name", "norm", "canonical_id", "canonical_name", before)
+    right = dim.select("canonical_id", F.explode("dated").alias("d")).select("canonical_id", "d.s", F.col("d.at").alias("since")).filter("s <> ''").groupBy("canonical_id", "s").agg(F.min("since").alias("since"))
+    keys = search_keys(names, entities) if keys is None else keys
+    asked = names.select("raw_name", "at", F.col("norm").alias("s")).join(keys.select("s", F.explode("own").alias("key")), "s").select("raw_name", "at", "key")
+    offered = right.join(keys.select("s", F.explode("other").alias("key")), "s").select("canonical_id", "since", "key")
+    pairs = asked.join(offered, "key").filter("since < at").select("raw_name", "canonical_id").distinct()
+    held = names.join(_blocked(names, right).withColumn("_blocked", F.lit(True)), "raw_name", "left")
+    full = pairs.join(held, "raw_name").join(dim, "canonical_id").select("raw_name", "norm", "canonical_id", "canonical_name", before, "_blocked")
     common = F.exists("norms", lambda o: F.arrays_overlap(blocking_keys(o), blocking_keys(F.col("norm"))))
     return full.filter(F.col("_blocked").isNull() | common).select(*columns)
 
 
+def _blocked(names: DataFrame, strings: DataFrame) -> DataFrame:
+    """raw_name of names that share a blocking key with any string before them: by the distinct keys, without pairing."""
+    blocks = strings.select(F.explode(blocking_keys(F.col("s"))).alias("block"), "since").groupBy("block").agg(F.min("since").alias("since"))
+    own = names.select("raw_name", "at", F.explode(blocking_keys(F.col("norm"))).alias("block"))
+    return own.join(blocks, "block").filter("since < at").select("raw_name").distinct()
+
+
+def may_reach(a: Column, b: Column, least: float) -> Column:
+    """Whether the similarity of two names, rounded to two places, can be `least`: never false where it is.
+
+    Matching blocks match each letter once, so at most as many letters as both have of each; a name all of whose words the
+    other has may score more than its letters.
+    """
+    often = lambda s, c: F.length(s) - F.length(F.replace(s, c, F.lit("")))
+    both = F.aggregate(F.array_distinct(F.split(b, "")), F.lit(0), lambda n, c: n + F.when(c == "", 0).otherwise(F.least(often(a, c), often(b, c))))
+    words, others = F.split(a, " "), F.split(b, " ")
+    within = (F.size(F.array_except(words, others)) == 0) | (F.size(F.array_except(others, words)) == 0)
+    return (2 * both >= (least - 0.006) * (F.length(a) + F.length(b))) | within
+
+
 def scored(pairs: DataFrame, least: float = FUZZY) -> DataFrame:
-    """Pairs with a score of at least `least`. Pairs whose lengths and words exclude that are dropped before they reach Python."""
-    words = lambda c: F.split(c, " ")
-    may = F.exists("norms", lambda o: (2 * F.least(F.length(o), F.length("norm")) >= (least - 0.01) * (F.length(o) + F.length("norm"))) | F.arrays_overlap(words(o), words(F.col("norm"))))
-    return pairs.filter(may).withColumn("score", best_score.asNondeterministic()("norm", "norms")).filter(F.col("score") >= least).drop("norms")
+    """Pairs with a score of at least `least`. Only names that can reach it, by their letters and words, go to Python."""
+    able = staged(pairs.withColumn("norms", F.filter("norms", lambda o: may_reach(F.col("norm"), o, least))).filter(F.size("norms") > 0))
+    return able.withColumn("score", best_score.asNondeterministic()("norm", "norms")).filter(F.col("score") >= least).drop("norms")
 
 
 def ranked(scores: DataFrame) -> DataFrame:
@@ -163,24 +207,23 @@ def choose(ambiguous: DataFrame, chooser: Callable[[str, list[dict]], tuple[str,
     return ambiguous.select("raw_name", "candidates").mapInPandas(run, "raw_name string, canonical_id string, confidence double")
 
 
-def resolve(names: DataFrame, entities: DataFrame, mappings: DataFrame | None = None, chooser: Callable | None = None, refresh_unresolved: bool = False) -> DataFrame:
-    """MAPPING for every distinct non-blank raw_name of names (columns raw_name, source_url).
-
-    A name with a mapping keeps it (an unresolved one is sought again on refresh_unresolved). An unresolved name gets the id
-    unresolved_<comparable name> and its own name.
-    """
-    asked = names.select(filled(F.col("raw_name")).alias("raw_name"), "source_url").filter("raw_name is not null")
-    asked = asked.groupBy("raw_name").agg(F.min("source_url").alias("source_url"))
+def _asked(names: DataFrame, mappings: DataFrame | None, refresh: bool, *more) -> tuple[DataFrame, DataFrame | None]:
+    """(the distinct names to resolve: raw_name, source_url, norm and more; mappings that are kept)."""
+    asked = names.select(filled(F.col("raw_name")).alias("raw_name"), "source_url", *[c for c, _ in more]).filter("raw_name is not null")
+    asked = asked.groupBy("raw_name").agg(F.min("source_url").alias("source_url"), *[a for _, a in more])
     kept = None
     if mappings is not None:
-        kept = mappings.filter("match_method <> 'unresolved'") if refresh_unresolved else mappings
+        kept = mappings.filter("match_method <> 'unresolved'") if refresh else mappings
         kept = kept.join(asked.select("raw_name"), "raw_name", "left_semi").select(*MAPPING)
         asked = asked.join(kept.select("raw_name"), "raw_name", "left_anti")
-    asked = staged(with_comparable(asked, F.col("raw_name"), "norm"))
-    dim = prepared(entities)
-    equal = staged(equi_stages(asked, dim))
+    return staged(with_comparable(asked, F.col("raw_name"), "norm")), kept
+
+
+def _resolved(asked: DataFrame, dim: DataFrame, chooser: Callable | None, learned: DataFrame | None = None, keys: DataFrame | None = None) -> DataFrame:
+    """MAPPING for asked names (raw_name, source_url, norm, and at where aliases are learned)."""
+    equal = staged(equi_stages(asked, dim, learned))
     rest = asked.join(equal.select("raw_name"), "raw_name", "left_anti").filter("norm <> ''")
-    best = staged(ranked(scored(candidate_pairs(staged(rest), dim))))
+    best = staged(ranked(scored(candidate_pairs(staged(rest), dim, keys))))
     clear = best.filter("not ambiguous").select("raw_name", F.col("candidates")[0]["canonical_id"].alias("canonical_id"), F.col("candidates")[0]["canonical_name"].alias("canonical_name"), F.lit("fuzzy").alias("match_method"), F.col("candidates")[0]["score"].alias("confidence"))
     found = equal.unionByName(clear)
     if chooser is not None:
@@ -188,7 +231,7 @@ def resolve(names: DataFrame, entities: DataFrame, mappings: DataFrame | None =
         found = found.unionByName(picked)
     named = asked.join(found, "raw_name", "left")
     norm = F.when(F.col("norm") != "", F.col("norm"))
-    out = named.select(
+    return named.select(
         "raw_name",
         F.coalesce(norm, F.lower("raw_name")).alias("normalized_name"),
         F.coalesce("canonical_name", "raw_name").alias("canonical_name"),
@@ -197,6 +240,63 @@ def resolve(names: DataFrame, entities: DataFrame, mappings: DataFrame | None =
         F.coalesce("confidence", F.lit(0.0)).alias("confidence"),
         "source_url",
     )
+
+
+def resolve(names: DataFrame, entities: DataFrame, mappings: DataFrame | None = None, chooser: Callable | None = None, refresh_unresolved: bool = False) -> DataFrame:
+    """MAPPING for every distinct non-blank raw_name of names (columns raw_name, source_url).
+
+    A name with a mapping keeps it (an unresolved one is sought again on refresh_unresolved). An unresolved name gets the id
+    unresolved_<comparable name> and its own name.
+    """
+    asked, kept = _asked(names, mappings, refresh_unresolved)
+    out = _resolved(asked, prepared(entities), chooser)
+    return out if kept is None else out.unionByName(kept)
+
+
+def resolve_in_order(names: DataFrame, entities: DataFrame, order: str, mappings: DataFrame | None = None, chooser: Callable | None = None, refresh_unresolved: bool = False) -> DataFrame:
+    """MAPPING as of names that are taken one by one in order (ties by name), each an alias of its entity for those after it.
+
+    All names are resolved at once against the entities; then those that a new alias of an earlier name can touch are resolved
+    again, with all aliases so far, and so on until no alias is new or gone. As a name depends on earlier ones only, that ends,
+    after as many rounds as the longest chain of names of which each needs the one before; a round works on touched names alone.
+    A name is touched by an alias that it equals, by an entity with a new alias of which any name has a search key of it (no other
+    can score enough), or, if it shares no blocking key with any entity at first, by an alias with a blocking key of it.
+    """
+    asked, kept = _asked(names, mappings, refresh_unresolved, (F.col(order).alias("_place"), F.min("_place").alias("_order")))
+    asked = staged(numbered(asked, ["_order", "raw_name"], "at").drop("_order"))
+    dim = prepared(entities)
+    keys = search_keys(asked, dim)
+    # An alias that the entity has already, as a comparable name, changes nothing.
+    had = staged(dim.select("canonical_id", F.explode("norms").alias("s")).distinct())
+    strings = dim.select(F.explode("norms").alias("s")).filter("s <> ''").select("s", F.lit(-1).cast("long").alias("since"))
+    loose = staged(asked.join(_blocked(asked, strings), "raw_name", "left_anti").select("raw_name", "at", "norm"))
+    todo, out, learned = asked, None, None
+    while True:
+        if learned is None:
+            part = staged(_resolved(todo, dim, chooser, None, keys))
+        else:
+            more = learned.groupBy("canonical_id").agg(F.collect_list(F.struct("s", "at")).alias("learned"))
+            grown = dim.join(more, "canonical_id", "left").withColumn("learned", F.coalesce("learned", F.array().cast("array<struct<s:string,at:bigint>>")))
+            part = staged(_resolved(todo, staged(grown), chooser, learned, keys))
+        out = part if out is None else staged(out.join(part.select("raw_name"), "raw_name", "left_anti").unionByName(part))
+        found = out.filter("match_method <> 'unresolved'").select("raw_name", "canonical_id", "canonical_name").join(asked.select("raw_name", F.col("norm").alias("s"), "at"), "raw_name").filter("s <> ''")
+        # Of names that compare alike only the first one's alias counts.
+        now = staged(found.join(had, ["canonical_id", "s"], "left_anti").groupBy("canonical_id", "s").agg(F.min("at").alias("at"), F.first("canonical_name").alias("canonical_name")))
+        same = ["canonical_id", "s", "at"]
+        changed = staged(now if learned is None else now.join(learned, same, "left_anti").unionByName(learned.join(now, same, "left_anti")))
+        if changed.isEmpty():
+            break
+        delta = changed.groupBy("s").agg(F.min("at").alias("since"))
+        # An entity that is found by a new alias is compared by all its names, so whatever is near any of them is touched.
+        grew = changed.groupBy("canonical_id").agg(F.min("at").alias("since"))
+        theirs = had.unionByName(now.select("canonical_id", "s")).join(grew, "canonical_id").unionByName(changed.select("canonical_id", "s", F.col("at").alias("since")))
+        offered = keys.join(theirs.groupBy("s").agg(F.min("since").alias("since")), "s").select("since", F.explode("other").alias("key")).groupBy("key").agg(F.min("since").alias("since"))
+        near = keys.select("s", F.explode("own").alias("key")).join(offered, "key").groupBy("s").agg(F.min("since").alias("since")).unionByName(delta)
+        by_key = asked.join(near, F.col("norm") == F.col("s")).filter("since < at").select("raw_name")
+        touched = by_key.unionByName(_blocked(loose, delta)).distinct()
+        learned, todo = now, staged(asked.join(touched, "raw_name", "left_semi"))
+        if todo.isEmpty():
+            break
     return out if kept is None else out.unionByName(kept)
 
 
@@ -206,18 +306,6 @@ def with_new_aliases(entities: DataFrame, mappings: DataFrame) -> DataFrame:
     return added_to_set(entities, found, "canonical_id", "aliases", "alias")
 
 
-def resolve_iterated(names: DataFrame, entities: DataFrame, passes: int = 3, chooser: Callable | None = None) -> DataFrame:
-    """`resolve` again with the aliases found, for as long as that resolves more names, at most so many passes."""
-    out, left = None, None
-    for _ in range(passes):
-        out = staged(resolve(names, entities, out, chooser, refresh_unresolved=True))
-        now = out.filter("match_method = 'unresolved'").count()
-        if now == left or not now:
-            break
-        left, entities = now, staged(with_new_aliases(entities, out))
-    return out
-
-
 def find_by_name(entities: DataFrame, name: str) -> DataFrame:
     """Entities with this name, or the same comparable one."""
     found = with_comparable(entities, F.col("canonical_name"), "_norm")

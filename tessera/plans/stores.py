@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import url
-from tessera.operators import existence, fanin, state
+from tessera.operators import existence, fanin, resolve, state
 from tessera.operators.key_index import KeyIndex
 from tessera.operators.sink import BatchSink
 from tessera.plans.catalog import _norm, query
@@ -50,20 +50,38 @@ def batches_once(read, spark):
     return counts("rows", "kept").join(counts("refused", "refused"), "number", "full").fillna(0).select(F.col("number").alias("batch"), "kept", "refused")
 
 
-@query("""with o as (select o_orderkey, o_custkey, o_clerk, o_orderkey % 4 as batch from orders)
-select o_orderkey from o where batch = 3 and not exists (select 1 from orders s where s.o_orderkey % 4 < 2 and s.o_orderkey % 16 < 8 and (s.o_custkey = o.o_custkey or s.o_clerk || s.o_custkey % 50 = o.o_clerk || o.o_custkey % 50))""")
+@query("""with o as (select o_orderkey, o_custkey, o_orderdate, o_orderkey % 4 as batch from orders)
+select o_orderkey from o where batch = 3 and not exists (select 1 from orders s where s.o_orderkey % 4 < 2 and s.o_orderkey % 16 < 8 and (s.o_custkey = o.o_custkey or (s.o_orderdate = o.o_orderdate and s.o_custkey % 50 = o.o_custkey % 50)))""")
 def index_new_rows(read, spark):
-    """Of a batch of orders those whose customer, and whose clerk with a group of customers, no stored order has: two batches are
+    """Of a batch of orders those whose customer, and whose day with a group of customers, no stored order has: two batches are
     indexed, and the third is probed through the filters."""
-    orders = read("orders").select("o_orderkey", "o_custkey", F.concat("o_clerk", F.col("o_custkey") % 50).alias("clerk"))
+    orders = read("orders").select("o_orderkey", "o_custkey", F.concat_ws(" ", "o_orderdate", F.col("o_custkey") % 50).alias("day"))
     sink = BatchSink(spark, state.scratch(spark), "orders", KeyIndex.tables("index"))
-    index, keys = KeyIndex(sink, "index"), {"customer": ["o_custkey"], "clerk": ["clerk"]}
+    index, keys = KeyIndex(sink, "index"), {"customer": ["o_custkey"], "day": ["day"]}
     for number in range(2):
         index.add(sink.token("run", number), orders.filter((F.col("o_orderkey") % 4 == number) & (F.col("o_orderkey") % 16 < 8)), keys)
         sink.commit(sink.token("run", number), {})
     return index.new_rows(orders.filter("o_orderkey % 4 = 3"), keys, "o_orderkey").select("o_orderkey")
 
 
+_CHAIN = "md5(s_suppkey::varchar) || md5('2' || s_suppkey)"
+
+
+@query(f"""with h as (select s_suppkey as k, {_CHAIN} as h, unnest(range(1, 11)) as i from supplier)
+select k, i::integer as i, case when k % 2 = 0 or i = 1 then 'ent_' || k else 'unresolved_' || substr(h, 3 * i + 1, 20) end as canonical_id, case when k % 2 = 0 or i = 1 then 'fuzzy' else 'unresolved' end as match_method,
+  case when k % 2 = 0 or i = 1 then 0.85 else 0.0 end::double as confidence from h""")
+def resolve_chain(read, spark):
+    """Ten names a supplier of which each is like the one before and unlike the entity: in order all resolve, by the aliases that
+    those before have left; backwards, as of every second supplier, only the nearest one does."""
+    letters = F.concat(F.md5(F.col("s_suppkey").cast("string")), F.md5(F.concat(F.lit("2"), "s_suppkey")))
+    rows = read("supplier").select(F.col("s_suppkey").alias("k"), letters.alias("h"))
+    entities = rows.select(F.concat(F.lit("ent_"), "k").alias("canonical_id"), F.substring("h", 1, 20).alias("canonical_name"), F.array().cast("array<string>").alias("aliases"))
+    steps = state.staged(rows.select("k", "h", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("i")).withColumn("raw_name", F.substring(F.col("h"), 3 * F.col("i") + 1, F.lit(20))))
+    place = F.when(F.col("k") % 2 == 0, F.col("i")).otherwise(-F.col("i"))
+    found = resolve.resolve_in_order(steps.select("raw_name", F.lit(None).cast("string").alias("source_url"), place.alias("place")), entities, "place")
+    return steps.join(found, "raw_name").select("k", "i", "canonical_id", "match_method", "confidence")
+
+
 @query("select l_orderkey, l_linenumber, row_number() over (order by l_shipdate, l_orderkey, l_linenumber) - 1 as place from lineitem")
 def row_places(read, spark):
     """The place of every line in order of shipping, over all partitions at once."""

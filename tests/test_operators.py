@@ -202,6 +202,57 @@ def test_resolve_against_all_pairs(spark, seed):
     assert not bad and sum(w[1] == "fuzzy" for w in want.values()) > 20
 
 
+def one_by_one(names, entities):
+    """Names in order, each an alias of its entity for those after it."""
+    held, out = [(i, n, list(a)) for i, n, a in entities], {}
+    for n in names:
+        found = plain_match(n, held) if len(held) <= resolve.FEW else blocked_match(n, held)
+        out[n] = (found[0], found[1], round(found[2], 4))
+        for i, _, aliases in held:
+            if i == found[0] and n not in aliases:
+                aliases.append(n)
+    return out
+
+
+@pytest.mark.parametrize("extra", [0, 14])
+def test_names_in_order_are_as_one_by_one(spark, extra):
+    """A chain of 10 aliases of which each needs the one before, the same chain backwards, and misspelt names in any order."""
+    import hashlib
+
+    r = random.Random(extra)
+    letters = lambda x: hashlib.md5(x.encode()).hexdigest() + hashlib.md5(b"2" + x.encode()).hexdigest()
+    chain = lambda x: [letters(x)[3 * i : 3 * i + 20] for i in range(11)]
+    up, down = chain("up"), chain("down")
+    ents = [("a", up[0], []), ("b", down[0], []), ("c", "Kamiten Labor", ["Kami Labs"])] + [(f"z{i:02}", f"{letters(str(i))[:9]} {letters(str(i))[40:46]}", []) for i in range(extra)]
+    spoilt = lambda n: "".join(c for c in n if r.random() > 0.07) + r.choice(["", "", " x", " labs"])
+    others = list(dict.fromkeys(spoilt(r.choice(ents)[1]) for _ in range(40)))
+    names = up[1:] + others[:20] + down[:0:-1] + others[20:]
+    names = [n for i, n in enumerate(names) if n.strip() == n and n not in names[:i]]
+    df = spark.createDataFrame([(n, "u", i) for i, n in enumerate(names)] + [(names[0], "v", 99)], "raw_name string, source_url string, place int")
+    dim = spark.createDataFrame(ents, "canonical_id string, canonical_name string, aliases array<string>")
+    got = {x.raw_name: (x.canonical_id, x.match_method, round(x.confidence, 4)) for x in resolve.resolve_in_order(df, dim, "place").collect()}
+    want = one_by_one(names, ents)
+    same = lambda x: x if x[1] == "fuzzy" else (x[0], x[1] in ("exact", "alias", "normalized"))
+    assert {n: (same(got[n]), same(want[n])) for n in want if same(got[n]) != same(want[n])} == {} and set(got) == set(want)
+    assert all(want[n][0] == "a" for n in up[1:]) and sum(want[n][0] == "b" for n in down[1:]) == 1
+
+
+def test_letters_bound_is_never_too_low(spark):
+    """Pairs that the bound drops cannot score; it drops most of the others."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdeilmnorst") for _ in range(r.randint(1, 9)))
+    rows = []
+    for i in range(3000):
+        a = " ".join(word() for _ in range(r.randint(1, 3)))
+        b = "".join(c for c in a if r.random() > 0.15) if i % 3 == 0 else " ".join(r.sample(a.split(), 1)) if i % 7 == 0 else " ".join(word() for _ in range(r.randint(1, 3)))
+        rows.append((i, a, " ".join(b.split())))
+    df = spark.createDataFrame(rows, "i int, a string, b string")
+    may = {x.i: x.may for x in df.select("i", resolve.may_reach(F.col("a"), F.col("b"), resolve.FUZZY).alias("may")).collect()}
+    enough = {i for i, a, b in rows if round(resolve.similarity(a, b), 2) >= resolve.FUZZY}
+    assert len(enough) > 300 and all(may[i] for i in enough)
+    assert sum(may.values()) < 1.5 * len(enough), "of two pairs that cannot match, most stay out of Python"
+
+
 def test_plain_names_stay_in_columns(spark):
     from tessera.functions.text import with_comparable
 
@@ -242,7 +293,7 @@ def test_chooser(spark):
 def test_attach_and_iterate(spark):
     dim = resolve.seeds(spark)
     names = spark.createDataFrame([("OpenAI", None), ("Anthropc", None)], "raw_name string, source_url string")
-    m = state.staged(resolve.resolve_iterated(names, dim))
+    m = state.staged(resolve.resolve_in_order(names, dim, "raw_name"))
     rows = spark.createDataFrame([(1, " OpenAI "), (2, "none")], "k int, company string")
     got = {r.k: (r.canonical_id, r.resolution_match_method) for r in resolve.attach(rows, m, "company").collect()}
     assert got == {1: ("ent_openai_001", "exact"), 2: (None, None)}
