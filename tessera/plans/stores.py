@@ -3,6 +3,7 @@ rows in an order."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import url
@@ -10,6 +11,9 @@ from tessera.operators import existence, fanin, resolve, state
 from tessera.operators.key_index import KeyIndex
 from tessera.operators.sink import BatchSink
 from tessera.plans.catalog import _norm, query
+from tessera.sources import pages
+from tessera.sources.crawl import CrawlPolicy
+from tessera.sources.fetching import Paged
 
 
 @query(f"""with p as (select page_id, url, {_norm("url")} as n, 'page ' || page_id % 97 as name from pages),
@@ -64,19 +68,19 @@ def index_new_rows(read, spark):
     return index.new_rows(orders.filter("o_orderkey % 4 = 3"), keys, "o_orderkey").select("o_orderkey")
 
 
-_CHAIN = "md5(s_suppkey::varchar) || md5('2' || s_suppkey)"
+_CHAIN = "md5('a' || s_suppkey) || md5('b' || s_suppkey)"
 
 
-@query(f"""with h as (select s_suppkey as k, {_CHAIN} as h, unnest(range(1, 11)) as i from supplier)
+@query(f"""with h as (select s_suppkey as k, {_CHAIN} as h, unnest(range(1, 5)) as i from supplier)
 select k, i::integer as i, case when k % 2 = 0 or i = 1 then 'ent_' || k else 'unresolved_' || substr(h, 3 * i + 1, 20) end as canonical_id, case when k % 2 = 0 or i = 1 then 'fuzzy' else 'unresolved' end as match_method,
   case when k % 2 = 0 or i = 1 then 0.85 else 0.0 end::double as confidence from h""")
 def resolve_chain(read, spark):
-    """Ten names a supplier of which each is like the one before and unlike the entity: in order all resolve, by the aliases that
+    """Four names a supplier of which each is like the one before and unlike the entity: in order all resolve, by the aliases that
     those before have left; backwards, as of every second supplier, only the nearest one does."""
-    letters = F.concat(F.md5(F.col("s_suppkey").cast("string")), F.md5(F.concat(F.lit("2"), "s_suppkey")))
+    letters = F.concat(F.md5(F.concat(F.lit("a"), "s_suppkey")), F.md5(F.concat(F.lit("b"), "s_suppkey")))
     rows = read("supplier").select(F.col("s_suppkey").alias("k"), letters.alias("h"))
     entities = rows.select(F.concat(F.lit("ent_"), "k").alias("canonical_id"), F.substring("h", 1, 20).alias("canonical_name"), F.array().cast("array<string>").alias("aliases"))
-    steps = state.staged(rows.select("k", "h", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("i")).withColumn("raw_name", F.substring(F.col("h"), 3 * F.col("i") + 1, F.lit(20))))
+    steps = state.staged(rows.select("k", "h", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("i")).withColumn("raw_name", F.substring(F.col("h"), 3 * F.col("i") + 1, F.lit(20))))
     place = F.when(F.col("k") % 2 == 0, F.col("i")).otherwise(-F.col("i"))
     found = resolve.resolve_in_order(steps.select("raw_name", F.lit(None).cast("string").alias("source_url"), place.alias("place")), entities, "place")
     return steps.join(found, "raw_name").select("k", "i", "canonical_id", "match_method", "confidence")
@@ -93,3 +97,56 @@ def rows_from_the_middle(read, spark):
     """A slice far from the first row."""
     rows = read("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     return fanin.sliced(rows, 500, rows.count() // 2, ["l_shipdate", "l_orderkey", "l_linenumber"]).drop("l_shipdate")
+
+
+# ---- paged sources ----------------------------------------------------------------------------------------------------
+
+_SEGMENTS, _PAGE = 4, 20
+#: Parts as items of four searches, in pages; the third page of the third search has got lost.
+_LISTED = f"select p_partkey, p_partkey % {_SEGMENTS} as segment, ((row_number() over (partition by p_partkey % {_SEGMENTS} order by p_partkey) - 1) // {_PAGE} + 1) as page from part"
+
+
+def _listed(read, spark) -> tuple[Paged, int]:
+    """(the source of the landed pages, pages of the longest segment)."""
+    rows = read("part").select("p_partkey", (F.col("p_partkey") % _SEGMENTS).alias("segment"))
+    at = F.row_number().over(Window.partitionBy("segment").orderBy("p_partkey")) - 1
+    placed = rows.withColumn("page", F.floor(at / _PAGE) + 1).groupBy("segment", "page").agg(F.sort_array(F.collect_list("p_partkey")).alias("items"))
+    folder = state.scratch(spark)
+    text = placed.filter("not (segment = 2 and page = 3)").select("segment", "page", F.to_json(F.struct("items")).alias("value"))
+    text.repartition("segment", "page").write.partitionBy("segment", "page").text(folder)
+    most = placed.agg(F.max("page")).first()[0]
+    base = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    return Paged(lambda query, page: f"{base}/segment={query}/page={page}", _PAGE, None, [str(i) for i in range(_SEGMENTS)]), most
+
+
+def _parts(rows):
+    return rows.select("segment", "page", F.explode(F.from_json("payload", "items array<long>")["items"]).alias("p_partkey"))
+
+
+_POLICY = CrawlPolicy(backoff_base=0.0, jitter=False, retries=1)
+
+
+@query(f"select segment::integer as segment, page::integer as page, p_partkey from ({_LISTED}) where not (segment = 2 and page > 2)")
+def pages_read(read, spark):
+    """The landed pages through the batch reader; what comes after a page that is missing does not count."""
+    source, most = _listed(read, spark)
+    name = pages.register(spark, "tessera_parts", source, _POLICY, pages.folder_transport)
+    return _parts(pages.contiguous(spark.read.format(name).option("pages", most + 1).load()))
+
+
+@query(f"select segment::integer as segment, page::integer as page, p_partkey from ({_LISTED}) where page <= 7 and not (segment = 2 and page > 2)")
+def pages_streamed(read, spark):
+    """The same as a stream of three pages a batch with at most seven pages a segment, stopped and started again."""
+    source, _ = _listed(read, spark)
+    folder = state.scratch(spark)
+    name = pages.register(spark, "tessera_parts_stream", Paged(source.url, _PAGE, 7, source.queries), _POLICY, pages.folder_transport)
+    kept = f"{folder}/rows"
+    base = folder if folder.startswith("file:") or "://" in folder else f"file://{folder}"
+    for _ in range(2):
+        stream = spark.readStream.format(name).option("state", f"{base}/state").option("pagesABatch", 3).option("pagesATask", 1).load().filter("items > 0")
+        running = stream.writeStream.format("parquet").option("path", kept).option("checkpointLocation", f"{folder}/progress").start()
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+    return _parts(spark.read.parquet(kept))
