@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -143,23 +144,30 @@ def redact_key(text: Column, key: str | None) -> Column:
     return F.replace(text, F.lit(key), F.lit("[REDACTED_API_KEY]")) if key else text
 
 
-# Class of a sink's error and the parts of its message that give it, in order of precedence.
+# Class of a sink's error and what its message holds, in order of precedence: one of the texts as they are, one of
+# the texts in any case, or the name of an API that is off (together with a text of API_OFF, before or after it).
+API_OFF = ["disabled", "has not been used"]
 SINK_ERRORS = [
-    ("sheet_api_disabled", ["sheets.googleapis.com", "Google Sheets API.*(?:disabled|has not been used)"]),
-    ("drive_api_disabled", ["drive.googleapis.com", "Google Drive API.*(?:disabled|has not been used)"]),
-    ("credentials_not_found", ["No such file or directory", "(?i:file not found)"]),
-    ("invalid_credentials", ["Invalid Google Service Account JSON", "JSONDecodeError"]),
-    ("authentication_failure", ["invalid_grant", "invalid_claim", "Signature verification failed", "GoogleAuthError", "DefaultCredentialsError", "401"]),
-    ("not_found", ["SpreadsheetNotFound", "404", "NOT_FOUND"]),
-    ("permission_denied", ["403", "PermissionDenied", "(?i:permission)"]),
-    ("worksheet_failure", ["WorksheetNotFound", "(?i:worksheet)"]),
-    ("network_failure", ["Connection refused", "Failed to establish a new connection", "Name or service not known", "SSL", "gaierror", "URLError", "TimeoutError", "socket"]),
+    ("sheet_api_disabled", ["sheets.googleapis.com"], [], "Google Sheets API"),
+    ("drive_api_disabled", ["drive.googleapis.com"], [], "Google Drive API"),
+    ("credentials_not_found", ["No such file or directory"], ["file not found"], None),
+    ("invalid_credentials", ["Invalid Google Service Account JSON", "JSONDecodeError"], [], None),
+    ("authentication_failure", ["invalid_grant", "invalid_claim", "Signature verification failed", "GoogleAuthError", "DefaultCredentialsError", "401"], [], None),
+    ("not_found", ["SpreadsheetNotFound", "404", "NOT_FOUND"], [], None),
+    ("permission_denied", ["403", "PermissionDenied"], ["permission"], None),
+    ("worksheet_failure", ["WorksheetNotFound"], ["worksheet"], None),
+    ("network_failure", ["Connection refused", "Failed to establish a new connection", "Name or service not known", "SSL", "gaierror", "URLError", "TimeoutError", "socket"], [], None),
 ]
 
 
 def sink_error(message: Column) -> Column:
     """The class of a sink's error message; `other` if none fits."""
+    text = F.coalesce(message, F.lit(""))
+    holds = lambda where, parts: reduce(lambda a, b: a | b, [where.contains(p) for p in parts], F.lit(False))
     out = F.lit("other")
-    for name, parts in reversed(SINK_ERRORS):
-        out = F.when(F.coalesce(message, F.lit("")).rlike("(?s)" + "|".join(p.replace(".com", r"\.com") for p in parts)), name).otherwise(out)
+    for name, plain, any_case, api in reversed(SINK_ERRORS):
+        fits = holds(text, plain) | holds(F.lower(text), any_case)
+        if api:
+            fits = fits | (text.contains(api) & holds(text, API_OFF))
+        out = F.when(fits, name).otherwise(out)
     return out

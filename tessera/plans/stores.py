@@ -14,6 +14,7 @@ from tessera.plans.catalog import _norm, query
 from tessera.sources import pages
 from tessera.sources.crawl import CrawlPolicy
 from tessera.sources.fetching import Paged
+from tessera.streaming import ingest as streaming
 
 
 @query(f"""with p as (select page_id, url, {_norm("url")} as n, 'page ' || page_id % 97 as name from pages),
@@ -150,3 +151,27 @@ def pages_streamed(read, spark):
         finally:
             running.stop()
     return _parts(spark.read.parquet(kept))
+
+
+# ---- streams ----------------------------------------------------------------------------------------------------------
+
+_ALLOWED, _WITHIN = 2, 6 * 3600
+
+
+@query(f"""with recursive e as (select user_id, ts, epoch_us(ts) as t, row_number() over (partition by user_id order by ts) as n from events),
+r as (
+  select user_id, 0::bigint as n, []::bigint[] as held, null::timestamp as ts, null::boolean as allowed from (select distinct user_id from events)
+  union all
+  select e.user_id, e.n, case when c < {_ALLOWED} then list_append(held, t) else held end, e.ts, c < {_ALLOWED}
+  from (select e.*, r.held, len(list_filter(r.held, lambda x: x > e.t - {_WITHIN}::bigint * 1000000)) as c from r join e on e.user_id = r.user_id and e.n = r.n + 1) e
+)
+select user_id, ts, allowed from r where n > 0""")
+def limited_requests(read, spark):
+    """Events as requests of users, two in any six hours, decided as a stream with state and timers."""
+    folder = state.scratch(spark)
+    held = state.staged(read("events").select("user_id", F.col("ts").cast("timestamp").alias("ts")))
+    stream = spark.readStream.schema(held.schema).parquet(held._staged_at)
+    done = streaming.limited_stream(stream, "user_id", "ts", _ALLOWED, _WITHIN)
+    running = done.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
+    running.awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "allowed")

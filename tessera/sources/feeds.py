@@ -168,7 +168,7 @@ def full_text(articles: DataFrame, pages: DataFrame, least: int = 50) -> DataFra
     """Articles whose text is missing or under `least` characters get that of their page (columns url, html), if it has one."""
     short = F.coalesce(F.length("full_text"), F.lit(0)) < least
     wanted = articles.filter(short).select("url").distinct()
-    read = pages.join(wanted, "url", "left_semi").dropDuplicates(["url"]).select("url", text.html_text("html").alias("page_text"))
+    read = text.with_html_text(pages.join(wanted, "url", "left_semi").dropDuplicates(["url"]), F.col("html"), "page_text").select("url", "page_text")
     return articles.join(read, "url", "left").withColumn("full_text", F.when(short, F.coalesce("page_text", "full_text")).otherwise(F.col("full_text"))).select(*articles.columns)
 
 

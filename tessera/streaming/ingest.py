@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from bisect import bisect_right, insort
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -11,6 +12,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from tessera.functions import dates
 from tessera.functions.url import canonical_http, url_fingerprint
@@ -323,27 +325,57 @@ def rate_stream(requests: DataFrame, by: str, at: str, limit: int, seconds: int
     return counted.filter(F.col("n") > limit).select(by, F.col("w.start").alias("window_start"), "n")
 
 
-def limited_stream(requests: DataFrame, by: str, at: str, limit: int, seconds: int = 60) -> DataFrame:
-    """Of a request stream key, time and `allowed`: whether fewer than `limit` allowed requests of its key lie in the seconds before it."""
-    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+class _Limit(StatefulProcessor):
+    """Allowed requests of a key in the last seconds, as list state; the key goes when the watermark has passed all of them."""
+
+    def __init__(self, by: str, at: str, limit: int, seconds: int) -> None:
+        self.names, self.limit, self.span = [by, at, "allowed"], limit, seconds * 1_000_000
+
+    def init(self, handle) -> None:
+        self.handle, self.times = handle, handle.getListState("times", "at bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        stamps = pd.concat([b[self.names[1]] for b in rows]).sort_values(ignore_index=True)
+        held, ok = sorted(t for (t,) in self.times.get()) if self.times.exists() else [], []
+        for t in stamps.astype("datetime64[us]").astype("int64").tolist():
+            allowed = bisect_right(held, t) - bisect_right(held, t - self.span) < self.limit
+            if allowed:
+                insort(held, t)
+            ok.append(allowed)
+        # Late requests are no older than the watermark, so what it has left behind by the span counts for none.
+        held = held[bisect_right(held, timerValues.getCurrentWatermarkInMs() * 1000 - self.span) :]
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if held:
+            self.times.put([(t,) for t in held])
+            self.handle.registerTimer((held[-1] + self.span) // 1000 + 1)
+        else:
+            self.times.clear()
+        yield pd.DataFrame({self.names[0]: [key[0]] * len(ok), self.names[1]: stamps, self.names[2]: ok})
 
-    kind = requests.schema[by].dataType.simpleString()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.times.clear()
+        yield pd.DataFrame(columns=self.names)
+
+    def close(self) -> None:
+        pass
+
+
+#: The state store that timers and lists need; a session that streams `limited_stream` is to name it.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times = list(state.get[0]) if state.exists else []
-        rows = pd.concat(list(batches))
-        out = []
-        for t in sorted(rows[at]):
-            now = int(pd.Timestamp(t).timestamp() * 1_000_000)
-            times = [x for x in times if x > now - seconds * 1_000_000]
-            ok = len(times) < limit
-            if ok:
-                times.append(now)
-            out.append((key[0], t, ok))
-        state.update((times,))
-        yield pd.DataFrame(out, columns=[by, at, "allowed"])
-
-    return requests.select(by, at).groupBy(by).applyInPandasWithState(step, f"{by} {kind}, {at} timestamp, allowed boolean", "times array<long>", "append", GroupStateTimeout.NoTimeout)
+
+def limited_stream(requests: DataFrame, by: str, at: str, limit: int, seconds: int = 60, late: str = "10 minutes") -> DataFrame:
+    """Of a request stream key, time and `allowed`: whether fewer than `limit` allowed requests of its key lie in the seconds up
+    to it. Requests of a batch are decided at once, in order of time; those older than the watermark are dropped.
+
+    A key's state is its allowed requests of the last seconds (and of as long as the watermark lags); a timer drops it when
+    the watermark has passed them. The session's state store is set to the one that has timers, for as long as it lives.
+    """
+    requests.sparkSession.conf.set(*STATE_STORE)
+    kind = requests.schema[by].dataType.simpleString()
+    rows = requests.select(by, at).withWatermark(at, late).groupBy(by)
+    return rows.transformWithStateInPandas(_Limit(by, at, limit, seconds), f"{by} {kind}, {at} timestamp, allowed boolean", "Append", "EventTime")
 
 
 def answer_cache(requests: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:

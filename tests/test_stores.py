@@ -149,3 +149,23 @@ def test_places(spark):
     assert [x.i for x in fanin.sliced(df, 5, 100, ["k", "i"]).orderBy("k", "i").collect()] == [i for i, n in sorted(got.items(), key=lambda x: x[1])[100:105]]
     assert fanin.numbered(df.limit(0), "i").collect() == [] and fanin.sliced(df, 5, 1000, "i").collect() == []
     assert fanin.from_place(df, 498, "i").count() == 2
+
+
+def test_limited_stream_forgets_idle_keys(spark, tmp_path):
+    """Decisions go on over batches, and the state of a key goes when the watermark has passed its requests."""
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    src = tmp_path / "s"
+    batches = [[("a", at(0)), ("a", at(1)), ("b", at(2))], [("a", at(30)), ("a", at(61))], [("c", at(10_000))], [("c", at(20_000))], [("c", at(30_000))]]
+
+    def step(n):
+        spark.createDataFrame(batches[n], "k string, t timestamp").coalesce(1).write.mode("append").parquet(str(src))
+        stream = I.limited_stream(spark.readStream.schema("k string, t timestamp").parquet(str(src)), "k", "t", 2, 60, "5 seconds")
+        q = stream.writeStream.format("parquet").option("path", str(tmp_path / "rows")).option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    for n in range(len(batches)):
+        step(n)
+    got = sorted((r.k, r.t, r.allowed) for r in spark.read.parquet(str(tmp_path / "rows")).collect())
+    assert [(k, ok) for k, _, ok in got] == [("a", True), ("a", True), ("a", False), ("a", True), ("b", True), ("c", True), ("c", True), ("c", True)]
+    held = spark.read.format("statestore").option("stateVarName", "times").option("flattenCollectionTypes", "true").load(str(tmp_path / "progress"))
+    assert {r.key[0] if hasattr(r.key, "__getitem__") else r.key for r in held.select("key").distinct().collect()} <= {"c"}
