@@ -196,10 +196,13 @@ def _corrections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         keys.append(np.stack([of, g[x], g[y]]))
         if not keys:
             continue
-        each, at = np.unique(np.concatenate(keys, axis=1), axis=1, return_inverse=True)
-        total = np.zeros(each.shape[1], np.int64)
-        np.add.at(total, at.ravel(), np.concatenate(values))
-        yield pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(each[0])), pa.array(each[1].astype(np.int32)), pa.array(each[2].astype(np.int32)), pa.array(total)], ["lang", "g", "h", "value"])
+        of, x, y = np.concatenate(keys, axis=1)
+        known = np.unique(np.concatenate([x, y]))
+        pair = (of * len(known) + np.searchsorted(known, x)) * len(known) + np.searchsorted(known, y)
+        order = np.argsort(pair, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(pair[order]) != 0]))
+        total, at = np.add.reduceat(np.concatenate(values)[order], first), order[first]
+        yield pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(of[at])), pa.array(x[at].astype(np.int32)), pa.array(y[at].astype(np.int32)), pa.array(total)], ["lang", "g", "h", "value"])
     release()
 
 
