@@ -163,12 +163,13 @@ def save_payloads(batch: DataFrame, target: Target, sources: str | None, now, to
     return save(parsed(batch, target.vertical, sources), target, now, token, failed)
 
 
-def _run_id(marks: Checkpoints, vertical: str, source: str, fresh: bool) -> str:
+def _run_id(target: Target, source: str, fresh: bool) -> str:
     """The id under which a run commits its batches: a new one for a fresh run, that of the run that is gone on with else."""
-    row = None if fresh else marks.get(vertical, f"run:{source}")
+    runs = Checkpoints(target.sink.spark, f"{target.sink.folder}/runs")
+    row = None if fresh else runs.get(target.vertical, source)
     run = row["cursor"] if row is not None else uuid.uuid4().hex
     if row is None:
-        marks.save(vertical, f"run:{source}", cursor=run)
+        runs.save(target.vertical, source, cursor=run)
     return run
 
 
@@ -232,7 +233,7 @@ def ingest(
             deleted(spark, [progress])
         stream = payload_stream(spark, where, batch_files)
         total, row = _resumed(marks, vertical, source, resume)
-        run = _run_id(marks, vertical, source, row is None)
+        run = _run_id(target, source, row is None)
         done = int(row["cursor"]) if row and (row["cursor"] or "").lstrip("-").isdigit() else -1
 
         def take(df: DataFrame, batch: int) -> None:
@@ -262,7 +263,7 @@ def _limited(spark, where, target, sources, at, dry_run, on_batch, limit, offset
     vertical, name_of = target.vertical, sources or "all"
     names = list(enabled(vertical, sources))
     total, row = (Counts(), None) if dry_run else _resumed(marks, vertical, name_of, resume)
-    run = None if dry_run else _run_id(marks, vertical, name_of, row is None)
+    run = None if dry_run else _run_id(target, name_of, row is None)
     held = {n: None if dry_run or row is None else marks.get(vertical, n) for n in names}
     start = {n: int(c["cursor"]) if c is not None else offset for n, c in held.items()}
     wanted = (1 << 31) - 1 if limit is None else limit - total.processed
