@@ -312,6 +312,24 @@ def find_by_name(entities: DataFrame, name: str) -> DataFrame:
     return found.filter((F.col("canonical_name") == name) | (F.col("_norm") == comparable(name))).drop("_norm")
 
 
+def find_by_names(names: DataFrame, entities: DataFrame, name: str) -> DataFrame:
+    """Rows of names with canonical_id, once for each entity that has the row's name or the same comparable one; null if none has.
+
+    Equal names have equal comparable forms, so this is one equi join on those. A name of which nothing is comparable (signs
+    alone) is sought as it is, so that such names don't all meet. Null names and null entity names find nothing.
+    """
+    key, taken = "_find_key", {"canonical_id", "_find_key", "_find_norm"} & set(names.columns)
+    if taken:
+        raise ValueError(f"columns that are set here: {sorted(taken)}")
+
+    def keyed(rows: DataFrame, column: Column) -> DataFrame:
+        keys = with_comparable(rows, column, "_find_norm")
+        return keys.withColumn(key, F.when(F.col("_find_norm") != "", F.col("_find_norm")).otherwise(F.concat(F.lit("\n"), column))).drop("_find_norm")
+
+    held = keyed(staged(entities.select("canonical_id", "canonical_name")), F.col("canonical_name")).select(key, "canonical_id").distinct()
+    return keyed(staged(names), F.col(name)).join(held, key, "left").drop(key)
+
+
 def with_seeds(entities: DataFrame | None, spark: SparkSession) -> DataFrame:
     """Entities, and the seeds that they lack."""
     seed = seeds(spark)

@@ -551,16 +551,20 @@ _SPELLINGS = [
 ]
 
 
-def _spelling_sql(name: str, norm: str, entity: int, method: str, sure: float) -> str:
+def _spelling_sql(k: int, name: str, norm: str, entity: int, method: str, sure: float) -> str:
     canonical_id, canonical_name = resolve.SEED[entity - 1][:2] if entity else (f"unresolved_{norm}", name)
-    return f"('{name}', '{norm}', '{canonical_name}', '{canonical_id}', '{method}', {sure}::double)"
+    return f"({k}, '{name}', '{norm}', '{canonical_name}', '{canonical_id}', '{method}', {sure}::double)"
 
 
-@query(f"select * from (values {', '.join(_spelling_sql(*x) for x in _SPELLINGS)}) t(raw_name, normalized_name, canonical_name, canonical_id, match_method, confidence)")
+@query(f"""select c_custkey, coalesce(raw_name, 'Firm ' || c_custkey) as raw_name, coalesce(normalized_name, 'firm ' || c_custkey) as normalized_name, coalesce(canonical_name, 'Firm ' || c_custkey) as canonical_name,
+coalesce(canonical_id, 'unresolved_firm ' || c_custkey) as canonical_id, coalesce(match_method, 'unresolved') as match_method, coalesce(confidence, 0.0)::double as confidence
+from customer left join (values {', '.join(_spelling_sql(k, *x) for k, x in enumerate(_SPELLINGS))}) t(k, raw_name, normalized_name, canonical_name, canonical_id, match_method, confidence) on k = c_custkey % 25""")
 def resolve_seeds(read, spark):
-    """Twenty spellings of the four seed entities. It reads no table: the names and the results to match are fixed values."""
-    names = spark.createDataFrame([(x[0], None) for x in _SPELLINGS], "raw_name string, source_url string")
-    return resolve.resolve(names, resolve.seeds(spark)).drop("source_url")
+    """Customers that write the seed entities in twenty ways, and a fifth that name firms of their own, against the seeds."""
+    spelled = F.get(F.array(*[F.lit(x[0]) for x in _SPELLINGS]), (F.col("c_custkey") % 25).cast("int"))
+    rows = read("customer").select("c_custkey", F.coalesce(spelled, F.concat(F.lit("Firm "), "c_custkey")).alias("raw_name"))
+    found = resolve.resolve(rows.select("raw_name", F.lit(None).cast("string").alias("source_url")), resolve.with_seeds(None, spark))
+    return rows.join(found.drop("source_url"), "raw_name")
 
 
 # ---- quality ----------------------------------------------------------------------------------------------------------

@@ -5,16 +5,16 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import config
 from tessera.functions import classify, dates, text
-from tessera.operators import export, resolve, state
+from tessera.operators import export, fanin, resolve, state
 from tessera.plans import services
 from tessera.plans.catalog import _ITEMS, _NORM_URL, _TITLE, _any_sql, _canned, query
 from tessera.providers import chain, http, models
-from tessera.sources import crawl, feeds, fetching, landed
+from tessera.sources import crawl, feeds, fetching, landed, pages
 from tessera.streaming import ingest as streaming
 
 _NOW = "2024-01-31 00:00:00"
@@ -102,36 +102,42 @@ def pipeline_run(read, spark):
 # ---- fetching ---------------------------------------------------------------------------------------------------------
 
 
-def _searched(address: str, headers: dict, wait: float) -> tuple:
-    """Canned answers of the searches: pages of 50 up to one that is short or empty, by what is asked; else not found."""
-    from urllib.parse import parse_qs, urlsplit
+def _from_folder(base: str, queries: list[str]):
+    """A transport by which searches are answered from landed pages: a folder for each search and page; no folder, not found."""
 
-    q = {k: v[0] for k, v in parse_qs(urlsplit(address).query).items()}
-    page = int(q.get("page", 1)) if "start" not in q else int(q["start"]) // 50 + 1
-    if "search/repositories" in address:
-        n = {"topic:ai-tool": [50, 50, 20], "topic:llm": [50] * 10}.get(q["q"].split()[0], [])
-        items = [{"name": f"r{page}-{i}", "owner": {"login": "o"}, "html_url": f"https://github.com/o/r{page}-{i}"} for i in range(n[page - 1] if page <= len(n) else 0)]
-        return 200, json.dumps({"items": items}), "application/json", None
-    if "search/users" in address:
-        return (200, json.dumps({"items": [{"login": f"u{page}-{i}"} for i in range(50)]}), "application/json", None) if page < 3 else (422, None, None, None)
-    if "start" in q:
-        entries = "".join(f"<entry><id>http://arxiv.org/abs/{page}.{i}</id><title>t</title></entry>" for i in range(50 if page < 3 else 7 if page == 3 else 0))
-        return 200, f'<feed xmlns="http://www.w3.org/2005/Atom">{entries}</feed>', "application/xml", None
-    return 404, None, None, None
+    def answer(address: str, headers: dict, wait: float) -> tuple:
+        from urllib.parse import parse_qs, urlsplit
 
+        asked = parse_qs(urlsplit(address).query)
+        return pages.folder_transport(f"{base}/segment={queries.index(asked['q'][0])}/page={asked['page'][0]}", headers, wait)
 
-@query("""select * from (values ('products', 1, 0, 3, 2, 100, 0, 'completed'), ('products', 2, 2, 3, 3, 120, 0, 'completed'), ('startups', 1, 0, 3, 2, 100, 0, 'completed'), ('startups', 2, 10, 1, 18, 900, 10, 'exhausted'),
-('research', 1, 0, 4, 3, 107, 0, 'completed'), ('research', 2, 1, 1, 0, 0, 0, 'exhausted')) t(vertical, run, segment, page, pages, rows, failed, status)""")
+    return answer
+
+
+_FETCHED, _FIRST_RUN = 50, 60
+@query(f"""with c as (select c_custkey, c_custkey % 10 as segment, (row_number() over (partition by c_custkey % 10 order by c_custkey) - 1) // {_FETCHED} + 1 as page from customer),
+p as (select segment, page, count(*) as n from c where page <= 10 and not (segment = 2 and page >= 2) group by 1, 2), r as (select segment, page, sum(n) over (order by segment, page) - n as before from p)
+select c_custkey, segment::integer as segment, page::integer as page, case when before < {_FIRST_RUN} then 1 else 2 end::integer as run from c join r using (segment, page)""")
 def fetch_and_land(read, spark):
-    """Two runs of each paged source over canned answers: where the second goes on, through segments that end early. No table
-    is read: what is asked and answered are fixed values."""
-    folder, policy, out = state.scratch(spark), crawl.CrawlPolicy(backoff_base=0.0, jitter=False), []
-    marks = state.Checkpoints(spark, f"{folder}/checkpoints")
-    for vertical, limits in (("products", (60, 110)), ("startups", (60, 10**6)), ("research", (107, 50))):
-        for n, limit in enumerate(limits, 1):
-            x = fetching.land(spark, vertical, f"{folder}/landed", limit, marks=marks, policy=policy, transport=_searched)[0]
-            out.append((vertical, n, x.segment, x.page, x.pages, x.rows, x.failed, x.status))
-    return spark.createDataFrame(out, "vertical string, run int, segment int, page int, pages int, rows int, failed int, status string")
+    """Customers as organisations that ten searches find, fetched and landed by two runs: the first stops at its limit, the second
+    goes on at that segment and page to the end. A search gives ten pages at most; of the third all but the first have got lost."""
+    folder, policy = state.scratch(spark), crawl.CrawlPolicy(backoff_base=0.0, jitter=False, retries=1)
+    rows = read("customer").select(F.col("c_custkey").alias("k"), (F.col("c_custkey") % 10).alias("segment"))
+    placed = fanin.numbered(rows, ["segment", "k"], "place")
+    first = placed.groupBy("segment").agg(F.min("place").alias("first"))
+    paged = placed.join(first, "segment").withColumn("page", F.floor((F.col("place") - F.col("first")) / _FETCHED) + 1)
+    item = F.struct(F.concat(F.lit("Org "), "k").alias("name"), F.concat(F.lit("https://github.com/org"), "k").alias("html_url"))
+    listed = paged.groupBy("segment", "page").agg(F.to_json(F.struct(F.sort_array(F.collect_list(item)).alias("items"))).alias("value"))
+    kept = listed.filter("page <= 11 and not (segment = 2 and page >= 2)")
+    kept.repartition("segment", "page").write.partitionBy("segment", "page").text(f"{folder}/site")
+    base = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    transport, marks = _from_folder(f"{base}/site", fetching.ORGANISATIONS), state.Checkpoints(spark, f"{folder}/checkpoints")
+    for limit in (_FIRST_RUN, 10**9):
+        fetching.land(spark, "startups", f"{folder}/landed", limit, marks=marks, policy=policy, transport=transport, wave=10)
+    files = spark.read.text(f"{folder}/landed/startups/github", wholetext=True).select(F.concat_ws("/", "run", "page").alias("path"), F.col("value").alias("payload"))
+    found = feeds.startups(files).select(F.regexp_extract("source_url", r"(\d+)$", 1).cast("long").alias("c_custkey"), F.split("ord.path", "[/-]").alias("at"))
+    runs = files.select(F.split("path", "/")[0].alias("ns")).distinct().select("ns", F.dense_rank().over(Window.orderBy(F.col("ns").cast("long"))).alias("run"))  # two rows
+    return found.join(F.broadcast(runs), F.col("at")[0] == F.col("ns")).select("c_custkey", F.col("at")[1].cast("int").alias("segment"), F.col("at")[2].cast("int").alias("page"), "run")
 
 
 _ASKED = f"n as (select page_id, url, {_NORM_URL} as f from pages), o as (select f, arg_min(url, page_id) as asked from n group by 1), x as (select page_id, asked, coalesce(try_cast(right(regexp_replace(split_part(asked, '?', 1), '[^0-9]', '', 'g'), 1) as integer), 0) % 5 as k from n join o using (f))"
@@ -353,6 +359,14 @@ def find_by_name(read, spark):
     return resolve.find_by_name(_makers(read, "one"), "MAKER (3) one, Inc.").select("canonical_id")
 
 
+@query("select s_suppkey, kind, case when s_suppkey % 3 <> 0 then 'ent_' || s_suppkey || '_' || kind end as canonical_id from supplier, (values ('one'), ('two')) t(kind) where s_suppkey % 3 <> 0 union all select s_suppkey, kind, null from supplier, (values ('one'), ('two')) t(kind) where s_suppkey % 3 = 0")
+def find_by_names(read, spark):
+    """Two names a supplier in another spelling, sought among all entities at once; those of every third are nobody's."""
+    name = F.concat(F.when(F.col("s_suppkey") % 3 == 0, "Nobody ").otherwise("MAKER ("), "s_suppkey", F.lit(") "), "kind", F.lit(", Inc."))
+    names = read("supplier").select("s_suppkey", F.explode(F.array(F.lit("one"), F.lit("two"))).alias("kind")).withColumn("asked", name)
+    return resolve.find_by_names(names, _makers(read, "one", "two"), "asked").select("s_suppkey", "kind", "canonical_id")
+
+
 @query("select case when s_suppkey % 3 = 0 then 'ent_' || s_suppkey || '_one' else 'unresolved_firm ' || s_suppkey end as canonical_id, array_to_string(case when s_suppkey % 3 = 0 then ['Maker  ' || s_suppkey || ' one'] else [] end, ',') as aliases from supplier where s_suppkey % 3 = 0")
 def aliases_of_mappings(read, spark):
     """What is resolved to an entity becomes an alias of it."""
@@ -406,12 +420,19 @@ def export_results(read, spark):
 
 @query("select count(*) as records, 0::bigint as failed from supplier")
 def benchmark_rows(read, spark):
-    got = services.benchmark(spark, state.scratch(spark), read("supplier").count())
+    """Every supplier is written, read back and held against what was written."""
+    got = services.benchmark(spark, state.scratch(spark), rows=read("supplier"))
     return spark.createDataFrame([(got["records"], got["failed"])], "records long, failed long")
 
 
-@query("select * from (values ('spark', 'ok'), ('data', 'ok'), ('openrouter', 'not_configured'), ('gemini', 'configured'), ('groq', 'not_configured'), ('deepseek', 'not_configured'), ('github', 'configured'), ('sheets', 'not_configured')) t(part, status)")
+@query("""select part, status, null::bigint as rows from (values ('spark', 'ok'), ('data', 'failed'), ('openrouter', 'not_configured'), ('gemini', 'configured'), ('groq', 'not_configured'), ('deepseek', 'not_configured'), ('github', 'configured'), ('sheets', 'not_configured'), ('jobs', 'failed'), ('research', 'missing'), ('mappings', 'missing')) t(part, status)
+union all select 'startups', 'ok', count(*) from supplier union all select 'products', 'ok', count(*) from part union all select 'news', 'ok', count(*) from pages""")
 def health_report(read, spark):
-    """Health by settings: placeholders are no keys. No table is read."""
-    env = {"DATA_FOLDER": state.scratch(spark), "GEMINI_API_KEY": "k", "GROQ_API_KEY": " your_api_key ", "GITHUB_TOKEN": "t", "CRAWLER_TIMEOUT": "9"}
-    return spark.createDataFrame(list(services.health(spark, config.read(env)).items()), "part string, status string")
+    """Health by settings, where placeholders are no keys, and of the stored tables: three are whole, one holds what is no Parquet."""
+    folder = state.scratch(spark)
+    for vertical, table in (("startups", "supplier"), ("products", "part"), ("news", "pages")):
+        read(table).write.parquet(f"{folder}/{vertical}")
+    read("nation").select(F.col("n_name").alias("value")).write.text(f"{folder}/jobs")
+    env = {"DATA_FOLDER": folder, "GEMINI_API_KEY": "k", "GROQ_API_KEY": " your_api_key ", "GITHUB_TOKEN": "t", "CRAWLER_TIMEOUT": "9"}
+    parts = [(k, v.split(":")[0], None) for k, v in services.health(spark, config.read(env)).items()]
+    return spark.createDataFrame(parts + [(x.table, x.status, x.rows) for x in services.stored_health(spark, folder)], "part string, status string, rows long")

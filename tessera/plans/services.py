@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import resource
 import time
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,32 +90,58 @@ def chain(settings: Settings) -> Chain:
     return Chain(chained(made, f"{settings.llm_primary_provider},{settings.llm_fallback_providers}"), settings.llm_max_retries, settings.llm_max_input_chars)
 
 
+class Stored(NamedTuple):
+    """A stored table: ok, empty, missing or failed, with its rows or what went wrong."""
+
+    table: str
+    status: str
+    rows: int | None = None
+    error: str = ""
+
+
+def stored_health(spark: SparkSession, folder: str) -> list[Stored]:
+    """Whether each table that ingest and resolution keep can be read. Every row is: a footer alone would tell the count."""
+    out = []
+    for name in [*VERTICALS, "mappings"]:
+        try:
+            rows = VersionedTable(spark, f"{folder}/{name}").read() if name == "mappings" else read_or_none(spark, f"{folder}/{name}")
+            n = None if rows is None else rows.select(F.xxhash64(*rows.columns).alias("h")).agg(F.count("h").alias("n")).first()["n"]
+            out.append(Stored(name, "missing" if n is None else "ok" if n else "empty", n))
+        except Exception as e:  # noqa: BLE001 - each table stands alone
+            out.append(Stored(name, "failed", None, str(e)[:100]))
+    return out
+
+
 def health(spark: SparkSession, settings: Settings) -> dict[str, str]:
     """ok or failed for the session and the data folder; configured or not for what is optional."""
     out = {"spark": "ok" if spark.range(1).count() == 1 else "failed"}
-    try:
-        tables(spark, settings.data_folder)
-        out["data"] = "ok"
-    except Exception as e:  # noqa: BLE001
-        out["data"] = f"failed: {str(e)[:100]}"
+    bad = [x for x in stored_health(spark, settings.data_folder) if x.status == "failed"]
+    out["data"] = f"failed: {', '.join(f'{x.table}: {x.error}' for x in bad)}" if bad else "ok"
     keys = {n: getattr(settings, f"{n}_api_key") for n in ("openrouter", "gemini", "groq", "deepseek")} | {"github": settings.github_token}
     return out | {k: "configured" if configured_key(v) else "not_configured" for k, v in keys.items()} | {"sheets": "configured" if settings.export_folder else "not_configured"}
 
 
-def benchmark(spark: SparkSession, folder: str, records: int = 100) -> dict[str, float]:
-    """Writes synthetic rows, reads them back and deletes them: rows a second, milliseconds a row, and by how many MB the
-    driver's Python and its JVM's heap grew."""
+def benchmark(spark: SparkSession, folder: str, records: int = 100, rows: DataFrame | None = None) -> dict[str, float]:
+    """Writes rows (synthetic ones if none are given), reads them back and deletes them: rows a second, milliseconds a row, and
+    by how many MB the driver's Python and its JVM's heap grew. Rows that do not come back as they went have failed; repeated
+    ones must come back as often."""
     path = f"{folder.rstrip('/')}/benchmark"
     runtime = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
     memory = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024 + (runtime.totalMemory() - runtime.freeMemory()) / 2**20
+    if rows is None:
+        rows = spark.range(records).select("id", F.concat(F.lit("record "), "id").alias("text"), F.sha2(F.col("id").cast("string"), 256).alias("hash"))
+    digest = F.xxhash64(*rows.columns).alias("h")
     before, began = memory(), time.monotonic()
     try:
-        spark.range(records).select("id", F.concat(F.lit("record "), "id").alias("text"), F.sha2(F.col("id").cast("string"), 256).alias("hash")).write.mode("overwrite").parquet(path)
-        n = spark.read.parquet(path).count()
+        rows.write.mode("overwrite").parquet(path)
+        back = spark.read.parquet(path).select(digest)
+        n = back.agg(F.count("h").alias("n")).first()["n"]
+        s = max(time.monotonic() - began, 1e-6)
+        went = rows.select(digest, F.lit(1).alias("n")).union(back.select("h", F.lit(-1).alias("n"))).groupBy("h").agg(F.sum("n").alias("n"))
+        failed = went.agg(F.coalesce(F.sum(F.greatest("n", F.lit(0))), F.lit(0)).alias("n")).first()["n"]
     finally:
         deleted(spark, [path])
-    s = max(time.monotonic() - began, 1e-6)
-    return {"records": n, "failed": records - n, "seconds": s, "records_a_second": n / s, "ms_a_record": 1000 * s / max(1, n), "memory_mb": memory() - before}
+    return {"records": n, "failed": failed, "seconds": s, "records_a_second": n / s, "ms_a_record": 1000 * s / max(1, n), "memory_mb": memory() - before}
 
 
 def fetch(spark: SparkSession, settings: Settings, vertical: str, limit: int = 50, sources: str | None = None, resume: bool = True, offset: int = 0, workers: int | None = None, transport=None) -> list[Landed]:

@@ -475,3 +475,19 @@ def test_policy():
     assert crawl.fetch_one("http://x.org/", crawl.CrawlPolicy(allowed_domains=("a.com",)), None)["error"] == "domain not allowed"
     with pytest.raises(ValueError):
         crawl.CrawlPolicy(concurrency=0)
+
+
+def test_find_by_names(spark):
+    from tessera.functions.text import comparable
+
+    entities = spark.createDataFrame([("e1", "Acme, Inc."), ("e2", "ACME"), ("e3", "Ünal GmbH"), ("e4", "???"), ("e5", None), ("e1", "Acme, Inc.")], "canonical_id string, canonical_name string")
+    asked = ["acme", "Acme Inc", "ünal", "!!!", "???", None, "", "nobody", "acme"]
+    names = spark.createDataFrame([(i, n) for i, n in enumerate(asked)], "row int, name string")
+    got = sorted((r.row, r.canonical_id or "") for r in resolve.find_by_names(names, entities, "name").collect())
+    want = []
+    for i, n in enumerate(asked):
+        hits = {r.canonical_id for r in entities.collect() if n is not None and r.canonical_name is not None and (r.canonical_name == n or comparable(n) == comparable(r.canonical_name) != "")}
+        want += [(i, h) for h in hits or {""}]
+    assert got == sorted(want) and (0, "e1") in got and (0, "e2") in got and (4, "e4") in got and (3, "") in got
+    assert resolve.find_by_names(names.limit(0), entities, "name").count() == 0
+    assert resolve.find_by_names(names, entities.limit(0), "name").filter("canonical_id is not null").count() == 0

@@ -360,3 +360,24 @@ def test_commands(spark, tmp_path):
 def test_settings():
     s = config.read({"CRAWLER_TIMEOUT": "9", "SHEETS_ENABLED": "Yes", "LLM_BACKOFF_BASE": "1.5"})
     assert (s.crawler_timeout, s.sheets_enabled, s.llm_backoff_base, s.crawler_concurrency) == (9, True, 1.5, 10)
+
+
+def test_health_of_stored_tables(spark, tmp_path):
+    out = str(tmp_path / "out")
+    spark.range(3).write.parquet(f"{out}/startups")
+    spark.range(0).write.parquet(f"{out}/products")
+    (tmp_path / "out" / "news").mkdir()
+    (tmp_path / "out" / "news" / "part-0.parquet").write_text("no Parquet")
+    got = {x.table: x for x in services.stored_health(spark, out)}
+    assert (got["startups"].status, got["startups"].rows) == ("ok", 3)
+    assert (got["products"].status, got["products"].rows) == ("empty", 0)
+    assert got["jobs"].status == got["mappings"].status == "missing" and got["jobs"].rows is None
+    assert got["news"].status == "failed" and got["news"].error
+
+
+def test_benchmark_tells_what_did_not_come_back(spark, tmp_path):
+    rows = spark.createDataFrame([(1, None), (1, None), (2, "x")], "id int, text string")
+    got = services.benchmark(spark, str(tmp_path), rows=rows)
+    assert (got["records"], got["failed"]) == (3, 0) and not (tmp_path / "benchmark").exists()
+    # Rows that are another thing each time they are made don't come back as they went.
+    assert services.benchmark(spark, str(tmp_path), rows=rows.withColumn("at", F.expr("java_method('java.util.UUID', 'randomUUID')")))["failed"] == 3
