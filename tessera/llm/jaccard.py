@@ -9,8 +9,8 @@
 4. What is left is verified on the shingle sets themselves. Only counts of links and edges of a forest leave a task, never
    pairs; components of the forest are the classes.
 
-A bucket of more than CHUNK texts is cut into chunks by hash, and each pair of chunks is a task's group of its own: all
-pairs are compared, none is emitted, and no bucket is held in one place. Comparing many different texts with one another
+A bucket of more than CHUNK texts, or of CHUNK_BYTES of shingles, is cut into chunks by hash, and each pair of chunks is a
+task's group of its own: all pairs are compared, none is emitted, and no bucket is held in one place. Comparing many different texts with one another
 grows with their number squared, as the links themselves do; copies of one text cost nothing.
 """
 
@@ -34,7 +34,7 @@ THRESHOLD, WORDS = 0.8, 5
 BANDS, ROWS = 20, 3
 N_HASHES = BANDS * ROWS
 STEP, TOLERANCE = 12, 1e-6
-CHUNK = 1024
+CHUNK, CHUNK_BYTES = 1024, 16 << 20
 
 
 @lru_cache(maxsize=1)
@@ -159,6 +159,19 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
+def members(texts: DataFrame) -> DataFrame:
+    """band, x, y, at, text_id, own for texts (text_id, size, sig): a row for every pair of chunks x <= y that a text is compared
+    in, of the buckets that hold more than one; own is its chunk. A pair of chunks is what one task holds at a time."""
+    bands = F.array(*[F.struct(F.xxhash64(F.lit(j), F.substring("sig", 4 * ROWS * j + 1, 4 * ROWS)).alias("band"), F.lit(j).alias("at")) for j in range(BANDS)])
+    placed = texts.filter("sig is not null").select("text_id", "size", F.explode(bands).alias("b")).select("b.band", "b.at", "text_id", "size")
+    crowded = placed.groupBy("band", "at").agg(F.count("*").alias("m"), F.sum("size").alias("grams")).filter("m > 1")
+    # Texts of a bucket at most: with two very long ones, a chunk each.
+    chunks = F.ceil(F.least(F.col("m"), F.greatest(F.col("m") / CHUNK, 8 * F.col("grams") / CHUNK_BYTES))).cast("int")
+    member = placed.join(crowded, ["band", "at"]).withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("text_id"), F.col("chunks")).cast("int"))
+    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return member.select("band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "at", "text_id", "own")
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
     """key, class_id, text_id, n_links, digest, class_digest for each row of docs.
 
@@ -181,13 +194,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
         texts = stored(sketched.groupBy("text_id").agg(F.first("size").alias("size"), F.first("sig").alias("sig")))
         names = stored(rows.groupBy("text_id").agg(F.min("key").alias("first_key")))
 
-        bands = F.array(*[F.struct(F.xxhash64(F.lit(j), F.substring("sig", 4 * ROWS * j + 1, 4 * ROWS)).alias("band"), F.lit(j).alias("at")) for j in range(BANDS)])
-        placed = texts.filter("sig is not null").select("text_id", F.explode(bands).alias("b")).select("b.band", "b.at", "text_id")
-        crowded = placed.groupBy("band", "at").agg(F.count("*").alias("m")).filter("m > 1")
-        chunks = F.ceil(F.col("m") / CHUNK).cast("int")
-        member = placed.join(crowded, ["band", "at"]).withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("text_id"), F.col("chunks")).cast("int"))
-        member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        member = member.select("band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "at", "text_id", "own")
+        member = members(texts)
         columns = ["band", "x", "y", "at", "text_id", "sig", "size", "own", F.col("at").alias("at_band")]
         kinds = "band long, x int, y int, at int, text_id binary, sig binary, size int, own int, at_band int"
         need_schema = pa.schema([("band", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("at", pa.int32()), ("text_id", pa.binary()), ("sig", pa.binary()), ("size", pa.int32()), ("own", pa.int32()), ("at_band", pa.int32())])

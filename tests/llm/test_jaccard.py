@@ -59,9 +59,10 @@ def corpus():
     return rows + [(900, None), (901, ""), (902, "  "), (3, rows[3][1]), (None, rows[5][1]), (None, "only null keys here now")]
 
 
-@pytest.mark.parametrize("chunk", [2, 1024])
-def test_against_brute_force(spark, monkeypatch, chunk):
+@pytest.mark.parametrize(("chunk", "size"), [(2, 16 << 20), (1024, 16 << 20), (1024, 500)])
+def test_against_brute_force(spark, monkeypatch, chunk, size):
     monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    monkeypatch.setattr(jaccard, "CHUNK_BYTES", size)
     rows = corpus()
     docs = spark.createDataFrame([(k, t, b"x", 1) for k, t in rows], "doc_id long, text string, sig binary, band int").repartition(4)
     got = sorted(repr((r.doc_id, r.class_id, r.text_id, r.n_links)) for r in jaccard.join(docs).collect())
@@ -113,6 +114,22 @@ def test_classes_told_apart_without_keys(spark):
     assert all(k in v for k, v in classes.items())
 
 
+@pytest.mark.parametrize(("size", "chunks"), [(16 << 20, 1), (8 * 4000, 10), (8, 20)])
+def test_groups_are_bounded_by_bytes(spark, monkeypatch, size, chunks):
+    """Long texts of one bucket are dealt to chunks, a text each at most; every two meet once."""
+    monkeypatch.setattr(jaccard, "CHUNK_BYTES", size)
+    sig = bytes(4 * jaccard.N_HASHES)
+    texts = spark.createDataFrame([(i.to_bytes(16, "big"), 2000, sig) for i in range(20)], "text_id binary, size int, sig binary")
+    rows = [r for r in jaccard.members(texts).collect() if r["at"] == 0]
+    groups = {}
+    for r in rows:
+        groups.setdefault((r.x, r.y), {})[bytes(r.text_id)] = r.own
+    assert max(r.y for r in rows) < chunks and len({(r.text_id, r.x, r.y) for r in rows}) == len(rows) == 20 * chunks
+    assert chunks == 1 or max(map(len, groups.values())) < 20
+    met = [frozenset((a, b)) for (x, y), g in groups.items() for a in g for b in g if a < b and (x == y or g[a] != g[b])]
+    assert len(met) == len(set(met)) == 190
+
+
 def test_very_long_texts(spark):
     """Texts of a hundred thousand words are compared whole: one word in a hundred changed, or every third."""
     words = text(100_000)
