@@ -8,9 +8,13 @@ chooser, if there is one. `resolve` takes names against the snapshot, whatever t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
+from itertools import combinations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +26,10 @@ from tessera.operators.fanin import numbered
 from tessera.operators.state import added_to_set, staged, upserted
 
 FUZZY, DELTA = 0.80, 0.03
+#: Names are sought down to this similarity first: the best of a name that has one of NEAR + DELTA or more is told by that.
+NEAR = 0.92
+#: Choices of letters a name and length of a partner, at most, and fewest letters of a choice that says enough.
+MOST_KEYS, LEAST_LETTERS = 500, 6
 #: With so many entities or fewer, every name is compared with each.
 FEW = 10
 ENTITY = "canonical_id string, canonical_name string, entity_type string, aliases array<string>, source_urls array<string>"
@@ -84,34 +92,112 @@ def equi_stages(names: DataFrame, entities: DataFrame, learned: DataFrame | None
     return hit.select("raw_name", "m.canonical_id", "m.canonical_name", method.alias("match_method"), sure.alias("confidence"))
 
 
-def _search_keys(strings: DataFrame) -> DataFrame:
-    """s, own, other for distinct comparable names s: two names whose similarity can reach FUZZY share a key, `own` of one and
-    `other` of the other; keys are few a name and rare ones first, so that common parts of names do not pair all with all.
+def least_matched(a: int, b: int, least: float) -> int:
+    """Letters that must match for the ratio of names of a and b letters, rounded to two places, to be `least`."""
+    return max(1, math.ceil((least - 0.0051) * (a + b) / 2))
 
-    Similarity by blocks: at 0.79 of all T letters matched, what does not match parts the blocks, so two names share
-    0.185 T - 1 pairs of neighbouring letters at least, and T is 1.65 times the letters of either. Of n pairs in order of
-    rareness the first n - t + 1 then hold a common one (t: the least shared). Of three letters or less the first and last
-    letter are a key too. By words: of two names one of which has all words of the other, the rarest word of that one is in
-    both. Pairs of letters and words are numbered by how often they came in the name before.
+
+@lru_cache(maxsize=None)
+def shape(a: int, b: int, least: float) -> tuple[int, int, int] | None:
+    """How names of a and b letters are sought: (m, letters of the one that go, of the other); (0, 0, 0): by pairs of letters; None:
+    they can't score enough.
+
+    Of the letters that match the last m (or the first) are the same in both, in the same order: of a name that lacks i
+    letters at most they are m of its last m + i. m is as large as MOST_KEYS choices of them allow; where that leaves few
+    letters, as in long names, a choice says too little.
+    """
+    matched = least_matched(a, b, least)
+    i, j = a - matched, b - matched
+    if i < 0 or j < 0:
+        return None
+    m = matched
+    while m and math.comb(m + max(i, j), m) > MOST_KEYS:
+        m -= 1
+    return (m, i, j) if m >= min(matched, LEAST_LETTERS) else (0, 0, 0)
+
+
+@lru_cache(maxsize=256)
+def _choices(n: int, m: int) -> np.ndarray:
+    return np.array(list(combinations(range(n), m)), dtype=np.intp).reshape(-1, m)
+
+
+def _chosen(codes: np.ndarray, m: int, more: int, first: bool, tag: int) -> np.ndarray:
+    """One number for each choice of m of the last (or first) m + more letters of names of one length: a row a name."""
+    n = min(m + more, codes.shape[1])
+    part = codes[:, :n] if first else codes[:, codes.shape[1] - n :]
+    picked = _choices(n, m)
+    with np.errstate(over="ignore"):
+        h = np.full((len(codes), len(picked)), tag + 1, dtype=np.uint64)
+        for k in range(m):
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + part[:, picked[:, k]]
+        return (h ^ (h >> np.uint64(32))).view(np.int64)
+
+
+def _letter_keys(strings: DataFrame, least: float) -> DataFrame:
+    """s, own, other for strings (s, is_own, is_other) by the letters that match (see `shape`), by_pairs: it has a partner that is
+    sought by pairs of letters. Of every length the end is taken at which names differ more."""
+    n = F.length("s")
+    ends = lambda f: F.approx_count_distinct(f)
+    seen = strings.groupBy(n.alias("n")).agg(F.max("is_own").alias("own"), F.max("is_other").alias("other"), ends(F.substring("s", 1, LEAST_LETTERS)).alias("first"), ends(F.right("s", F.lit(LEAST_LETTERS))).alias("last"))
+    lengths = seen.collect()  # a row a length
+    owned, offered = [r["n"] for r in lengths if r["own"]], [r["n"] for r in lengths if r["other"]]
+    first = {r["n"]: r["first"] > r["last"] for r in lengths}
+
+    def keys(codes: np.ndarray, length: int, own: bool) -> tuple[np.ndarray, bool]:
+        found, pairs = [], False
+        for partner in offered if own else owned:
+            a, b = (length, partner) if own else (partner, length)
+            how = shape(a, b, least)
+            if how is None:
+                continue
+            if not how[0]:
+                pairs = True
+                continue
+            found.append(_chosen(codes, how[0], how[1] if own else how[2], first[a], (a << 20) + b))
+        return (np.concatenate(found, axis=1) if found else np.empty((len(codes), 0), dtype=np.int64)), pairs
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for length, same in batch.groupby(batch["s"].str.len()):
+                for at in range(0, len(same), 128):
+                    part = same.iloc[at : at + 128]
+                    codes = np.frombuffer("".join(part["s"]).encode("utf-32-le"), dtype=np.uint32).reshape(len(part), int(length)).astype(np.uint64)
+                    (own, p), (other, q) = keys(codes, int(length), True), keys(codes, int(length), False)
+                    pick = lambda rows, held: [np.unique(r) if h else r[:0] for r, h in zip(rows, held, strict=True)]
+                    yield pd.DataFrame({"s": part["s"].to_numpy(), "own": pick(own, part["is_own"]), "other": pick(other, part["is_other"]), "by_pairs": [(p and x) or (q and y) for x, y in zip(part["is_own"], part["is_other"], strict=True)]})
+
+    return strings.mapInPandas(run, "s string, own array<long>, other array<long>, by_pairs boolean")
+
+
+def _search_keys(strings: DataFrame, least: float = FUZZY) -> DataFrame:
+    """s, own, other for distinct comparable names (s, is_own, is_other): two names whose similarity can reach `least` share a key,
+    `own` of one and `other` of the other; keys are few a name, and what all names have in common is no key by itself.
+
+    By letters: `_letter_keys`. For long names, similarity by blocks: at 0.79 of all T letters matched, what does not match parts
+    the blocks, so two names share 0.185 T - 1 pairs of neighbouring letters at least, and T is 1.65 times the letters of either.
+    Of n pairs in order of rareness the first n - t + 1 then hold a common one (t: the least shared). By words: of two names one
+    of which has all words of the other, the rarest word of that one is in both. Pairs of letters and words are numbered by how
+    often they came in the name before.
     """
+    letter = staged(_letter_keys(strings, least))
+    pairs = letter.filter("by_pairs").select("s")
     numbered = lambda parts: F.transform(parts, lambda x, i: F.concat(x, F.lit("\x01"), F.size(F.filter(F.slice(parts, 1, i), lambda y: y == x)).cast("string")))
     n = F.length("s")
     letters = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(F.col("s"), i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
-    parts = strings.select("s", letters.alias("pairs"), F.array_distinct(F.split("s", " ")).alias("words"))
-    parts = parts.select("s", F.array(F.struct(F.lit("p").alias("kind"), numbered(F.col("pairs")).alias("parts")), F.struct(F.lit("w").alias("kind"), F.col("words").alias("parts"))).alias("both"))
-    each = parts.select("s", F.explode("both").alias("b")).select("s", "b.kind", F.explode("b.parts").alias("part"))
+    of_letters = pairs.select("s", F.lit("p").alias("kind"), F.explode(numbered(letters)).alias("part"))
+    of_words = strings.select("s", F.lit("w").alias("kind"), F.explode(F.array_distinct(F.split("s", " "))).alias("part"))
+    each = of_letters.unionByName(of_words)
     often = each.groupBy("kind", "part").agg(F.count("*").alias("n"))
     ranked = each.join(often, ["kind", "part"]).groupBy("s", "kind").agg(F.array_sort(F.collect_list(F.struct("n", "part"))).alias("parts"))
-    least = F.greatest(F.lit(1), F.ceil(0.3058 * F.length("s") - 1).cast("int"))
-    few = F.slice("parts", 1, F.greatest(F.lit(1), F.size("parts") - least + 1))
+    fewest = F.greatest(F.lit(1), F.ceil(0.3058 * F.length("s") - 1).cast("int"))
+    few = F.slice("parts", 1, F.greatest(F.lit(1), F.size("parts") - fewest + 1))
     every, rare = F.transform("parts", lambda x: x["part"]), F.transform(few, lambda x: x["part"])
-    tagged = lambda tag, xs: F.transform(xs, lambda x: F.concat(F.lit(tag), x))
+    tagged = lambda tag, xs: F.transform(xs, lambda x: F.xxhash64(F.concat(F.lit(tag), x)))
     of_pairs = F.struct(tagged("p:", rare).alias("own"), tagged("p:", rare).alias("other"))
     rarest = F.slice(every, 1, 1)
     of_words = F.struct(F.concat(tagged("a:", rarest), tagged("b:", every)).alias("own"), F.concat(tagged("a:", every), tagged("b:", rarest)).alias("other"))
     keyed = ranked.select("s", F.when(F.col("kind") == "p", of_pairs).otherwise(of_words).alias("k")).select("s", "k.own", "k.other")
-    ends = F.array(F.concat(F.lit("e:"), F.substring("s", 1, 1), F.substring("s", -1, 1)))
-    return keyed.unionByName(strings.filter(n <= 3).select("s", ends.alias("own"), ends.alias("other")))
+    return letter.select("s", "own", "other").unionByName(keyed)
 
 
 def _dated(entities: DataFrame) -> DataFrame:
@@ -120,16 +206,18 @@ def _dated(entities: DataFrame) -> DataFrame:
     return entities.select("canonical_id", "canonical_name", (F.concat(own, "learned") if "learned" in entities.columns else own).alias("dated"))
 
 
-def search_keys(norms: DataFrame, entities: DataFrame) -> DataFrame:
-    """The keys of `_search_keys` for comparable names (norm) and those of entities."""
+def search_keys(norms: DataFrame, entities: DataFrame, least: float = FUZZY, learning: bool = False) -> DataFrame:
+    """The keys of `_search_keys` for comparable names (norm) and those of entities; learning: names may become an entity's."""
     right = _dated(entities).select(F.explode("dated.s").alias("s")).filter("s <> ''")
-    return staged(_search_keys(norms.select(F.col("norm").alias("s")).unionByName(right).distinct()))
+    own = norms.select(F.col("norm").alias("s")).filter("s <> ''")
+    both = own.select("s", F.lit(True).alias("is_own"), F.lit(learning).alias("is_other")).unionByName(right.select("s", F.lit(learning).alias("is_own"), F.lit(True).alias("is_other")))
+    return staged(_search_keys(staged(both.groupBy("s").agg(F.max("is_own").alias("is_own"), F.max("is_other").alias("is_other"))), least))
 
 
-def candidate_pairs(names: DataFrame, entities: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+def candidate_pairs(names: DataFrame, entities: DataFrame, keys: DataFrame | None = None, least: float = FUZZY) -> DataFrame:
     """raw_name, norm, canonical_id, canonical_name, norms for names (raw_name, norm) and the entities that they are compared
     with: those that share a blocking key, or all for a name that shares none or if there are only FEW. Of those, only such as
-    can score FUZZY are given (see `_search_keys`): whole blocks, as of all names of two words, are never paired.
+    can score `least` are given (see `_search_keys`): whole blocks, as of all names of two words, are never paired.
 
     Where names have a place `at`, of the names that entities have learned only those of smaller places count for them. keys:
     search keys of all these names, if they are there already.
@@ -142,7 +230,7 @@ def candidate_pairs(names: DataFrame, entities: DataFrame, keys: DataFrame | Non
         every = names.withColumn("_all", F.lit(1)).join(F.broadcast(dim.withColumn("_all", F.lit(1))), "_all")
         return every.select("raw_name", "norm", "canonical_id", "canonical_name", before)
     right = dim.select("canonical_id", F.explode("dated").alias("d")).select("canonical_id", "d.s", F.col("d.at").alias("since")).filter("s <> ''").groupBy("canonical_id", "s").agg(F.min("since").alias("since"))
-    keys = search_keys(names, entities) if keys is None else keys
+    keys = search_keys(names, entities, least) if keys is None else keys
     asked = names.select("raw_name", "at", F.col("norm").alias("s")).join(keys.select("s", F.explode("own").alias("key")), "s").select("raw_name", "at", "key")
     offered = right.join(keys.select("s", F.explode("other").alias("key")), "s").select("canonical_id", "since", "key")
     pairs = asked.join(offered, "key").filter("since < at").select("raw_name", "canonical_id").distinct()
@@ -188,6 +276,21 @@ def ranked(scores: DataFrame) -> DataFrame:
     return top.select("raw_name", gap.alias("ambiguous"), candidates.alias("candidates"))
 
 
+def _best(names: DataFrame, dim: DataFrame, every: bool, keys: DataFrame | None) -> DataFrame:
+    """`ranked` for names (raw_name, norm); every: of ambiguous names all candidates are wanted, else the best will do.
+
+    Names that have much in common are alike in great numbers, but most have one that is nearer: those whose best, and all that
+    can contend with it, are at NEAR or above are done by that, and only the others are sought among all down to FUZZY.
+    """
+    if keys is not None:
+        return staged(ranked(scored(candidate_pairs(names, dim, keys))))
+    near = staged(ranked(scored(candidate_pairs(names, dim, least=NEAR), NEAR)))
+    told = F.round(F.col("candidates")[0]["score"] * 100) >= round(100 * (NEAR + DELTA))
+    done = near.filter(told & ~F.col("ambiguous") if every else told)
+    rest = staged(names.join(done.select("raw_name"), "raw_name", "left_anti"))
+    return done if rest.isEmpty() else staged(done.unionByName(ranked(scored(candidate_pairs(rest, dim)))))
+
+
 def choose(ambiguous: DataFrame, chooser: Callable[[str, list[dict]], tuple[str, float] | None]) -> DataFrame:
     """raw_name, canonical_id, confidence where the chooser picks one of a name's candidates; other answers, and errors, are none."""
 
@@ -223,7 +326,7 @@ def _resolved(asked: DataFrame, dim: DataFrame, chooser: Callable | None, learne
     """MAPPING for asked names (raw_name, source_url, norm, and at where aliases are learned)."""
     equal = staged(equi_stages(asked, dim, learned))
     rest = asked.join(equal.select("raw_name"), "raw_name", "left_anti").filter("norm <> ''")
-    best = staged(ranked(scored(candidate_pairs(staged(rest), dim, keys))))
+    best = _best(staged(rest), dim, chooser is not None, keys)
     clear = best.filter("not ambiguous").select("raw_name", F.col("candidates")[0]["canonical_id"].alias("canonical_id"), F.col("candidates")[0]["canonical_name"].alias("canonical_name"), F.lit("fuzzy").alias("match_method"), F.col("candidates")[0]["score"].alias("confidence"))
     found = equal.unionByName(clear)
     if chooser is not None:
@@ -265,7 +368,7 @@ def resolve_in_order(names: DataFrame, entities: DataFrame, order: str, mappings
     asked, kept = _asked(names, mappings, refresh_unresolved, (F.col(order).alias("_place"), F.min("_place").alias("_order")))
     asked = staged(numbered(asked, ["_order", "raw_name"], "at").drop("_order"))
     dim = prepared(entities)
-    keys = search_keys(asked, dim)
+    keys = search_keys(asked, dim, learning=True)
     # An alias that the entity has already, as a comparable name, changes nothing.
     had = staged(dim.select("canonical_id", F.explode("norms").alias("s")).distinct())
     strings = dim.select(F.explode("norms").alias("s")).filter("s <> ''").select("s", F.lit(-1).cast("long").alias("since"))

@@ -264,6 +264,50 @@ def test_plain_names_stay_in_columns(spark):
     assert right.count("ArrowEvalPython") == 1 and "Union" in left
 
 
+@pytest.mark.parametrize("least", [resolve.FUZZY, resolve.NEAR])
+def test_names_that_are_near_share_a_key(spark, least):
+    r = random.Random(7)
+    near = lambda s: "".join(r.choice(["", c, c, c, c, c, c, c, c + "x", "y"]) for c in s).strip()
+    long_ = ["".join(r.choice("abcdefgh ") for _ in range(r.choice([26, 40, 61]))).strip() for _ in range(12)]
+    short = ["".join(r.choice("ab1") for _ in range(r.randint(1, 7))) for _ in range(40)]
+    plain = [f"maker {k} {w}" for k in (1, 12, 123, 1234, 21, 4321) for w in ("one", "on", "other")] + [f"maker {k}" for k in (1, 12, 123, 1234)] + ["\U0001f600 ab", "\U0001f600 abc"]
+    names = sorted({" ".join(x.split()) for x in [*long_, *map(near, long_), *short, *plain] if x.strip()})
+    keys = {x.s: (set(), set()) for x in spark.createDataFrame([(n,) for n in names], "s string").collect()}
+    rows = spark.createDataFrame([(n, True, True) for n in names], "s string, is_own boolean, is_other boolean")
+    for x in resolve._search_keys(rows, least).collect():
+        keys[x.s][0].update(x.own)
+        keys[x.s][1].update(x.other)
+    enough = [(a, b) for a in names for b in names if round(resolve.similarity(a, b), 2) >= least]
+    assert len(enough) > len(names) and [p for p in enough if not keys[p[0]][0] & keys[p[1]][1]] == []
+
+
+def test_candidates_grow_with_the_names(spark):
+    """Names that have most letters in common are not paired all with all: twice the names, about twice the pairs."""
+
+    def pairs(n):
+        names = spark.range(1000, 1000 + n).select(F.concat(F.lit("maker "), "id").alias("raw_name"), F.concat(F.lit("maker "), "id").alias("norm"))
+        dim = spark.range(1000, 1000 + n).select(F.col("id").cast("string").alias("canonical_id"), F.concat(F.lit("Maker "), "id", F.lit(" one")).alias("canonical_name"), F.array(F.concat(F.lit("maker "), "id", F.lit(" one"))).alias("norms"))
+        return resolve.candidate_pairs(names, dim).count()
+
+    few, more = pairs(150), pairs(600)
+    assert few >= 150 and more < 8 * few
+
+
+def test_best_of_many_alike(spark):
+    """With a chooser all candidates of an ambiguous name down to 0.80 are given, without one the verdict is the same."""
+    from tessera.functions.text import comparable
+
+    ents = [(f"e{k}", f"Maker {k} one", []) for k in range(100, 160)] + [("twin", "Maker 101 one!", [])]
+    dim = spark.createDataFrame(ents, "canonical_id string, canonical_name string, aliases array<string>")
+    names = spark.createDataFrame([(f"Maker {k} on", None) for k in range(100, 160)], "raw_name string, source_url string")
+    seen = resolve.resolve(names, dim, chooser=lambda name, options: (options[-1]["canonical_id"], float(len(options))))
+    plain = {x.raw_name: (x.canonical_id, x.match_method) for x in resolve.resolve(names, dim).collect()}
+    assert plain["Maker 101 on"][1] == "unresolved" and all(plain[f"Maker {k} on"] == (f"e{k}", "fuzzy") for k in range(102, 160))
+    asked = {x.raw_name: x for x in seen.collect()}
+    best = [i for i, n, _ in ents if round(resolve.similarity("maker 101 on", comparable(n)), 2) >= resolve.FUZZY]
+    assert asked["Maker 101 on"].match_method == "llm" and asked["Maker 101 on"].confidence == len(best) > 2
+
+
 def test_resolve_keeps_and_refreshes(spark):
     dim = resolve.seeds(spark)
     names = spark.createDataFrame([("Acme", "u"), ("OpenAI", "u")], "raw_name string, source_url string")
