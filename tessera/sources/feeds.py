@@ -164,11 +164,12 @@ def news_arxiv(payloads: DataFrame) -> DataFrame:
     return _news(rows, F.lit("arXiv AI News"), F.lit("http://export.arxiv.org/api/query"))
 
 
-def full_text(articles: DataFrame, pages: DataFrame, least: int = 50) -> DataFrame:
-    """Articles whose text is missing or under `least` characters get that of their page (columns url, html), if it has one."""
+def full_text(articles: DataFrame, pages: DataFrame, least: int = 50, closed_references: bool = False) -> DataFrame:
+    """Articles whose text is missing or under `least` characters get that of their page (columns url, html), if it has one.
+    closed_references: see `text.with_html_text`."""
     short = F.coalesce(F.length("full_text"), F.lit(0)) < least
     wanted = articles.filter(short).select("url").distinct()
-    read = text.with_html_text(pages.join(wanted, "url", "left_semi").dropDuplicates(["url"]), F.col("html"), "page_text").select("url", "page_text")
+    read = text.with_html_text(pages.join(wanted, "url", "left_semi").dropDuplicates(["url"]), F.col("html"), "page_text", closed_references).select("url", "page_text")
     return articles.join(read, "url", "left").withColumn("full_text", F.when(short, F.coalesce("page_text", "full_text")).otherwise(F.col("full_text"))).select(*articles.columns)
 
 

@@ -193,3 +193,14 @@ def test_crawl_classes(spark):
     assert col(spark, codes, classify.permanent(F.col("v")), kind="int") == [False] * 8 + [True] * 3
     assert col(spark, [1, 2, 3, 9], classify.backoff(F.col("v")), kind="int") == [2.0, 4.0, 8.0, 60.0]
     assert 0 <= col(spark, [3], classify.backoff(F.col("v"), jitter=True), kind="int")[0] <= 8
+
+
+def test_html_text_of_open_references(spark):
+    """A reference without its semicolon, as where a title was cut: HTML decodes it, and not where closed ones alone count."""
+    words = "a text that is long enough to be kept as it is"
+    open_ = f"<html><body><h1>this &amp; that&amp</h1><p>{words} &#65; &nosuch; &lt</p></body></html>"
+    head = f"<html><head><meta x><title>t&amp</title></head><body><h1>this &amp; that&amp</h1><p>{words}</p></body></html>"
+    df = spark.createDataFrame([(1, open_), (2, head)], "k int, v string")
+    got = lambda **more: [r.t for r in text.with_html_text(df, F.col("v"), "t", **more).orderBy("k").collect()]
+    assert got() == [f"this & that& {words} A &nosuch; <", f"t& this & that& {words}"]
+    assert got(closed_references=True) == [f"this & that&amp {words} A &nosuch; &lt", f"t&amp this & that&amp {words}"]
