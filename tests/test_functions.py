@@ -204,3 +204,14 @@ def test_html_text_of_open_references(spark):
     got = lambda **more: [r.t for r in text.with_html_text(df, F.col("v"), "t", **more).orderBy("k").collect()]
     assert got() == [f"this & that& {words} A &nosuch; <", f"t& this & that& {words}"]
     assert got(closed_references=True) == [f"this & that&amp {words} A &nosuch; &lt", f"t&amp this & that&amp {words}"]
+
+
+def test_product_keywords_in_one_scan(spark):
+    """All keywords of a text are found by one pattern, at word borders only, as one by one."""
+    import re
+
+    texts = ["an SDK, a cli-tool; saas/agent", "tools toolkit tool", "webui platform\u00e9 library_", "agent agent engine", "", None, "system.product service copilot assistant"]
+    got = col(spark, texts, classify._words(F.lower(F.coalesce("v", F.lit(""))), classify.PRODUCT))
+    assert got == [sorted(w for w in classify.PRODUCT if re.search(rf"\b{w}\b", (t or "").lower())) for t in texts]
+    plan = spark.createDataFrame([("a",)], "v string").select(classify.product_category(F.lit("n"), F.col("v")).alias("q"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("webui") == 1
