@@ -77,3 +77,11 @@ def test_stream_goes_on_at_its_page(spark, tmp_path):
     assert {r[:2] for r in got if not r[2]} == {(1, 2), (2, 4)}
     assert go() == [] or all(not b for b in go())
     assert json.loads((out / "state" / "position").read_text())["segment"] == 3
+
+
+def test_tasks_of_a_batch_are_bounded():
+    """However many pages there are, they are dealt to about as many tasks, each page once."""
+    source = Paged(lambda query, page: f"{query}/{page}", 20, None, ["a", "b", "c"])
+    parts = pages._Batch("x", source, CrawlPolicy(), None, {"pages": "100001"}).partitions()
+    assert len(parts) <= pages.TASKS + 3 and sum(p.last - p.first + 1 for p in parts) == 3 * 100001
+    assert {p.last - p.first + 1 for p in pages._Batch("x", source, CrawlPolicy(), None, {"pages": "8"}).partitions()} == {4}
