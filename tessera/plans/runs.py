@@ -23,6 +23,8 @@ _NOW = "2024-01-31 00:00:00"
 def _landed(payloads: DataFrame, folder: str, vertical: str, source: str) -> None:
     """Writes payloads (page, payload) as a file each where ingest looks for them."""
     rows = payloads.select(F.col("payload").alias("value"), F.lpad(F.col("page").cast("string"), 9, "0").alias("page"))
+    # A number, as Spark joins partitions of few bytes else, and one task writes all the files.
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page")
     rows.write.mode("append").partitionBy("page").option("maxRecordsPerFile", 1).text(f"{folder}/{vertical}/{source}")
 
 

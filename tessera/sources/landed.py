@@ -14,9 +14,14 @@ def payloads(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("payload"))
 
 
-def payload_stream(spark: SparkSession, path: str, files_a_batch: int = 50) -> DataFrame:
-    """The same as a stream that takes so many new files a batch."""
-    files = spark.readStream.schema("value string").option("wholetext", True).option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_a_batch).text(path)
+#: Bytes of a batch: a batch has a fixed cost, so many small files go together.
+BATCH_BYTES = 64 << 20
+
+
+def payload_stream(spark: SparkSession, path: str, files_a_batch: int | None = None) -> DataFrame:
+    """The same as a stream that takes so many new files a batch, by default those of BATCH_BYTES."""
+    most = ("maxBytesPerTrigger", BATCH_BYTES) if files_a_batch is None else ("maxFilesPerTrigger", files_a_batch)
+    files = spark.readStream.schema("value string").option("wholetext", True).option("recursiveFileLookup", True).option(*most).text(path)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
 
 

@@ -381,3 +381,18 @@ def test_benchmark_tells_what_did_not_come_back(spark, tmp_path):
     assert (got["records"], got["failed"]) == (3, 0) and not (tmp_path / "benchmark").exists()
     # Rows that are another thing each time they are made don't come back as they went.
     assert services.benchmark(spark, str(tmp_path), rows=rows.withColumn("at", F.expr("java_method('java.util.UUID', 'randomUUID')")))["failed"] == 3
+
+
+def test_many_small_payloads_are_few_batches(spark, tmp_path):
+    """A batch has a fixed cost: small files go together by their bytes."""
+    import json
+
+    from tessera.streaming import ingest as I
+
+    at = tmp_path / "landed" / "startups" / "github"
+    at.mkdir(parents=True)
+    for i in range(60):
+        (at / f"{i}.json").write_text(json.dumps({"items": [{"name": f"Org {i}", "html_url": f"https://github.com/o{i}"}]}))
+    batches = []
+    got = I.ingest(spark, str(tmp_path / "landed"), "startups", str(tmp_path / "out"), on_batch=batches.append)
+    assert got.inserted == 60 and len(batches) == 1
