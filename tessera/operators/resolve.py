@@ -266,29 +266,33 @@ def scored(pairs: DataFrame, least: float = FUZZY) -> DataFrame:
     return able.withColumn("score", best_score.asNondeterministic()("norm", "norms")).filter(F.col("score") >= least).drop("norms")
 
 
-def ranked(scores: DataFrame) -> DataFrame:
-    """Of each name the best entity, with `ambiguous`, and all candidates as an array from the best on; ties by canonical_id."""
+def ranked(scores: DataFrame, hundredths: bool = False) -> DataFrame:
+    """Of each name the best entity, with `ambiguous`, and all candidates as an array from the best on; ties by canonical_id.
+
+    hundredths: see `resolve`.
+    """
     all_ = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("neg"), "canonical_id", "canonical_name")))
     top = scores.groupBy("raw_name").agg(all_.alias("c"))
     second = F.try_element_at(F.col("c"), F.lit(2))["neg"]
-    gap = F.coalesce(-F.col("c")[0]["neg"] + second < DELTA, F.lit(False))
+    apart = -F.col("c")[0]["neg"] + second
+    gap = F.coalesce(F.round(apart * 100) < round(100 * DELTA) if hundredths else apart < DELTA, F.lit(False))
     candidates = F.transform("c", lambda x: F.struct(x["canonical_id"].alias("canonical_id"), x["canonical_name"].alias("canonical_name"), (-x["neg"]).alias("score")))
     return top.select("raw_name", gap.alias("ambiguous"), candidates.alias("candidates"))
 
 
-def _best(names: DataFrame, dim: DataFrame, every: bool, keys: DataFrame | None) -> DataFrame:
+def _best(names: DataFrame, dim: DataFrame, every: bool, keys: DataFrame | None, hundredths: bool = False) -> DataFrame:
     """`ranked` for names (raw_name, norm); every: of ambiguous names all candidates are wanted, else the best will do.
 
     Names that have much in common are alike in great numbers, but most have one that is nearer: those whose best, and all that
     can contend with it, are at NEAR or above are done by that, and only the others are sought among all down to FUZZY.
     """
     if keys is not None:
-        return staged(ranked(scored(candidate_pairs(names, dim, keys))))
-    near = staged(ranked(scored(candidate_pairs(names, dim, least=NEAR), NEAR)))
+        return staged(ranked(scored(candidate_pairs(names, dim, keys)), hundredths))
+    near = staged(ranked(scored(candidate_pairs(names, dim, least=NEAR), NEAR), hundredths))
     told = F.round(F.col("candidates")[0]["score"] * 100) >= round(100 * (NEAR + DELTA))
     done = near.filter(told & ~F.col("ambiguous") if every else told)
     rest = staged(names.join(done.select("raw_name"), "raw_name", "left_anti"))
-    return done if rest.isEmpty() else staged(done.unionByName(ranked(scored(candidate_pairs(rest, dim)))))
+    return done if rest.isEmpty() else staged(done.unionByName(ranked(scored(candidate_pairs(rest, dim)), hundredths)))
 
 
 def choose(ambiguous: DataFrame, chooser: Callable[[str, list[dict]], tuple[str, float] | None]) -> DataFrame:
@@ -322,11 +326,11 @@ def _asked(names: DataFrame, mappings: DataFrame | None, refresh: bool, *more) -
     return staged(with_comparable(asked, F.col("raw_name"), "norm")), kept
 
 
-def _resolved(asked: DataFrame, dim: DataFrame, chooser: Callable | None, learned: DataFrame | None = None, keys: DataFrame | None = None) -> DataFrame:
+def _resolved(asked: DataFrame, dim: DataFrame, chooser: Callable | None, learned: DataFrame | None = None, keys: DataFrame | None = None, hundredths: bool = False) -> DataFrame:
     """MAPPING for asked names (raw_name, source_url, norm, and at where aliases are learned)."""
     equal = staged(equi_stages(asked, dim, learned))
     rest = asked.join(equal.select("raw_name"), "raw_name", "left_anti").filter("norm <> ''")
-    best = _best(staged(rest), dim, chooser is not None, keys)
+    best = _best(staged(rest), dim, chooser is not None, keys, hundredths)
     clear = best.filter("not ambiguous").select("raw_name", F.col("candidates")[0]["canonical_id"].alias("canonical_id"), F.col("candidates")[0]["canonical_name"].alias("canonical_name"), F.lit("fuzzy").alias("match_method"), F.col("candidates")[0]["score"].alias("confidence"))
     found = equal.unionByName(clear)
     if chooser is not None:
@@ -345,14 +349,15 @@ def _resolved(asked: DataFrame, dim: DataFrame, chooser: Callable | None, learne
     )
 
 
-def resolve(names: DataFrame, entities: DataFrame, mappings: DataFrame | None = None, chooser: Callable | None = None, refresh_unresolved: bool = False) -> DataFrame:
+def resolve(names: DataFrame, entities: DataFrame, mappings: DataFrame | None = None, chooser: Callable | None = None, refresh_unresolved: bool = False, hundredths: bool = False) -> DataFrame:
     """MAPPING for every distinct non-blank raw_name of names (columns raw_name, source_url).
 
     A name with a mapping keeps it (an unresolved one is sought again on refresh_unresolved). An unresolved name gets the id
-    unresolved_<comparable name> and its own name.
+    unresolved_<comparable name> and its own name. Scores have two places; their difference is taken as it is in binary, where
+    0.96 and 0.93 are closer than 0.03, or in hundredths, where they are not.
     """
     asked, kept = _asked(names, mappings, refresh_unresolved)
-    out = _resolved(asked, prepared(entities), chooser)
+    out = _resolved(asked, prepared(entities), chooser, hundredths=hundredths)
     return out if kept is None else out.unionByName(kept)
 
 

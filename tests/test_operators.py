@@ -308,6 +308,18 @@ def test_best_of_many_alike(spark):
     assert asked["Maker 101 on"].match_method == "llm" and asked["Maker 101 on"].confidence == len(best) > 2
 
 
+def test_resolve_by_hundredths(spark):
+    """0.96 and 0.93 are 0.03 apart in hundredths, though not in binary."""
+    ents = [(f"e{k}", f"Maker {k} one", []) for k in range(5000, 5012)] + [("f", "Maker 50001 one", [])]
+    dim = spark.createDataFrame(ents, "canonical_id string, canonical_name string, aliases array<string>")
+    names = spark.createDataFrame([(f"Maker {k} on", None) for k in (5000, 5001)], "raw_name string, source_url string")
+    got = lambda **more: {x.raw_name: (x.canonical_id, x.match_method, x.confidence) for x in resolve.resolve(names, dim, **more).collect()}
+    assert round(resolve.similarity("maker 5000 on", "maker 5000 one"), 2) == 0.96 and round(resolve.similarity("maker 5000 on", "maker 50001 one"), 2) == 0.93
+    exact = got(hundredths=True)
+    assert exact["Maker 5000 on"] == ("e5000", "fuzzy", 0.96) and exact["Maker 5001 on"] == ("e5001", "fuzzy", 0.96)
+    assert got()["Maker 5000 on"][1] == "unresolved"
+
+
 def test_resolve_keeps_and_refreshes(spark):
     dim = resolve.seeds(spark)
     names = spark.createDataFrame([("Acme", "u"), ("OpenAI", "u")], "raw_name string, source_url string")
