@@ -30,6 +30,8 @@ FUZZY, DELTA = 0.80, 0.03
 NEAR = 0.92
 #: Choices of letters a name and length of a partner, at most, and fewest letters of a choice that says enough.
 MOST_KEYS, LEAST_LETTERS = 500, 6
+#: The same where both ends of names are sought.
+MOST_AT_ENDS = 350
 #: With so many entities or fewer, every name is compared with each.
 FEW = 10
 ENTITY = "canonical_id string, canonical_name string, entity_type string, aliases array<string>, source_urls array<string>"
@@ -116,6 +118,25 @@ def shape(a: int, b: int, least: float) -> tuple[int, int, int] | None:
     return (m, i, j) if m >= min(matched, LEAST_LETTERS) else (0, 0, 0)
 
 
+@lru_cache(maxsize=None)
+def at_ends(a: int, b: int, least: float) -> tuple[int, list[tuple[bool, int, int]]] | None:
+    """How names of a and b letters are sought by both ends: (m, [(at the first letters, more letters of the one, of the other)]), or
+    None if `shape` serves better.
+
+    At either end m of the letters that match are in the first or last m and some more. What goes of a name, i letters of the one
+    and j of the other, goes before one end or after the other: where both lose half at most at one end, few choices find them.
+    Else the one loses most at one end and the other at the other, and at one of the ends the one loses less than half.
+    """
+    matched = least_matched(a, b, least)
+    i, j, m = a - matched, b - matched, matched // 2
+    while m and math.comb(m + j, m) > MOST_AT_ENDS:
+        m -= 1
+    if i < 0 or j < 0 or m < LEAST_LETTERS:
+        return None
+    ways = [(first, i // 2, j // 2) for first in (False, True)]
+    return m, ways + [(first, i - i // 2 - 1, j) for first in (False, True)] * (i > 0 and j > 0)
+
+
 @lru_cache(maxsize=256)
 def _choices(n: int, m: int) -> np.ndarray:
     return np.array(list(combinations(range(n), m)), dtype=np.intp).reshape(-1, m)
@@ -133,56 +154,61 @@ def _chosen(codes: np.ndarray, m: int, more: int, first: bool, tag: int) -> np.n
         return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
-def _letter_keys(strings: DataFrame, least: float) -> DataFrame:
-    """s, own, other for strings (s, is_own, is_other) by the letters that match (see `shape`), by_pairs: it has a partner that is
-    sought by pairs of letters. Of every length the end is taken at which names differ more."""
-    n = F.length("s")
+def _lengths(strings: DataFrame) -> list:
+    """A row a length of strings (s, is_own, is_other): n, own, other, first, last (how many beginnings and ends there are)."""
     ends = lambda f: F.approx_count_distinct(f)
-    seen = strings.groupBy(n.alias("n")).agg(F.max("is_own").alias("own"), F.max("is_other").alias("other"), ends(F.substring("s", 1, LEAST_LETTERS)).alias("first"), ends(F.right("s", F.lit(LEAST_LETTERS))).alias("last"))
-    lengths = seen.collect()  # a row a length
+    seen = strings.groupBy(F.length("s").alias("n")).agg(F.max("is_own").alias("own"), F.max("is_other").alias("other"), ends(F.substring("s", 1, LEAST_LETTERS)).alias("first"), ends(F.right("s", F.lit(LEAST_LETTERS))).alias("last"))
+    return seen.collect()
+
+
+def _letter_keys(strings: DataFrame, least: float, lengths: list) -> DataFrame:
+    """s, own, other (and at, if it is there) for strings (s, is_own, is_other) by the letters that match: by both ends (see `at_ends`)
+    where names of a length differ at both about as much, else by the one at which they differ more (see `shape`).
+
+    lengths: those of all strings, of which these may be a part.
+    """
     owned, offered = [r["n"] for r in lengths if r["own"]], [r["n"] for r in lengths if r["other"]]
     first = {r["n"]: r["first"] > r["last"] for r in lengths}
+    both = {r["n"]: 2 * min(r["first"], r["last"]) >= max(r["first"], r["last"]) for r in lengths}
+    at = [c for c in strings.columns if c == "at"]
 
-    def keys(codes: np.ndarray, length: int, own: bool) -> tuple[np.ndarray, bool]:
-        found, pairs = [], False
+    def keys(codes: np.ndarray, length: int, own: bool) -> np.ndarray:
+        found = []
         for partner in offered if own else owned:
             a, b = (length, partner) if own else (partner, length)
-            how = shape(a, b, least)
-            if how is None:
-                continue
-            if not how[0]:
-                pairs = True
+            how, tag = shape(a, b, least), (a << 20) + b
+            if how is None or not how[0]:
                 continue
-            found.append(_chosen(codes, how[0], how[1] if own else how[2], first[a], (a << 20) + b))
-        return (np.concatenate(found, axis=1) if found else np.empty((len(codes), 0), dtype=np.int64)), pairs
+            if both[a] and (ends := at_ends(a, b, least)):
+                found += [_chosen(codes, ends[0], x if own else y, front, ((k + 1) << 44) + tag) for k, (front, x, y) in enumerate(ends[1])]
+            else:
+                found.append(_chosen(codes, how[0], how[1] if own else how[2], first[a], tag))
+        return np.concatenate(found, axis=1) if found else np.empty((len(codes), 0), dtype=np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for length, same in batch.groupby(batch["s"].str.len()):
-                for at in range(0, len(same), 128):
-                    part = same.iloc[at : at + 128]
+                for start in range(0, len(same), 128):
+                    part = same.iloc[start : start + 128]
                     codes = np.frombuffer("".join(part["s"]).encode("utf-32-le"), dtype=np.uint32).reshape(len(part), int(length)).astype(np.uint64)
-                    (own, p), (other, q) = keys(codes, int(length), True), keys(codes, int(length), False)
-                    pick = lambda rows, held: [np.unique(r) if h else r[:0] for r, h in zip(rows, held, strict=True)]
-                    yield pd.DataFrame({"s": part["s"].to_numpy(), "own": pick(own, part["is_own"]), "other": pick(other, part["is_other"]), "by_pairs": [(p and x) or (q and y) for x, y in zip(part["is_own"], part["is_other"], strict=True)]})
 
-    return strings.mapInPandas(run, "s string, own array<long>, other array<long>, by_pairs boolean")
+                    def pick(held: pd.Series, own: bool, codes=codes, length=int(length)) -> list[np.ndarray]:
+                        rows = keys(codes, length, own) if held.any() else np.empty((len(codes), 0), dtype=np.int64)
+                        return [np.unique(r) if h else r[:0] for r, h in zip(rows, held, strict=True)]
 
+                    yield pd.DataFrame({"s": part["s"].to_numpy(), **{c: part[c].to_numpy() for c in at}, "own": pick(part["is_own"], True), "other": pick(part["is_other"], False)})
 
-def _search_keys(strings: DataFrame, least: float = FUZZY) -> DataFrame:
-    """s, own, other for distinct comparable names (s, is_own, is_other): two names whose similarity can reach `least` share a key,
-    `own` of one and `other` of the other; keys are few a name, and what all names have in common is no key by itself.
+    return strings.mapInPandas(run, f"s string, {'at long, ' * len(at)}own array<long>, other array<long>")
 
-    By letters: `_letter_keys`. For long names, similarity by blocks: at 0.79 of all T letters matched, what does not match parts
-    the blocks, so two names share 0.185 T - 1 pairs of neighbouring letters at least, and T is 1.65 times the letters of either.
-    Of n pairs in order of rareness the first n - t + 1 then hold a common one (t: the least shared). By words: of two names one
-    of which has all words of the other, the rarest word of that one is in both. Pairs of letters and words are numbered by how
-    often they came in the name before.
-    """
-    letter = staged(_letter_keys(strings, least))
-    pairs = letter.filter("by_pairs").select("s")
-    numbered = lambda parts: F.transform(parts, lambda x, i: F.concat(x, F.lit("\x01"), F.size(F.filter(F.slice(parts, 1, i), lambda y: y == x)).cast("string")))
+
+def _part_keys(strings: DataFrame, least: float, lengths: list) -> DataFrame:
+    """s, own, other for strings (s, is_own, is_other) by pairs of letters, where `shape` has it so, and by words."""
+    owned, offered = [r["n"] for r in lengths if r["own"]], [r["n"] for r in lengths if r["other"]]
+    own_pairs = [a for a in owned if any(shape(a, b, least) == (0, 0, 0) for b in offered)]
+    other_pairs = [b for b in offered if any(shape(a, b, least) == (0, 0, 0) for a in owned)]
     n = F.length("s")
+    pairs = strings.filter((F.col("is_own") & n.isin(own_pairs)) | (F.col("is_other") & n.isin(other_pairs))).select("s")
+    numbered = lambda parts: F.transform(parts, lambda x, i: F.concat(x, F.lit("\x01"), F.size(F.filter(F.slice(parts, 1, i), lambda y: y == x)).cast("string")))
     letters = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(F.col("s"), i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
     of_letters = pairs.select("s", F.lit("p").alias("kind"), F.explode(numbered(letters)).alias("part"))
     of_words = strings.select("s", F.lit("w").alias("kind"), F.explode(F.array_distinct(F.split("s", " "))).alias("part"))
@@ -196,8 +222,65 @@ def _search_keys(strings: DataFrame, least: float = FUZZY) -> DataFrame:
     of_pairs = F.struct(tagged("p:", rare).alias("own"), tagged("p:", rare).alias("other"))
     rarest = F.slice(every, 1, 1)
     of_words = F.struct(F.concat(tagged("a:", rarest), tagged("b:", every)).alias("own"), F.concat(tagged("a:", every), tagged("b:", rarest)).alias("other"))
-    keyed = ranked.select("s", F.when(F.col("kind") == "p", of_pairs).otherwise(of_words).alias("k")).select("s", "k.own", "k.other")
-    return letter.select("s", "own", "other").unionByName(keyed)
+    return ranked.select("s", F.when(F.col("kind") == "p", of_pairs).otherwise(of_words).alias("k")).select("s", "k.own", "k.other")
+
+
+def _search_keys(strings: DataFrame, least: float = FUZZY) -> DataFrame:
+    """s, own, other for distinct comparable names (s, is_own, is_other): two names whose similarity can reach `least` share a key,
+    `own` of one and `other` of the other; keys are few a name, and what all names have in common is no key by itself.
+
+    By letters: `_letter_keys`. For long names, similarity by blocks: at 0.79 of all T letters matched, what does not match parts
+    the blocks, so two names share 0.185 T - 1 pairs of neighbouring letters at least, and T is 1.65 times the letters of either.
+    Of n pairs in order of rareness the first n - t + 1 then hold a common one (t: the least shared). By words: of two names one
+    of which has all words of the other, the rarest word of that one is in both. Pairs of letters and words are numbered by how
+    often they came in the name before.
+    """
+    lengths = _lengths(strings)
+    return _letter_keys(strings, least, lengths).unionByName(_part_keys(strings, least, lengths))
+
+
+class Links:
+    """Which comparable names of asked names score FUZZY or more with which of entities: s, t, score.
+
+    A name is sought among the strings t that are added, each of them once: first those that entities have, then such as they
+    learn. So what a round of `resolve_in_order` adds is all that it seeks. Pairs are of the strings' hashes until they are read.
+    """
+
+    def __init__(self, asked: DataFrame, dim: DataFrame) -> None:
+        names = asked.filter("norm <> ''").groupBy(F.col("norm").alias("s")).agg(F.max("at").alias("last"), F.min("at").alias("since"))
+        held = dim.select(F.explode("norms").alias("s")).filter("s <> ''").distinct().withColumn("held", F.lit(True))
+        mine, since = F.col("last").isNotNull(), F.when(F.col("held"), F.lit(-1).cast("long")).otherwise(F.col("since"))
+        self.strings = staged(names.join(held, "s", "full").select("s", "last", since.alias("since"), mine.alias("is_own"), F.lit(True).alias("is_other"), F.coalesce("held", F.lit(False)).alias("held")))
+        self.lengths = _lengths(self.strings)
+        self.tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.parts = staged(_part_keys(self.strings, FUZZY, self.lengths))
+        own = self.strings.filter("is_own").select("s", F.col("last").alias("at"), "is_own", F.lit(False).alias("is_other"))
+        self.own = staged(self._keys(own, "own"))
+        self.added = staged(self.strings.filter("held").select("s"))
+        self.found = self._found(self.added)
+
+    def _keys(self, strings: DataFrame, side: str) -> DataFrame:
+        """h, at, keys of strings (s, at, is_own, is_other)."""
+        # A number, as Spark joins partitions of few bytes else, and a string has hundreds of keys.
+        by_letters = _letter_keys(strings.repartition(self.tasks, "s"), FUZZY, self.lengths).select("s", "at", side)
+        by_parts = self.parts.join(strings.select("s", "at"), "s").select("s", "at", side)
+        return by_letters.unionByName(by_parts).select(F.xxhash64("s").alias("h"), "at", F.col(side).alias("keys"))
+
+    def _found(self, targets: DataFrame) -> DataFrame:
+        others = self._keys(self.strings.join(targets, "s", "left_semi").select("s", F.col("since").alias("at"), F.lit(False).alias("is_own"), "is_other"), "other")
+        left = self.own.select(F.col("h").alias("hs"), F.col("at").alias("last"), F.explode("keys").alias("key"))
+        right = others.select(F.col("h").alias("ht"), F.col("at").alias("since"), F.explode("keys").alias("key"))
+        pairs = left.join(right, "key").filter("since < last").select("hs", "ht").distinct()
+        text = lambda h, s: self.strings.select(F.xxhash64("s").alias(h), F.col("s").alias(s))
+        able = staged(pairs.join(text("hs", "s"), "hs").join(text("ht", "t"), "ht").select("s", "t").filter(may_reach(F.col("s"), F.col("t"), FUZZY)))
+        return staged(able.withColumn("score", best_score.asNondeterministic()("s", F.array("t"))).filter(F.col("score") >= FUZZY))
+
+    def add(self, strings: DataFrame) -> None:
+        """Names are sought among these strings (s), too; those that are there already cost nothing."""
+        new = staged(strings.filter("s <> ''").distinct().join(self.added, "s", "left_anti"))
+        if not new.isEmpty():
+            self.found = staged(self.found.unionByName(self._found(new)))
+            self.added = staged(self.added.unionByName(new))
 
 
 def _dated(entities: DataFrame) -> DataFrame:
@@ -206,38 +289,48 @@ def _dated(entities: DataFrame) -> DataFrame:
     return entities.select("canonical_id", "canonical_name", (F.concat(own, "learned") if "learned" in entities.columns else own).alias("dated"))
 
 
-def search_keys(norms: DataFrame, entities: DataFrame, least: float = FUZZY, learning: bool = False) -> DataFrame:
-    """The keys of `_search_keys` for comparable names (norm) and those of entities; learning: names may become an entity's."""
+def search_keys(norms: DataFrame, entities: DataFrame, least: float = FUZZY) -> DataFrame:
+    """The keys of `_search_keys` for comparable names (norm) and those of entities."""
     right = _dated(entities).select(F.explode("dated.s").alias("s")).filter("s <> ''")
     own = norms.select(F.col("norm").alias("s")).filter("s <> ''")
-    both = own.select("s", F.lit(True).alias("is_own"), F.lit(learning).alias("is_other")).unionByName(right.select("s", F.lit(learning).alias("is_own"), F.lit(True).alias("is_other")))
+    both = own.select("s", F.lit(True).alias("is_own"), F.lit(False).alias("is_other")).unionByName(right.select("s", F.lit(False).alias("is_own"), F.lit(True).alias("is_other")))
     return staged(_search_keys(staged(both.groupBy("s").agg(F.max("is_own").alias("is_own"), F.max("is_other").alias("is_other"))), least))
 
 
-def candidate_pairs(names: DataFrame, entities: DataFrame, keys: DataFrame | None = None, least: float = FUZZY) -> DataFrame:
+def candidate_pairs(names: DataFrame, entities: DataFrame, least: float = FUZZY) -> DataFrame:
     """raw_name, norm, canonical_id, canonical_name, norms for names (raw_name, norm) and the entities that they are compared
     with: those that share a blocking key, or all for a name that shares none or if there are only FEW. Of those, only such as
     can score `least` are given (see `_search_keys`): whole blocks, as of all names of two words, are never paired.
-
-    Where names have a place `at`, of the names that entities have learned only those of smaller places count for them. keys:
-    search keys of all these names, if they are there already.
     """
-    at = F.col("at") if "at" in names.columns else F.lit((1 << 62)).cast("long")
-    names, dim = names.select("raw_name", "norm", at.alias("at")), _dated(entities)
+    names, dim = names.select("raw_name", "norm", F.lit((1 << 62)).cast("long").alias("at")), _dated(entities)
     columns = ["raw_name", "norm", "canonical_id", "canonical_name", "norms"]
-    before = F.transform(F.filter("dated", lambda x: x["at"] < F.col("at")), lambda x: x["s"]).alias("norms")
     if entities.count() <= FEW:
         every = names.withColumn("_all", F.lit(1)).join(F.broadcast(dim.withColumn("_all", F.lit(1))), "_all")
-        return every.select("raw_name", "norm", "canonical_id", "canonical_name", before)
-    right = dim.select("canonical_id", F.explode("dated").alias("d")).select("canonical_id", "d.s", F.col("d.at").alias("since")).filter("s <> ''").groupBy("canonical_id", "s").agg(F.min("since").alias("since"))
-    keys = search_keys(names, entities, least) if keys is None else keys
+        return every.select("raw_name", "norm", "canonical_id", "canonical_name", _before())
+    right, keys = _by_string(dim), search_keys(names, entities, least)
     asked = names.select("raw_name", "at", F.col("norm").alias("s")).join(keys.select("s", F.explode("own").alias("key")), "s").select("raw_name", "at", "key")
     offered = right.join(keys.select("s", F.explode("other").alias("key")), "s").select("canonical_id", "since", "key")
     pairs = asked.join(offered, "key").filter("since < at").select("raw_name", "canonical_id").distinct()
-    held = names.join(_blocked(names, right).withColumn("_blocked", F.lit(True)), "raw_name", "left")
-    full = pairs.join(held, "raw_name").join(dim, "canonical_id").select("raw_name", "norm", "canonical_id", "canonical_name", before, "_blocked")
+    return _in_blocks(pairs, names, dim, right).select(*columns)
+
+
+def _before() -> Column:
+    """norms: of an entity's dated names those from before a name's place."""
+    return F.transform(F.filter("dated", lambda x: x["at"] < F.col("at")), lambda x: x["s"]).alias("norms")
+
+
+def _by_string(dim: DataFrame) -> DataFrame:
+    """canonical_id, s, since: a row a name of an entity."""
+    return dim.select("canonical_id", F.explode("dated").alias("d")).select("canonical_id", "d.s", F.col("d.at").alias("since")).filter("s <> ''").groupBy("canonical_id", "s").agg(F.min("since").alias("since"))
+
+
+def _in_blocks(pairs: DataFrame, names: DataFrame, dim: DataFrame, strings: DataFrame) -> DataFrame:
+    """Pairs (raw_name, canonical_id and more) that share a blocking key, or whose name shares none with any; with norm,
+    canonical_name and norms."""
+    held = names.select("raw_name", "norm", "at").join(_blocked(names, strings).withColumn("_blocked", F.lit(True)), "raw_name", "left")
+    full = pairs.join(held, "raw_name").join(dim, "canonical_id").select(*pairs.columns, "norm", "canonical_name", _before(), "_blocked")
     common = F.exists("norms", lambda o: F.arrays_overlap(blocking_keys(o), blocking_keys(F.col("norm"))))
-    return full.filter(F.col("_blocked").isNull() | common).select(*columns)
+    return full.filter(F.col("_blocked").isNull() | common).drop("_blocked")
 
 
 def _blocked(names: DataFrame, strings: DataFrame) -> DataFrame:
@@ -266,6 +359,18 @@ def scored(pairs: DataFrame, least: float = FUZZY) -> DataFrame:
     return able.withColumn("score", best_score.asNondeterministic()("norm", "norms")).filter(F.col("score") >= least).drop("norms")
 
 
+def linked(names: DataFrame, entities: DataFrame, links: DataFrame) -> DataFrame:
+    """`scored` for names with a place `at` by the links of their comparable names: of the names that entities have learned only
+    those of smaller places count."""
+    dim = _dated(entities)
+    right = _by_string(dim)
+    met = names.select("raw_name", "at", F.col("norm").alias("s")).join(links, "s").join(right.withColumnRenamed("s", "t"), "t").filter("since < at")
+    scores = met.groupBy("raw_name", "canonical_id").agg(F.max("score").alias("score"))
+    if entities.count() <= FEW:
+        return scores.join(dim.select("canonical_id", "canonical_name"), "canonical_id")
+    return _in_blocks(scores, names, dim, right)
+
+
 def ranked(scores: DataFrame, hundredths: bool = False) -> DataFrame:
     """Of each name the best entity, with `ambiguous`, and all candidates as an array from the best on; ties by canonical_id.
 
@@ -280,14 +385,14 @@ def ranked(scores: DataFrame, hundredths: bool = False) -> DataFrame:
     return top.select("raw_name", gap.alias("ambiguous"), candidates.alias("candidates"))
 
 
-def _best(names: DataFrame, dim: DataFrame, every: bool, keys: DataFrame | None, hundredths: bool = False) -> DataFrame:
+def _best(names: DataFrame, dim: DataFrame, every: bool, links: DataFrame | None, hundredths: bool = False) -> DataFrame:
     """`ranked` for names (raw_name, norm); every: of ambiguous names all candidates are wanted, else the best will do.
 
     Names that have much in common are alike in great numbers, but most have one that is nearer: those whose best, and all that
     can contend with it, are at NEAR or above are done by that, and only the others are sought among all down to FUZZY.
     """
-    if keys is not None:
-        return staged(ranked(scored(candidate_pairs(names, dim, keys)), hundredths))
+    if links is not None:
+        return staged(ranked(linked(names, dim, links), hundredths))
     near = staged(ranked(scored(candidate_pairs(names, dim, least=NEAR), NEAR), hundredths))
     told = F.round(F.col("candidates")[0]["score"] * 100) >= round(100 * (NEAR + DELTA))
     done = near.filter(told & ~F.col("ambiguous") if every else told)
@@ -326,11 +431,11 @@ def _asked(names: DataFrame, mappings: DataFrame | None, refresh: bool, *more) -
     return staged(with_comparable(asked, F.col("raw_name"), "norm")), kept
 
 
-def _resolved(asked: DataFrame, dim: DataFrame, chooser: Callable | None, learned: DataFrame | None = None, keys: DataFrame | None = None, hundredths: bool = False) -> DataFrame:
+def _resolved(asked: DataFrame, dim: DataFrame, chooser: Callable | None, learned: DataFrame | None = None, links: DataFrame | None = None, hundredths: bool = False) -> DataFrame:
     """MAPPING for asked names (raw_name, source_url, norm, and at where aliases are learned)."""
     equal = staged(equi_stages(asked, dim, learned))
     rest = asked.join(equal.select("raw_name"), "raw_name", "left_anti").filter("norm <> ''")
-    best = _best(staged(rest), dim, chooser is not None, keys, hundredths)
+    best = _best(staged(rest), dim, chooser is not None, links, hundredths)
     clear = best.filter("not ambiguous").select("raw_name", F.col("candidates")[0]["canonical_id"].alias("canonical_id"), F.col("candidates")[0]["canonical_name"].alias("canonical_name"), F.lit("fuzzy").alias("match_method"), F.col("candidates")[0]["score"].alias("confidence"))
     found = equal.unionByName(clear)
     if chooser is not None:
@@ -367,13 +472,12 @@ def resolve_in_order(names: DataFrame, entities: DataFrame, order: str, mappings
     All names are resolved at once against the entities; then those that a new alias of an earlier name can touch are resolved
     again, with all aliases so far, and so on until no alias is new or gone. As a name depends on earlier ones only, that ends,
     after as many rounds as the longest chain of names of which each needs the one before; a round works on touched names alone.
-    A name is touched by an alias that it equals, by an entity with a new alias of which any name has a search key of it (no other
-    can score enough), or, if it shares no blocking key with any entity at first, by an alias with a blocking key of it.
+    A name is touched by an alias that it equals, by an entity with a new alias if it scores enough with any name of it, or, if it shares no blocking key with any entity at first, by an alias with a blocking key of it.
     """
     asked, kept = _asked(names, mappings, refresh_unresolved, (F.col(order).alias("_place"), F.min("_place").alias("_order")))
     asked = staged(numbered(asked, ["_order", "raw_name"], "at").drop("_order"))
     dim = prepared(entities)
-    keys = search_keys(asked, dim, learning=True)
+    links = Links(asked, dim)
     # An alias that the entity has already, as a comparable name, changes nothing.
     had = staged(dim.select("canonical_id", F.explode("norms").alias("s")).distinct())
     strings = dim.select(F.explode("norms").alias("s")).filter("s <> ''").select("s", F.lit(-1).cast("long").alias("since"))
@@ -381,11 +485,11 @@ def resolve_in_order(names: DataFrame, entities: DataFrame, order: str, mappings
     todo, out, learned = asked, None, None
     while True:
         if learned is None:
-            part = staged(_resolved(todo, dim, chooser, None, keys))
+            part = staged(_resolved(todo, dim, chooser, None, links.found))
         else:
             more = learned.groupBy("canonical_id").agg(F.collect_list(F.struct("s", "at")).alias("learned"))
             grown = dim.join(more, "canonical_id", "left").withColumn("learned", F.coalesce("learned", F.array().cast("array<struct<s:string,at:bigint>>")))
-            part = staged(_resolved(todo, staged(grown), chooser, learned, keys))
+            part = staged(_resolved(todo, staged(grown), chooser, learned, links.found))
         out = part if out is None else staged(out.join(part.select("raw_name"), "raw_name", "left_anti").unionByName(part))
         found = out.filter("match_method <> 'unresolved'").select("raw_name", "canonical_id", "canonical_name").join(asked.select("raw_name", F.col("norm").alias("s"), "at"), "raw_name").filter("s <> ''")
         # Of names that compare alike only the first one's alias counts.
@@ -398,8 +502,8 @@ def resolve_in_order(names: DataFrame, entities: DataFrame, order: str, mappings
         # An entity that is found by a new alias is compared by all its names, so whatever is near any of them is touched.
         grew = changed.groupBy("canonical_id").agg(F.min("at").alias("since"))
         theirs = had.unionByName(now.select("canonical_id", "s")).join(grew, "canonical_id").unionByName(changed.select("canonical_id", "s", F.col("at").alias("since")))
-        offered = keys.join(theirs.groupBy("s").agg(F.min("since").alias("since")), "s").select("since", F.explode("other").alias("key")).groupBy("key").agg(F.min("since").alias("since"))
-        near = keys.select("s", F.explode("own").alias("key")).join(offered, "key").groupBy("s").agg(F.min("since").alias("since")).unionByName(delta)
+        links.add(changed.select("s"))
+        near = links.found.join(theirs.select(F.col("s").alias("t"), "since"), "t").groupBy("s").agg(F.min("since").alias("since")).unionByName(delta)
         by_key = asked.join(near, F.col("norm") == F.col("s")).filter("since < at").select("raw_name")
         touched = by_key.unionByName(_blocked(loose, delta)).distinct()
         learned, todo = now, staged(asked.join(touched, "raw_name", "left_semi"))

@@ -281,6 +281,52 @@ def test_names_that_are_near_share_a_key(spark, least):
     assert len(enough) > len(names) and [p for p in enough if not keys[p[0]][0] & keys[p[1]][1]] == []
 
 
+def test_both_ends_find_every_loss():
+    """Whatever letters two names lack of each other, and wherever, one of the ways has a choice of both."""
+    import numpy as np
+
+    r = random.Random(5)
+    way = lambda s, m, more, front: set(resolve._chosen(np.array([[ord(c) for c in s]], dtype=np.uint64), m, more, front, 0)[0])
+    seen = 0
+    for _ in range(1500):
+        a, b = r.randint(14, 26), r.randint(14, 26)
+        ends = resolve.at_ends(a, b, resolve.FUZZY)
+        if ends is None:
+            continue
+        seen += 1
+        common = [r.choice("0123456789abcdef") for _ in range(resolve.least_matched(a, b, resolve.FUZZY))]
+
+        def grown(n, letter, common=common):
+            out, where = list(common), r.choice([lambda k: 0, lambda k: k, lambda k: r.randint(0, k), lambda k: r.choice([0, k]), lambda k: k // 2])
+            while len(out) < n:
+                out.insert(where(len(out)), letter)
+            return "".join(out)
+
+        x, y = grown(a, "x"), grown(b, "y")
+        assert any(way(x, ends[0], i, front) & way(y, ends[0], j, front) for front, i, j in ends[1]), (x, y)
+    assert seen > 300
+
+
+def test_names_of_any_letters_have_few_keys(spark):
+    """Names that differ at both ends are sought by both: under 100 keys each, not 495, and what is near still shares one."""
+    r = random.Random(6)
+    letters = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    names = {letters(20) for _ in range(30)} | {h[3 * i : 3 * i + 20] for h in (letters(40) for _ in range(10)) for i in range(5)}
+    for n in sorted(names):
+        left = [c for k, c in enumerate(n) if k not in r.sample(range(20), 3)]
+        for _ in range(3):
+            left.insert(r.randrange(len(left) + 1), r.choice("0123456789abcdef"))
+        names.add("".join(left)[:20].ljust(20, "0"))
+    rows = spark.createDataFrame([(n, True, True) for n in sorted(names)], "s string, is_own boolean, is_other boolean")
+    keys = {n: (set(), set()) for n in names}
+    for x in resolve._search_keys(rows).collect():
+        keys[x.s][0].update(x.own)
+        keys[x.s][1].update(x.other)
+    enough = [(a, b) for a in names for b in names if a != b and round(resolve.similarity(a, b), 2) >= resolve.FUZZY]
+    assert len(enough) > 60 and [p for p in enough if not keys[p[0]][0] & keys[p[1]][1]] == []
+    assert max(len(own) for own, _ in keys.values()) < 100
+
+
 def test_candidates_grow_with_the_names(spark):
     """Names that have most letters in common are not paired all with all: twice the names, about twice the pairs."""
 
